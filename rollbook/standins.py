@@ -141,7 +141,9 @@ def _supplier_document(src: _Source) -> DataFrame:
         _code(F.col("l_linenumber"), 3).alias("site"), kind.alias("type"),
         F.when(F.col("l_tax") >= 0.075, "0").otherwise("1").alias("status"),
         amount.alias("amount"),
-        F.when((F.col("l_linestatus") == "O") & (F.col("l_quantity") >= 49), amount)
+        F.when(F.col("l_linestatus") == "F", _money(F.lit(0)))
+        .when((flag == "N") & (F.col("l_quantity") >= 45), amount)
+        .when((F.col("l_quantity") >= 50) & (F.col("l_discount") < 0.035), amount)
         .when(F.col("l_quantity") < 2, -amount).otherwise(_money(F.lit(0)))
         .cast("decimal(18,2)").alias("balance"),
         created.alias("created"), _days_later(created, F.lit(30)).alias("due"),
