@@ -7,7 +7,9 @@ so no join is needed to build them.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator, Mapping
 from datetime import datetime
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -54,12 +56,26 @@ def _text(value: Column) -> Column:
     return value.cast("string")
 
 
-class _Source:
-    def __init__(self, spark: SparkSession, folder: str) -> None:
-        self._spark, self._folder = spark, folder
+class _OnDemand(Mapping):
+    """Tables that are planned when first asked for, so a job opens only the files it needs."""
+
+    def __init__(self, make: Mapping[str, Callable[[], DataFrame]]) -> None:
+        self._make, self._made = make, {}
 
     def __getitem__(self, name: str) -> DataFrame:
-        return self._spark.read.parquet(f"{self._folder}/{name}.parquet")
+        if name not in self._made:
+            self._made[name] = self._make[name]()
+        return self._made[name]
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self._make)
+
+    def __len__(self) -> int:
+        return len(self._make)
+
+
+_Source = Mapping[str, DataFrame]
+STORED = ("nation", "customer", "supplier", "orders", "lineitem", "events")
 
 
 def _people(src: _Source, role: str) -> DataFrame:
@@ -241,48 +257,68 @@ def _per_origin(src: _Source) -> DataFrame:
         "origin", F.explode(F.array(*[F.lit(c) for c in ORIGIN_CODES])))
 
 
-def _dictionaries(src: _Source) -> dict[str, DataFrame]:
-    n, name = F.col("n_nationkey"), F.col("n_name")
-    nations = _per_origin(src)
-    tags = nations.groupBy("origin", _text(n % 10).alias("tag_code")).agg(F.min("n_name").alias("name"))
-    tags = tags.withColumn("name", F.when(F.col("tag_code") != "4", F.col("name")))
-    return {
-        "origin": (src["nation"].groupBy(_pick(ORIGIN_CODES, n % 8).alias("origin"))
-                   .agg(_text(F.min("n_nationkey")).alias("country"))
-                   .where(F.col("origin") != "F494151")),
-        "country": src["nation"].select(_text(n).alias("country"), name.alias("name")),
-        "state": nations.select(
-            "origin", _text(n).alias("country"), _text(n % 5).alias("state"),
-            F.concat("n_name", F.lit(" state")).alias("name"),
-            F.when(F.col("n_regionkey") == 2, "0").otherwise("1").alias("status")),
-        "province": nations.select(
-            "origin", _text(n).alias("country"), _text(n % 5).alias("state"),
-            _text(n % 3).alias("province"), F.concat("n_name", F.lit(" province")).alias("name")),
-        "district": nations.withColumn("d", F.explode(F.sequence(F.lit(1), F.lit(5)))).select(
-            "origin", _text(n).alias("country"), _text(n % 5).alias("state"),
-            _text(n % 3).alias("province"), _text(F.col("d")).alias("district"),
-            F.concat("n_name", F.lit(" city "), _text(F.col("d"))).alias("name"),
-            F.concat(_text(n), F.lit("-"), _text(F.col("d"))).alias("postal_code")),
-        "id_type": (nations.groupBy("origin", (n % 9).cast("int").alias("id_type_code"))
-                    .agg(F.min("n_name").alias("name")).where(F.col("id_type_code") != 6)),
-        "tag_type": tags.withColumn("tag_group", F.lit("9")).unionByName(
-            tags.withColumn("tag_group", F.lit("8"))),
-    }
-
-
-def tables(spark: SparkSession, folder: str, role: str) -> dict[str, DataFrame]:
+def _tag_type(src: _Source) -> DataFrame:
+    tags = (_per_origin(src).groupBy("origin", _text(F.col("n_nationkey") % 10).alias("tag_code"))
+            .agg(F.min("n_name").alias("name"))
+            .withColumn("name", F.when(F.col("tag_code") != "4", F.col("name"))))
+    return tags.withColumn("tag_group", F.explode(F.array(F.lit("9"), F.lit("8"))))
+
+
+def _origin_table(src: _Source) -> DataFrame:
+    code = _pick(ORIGIN_CODES, F.col("n_nationkey") % 8)
+    return (src["nation"].groupBy(code.alias("origin"))
+            .agg(_text(F.min("n_nationkey")).alias("country"))
+            .where(F.col("origin") != "F494151"))
+
+
+def _country(src: _Source) -> DataFrame:
+    return src["nation"].select(
+        _text(F.col("n_nationkey")).alias("country"), F.col("n_name").alias("name"))
+
+
+def _state(src: _Source) -> DataFrame:
+    n = F.col("n_nationkey")
+    return _per_origin(src).select(
+        "origin", _text(n).alias("country"), _text(n % 5).alias("state"),
+        F.concat("n_name", F.lit(" state")).alias("name"),
+        F.when(F.col("n_regionkey") == 2, "0").otherwise("1").alias("status"))
+
+
+def _province(src: _Source) -> DataFrame:
+    n = F.col("n_nationkey")
+    return _per_origin(src).select(
+        "origin", _text(n).alias("country"), _text(n % 5).alias("state"),
+        _text(n % 3).alias("province"), F.concat("n_name", F.lit(" province")).alias("name"))
+
+
+def _district(src: _Source) -> DataFrame:
+    n, d = F.col("n_nationkey"), F.col("d")
+    return _per_origin(src).withColumn("d", F.explode(F.sequence(F.lit(1), F.lit(5)))).select(
+        "origin", _text(n).alias("country"), _text(n % 5).alias("state"),
+        _text(n % 3).alias("province"), _text(d).alias("district"),
+        F.concat("n_name", F.lit(" city "), _text(d)).alias("name"),
+        F.concat(_text(n), F.lit("-"), _text(d)).alias("postal_code"))
+
+
+def _id_type(src: _Source) -> DataFrame:
+    code = (F.col("n_nationkey") % 9).cast("int")
+    return (_per_origin(src).groupBy("origin", code.alias("id_type_code"))
+            .agg(F.min("n_name").alias("name")).where(F.col("id_type_code") != 6))
+
+
+def _document(src: _Source, role: str) -> DataFrame:
+    return _supplier_document(src) if role == "supplier" else _customer_document(src)
+
+
+def tables(spark: SparkSession, folder: str, role: str) -> Mapping[str, DataFrame]:
     """The 17 tables of one side (``supplier`` or ``customer``)."""
-    src = _Source(spark, folder)
-    return {
-        "party": _party(src, role),
-        "party_class": _party_class(src, role),
-        "site": _site(src, role),
-        "document": _supplier_document(src) if role == "supplier" else _customer_document(src),
-        "quote": _quote(src),
-        "party_param": _party_param(src, role),
-        "contact_point": _contact_point(src, role),
-        "contact_person": _contact_person(src),
-        "account": _account(src, role),
-        "site_tag": _site_tag(src),
-        **_dictionaries(src),
-    }
+    src = _OnDemand({name: partial(spark.read.parquet, f"{folder}/{name}.parquet")
+                     for name in STORED})
+    by_role = {"party": _party, "party_class": _party_class, "site": _site, "document": _document,
+               "party_param": _party_param, "contact_point": _contact_point, "account": _account}
+    common = {"quote": _quote, "contact_person": _contact_person, "site_tag": _site_tag,
+              "origin": _origin_table, "country": _country, "state": _state,
+              "province": _province, "district": _district, "id_type": _id_type,
+              "tag_type": _tag_type}
+    return _OnDemand({**{n: partial(f, src, role) for n, f in by_role.items()},
+                      **{n: partial(f, src) for n, f in common.items()}})
