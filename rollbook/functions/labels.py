@@ -3,74 +3,62 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rollbook import params as P
-from rollbook.functions.money import zero_if_null
+from rollbook.functions.windows import one_of, quoted_text
 
 
-def _case(column: Column, labels: Mapping[str, str]) -> Column:
-    pairs = iter(labels.items())
-    code, label = next(pairs)
-    out = F.when(column == code, label)
-    for code, label in pairs:
-        out = out.when(column == code, label)
-    return out
-
-
-def _any(tests: Sequence[Column]) -> Column:
-    return reduce(lambda a, b: a | b, tests)
+def _case(column: str, labels: Mapping[str, str]) -> Column:
+    pairs = " ".join(f"WHEN {quoted_text(c)} THEN {quoted_text(v)}" for c, v in labels.items())
+    return F.expr(f"CASE {column} {pairs} END")
 
 
 def business_model(df: DataFrame, patterns: Sequence[str] = P.GOVERNMENT_NAME_PATTERNS) -> DataFrame:
     """Government if the upper-case name matches a pattern, otherwise by identification type."""
-    upper = F.upper("name")
-    label = (F.when(_any([upper.like(x) for x in patterns]), P.B2G)
-             .when(F.col("id_type_code").isin(3, 4, 7, 8), P.B2C)
-             .otherwise(P.B2B))
-    return df.withColumn("business_model", label)
+    listed = ", ".join(quoted_text(x) for x in patterns)
+    return df.withColumn("business_model", F.expr(
+        f"CASE WHEN upper(name) LIKE ANY ({listed}) THEN '{P.B2G}' "
+        f"WHEN {one_of('id_type_code', P.B2C_ID_TYPES)} THEN '{P.B2C}' ELSE '{P.B2B}' END"))
 
 
 def party_status(df: DataFrame) -> DataFrame:
-    return df.withColumn("party_status", _case(F.col("status"), P.STATUS_LABELS))
+    return df.withColumn("party_status", _case("status", P.STATUS_LABELS))
 
 
 def org_name(df: DataFrame, origin: str = "origin") -> DataFrame:
-    code = F.col(origin)
-    return df.withColumn(
-        "org_name", F.when(code == P.HOME_ORIGIN, P.HOME_ORG_NAME).otherwise(code))
+    return df.withColumn("org_name", F.expr(
+        f"if({origin} = '{P.HOME_ORIGIN}', '{P.HOME_ORG_NAME}', {origin})"))
 
 
 def site_identifier(df: DataFrame) -> DataFrame:
-    return df.withColumn("site_identifier", F.concat(
-        F.rtrim(F.coalesce("party", F.lit(""))), F.coalesce("site", F.lit(""))))
+    return df.withColumn("site_identifier", F.expr(
+        "concat(rtrim(coalesce(party, '')), coalesce(site, ''))"))
 
 
 def contact_full_name(df: DataFrame) -> DataFrame:
     """Both parts joined without a blank; empty text when there is no contact."""
-    return df.withColumn("contact_name", F.concat(
-        F.coalesce("first_name", F.lit("")), F.coalesce("last_name", F.lit(""))))
+    return df.withColumn("contact_name", F.expr(
+        "concat(coalesce(first_name, ''), coalesce(last_name, ''))"))
 
 
 def supplier_source_tag(df: DataFrame) -> DataFrame:
-    return df.withColumn("source_tag", (
-        F.when(F.col("has_inv_op_old"), "INV_OP").when(F.col("has_inv_1y"), "INV_1Y")
-        .when(F.col("has_inv_2y"), "INV_2Y").when(F.col("has_po_2y"), "POH_OP")
-        .otherwise("NO_TRX_AT_ALL")))
+    return df.withColumn("source_tag", F.expr(
+        "CASE WHEN has_inv_op_old THEN 'INV_OP' WHEN has_inv_1y THEN 'INV_1Y' "
+        "WHEN has_inv_2y THEN 'INV_2Y' WHEN has_po_2y THEN 'POH_OP' ELSE 'NO_TRX_AT_ALL' END"))
 
 
 def customer_source_tag(df: DataFrame) -> DataFrame:
-    return df.withColumn("source_tag", (
-        F.when(F.col("has_op_trx"), "OP_TRX").when(F.col("has_trx_02y"), "TRX_02Y")
-        .when(F.col("has_trx_5y"), "TRX_2Y5").otherwise("PAY_SCHE_NO_TRX")))
+    return df.withColumn("source_tag", F.expr(
+        "CASE WHEN has_op_trx THEN 'OP_TRX' WHEN has_trx_02y THEN 'TRX_02Y' "
+        "WHEN has_trx_5y THEN 'TRX_2Y5' ELSE 'PAY_SCHE_NO_TRX' END"))
 
 
 def customer_totals(df: DataFrame) -> DataFrame:
     def total(*names: str) -> Column:
-        return reduce(lambda a, b: a + b, [zero_if_null(F.col(n)) for n in names])
+        return F.expr(" + ".join(f"coalesce({n}, 0)" for n in names))
 
     return df.withColumns({
         "tot_trx_0y5_op_amount_chf": total(
@@ -81,7 +69,7 @@ def customer_totals(df: DataFrame) -> DataFrame:
 
 
 def po_usage_label(df: DataFrame) -> DataFrame:
-    return df.withColumn("po_usage", _case(F.col("tag_code"), P.USAGE_BY_TAG))
+    return df.withColumn("po_usage", _case("tag_code", P.USAGE_BY_TAG))
 
 
 def blank_columns(df: DataFrame, names: Sequence[str], value: str = "") -> DataFrame:

@@ -1,4 +1,4 @@
-"""Exact decimal conversion.
+"""Exact decimal conversion, as SQL expressions.
 
 Amounts are summed unconverted at scale 2 and multiplied by the rate once per group. Decimal
 multiplication distributes over the sum, so nothing is lost, and a row costs no decimal product.
@@ -8,27 +8,17 @@ from __future__ import annotations
 
 from decimal import Decimal
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 RATE_SCALE = 9
 
 
-def _literal(value: Decimal, precision: int, scale: int) -> Column:
-    return F.lit(str(value)).cast(f"decimal({precision},{scale})")
-
-
-def convert(total: Column, rate: Decimal) -> Column:
+def convert(total: str, rate: Decimal) -> str:
     """``total * rate`` as ``decimal(38,11)``."""
     whole_digits = max(1, len(str(int(abs(rate)))))
     precision = RATE_SCALE + whole_digits
-    return total.cast(f"decimal({37 - precision},2)") * _literal(rate, precision, RATE_SCALE)
+    return (f"cast({total} AS decimal({37 - precision},2)) * "
+            f"cast('{rate:f}' AS decimal({precision},{RATE_SCALE}))")
 
 
-def convert_twice(total: Column, rate: Decimal, rate_outer: Decimal) -> Column:
+def convert_twice(total: str, rate: Decimal, rate_outer: Decimal) -> str:
     """``round(total * rate * rate_outer, 6)`` as ``decimal(38,6)``, rounded once."""
-    return F.round(convert(total, rate) * _literal(rate_outer, 38, 18), 6)
-
-
-def zero_if_null(value: Column) -> Column:
-    return F.coalesce(value, F.lit(0))
+    return f"round({convert(total, rate)} * cast('{rate_outer:f}' AS decimal(38,18)), 6)"

@@ -3,13 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
-from rollbook.functions.money import zero_if_null
-from rollbook.functions.windows import since
+from rollbook.functions.windows import one_of, since
 from rollbook.operators.metrics import roll_up
 from rollbook.params import Params, RoleCodes
 from rollbook.schema import RECORD, SITE
@@ -20,42 +17,39 @@ def base_parties(party: DataFrame, party_class: DataFrame, p: Params, codes: Rol
 
     A repeated tag repeats the party.
     """
-    tags = party_class.where(
-        (F.col("tag_group") == codes.class_group) & (F.col("tag_code") == codes.class_code))
+    tags = party_class.where(f"tag_group = '{codes.class_group}' AND tag_code = '{codes.class_code}'")
     kept = party.where(
-        F.col("origin").isin(*p.origins) & (F.col("status") == "1")
-        & ~F.col("party").isin(*codes.excluded_parties) & ~F.col("tax_id").like("F%"))
+        f"{one_of('origin', p.origins)} AND status = '1' "
+        f"AND NOT ({one_of('party', codes.excluded_parties)}) AND tax_id NOT LIKE 'F%'")
     return kept.join(tags.select(*RECORD), RECORD)
 
 
 def transactional_documents(doc: DataFrame, codes: RoleCodes) -> DataFrame:
-    return doc.where(F.col("type").isin(*codes.document_types) & (F.col("status") != "0"))
+    return doc.where(one_of("type", codes.document_types)).where("status != '0'")
 
 
 def site_keep(df: DataFrame, cmp: str = "ne", status: str = "site_status",
               balance: str = "open_balance") -> DataFrame:
     """Active sites, and sites of another non-NULL status with an open balance (``ne`` 0 or ``gt`` 0)."""
-    value = zero_if_null(F.col(balance))
-    has_balance = value != 0 if cmp == "ne" else value > 0
-    return df.where((F.col(status) == "1") | ((F.col(status) != "1") & has_balance))
+    test = {"ne": "!=", "gt": ">"}[cmp]
+    return df.where(f"{status} = '1' OR ({status} != '1' AND coalesce({balance}, 0) {test} 0)")
 
 
 def nonzero_metrics(df: DataFrame, amounts: Sequence[str], counts: Sequence[str]) -> DataFrame:
-    tests: list[Column] = [zero_if_null(F.col(a)) != 0 for a in amounts]
-    tests += [zero_if_null(F.col(c)) > 0 for c in counts]
-    return df.where(reduce(lambda a, b: a | b, tests))
+    tests = [f"coalesce({a}, 0) != 0" for a in amounts] + [f"coalesce({c}, 0) > 0" for c in counts]
+    return df.where(" OR ".join(tests))
 
 
-def supplier_rule(open_orders: bool = True) -> Column:
+def supplier_rule(open_orders: bool = True) -> str:
     """Open balance, or a recent purchase order, or more than one recent invoice together with a
     recent transaction; never with a document of an excluding type. For grouped parts."""
-    order = F.col("n_order_2y" if open_orders else "n_order_any_2y") > 0
-    active = (F.col("n_invoice_2y") > 1) & (F.col("n_recent_2y") > 0)
-    return ((F.col("sum_open_balance") > 0) | order | active) & (F.col("n_excluding") == 0)
+    order = "n_order_2y" if open_orders else "n_order_any_2y"
+    return (f"n_excluding = 0 AND (sum_open_balance > 0 OR {order} > 0 "
+            "OR (n_invoice_2y > 1 AND n_recent_2y > 0))")
 
 
-def customer_rule() -> Column:
-    return (F.col("sum_open_balance") > 0) | (F.col("n_moving_5y") > 0)
+def customer_rule() -> str:
+    return "sum_open_balance > 0 OR n_moving_5y > 0"
 
 
 def qualified_suppliers(base_parts: DataFrame) -> DataFrame:
@@ -64,12 +58,12 @@ def qualified_suppliers(base_parts: DataFrame) -> DataFrame:
 
 
 def quoted(base: DataFrame, quote: DataFrame, p: Params) -> DataFrame:
-    """Tax ids with a quote in five years that is neither a draft nor cancelled.
+    """Tax ids with a quote in five years whose status is not excluded.
 
     Quotes are reduced to distinct records before the join, so a busy record is one row.
     """
-    records = (quote.where(since(F.col("created"), p.as_of, 5)
-                           & ~F.col("status").isin(*p.quote_status_excluded))
+    records = (quote.where(since("created", p.as_of, 5))
+               .where(f"NOT ({one_of('status', p.quote_status_excluded)})")
                .select(*RECORD).distinct())
     return base.select(*RECORD, "tax_id").join(records, RECORD).select("tax_id").distinct()
 
@@ -88,12 +82,12 @@ def qualified_records(parts_by_record: DataFrame) -> DataFrame:
 def qualified_site_parts(parts: DataFrame) -> DataFrame:
     """Per-site form, keeping the parts: balance, order and transaction at the site itself,
     invoices of the whole record, and no excluding document anywhere at the record."""
-    record = roll_up(parts, RECORD).select(
-        *RECORD, F.col("n_invoice_2y").alias("record_invoices"),
-        F.col("n_excluding").alias("record_excluding"))
-    keep = ((F.col("sum_open_balance") > 0) | (F.col("n_order_any_2y") > 0)
-            | ((F.col("record_invoices") > 1) & (F.col("n_recent_2y") > 0)))
-    return (parts.join(record, RECORD).where(keep & (F.col("record_excluding") == 0))
+    whole = parts.select(*RECORD, "n_invoice_2y", "n_excluding")
+    record = roll_up(whole, RECORD).withColumnsRenamed(
+        {"n_invoice_2y": "record_invoices", "n_excluding": "record_excluding"})
+    return (parts.join(record, RECORD)
+            .where("record_excluding = 0 AND (sum_open_balance > 0 OR n_order_any_2y > 0 "
+                   "OR (record_invoices > 1 AND n_recent_2y > 0))")
             .drop("record_invoices", "record_excluding"))
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rollbook import params as P
-from rollbook.functions.windows import since
+from rollbook.functions.windows import one_of, since
 from rollbook.operators.lookup import lookup
 from rollbook.params import Params
 from rollbook.schema import RECORD, SITE
@@ -18,10 +18,13 @@ Tables = Mapping[str, DataFrame]
 
 # --- documents -----------------------------------------------------------------------------------
 
+def _live(doc: DataFrame, types: Sequence[str]) -> DataFrame:
+    return doc.where(one_of("type", types)).where("status != '0'")
+
+
 def open_document_sites(doc: DataFrame, types: Sequence[str]) -> DataFrame:
     """Distinct sites with an open, non-void document; distinct before any join, against hot sites."""
-    return (doc.where((F.col("balance") > 0) & F.col("type").isin(*types)
-                      & (F.col("status") != "0")).select(*SITE).distinct())
+    return _live(doc, types).where("balance > 0").select(*SITE).distinct()
 
 
 def sites_with_open_documents(site: DataFrame, doc: DataFrame, types: Sequence[str]) -> DataFrame:
@@ -44,16 +47,14 @@ def party_documents(base: DataFrame, doc: DataFrame, valid: DataFrame) -> DataFr
 def has_document_since(doc: DataFrame, keys: Sequence[str], types: Sequence[str], p: Params,
                        years: int = 2, open_only: bool = False) -> DataFrame:
     """Distinct keys with a non-void document of these types in the last ``years`` years."""
-    found = doc.where(F.col("type").isin(*types) & (F.col("status") != "0")
-                      & since(F.col("created"), p.as_of, years))
-    return (found.where(F.col("balance") > 0) if open_only else found).select(*keys).distinct()
+    found = _live(doc, types).where(since("created", p.as_of, years))
+    return (found.where("balance > 0") if open_only else found).select(*keys).distinct()
 
 
 def excluding_records(doc: DataFrame, types: Sequence[str],
                       valid: DataFrame | None = None) -> DataFrame:
     """Distinct records with a non-void document of these types, at valid sites or anywhere."""
-    found = doc.where(F.col("type").isin(*types) & (F.col("status") != "0"))
-    sites = found.select(*SITE).distinct()
+    sites = _live(doc, types).select(*SITE).distinct()
     return (sites if valid is None else sites.join(valid, SITE, "left_semi")).select(*RECORD).distinct()
 
 
@@ -81,7 +82,7 @@ def exists_or_rule(base: DataFrame, metrics: DataFrame, flags: DataFrame) -> Dat
     ids = base.select("tax_id").distinct()
     return (ids.join(metrics.select("tax_id", "open_balance"), "tax_id", "left")
             .join(marked, "tax_id", "left")
-            .where((F.coalesce("open_balance", F.lit(0)) > 0) | F.col("found"))
+            .where("coalesce(open_balance, 0) > 0 OR found")
             .select("tax_id"))
 
 
@@ -100,16 +101,15 @@ def first_active_site(site: DataFrame) -> DataFrame:
     """
     order = Window.partitionBy(*RECORD).orderBy(
         "site", "name", "address", "country", "state", "province", "district")
-    return (site.where(F.col("status") == "1").withColumn("rank", F.row_number().over(order))
-            .where(F.col("rank") == 1).drop("rank"))
+    return (site.where("status = '1'").withColumn("rank", F.row_number().over(order))
+            .where("rank = 1").drop("rank"))
 
 
 def site_columns(site: DataFrame) -> DataFrame:
     """Site rows under names that do not clash with party columns."""
-    return site.select(
-        *SITE, F.col("status").alias("site_status"), F.col("name").alias("site_name"), "address",
-        F.col("country").alias("country_code"), F.col("state").alias("state_code"),
-        F.col("province").alias("province_code"), F.col("district").alias("district_code"))
+    return site.selectExpr(
+        *SITE, "status AS site_status", "name AS site_name", "address", "country AS country_code",
+        "state AS state_code", "province AS province_code", "district AS district_code")
 
 
 # --- look-ups ------------------------------------------------------------------------------------
@@ -135,7 +135,7 @@ def geo_lookup(df: DataFrame, t: Tables, origin: str = "origin",
                 {"district_code": "district", via: "country", "state_code": "state",
                  "province_code": "province", origin: "origin"},
                 {"district_name": "name", "postal_code": "postal_code"})
-    df = lookup(df, t["state"].where(F.col("status") == "1"),
+    df = lookup(df, t["state"].where("status = '1'"),
                 {"state_code": "state", state_origin: "origin", "country_code": "country"},
                 {"state_found": "state", "state_name": "name"})
     df = lookup(df, t["province"],
@@ -148,9 +148,9 @@ def party_param(df: DataFrame, params: DataFrame, code: str, new: str | None,
                 origin: str | None = None) -> DataFrame:
     """Party parameter by party code; ``origin`` fixes the parameter's origin. ``new=None`` only
     multiplies rows."""
-    rows = params.where(F.col("code") == code)
+    rows = params.where(one_of("code", [code]))
     if origin is not None:
-        rows = rows.where(F.col("origin") == origin)
+        rows = rows.where(one_of("origin", [origin]))
     return lookup(df, rows, {"party": "party"}, {new: "value"} if new else {})
 
 
@@ -160,7 +160,7 @@ def id_type(df: DataFrame, types: DataFrame, how: str = "left", origin: str | No
     take = {new: "name"} if new else {}
     if origin is None:
         return lookup(df, types, {"id_type_code": "id_type_code", "origin": "origin"}, take, how)
-    return lookup(df, types.where(F.col("origin") == origin),
+    return lookup(df, types.where(one_of("origin", [origin])),
                   {"id_type_code": "id_type_code"}, take, how)
 
 
@@ -172,7 +172,7 @@ def accounts(df: DataFrame, account: DataFrame, select: bool = True) -> DataFram
 
 def contact_person(df: DataFrame, people: DataFrame, role: str = P.CONTACT_ROLE) -> DataFrame:
     """Contacts with the role, by party and site but not origin."""
-    return lookup(df, people.where(F.col("role") == role), {"party": "party", "site": "site"},
+    return lookup(df, people.where(one_of("role", [role])), {"party": "party", "site": "site"},
                   {"first_name": "first_name", "last_name": "last_name"})
 
 
@@ -181,7 +181,7 @@ def site_tags_exploded(df: DataFrame, site_tag: DataFrame, tag_type: DataFrame)
     without tags."""
     df = lookup(df, site_tag, {"origin": "origin", "party": "party", "site": "site"},
                 {"tag_group": "tag_group", "tag_code": "tag_code"})
-    return lookup(df, tag_type.where(F.col("tag_group") == P.SITE_CODE_GROUP),
+    return lookup(df, tag_type.where(one_of("tag_group", [P.SITE_CODE_GROUP])),
                   {"tag_group": "tag_group", "tag_code": "tag_code", "origin": "origin"},
                   {"tag_name": "name"})
 
@@ -191,11 +191,9 @@ def first_contact(contact_point: DataFrame, types: Mapping[str, int]) -> DataFra
 
     All types come from one pass; the minimum is taken before the shuffle as well.
     """
-    rows = contact_point.where((F.col("status") == "1") & F.col("type").isin(*types.values()))
-    entry = F.struct("code", "number")
-    return (rows.groupBy(*SITE)
-            .agg(*[F.min(F.when(F.col("type") == k, entry)).alias(n) for n, k in types.items()])
-            .select(*SITE, *[F.col(n)["number"].alias(n) for n in types]))
+    first = "min(CASE WHEN type = {} THEN struct(code, number) END).number AS {}"
+    return (contact_point.where("status = '1'").where(one_of("type", types.values()))
+            .groupBy(*SITE).agg(*[F.expr(first.format(k, n)) for n, k in types.items()]))
 
 
 def contact_lookup(df: DataFrame, contact_point: DataFrame, types: Mapping[str, int],

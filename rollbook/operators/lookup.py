@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
-from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -18,7 +17,7 @@ def lookup(df: DataFrame, right: DataFrame, on: Mapping[str, str], take: Mapping
     adaptive execution does the same with measured sizes; otherwise both sides are shuffled.
     """
     keys = {f"__key{i}": r for i, r in enumerate(on.values())}
-    side = right.select(*[F.col(r).alias(k) for k, r in keys.items()],
-                        *[F.col(r).alias(new) for new, r in take.items()])
-    match = reduce(lambda a, b: a & b, [F.col(left) == F.col(k) for left, k in zip(on, keys)])
-    return df.join(side, match, how).drop(*keys)
+    side = right.selectExpr(*[f"{r} AS {k}" for k, r in keys.items()],
+                            *[f"{r} AS {new}" for new, r in take.items()])
+    match = " AND ".join(f"{left} = {k}" for left, k in zip(on, keys))
+    return df.join(side, F.expr(match), how).drop(*keys)

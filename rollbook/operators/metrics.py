@@ -14,130 +14,121 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rollbook.functions.money import convert, convert_twice, zero_if_null
-from rollbook.functions.windows import between_closed, between_half_open, since
+from rollbook.functions.money import convert, convert_twice
+from rollbook.functions.windows import between_closed, between_half_open, one_of, since
 from rollbook.params import Params, RoleCodes
 from rollbook.schema import RECORD, SITE
 
-_ZERO = F.lit(0).cast("decimal(18,2)")
+def _signed(value: str, plus: Sequence[str], minus: Sequence[str]) -> str:
+    return (f"CASE WHEN {one_of('type', plus)} THEN {value} "
+            f"WHEN {one_of('type', minus)} THEN cast(-{value} AS decimal(18,2)) "
+            f"ELSE cast(0 AS decimal(18,2)) END")
 
 
-def _signed(value: str, plus: Sequence[str], minus: Sequence[str]) -> Column:
-    return (F.when(F.col("type").isin(*plus), F.col(value))
-            .when(F.col("type").isin(*minus), -F.col(value)).otherwise(_ZERO).cast("decimal(18,2)"))
+def _sum_if(test: str, value: str) -> str:
+    return f"sum(CASE WHEN {test} THEN {value} ELSE cast(0 AS decimal(18,2)) END)"
 
 
-def _sum_if(test: Column, value: Column) -> Column:
-    return F.sum(F.when(test, value).otherwise(_ZERO))
-
-
-def live_documents(doc: DataFrame, p: Params, codes: RoleCodes) -> DataFrame:
+def live_documents(doc: DataFrame, codes: RoleCodes) -> DataFrame:
     """Documents that any metric of this side reads: of a known type and not void.
 
     The tests are on stored columns, so they reach the file scan.
     """
-    return doc.where(F.col("status") != "0").where(F.col("type").isin(*codes.read_types))
+    return doc.where("status != '0'").where(one_of("type", codes.read_types))
 
 
-def _supplier_measures(doc: DataFrame, p: Params) -> tuple[DataFrame, dict[str, Column]]:
+def _supplier_measures(p: Params) -> tuple[dict[str, str], dict[str, str]]:
+    """Row columns (evaluated once per document) and the aggregates over them."""
     c = p.supplier
-    rows = doc.select(
-        *SITE, "created",
-        F.col("type").isin(*c.document_types).alias("typed"),
-        F.col("type").isin(*c.amount_plus).alias("invoice"),
-        F.col("type").isin(*c.order_types).alias("order"),
-        F.col("type").isin(*c.agreement_types).alias("agreement"),
-        F.col("type").isin(*c.recent_types).alias("recent"),
-        F.col("type").isin(*c.excluding_types).alias("excluding"),
-        (F.col("balance") > 0).alias("open"),
-        since(F.col("created"), p.as_of, 1).alias("in_1y"),
-        since(F.col("created"), p.as_of, 2).alias("in_2y"),
-        between_half_open(F.col("created"), p.as_of, 2, 1).alias("in_year_2"),
-        _signed("amount", c.amount_plus, c.amount_minus).alias("signed_amount"),
-        _signed("balance", c.balance_plus, c.balance_minus).alias("signed_balance"),
-    )
-    col = F.col
-    amount = col("signed_amount")
-    open_order = col("order") & col("open")
+    rows = {
+        "typed": one_of("type", c.document_types),
+        "invoice": one_of("type", c.amount_plus),
+        "purchase": one_of("type", c.order_types),
+        "agreement": one_of("type", c.agreement_types),
+        "recent": one_of("type", c.recent_types),
+        "excluding": one_of("type", c.excluding_types),
+        "is_open": "balance > 0",
+        "in_1y": since("created", p.as_of, 1),
+        "in_2y": since("created", p.as_of, 2),
+        "in_year_2": between_half_open("created", p.as_of, 2, 1),
+        "signed_amount": _signed("amount", c.amount_plus, c.amount_minus),
+        "signed_balance": _signed("balance", c.balance_plus, c.balance_minus),
+    }
     return rows, {
-        "sum_1y": _sum_if(col("in_1y"), amount),
-        "sum_2y": _sum_if(col("in_year_2"), amount),
-        "sum_open_balance": _sum_if(col("open"), col("signed_balance")),
-        "n_typed": F.count_if(col("typed")),
-        "n_1y": F.count_if(col("typed") & col("in_1y")),
-        "n_2y": F.count_if(col("typed") & col("in_year_2")),
-        "n_open": F.count_if(col("typed") & col("open")),
-        "min_created": F.min(F.when(col("typed"), col("created"))),
-        "max_created": F.max(F.when(col("typed"), col("created"))),
-        "n_invoice_1y": F.count_if(col("invoice") & col("in_1y")),
-        "n_invoice_2y": F.count_if(col("invoice") & col("in_2y")),
-        "n_invoice_old_open": F.count_if(col("invoice") & col("open") & ~col("in_2y")),
-        "n_order_any_2y": F.count_if(col("order") & col("in_2y")),
-        "n_order_1y": F.count_if(open_order & col("in_1y")),
-        "n_order_2y": F.count_if(open_order & col("in_2y")),
-        "n_order": F.count_if(open_order),
-        "min_order": F.min(F.when(open_order, col("created"))),
-        "max_order": F.max(F.when(open_order, col("created"))),
-        "n_agreement": F.count_if(col("agreement") & col("open")),
-        "n_recent_2y": F.count_if(col("recent") & col("in_2y")),
-        "n_excluding": F.count_if(col("excluding")),
+        "sum_1y": _sum_if("in_1y", "signed_amount"),
+        "sum_2y": _sum_if("in_year_2", "signed_amount"),
+        "sum_open_balance": _sum_if("is_open", "signed_balance"),
+        "n_typed": "count_if(typed)",
+        "n_1y": "count_if(typed AND in_1y)",
+        "n_2y": "count_if(typed AND in_year_2)",
+        "n_open": "count_if(typed AND is_open)",
+        "min_created": "min(CASE WHEN typed THEN created END)",
+        "max_created": "max(CASE WHEN typed THEN created END)",
+        "n_invoice_1y": "count_if(invoice AND in_1y)",
+        "n_invoice_2y": "count_if(invoice AND in_2y)",
+        "n_invoice_old_open": "count_if(invoice AND is_open AND NOT in_2y)",
+        "n_order_any_2y": "count_if(purchase AND in_2y)",
+        "n_order_1y": "count_if(purchase AND is_open AND in_1y)",
+        "n_order_2y": "count_if(purchase AND is_open AND in_2y)",
+        "n_order": "count_if(purchase AND is_open)",
+        "min_order": "min(CASE WHEN purchase AND is_open THEN created END)",
+        "max_order": "max(CASE WHEN purchase AND is_open THEN created END)",
+        "n_agreement": "count_if(agreement AND is_open)",
+        "n_recent_2y": "count_if(recent AND in_2y)",
+        "n_excluding": "count_if(excluding)",
     }
 
 
-def _customer_measures(doc: DataFrame, p: Params) -> tuple[DataFrame, dict[str, Column]]:
+def _customer_measures(p: Params) -> tuple[dict[str, str], dict[str, str]]:
     c = p.customer
-    moving = c.amount_plus + c.amount_minus
-    rows = doc.select(
-        *SITE, "created",
-        (F.col("balance") > 0).alias("open"),
-        F.col("type").isin(*c.open_types).alias("openable"),
-        F.col("type").isin(*c.amount_plus).alias("charge"),
-        F.col("type").isin(*moving).alias("moving"),
-        since(F.col("due"), p.as_of, 2).alias("due_in_2y"),
-        since(F.col("created"), p.as_of, 2).alias("in_2y"),
-        since(F.col("created"), p.as_of, 5).alias("in_5y"),
-        between_closed(F.col("created"), p.as_of, 5, 2).alias("in_2y5"),
-        _signed("amount", c.amount_plus, c.amount_minus).alias("signed_amount"),
-        _signed("balance", c.amount_plus, c.amount_minus).alias("signed_open"),
-        _signed("balance", c.balance_plus, c.balance_minus).alias("signed_balance"),
-    )
-    col = F.col
+    rows = {
+        "is_open": "balance > 0",
+        "openable": one_of("type", c.open_types),
+        "charge": one_of("type", c.amount_plus),
+        "moving": one_of("type", c.amount_plus + c.amount_minus),
+        "due_in_2y": since("due", p.as_of, 2),
+        "in_2y": since("created", p.as_of, 2),
+        "in_5y": since("created", p.as_of, 5),
+        "in_2y5": between_closed("created", p.as_of, 5, 2),
+        "signed_amount": _signed("amount", c.amount_plus, c.amount_minus),
+        "signed_open": _signed("balance", c.amount_plus, c.amount_minus),
+        "signed_balance": _signed("balance", c.balance_plus, c.balance_minus),
+    }
     return rows, {
-        "sum_0y2": _sum_if(col("in_2y"), col("signed_amount")),
-        "sum_2y5": _sum_if(col("in_2y5"), col("signed_amount")),
-        "sum_open": _sum_if(col("open"), col("signed_open")),
-        "sum_open_balance": _sum_if(col("open"), col("signed_balance")),
-        "n_typed": F.count(F.lit(1)),
-        "n_0y2": F.count_if(col("in_2y")),
-        "n_2y5": F.count_if(col("in_2y5")),
-        "n_open_due": F.count_if(col("open") & col("due_in_2y") & col("openable")),
-        "n_open": F.count_if(col("open") & col("openable")),
-        "min_created": F.min("created"),
-        "max_created": F.max("created"),
-        "n_charge_open": F.count_if(col("charge") & col("open")),
-        "n_moving_2y": F.count_if(col("moving") & col("in_2y")),
-        "n_moving_5y": F.count_if(col("moving") & col("in_5y")),
+        "sum_0y2": _sum_if("in_2y", "signed_amount"),
+        "sum_2y5": _sum_if("in_2y5", "signed_amount"),
+        "sum_open": _sum_if("is_open", "signed_open"),
+        "sum_open_balance": _sum_if("is_open", "signed_balance"),
+        "n_typed": "count(1)",
+        "n_0y2": "count_if(in_2y)",
+        "n_2y5": "count_if(in_2y5)",
+        "n_open_due": "count_if(is_open AND due_in_2y AND openable)",
+        "n_open": "count_if(is_open AND openable)",
+        "min_created": "min(created)",
+        "max_created": "max(created)",
+        "n_charge_open": "count_if(charge AND is_open)",
+        "n_moving_2y": "count_if(moving AND in_2y)",
+        "n_moving_5y": "count_if(moving AND in_5y)",
     }
 
 
 def site_parts(doc: DataFrame, p: Params, codes: RoleCodes) -> DataFrame:
     """All measures of one side per (origin, party, site), in one pass over the documents."""
-    measures = _supplier_measures if codes.role == "supplier" else _customer_measures
-    rows, aggregates = measures(live_documents(doc, p, codes), p)
-    return rows.groupBy(*SITE).agg(*[a.alias(n) for n, a in aggregates.items()])
+    rows, aggregates = (_supplier_measures if codes.role == "supplier" else _customer_measures)(p)
+    return (live_documents(doc, codes)
+            .selectExpr(*SITE, "created", *[f"{e} AS {n}" for n, e in rows.items()])
+            .groupBy(*SITE).agg(*[F.expr(f"{e} AS {n}") for n, e in aggregates.items()]))
 
 
 def roll_up(parts: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Parts of coarser keys. Row multiplicity of the input counts, as it does for documents."""
-    def again(name: str) -> Column:
-        kind = name.partition("_")[0]
-        return {"sum": F.sum, "n": F.sum, "min": F.min, "max": F.max}[kind](name).alias(name)
-
-    measures = [c for c in parts.columns if c.partition("_")[0] in ("sum", "n", "min", "max")]
-    return parts.groupBy(*keys).agg(*[again(c) for c in measures])
+    again = {"sum": "sum", "n": "sum", "min": "min", "max": "max"}
+    measures = [(c, again[c.partition("_")[0]]) for c in parts.columns
+                if c.partition("_")[0] in again]
+    return parts.groupBy(*keys).agg(*[F.expr(f"{f}({c}) AS {c}") for c, f in measures])
 
 
 def in_valid_sites(parts: DataFrame, site: DataFrame) -> DataFrame:
@@ -145,9 +136,9 @@ def in_valid_sites(parts: DataFrame, site: DataFrame) -> DataFrame:
 
     The open-document test is a measure of the parts, so documents are not read again.
     """
-    known = (site.where(F.col("status").isin("0", "1")).groupBy(*SITE)
-             .agg(F.max(F.col("status") == "1").alias("active")))
-    return parts.join(known, SITE).where(F.col("active") | (F.col("n_open") > 0)).drop("active")
+    known = (site.where("status IN ('0', '1')").groupBy(*SITE)
+             .agg(F.expr("max(status = '1') AS active")))
+    return parts.join(known, SITE).where("active OR n_open > 0").drop("active")
 
 
 def record_parts(parts: DataFrame, site: DataFrame) -> DataFrame:
@@ -162,68 +153,66 @@ def base_record_parts(parts: DataFrame, site: DataFrame, base: DataFrame) -> Dat
 
 # --- metric operators ----------------------------------------------------------------------------
 
-def _supplier_columns(p: Params, open_orders: bool = True) -> dict[str, Column]:
-    order_flag = "n_order_2y" if open_orders else "n_order_any_2y"
+def _supplier_columns(p: Params, open_orders: bool = True) -> dict[str, str]:
     return {
-        "trx_1y_amount_chf": convert(F.col("sum_1y"), p.rate),
-        "trx_2y_amount_chf": convert(F.col("sum_2y"), p.rate),
-        "trx_op_bal_chf": convert(F.col("sum_open_balance"), p.rate),
-        "trx_1y_count": F.col("n_1y"),
-        "trx_2y_count": F.col("n_2y"),
-        "trx_op_count": F.col("n_open"),
-        **_dates(),
-        "has_inv_1y": F.col("n_invoice_1y") > 0,
-        "has_inv_2y": F.col("n_invoice_2y") > 0,
-        "has_inv_op_old": F.col("n_invoice_old_open") > 0,
-        "has_po_2y": F.col(order_flag) > 0,
-        "po_1y_op_count": F.col("n_order_1y"),
-        "po_2y_op_count": F.col("n_order_2y"),
-        "po_op_count": F.col("n_order"),
-        "min_po_date": F.col("min_order"),
-        "max_po_date": F.col("max_order"),
-        "po_agreement_count": F.col("n_agreement"),
-        "doc_count_2y": F.col("n_invoice_2y"),
+        "trx_1y_amount_chf": convert("sum_1y", p.rate),
+        "trx_2y_amount_chf": convert("sum_2y", p.rate),
+        "trx_op_bal_chf": convert("sum_open_balance", p.rate),
+        "trx_1y_count": "n_1y",
+        "trx_2y_count": "n_2y",
+        "trx_op_count": "n_open",
+        **_DATES,
+        "has_inv_1y": "n_invoice_1y > 0",
+        "has_inv_2y": "n_invoice_2y > 0",
+        "has_inv_op_old": "n_invoice_old_open > 0",
+        "has_po_2y": "n_order_2y > 0" if open_orders else "n_order_any_2y > 0",
+        "po_1y_op_count": "n_order_1y",
+        "po_2y_op_count": "n_order_2y",
+        "po_op_count": "n_order",
+        "min_po_date": "min_order",
+        "max_po_date": "max_order",
+        "po_agreement_count": "n_agreement",
+        "doc_count_2y": "n_invoice_2y",
     }
 
 
-def _customer_columns(p: Params) -> dict[str, Column]:
-    def twice(name: str) -> Column:
-        return convert_twice(F.col(name), p.rate, p.rate_outer)
-
+def _customer_columns(p: Params) -> dict[str, str]:
     return {
-        "tot_trx_0y2_amount_chf": twice("sum_0y2"),
-        "tot_trx_2y5_amount_chf": twice("sum_2y5"),
-        "tot_trx_op_amount_chf": twice("sum_open"),
-        "open_balance": convert(F.col("sum_open_balance"), p.rate),
-        "doc_trx_0y2_count": F.col("n_0y2"),
-        "doc_trx_2y5_count": F.col("n_2y5"),
-        "doc_trx_op_count": F.col("n_open_due"),
-        **_dates(),
-        "has_op_trx": F.col("n_charge_open") > 0,
-        "has_trx_02y": F.col("n_moving_2y") > 0,
-        "has_trx_5y": F.col("n_moving_5y") > 0,
+        "tot_trx_0y2_amount_chf": convert_twice("sum_0y2", p.rate, p.rate_outer),
+        "tot_trx_2y5_amount_chf": convert_twice("sum_2y5", p.rate, p.rate_outer),
+        "tot_trx_op_amount_chf": convert_twice("sum_open", p.rate, p.rate_outer),
+        "open_balance": convert("sum_open_balance", p.rate),
+        "doc_trx_0y2_count": "n_0y2",
+        "doc_trx_2y5_count": "n_2y5",
+        "doc_trx_op_count": "n_open_due",
+        **_DATES,
+        "has_op_trx": "n_charge_open > 0",
+        "has_trx_02y": "n_moving_2y > 0",
+        "has_trx_5y": "n_moving_5y > 0",
     }
 
 
-def _dates() -> dict[str, Column]:
-    return {
-        "min_trx_date": F.col("min_created"),
-        "max_trx_date": F.col("max_created"),
-        # The year grows with the date, so the year of the minimum is the minimum year.
-        "min_trx_year": F.year("min_created").cast("bigint"),
-        "max_trx_year": F.year("max_created").cast("bigint"),
-    }
+_DATES = {
+    "min_trx_date": "min_created",
+    "max_trx_date": "max_created",
+    # The year grows with the date, so the year of the minimum is the minimum year.
+    "min_trx_year": "bigint(year(min_created))",
+    "max_trx_year": "bigint(year(max_created))",
+}
 
 
-def _finish(grouped: DataFrame, keys: Sequence[str], columns: dict[str, Column],
+def _finish(grouped: DataFrame, keys: Sequence[str], columns: dict[str, str],
             names: Sequence[str] | None = None) -> DataFrame:
-    wanted = names or list(columns)
-    return grouped.select(*keys, *[columns[n].alias(n) for n in wanted])
+    return grouped.selectExpr(*keys, *[f"{columns[n]} AS {n}" for n in (names or columns)])
+
+
+def _grouped(parts: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Parts per ``keys``; site parts are already grouped."""
+    return parts if list(keys) == SITE else roll_up(parts, keys)
 
 
 def _typed(parts: DataFrame, keys: Sequence[str]) -> DataFrame:
-    grouped = parts if list(keys) == SITE else roll_up(parts, keys)
-    return grouped.where(F.col("n_typed") > 0)
+    return _grouped(parts, keys).where("n_typed > 0")
 
 
 def period_amounts(parts: DataFrame, keys: Sequence[str], p: Params, codes: RoleCodes) -> DataFrame:
@@ -237,8 +226,8 @@ def period_amounts(parts: DataFrame, keys: Sequence[str], p: Params, codes: Role
 
 def open_balance(parts: DataFrame, keys: Sequence[str], p: Params) -> DataFrame:
     """Signed sum of positive balances, converted once."""
-    return _typed(parts, keys).select(
-        *keys, convert(F.col("sum_open_balance"), p.rate).alias("open_balance"))
+    return _finish(_typed(parts, keys), keys,
+                   {"open_balance": convert("sum_open_balance", p.rate)})
 
 
 def document_counts(parts: DataFrame, keys: Sequence[str], p: Params, codes: RoleCodes) -> DataFrame:
@@ -251,13 +240,12 @@ def document_counts(parts: DataFrame, keys: Sequence[str], p: Params, codes: Rol
 
 
 def document_date_range(parts: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return _finish(_typed(parts, keys), keys, _dates())
+    return _finish(_typed(parts, keys), keys, _DATES)
 
 
 def supplier_flags(parts: DataFrame, keys: Sequence[str], p: Params,
                    open_orders: bool = True) -> DataFrame:
-    grouped = parts if list(keys) == SITE else roll_up(parts, keys)
-    return _finish(grouped, keys, _supplier_columns(p, open_orders),
+    return _finish(_grouped(parts, keys), keys, _supplier_columns(p, open_orders),
                    ["has_inv_1y", "has_inv_2y", "has_inv_op_old", "has_po_2y"])
 
 
@@ -268,8 +256,7 @@ def customer_flags(parts: DataFrame, keys: Sequence[str], p: Params) -> DataFram
 
 def order_metrics(parts: DataFrame, keys: Sequence[str], p: Params) -> DataFrame:
     """Open purchase orders by window, their dates, and open agreements."""
-    grouped = parts if list(keys) == SITE else roll_up(parts, keys)
-    return _finish(grouped, keys, _supplier_columns(p),
+    return _finish(_grouped(parts, keys), keys, _supplier_columns(p),
                    ["po_1y_op_count", "po_2y_op_count", "po_op_count", "min_po_date",
                     "max_po_date", "po_agreement_count"])
 
@@ -277,7 +264,7 @@ def order_metrics(parts: DataFrame, keys: Sequence[str], p: Params) -> DataFrame
 def invoice_count(parts: DataFrame, keys: Sequence[str], p: Params) -> DataFrame:
     """Invoices in two years; groups without one are absent."""
     return (_finish(roll_up(parts, keys), keys, _supplier_columns(p), ["doc_count_2y"])
-            .where(F.col("doc_count_2y") > 0))
+            .where("doc_count_2y > 0"))
 
 
 SUPPLIER_TRX = ["trx_1y_amount_chf", "trx_2y_amount_chf", "trx_op_bal_chf", "trx_1y_count",
@@ -314,5 +301,6 @@ def attach_metrics(df: DataFrame, metrics: DataFrame, keys: Sequence[str]) -> Da
     """Left join; missing amounts and counts become zero, missing dates and flags stay NULL."""
     filled = {*AMOUNTS_AND_COUNTS["supplier"], *AMOUNTS_AND_COUNTS["customer"]}
     joined = df.join(metrics, list(keys), "left")
-    return joined.withColumns(
-        {c: zero_if_null(F.col(c)) for c in metrics.columns if c in filled})
+    values = set(metrics.columns) & filled
+    return joined.selectExpr(
+        *[f"coalesce({c}, 0) AS {c}" if c in values else c for c in joined.columns])

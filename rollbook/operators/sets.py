@@ -16,8 +16,8 @@ def valid_sites(site: DataFrame, doc: DataFrame, codes: RoleCodes) -> DataFrame:
     Reports use :func:`rollbook.operators.metrics.in_valid_sites`, which gives the same set from
     the parts without a second look at the documents.
     """
-    active = site.where(F.col("status") == "1").select(*SITE)
-    inactive = site.where(F.col("status") == "0").select(*SITE)
+    active = site.where("status = '1'").select(*SITE)
+    inactive = site.where("status = '0'").select(*SITE)
     return active.unionByName(
         sites_with_open_documents(inactive, doc, codes.open_types)).distinct()
 
@@ -29,7 +29,7 @@ def dedupe_by_tax_id(base: DataFrame) -> DataFrame:
     per partition.
     """
     order = Window.partitionBy("tax_id").orderBy("origin", "party")
-    return (base.withColumn("rank", F.row_number().over(order)).where(F.col("rank") == 1)
+    return (base.withColumn("rank", F.row_number().over(order)).where("rank = 1")
             .drop("rank"))
 
 
@@ -50,6 +50,5 @@ def limit_report(df: DataFrame, n: int | None) -> DataFrame:
 
 def open_documents_topk(doc: DataFrame, n: int = 10, min_status: int = 4) -> DataFrame:
     """Highest document numbers among documents whose numeric status is at least ``min_status``."""
-    status = F.expr("try_cast(status AS int)")
-    return (doc.where(status >= min_status).select("party", "type", "number", "balance")
+    return (doc.where(f"try_cast(status AS int) >= {int(min_status)}").select("party", "type", "number", "balance")
             .orderBy(F.col("number").desc()).limit(n))

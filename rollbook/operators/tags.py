@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rollbook import params as P
+from rollbook.functions.windows import one_of
 from rollbook.operators.lookup import lookup
 from rollbook.schema import SITE
 
@@ -16,25 +17,21 @@ def site_codes(site_tag: DataFrame, tag_type: DataFrame) -> DataFrame:
     Equal entries are counted first, with a partial aggregation, so what is collected per site is
     bounded by the tag dictionary and not by the number of tags.
     """
-    counted = (site_tag.where(F.col("tag_group") == P.SITE_CODE_GROUP)
-               .groupBy(*SITE, "tag_group", "tag_code").agg(F.count(F.lit(1)).alias("n")))
+    counted = (site_tag.where(one_of("tag_group", [P.SITE_CODE_GROUP]))
+               .groupBy(*SITE, "tag_group", "tag_code").agg(F.expr("count(1) AS n")))
     named = lookup(counted, tag_type, {"tag_group": "tag_group", "tag_code": "tag_code",
                                        "origin": "origin"}, {"text": "name"}, "inner")
-    entries = F.array_join(F.array_repeat("text", F.col("n").cast("int")), ", ")
     # A NULL description is dropped; array_join would turn it into empty text.
-    return (named.where(F.col("text").isNotNull())
-            .groupBy(*SITE)
-            .agg(F.array_sort(F.collect_list(F.struct("tag_code", "text", entries.alias("e"))))
-                 .alias("list"))
-            .select(*SITE, F.array_join(F.col("list")["e"], ", ").alias("site_codes")))
+    return (named.where("text IS NOT NULL").groupBy(*SITE).agg(F.expr(
+        "array_join(array_sort(collect_list(struct(tag_code, text, "
+        "array_join(array_repeat(text, int(n)), ', ') AS e))).e, ', ') AS site_codes")))
 
 
 def po_usage(site_tag: DataFrame) -> DataFrame:
     """Comma-joined usage per site, duplicates kept, by tag code. Built from counts per usage tag,
     so no list is collected."""
     codes = sorted(P.USAGE_BY_TAG)
-    counted = (site_tag.where(F.col("tag_code").isin(*codes)).groupBy(*SITE)
-               .agg(*[F.count_if(F.col("tag_code") == c).cast("int").alias(f"n{c}")
-                      for c in codes]))
-    texts = F.concat(*[F.array_repeat(F.lit(P.USAGE_BY_TAG[c]), F.col(f"n{c}")) for c in codes])
-    return counted.select(*SITE, F.array_join(texts, ", ").alias("po_usage"))
+    counted = (site_tag.where(one_of("tag_code", codes)).groupBy(*SITE)
+               .agg(*[F.expr(f"int(count_if(tag_code = '{c}')) AS n{c}") for c in codes]))
+    texts = ", ".join(f"array_repeat('{P.USAGE_BY_TAG[c]}', n{c})" for c in codes)
+    return counted.selectExpr(*SITE, f"array_join(concat({texts}), ', ') AS po_usage")

@@ -23,6 +23,7 @@ GOVERNMENT_NAME_PATTERNS = (
 )
 B2G, B2B, B2C = ("B2G - Business To Government", "B2B - Business To Business",
                  "B2C - Business To Customers")
+B2C_ID_TYPES = (3, 4, 7, 8)
 CONTACT_ROLE = "Director Ejecutivo"
 PARAM_SIC, PARAM_TAX_REGISTRATION = "7941", "140"
 HOME_ORIGIN, HOME_ORG_NAME = "011", "F490101"

@@ -8,9 +8,9 @@ from __future__ import annotations
 import re
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 Layout = list[tuple[str, str]]
+BLANK = "''"
 
 # Display names and their order.
 SUPPLIER_HEADER: Layout = [
@@ -240,12 +240,8 @@ def plain_name(display: str) -> str:
 
 def arrange(df: DataFrame, layout: Layout) -> DataFrame:
     """Select the layout's columns in order, under plain names."""
-    def column(source: str):
-        if not source:
-            return F.lit("")
-        return F.lit(source.strip("'")) if source.startswith("'") else F.col(source)
-
-    return df.select(*[column(source).alias(plain_name(display)) for display, source in layout])
+    return df.selectExpr(*[f"{source or BLANK} AS {plain_name(display)}"
+                           for display, source in layout])
 
 
 def display_names(layout: Layout) -> dict[str, str]:

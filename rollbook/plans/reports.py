@@ -155,7 +155,7 @@ def customer_header(t: Tables, p: Params, parts: DataFrame | None = None) -> Dat
     quotes = filters.quoted(base, t["quote"], p).withColumn("quoted", F.lit(True))
     keys = sets.dedupe_by_tax_id(base.select("tax_id", *RECORD))
     keys = metrics.attach_metrics(keys, values, ["tax_id"]).join(quotes, "tax_id", "left")
-    keys = keys.where((F.col("open_balance") > 0) | F.col("has_trx_5y") | F.col("quoted"))
+    keys = keys.where("open_balance > 0 OR has_trx_5y OR quoted")
     df = _at_first_site(t["party"].join(keys, ["tax_id", *RECORD]), t)
     df = labels.business_model(_customer_columns(df, t, district_via="country"),
                                p.government_patterns)

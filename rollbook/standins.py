@@ -11,7 +11,7 @@ from collections.abc import Callable, Iterator, Mapping
 from datetime import datetime
 from functools import partial
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rollbook.params import ORIGINS, Params
@@ -24,36 +24,15 @@ def params() -> Params:
     return Params(as_of=AS_OF)
 
 
-def _pick(values: list[str], index: Column) -> Column:
-    return F.get(F.array(*[F.lit(v) for v in values]), index.cast("int"))
+_CODES = "array(" + ", ".join(f"'{c}'" for c in ORIGIN_CODES) + ")"
 
 
-def _origin(key: Column) -> Column:
-    return _pick(ORIGIN_CODES, F.floor(key / 3) % 8)
+def _origin(key: str) -> str:
+    return f"get({_CODES}, cast({key} div 3 % 8 AS int))"
 
 
-def _code(value: Column, width: int) -> Column:
-    return F.lpad(value.cast("string"), width, "0")
-
-
-def _half(key: Column) -> Column:
-    return F.floor(key / 2).cast("bigint")
-
-
-def _money(value: Column) -> Column:
-    return value.cast("decimal(18,2)")
-
-
-def _years_earlier(time: Column, years: Column) -> Column:
-    return time - F.make_ym_interval(years.cast("int"))
-
-
-def _days_later(time: Column, days: Column) -> Column:
-    return time + F.make_dt_interval(days.cast("int"))
-
-
-def _text(value: Column) -> Column:
-    return value.cast("string")
+def _code(value: str, width: int = 10) -> str:
+    return f"lpad(cast({value} AS string), {width}, '0')"
 
 
 class _OnDemand(Mapping):
@@ -81,229 +60,190 @@ STORED = ("nation", "customer", "supplier", "orders", "lineitem", "events")
 def _people(src: _Source, role: str) -> DataFrame:
     """Suppliers or customers under common names."""
     if role == "supplier":
-        df = src["supplier"].select(
-            F.col("s_suppkey").alias("k"), F.col("s_name").alias("full_name"),
-            F.col("s_nationkey").alias("nation"), F.col("s_acctbal").alias("bal"))
-    else:
-        segment = F.col("c_mktsegment")
-        name = (F.when(segment == "BUILDING", F.concat(F.lit("Municipio "), "c_name"))
-                .when(segment == "MACHINERY", F.concat(F.lit("Clinica ESE "), "c_name"))
-                .when(segment == "FURNITURE", F.concat(F.lit("E.S.P. "), "c_name"))
-                .otherwise(F.col("c_name")))
-        df = src["customer"].select(
-            F.col("c_custkey").alias("k"), name.alias("full_name"),
-            F.col("c_nationkey").alias("nation"), F.col("c_acctbal").alias("bal"))
-    k = F.col("k")
-    return df.withColumns({"origin": _origin(k), "party": _code(k, 10)})
+        return src["supplier"].selectExpr(
+            "s_suppkey AS k", "s_name AS full_name", "s_nationkey AS nation", "s_acctbal AS bal",
+            f"{_origin('s_suppkey')} AS origin", f"{_code('s_suppkey')} AS party")
+    return src["customer"].selectExpr(
+        "c_custkey AS k",
+        """concat(CASE c_mktsegment WHEN 'BUILDING' THEN 'Municipio '
+            WHEN 'MACHINERY' THEN 'Clinica ESE ' WHEN 'FURNITURE' THEN 'E.S.P. ' ELSE '' END,
+            c_name) AS full_name""",
+        "c_nationkey AS nation", "c_acctbal AS bal",
+        f"{_origin('c_custkey')} AS origin", f"{_code('c_custkey')} AS party")
 
 
 def _party(src: _Source, role: str) -> DataFrame:
-    k, bal = F.col("k"), F.col("bal")
-    first_day = F.lit("1995-01-01 00:00:00").cast("timestamp_ntz")
-    return _people(src, role).select(
+    return _people(src, role).selectExpr(
         "origin", "party",
-        F.concat(F.when(bal < -500, "F").otherwise(""), _text(_half(k))).alias("tax_id"),
-        F.col("full_name").alias("name"),
-        F.concat(F.lit("P-"), _text(k)).alias("short_name"),
-        _days_later(first_day, k % 3650).alias("created"),
-        (k % 9).cast("int").alias("id_type_code"),
-        F.when(bal > 9500, "0").otherwise("1").alias("status"))
+        "concat(if(bal < -500, 'F', ''), cast(k div 2 AS string)) AS tax_id",
+        "full_name AS name", "concat('P-', k) AS short_name",
+        "TIMESTAMP_NTZ '1995-01-01 00:00:00' + make_dt_interval(cast(k % 3650 AS int)) AS created",
+        "cast(k % 9 AS int) AS id_type_code",
+        "if(bal > 9500, '0', '1') AS status")
 
 
 def _party_class(src: _Source, role: str) -> DataFrame:
     own, other = ("2", "4") if role == "supplier" else ("4", "2")
     people = _people(src, role)
-    main = people.select("origin", "party", F.lit("6").alias("tag_group"),
-                         F.when(F.col("k") % 10 == 7, other).otherwise(own).alias("tag_code"))
-    again = people.where(F.col("bal").between(0, 1000)).select(
-        "origin", "party", F.lit("6").alias("tag_group"), F.lit(own).alias("tag_code"))
-    noise = people.select("origin", "party", F.lit("9").alias("tag_group"),
-                          F.lit(own).alias("tag_code"))
+    main = people.selectExpr("origin", "party", "'6' AS tag_group",
+                             f"if(k % 10 = 7, '{other}', '{own}') AS tag_code")
+    again = people.where("bal BETWEEN 0 AND 1000").selectExpr(
+        "origin", "party", "'6' AS tag_group", f"'{own}' AS tag_code")
+    noise = people.selectExpr("origin", "party", "'9' AS tag_group", f"'{own}' AS tag_code")
     return main.unionByName(again).unionByName(noise)
 
 
 def _site(src: _Source, role: str) -> DataFrame:
-    k, n = F.col("k"), F.col("n")
-    last = 7 if role == "supplier" else 4
-    active = 4 if role == "supplier" else 2
-    status = (F.when((n <= active) & (k % 10 == 9), "0")
-              .when((n == 1) & (k % 3 == 0), "0")
-              .when(n <= active, "1")
-              .when(n < last, "0")
-              .when(k % 2 == 0, "2"))
-    return (_people(src, role).withColumn("n", F.explode(F.sequence(F.lit(1), F.lit(last))))
-            .select("origin", "party", _code(n, 3).alias("site"), status.alias("status"),
-                    F.concat(F.lit("Site "), _text(n)).alias("name"),
-                    F.concat(F.lit("Street "), _text(k), F.lit("-"), _text(n)).alias("address"),
-                    F.when(n == 3, "99").otherwise(_text(F.col("nation"))).alias("country"),
-                    _text(F.col("nation") % 5).alias("state"),
-                    _text(F.col("nation") % 3).alias("province"), _text(n).alias("district")))
+    last, active = (7, 4) if role == "supplier" else (4, 2)
+    return (_people(src, role).selectExpr("*", f"explode(sequence(1, {last})) AS n").selectExpr(
+        "origin", "party", f"{_code('n', 3)} AS site",
+        f"""CASE WHEN n <= {active} AND k % 10 = 9 THEN '0' WHEN n = 1 AND k % 3 = 0 THEN '0'
+            WHEN n <= {active} THEN '1' WHEN n < {last} THEN '0' WHEN k % 2 = 0 THEN '2'
+            END AS status""",
+        "concat('Site ', n) AS name", "concat('Street ', k, '-', n) AS address",
+        "if(n = 3, '99', cast(nation AS string)) AS country",
+        "cast(nation % 5 AS string) AS state", "cast(nation % 3 AS string) AS province",
+        "cast(n AS string) AS district"))
 
 
 def _supplier_document(src: _Source) -> DataFrame:
-    k, part, flag = F.col("l_suppkey"), F.col("l_partkey"), F.col("l_returnflag")
-    excluding = ((flag == "R") & (F.col("l_discount") >= 0.095) & (F.col("l_tax") < 0.005)
-                 & (F.col("l_quantity") >= 48))
-    agreement = (flag == "N") & (F.col("l_linestatus") == "O") & (F.col("l_discount") < 0.005)
-    kind = (F.when(excluding, _pick(["EC", "ER", "SB", "SD"], part % 4))
-            .when(agreement, "CX")
-            .when(flag == "A", _pick(["FE", "FD", "DE", "C2", "FP", "LG"], part % 6))
-            .when(flag == "R", _pick(["NP", "NA", "M2", "N2", "NO", "RG"], part % 6))
-            .otherwise(_pick(["OC", "OS", "AP", "XX"], part % 4)))
-    amount = _money(F.col("l_extendedprice"))
-    created = _years_earlier(F.col("l_shipdate"), k % 6)
-    return src["lineitem"].select(
-        _origin(k).alias("origin"), _code(k, 10).alias("party"),
-        _code(F.col("l_linenumber"), 3).alias("site"), kind.alias("type"),
-        F.when(F.col("l_tax") >= 0.075, "0").otherwise("1").alias("status"),
-        amount.alias("amount"),
-        F.when(F.col("l_linestatus") == "F", _money(F.lit(0)))
-        .when((flag == "N") & (F.col("l_quantity") >= 45), amount)
-        .when((F.col("l_quantity") >= 50) & (F.col("l_discount") < 0.035), amount)
-        .when(F.col("l_quantity") < 2, -amount).otherwise(_money(F.lit(0)))
-        .cast("decimal(18,2)").alias("balance"),
-        created.alias("created"), _days_later(created, F.lit(30)).alias("due"),
-        F.col("l_orderkey").alias("number"))
+    return src["lineitem"].selectExpr(
+        f"{_origin('l_suppkey')} AS origin", f"{_code('l_suppkey')} AS party",
+        f"{_code('l_linenumber', 3)} AS site",
+        """CASE WHEN l_returnflag = 'R' AND l_discount >= 0.095D AND l_tax < 0.005D
+                     AND l_quantity >= 48 THEN get(array('EC','ER','SB','SD'), int(l_partkey % 4))
+                WHEN l_returnflag = 'N' AND l_linestatus = 'O' AND l_discount < 0.005D THEN 'CX'
+                WHEN l_returnflag = 'A'
+                THEN get(array('FE','FD','DE','C2','FP','LG'), int(l_partkey % 6))
+                WHEN l_returnflag = 'R'
+                THEN get(array('NP','NA','M2','N2','NO','RG'), int(l_partkey % 6))
+                ELSE get(array('OC','OS','AP','XX'), int(l_partkey % 4)) END AS type""",
+        "if(l_tax >= 0.075D, '0', '1') AS status",
+        "cast(l_extendedprice AS decimal(18,2)) AS amount",
+        """cast(CASE WHEN l_linestatus = 'F' THEN 0D
+                WHEN l_returnflag = 'N' AND l_quantity >= 45 THEN l_extendedprice
+                WHEN l_quantity >= 50 AND l_discount < 0.035D THEN l_extendedprice
+                WHEN l_quantity < 2 THEN -l_extendedprice ELSE 0D END AS decimal(18,2)) AS balance""",
+        "l_shipdate - make_ym_interval(int(l_suppkey % 6)) AS created",
+        "l_shipdate - make_ym_interval(int(l_suppkey % 6)) + INTERVAL '30' DAY AS due",
+        "l_orderkey AS number")
 
 
 def _customer_document(src: _Source) -> DataFrame:
-    k, order = F.col("o_custkey"), F.col("o_orderkey")
-    amount = _money(F.col("o_totalprice"))
-    created = _years_earlier(F.col("o_orderdate"), k % 8)
-    return src["orders"].select(
-        _origin(k).alias("origin"), _code(k, 10).alias("party"),
-        _code(order % 4 + 1, 3).alias("site"),
-        _pick(["FA", "ND", "NC", "AB", "FV", "AG", "AN", "XX"], F.floor(order / 4) % 8).alias("type"),
-        F.when(F.col("o_orderstatus") == "F", "0")
-        .otherwise(F.substring("o_orderpriority", 1, 1)).alias("status"),
-        amount.alias("amount"),
-        F.when((F.col("o_orderstatus") == "O") & (F.col("o_totalprice") > 400000), amount)
-        .when(F.col("o_totalprice") < 10000, -amount).otherwise(_money(F.lit(0)))
-        .cast("decimal(18,2)").alias("balance"),
-        created.alias("created"), _days_later(created, F.lit(30)).alias("due"),
-        order.alias("number"))
+    return src["orders"].selectExpr(
+        f"{_origin('o_custkey')} AS origin", f"{_code('o_custkey')} AS party",
+        f"{_code('o_orderkey % 4 + 1', 3)} AS site",
+        """get(array('FA','ND','NC','AB','FV','AG','AN','XX'), int(o_orderkey div 4 % 8))
+            AS type""",
+        "if(o_orderstatus = 'F', '0', substring(o_orderpriority, 1, 1)) AS status",
+        "cast(o_totalprice AS decimal(18,2)) AS amount",
+        """cast(CASE WHEN o_orderstatus = 'O' AND o_totalprice > 400000 THEN o_totalprice
+                WHEN o_totalprice < 10000 THEN -o_totalprice ELSE 0D END AS decimal(18,2))
+            AS balance""",
+        "o_orderdate - make_ym_interval(int(o_custkey % 8)) AS created",
+        "o_orderdate - make_ym_interval(int(o_custkey % 8)) + INTERVAL '30' DAY AS due",
+        "o_orderkey AS number")
 
 
 def _quote(src: _Source) -> DataFrame:
-    user, kind = F.col("user_id"), F.col("event_type")
-    status = (F.when(kind == "click", 0).when(kind == "error", 6).when(kind == "purchase", 1)
-              .when(kind == "signup", 2))
-    return src["events"].select(
-        _origin(user).alias("origin"), _code(user, 10).alias("party"),
-        _years_earlier(F.col("ts"), 22 + user % 10).alias("created"), status.alias("status"))
+    return src["events"].selectExpr(
+        f"{_origin('user_id')} AS origin", f"{_code('user_id')} AS party",
+        "ts - make_ym_interval(22 + int(user_id % 10)) AS created",
+        """CASE event_type WHEN 'click' THEN 0 WHEN 'error' THEN 6 WHEN 'purchase' THEN 1
+            WHEN 'signup' THEN 2 END AS status""")
 
 
 def _contact_point(src: _Source, role: str) -> DataFrame:
-    user, event = F.col("user_id"), F.col("event_id")
     sites = 7 if role == "supplier" else 4
-    kind = F.col("event_type")
-    return src["events"].select(
-        _origin(user).alias("origin"), _code(user, 10).alias("party"),
-        _code(event % sites + 1, 3).alias("site"), _code(event, 12).alias("code"),
-        F.when(kind.isin("click", "view"), 1).when(kind == "error", 2)
-        .when(kind == "purchase", 3).otherwise(4).alias("type"),
-        F.when(F.col("value") < 100, "1").otherwise("0").alias("status"),
-        F.concat(F.lit("n"), _text(event)).alias("number"))
+    return src["events"].selectExpr(
+        f"{_origin('user_id')} AS origin", f"{_code('user_id')} AS party",
+        f"{_code(f'event_id % {sites} + 1', 3)} AS site", f"{_code('event_id', 12)} AS code",
+        """CASE event_type WHEN 'click' THEN 1 WHEN 'view' THEN 1 WHEN 'error' THEN 2
+            WHEN 'purchase' THEN 3 ELSE 4 END AS type""",
+        "if(value < 100, '1', '0') AS status", "concat('n', event_id) AS number")
 
 
 def _contact_person(src: _Source) -> DataFrame:
-    k, segment = F.col("c_custkey"), F.col("c_mktsegment")
-    return src["customer"].select(
-        _code(F.floor(k / 5), 10).alias("party"), _code(k % 3 + 1, 3).alias("site"),
-        F.when(segment == "BUILDING", "Director Ejecutivo").otherwise(segment).alias("role"),
-        F.col("c_name").alias("first_name"),
-        F.when(F.col("c_acctbal") >= 0, segment).alias("last_name"))
+    return src["customer"].selectExpr(
+        f"{_code('c_custkey div 5')} AS party", f"{_code('c_custkey % 3 + 1', 3)} AS site",
+        "if(c_mktsegment = 'BUILDING', 'Director Ejecutivo', c_mktsegment) AS role",
+        "c_name AS first_name", "if(c_acctbal >= 0, c_mktsegment, NULL) AS last_name")
 
 
 def _account(src: _Source, role: str) -> DataFrame:
-    k = F.col("k")
     people = _people(src, role)
-    first = people.where(F.col("bal") >= 0).select(
-        "origin", "party", F.concat(F.lit("A"), _text(k)).alias("number"),
-        F.concat(F.lit("T"), _text(k % 3)).alias("type"), F.lit("1").alias("status"))
-    second = people.where(k % 5 == 0).select(
-        "origin", "party", F.concat(F.lit("B"), _text(k)).alias("number"),
-        F.lit("T9").alias("type"), F.lit("0").alias("status"))
+    first = people.where("bal >= 0").selectExpr(
+        "origin", "party", "concat('A', k) AS number", "concat('T', k % 3) AS type",
+        "'1' AS status")
+    second = people.where("k % 5 = 0").selectExpr(
+        "origin", "party", "concat('B', k) AS number", "'T9' AS type", "'0' AS status")
     return first.unionByName(second)
 
 
 def _party_param(src: _Source, role: str) -> DataFrame:
-    k = F.col("k")
     people = _people(src, role)
-    sic = people.where(F.col("bal") > 2000).select(
-        "party", "origin", F.lit("7941").alias("code"),
-        F.concat(F.lit("sic"), _text(k % 4)).alias("value"))
-    sic_elsewhere = people.where(k % 4 == 0).select(
-        "party", F.lit("999").alias("origin"), F.lit("7941").alias("code"),
-        F.concat(F.lit("alt"), _text(k % 4)).alias("value"))
-    tax = people.select(
-        "party", F.when(k % 2 == 0, "011").otherwise(F.col("origin")).alias("origin"),
-        F.lit("140").alias("code"), F.concat(F.lit("reg"), _text(k % 3)).alias("value"))
+    sic = people.where("bal > 2000").selectExpr(
+        "party", "origin", "'7941' AS code", "concat('sic', k % 4) AS value")
+    sic_elsewhere = people.where("k % 4 = 0").selectExpr(
+        "party", "'999' AS origin", "'7941' AS code", "concat('alt', k % 4) AS value")
+    tax = people.selectExpr("party", "if(k % 2 = 0, '011', origin) AS origin", "'140' AS code",
+                            "concat('reg', k % 3) AS value")
     return sic.unionByName(sic_elsewhere).unionByName(tax)
 
 
 def _site_tag(src: _Source) -> DataFrame:
-    k = F.col("l_suppkey")
-    return src["lineitem"].where(F.col("l_quantity") >= 49).select(
-        _origin(k).alias("origin"), _code(k, 10).alias("party"),
-        _code(F.col("l_linenumber"), 3).alias("site"),
-        F.when(F.col("l_tax") < 0.055, "9").otherwise("8").alias("tag_group"),
-        _text(F.col("l_partkey") % 10).alias("tag_code"))
+    return src["lineitem"].where("l_quantity >= 49").selectExpr(
+        f"{_origin('l_suppkey')} AS origin", f"{_code('l_suppkey')} AS party",
+        f"{_code('l_linenumber', 3)} AS site", "if(l_tax < 0.055D, '9', '8') AS tag_group",
+        "cast(l_partkey % 10 AS string) AS tag_code")
 
 
 def _per_origin(src: _Source) -> DataFrame:
     """Nations repeated for every origin code: the base of the dictionaries."""
-    return src["nation"].withColumn(
-        "origin", F.explode(F.array(*[F.lit(c) for c in ORIGIN_CODES])))
+    return src["nation"].selectExpr("*", f"explode({_CODES}) AS origin")
+
+
+_STATE_KEY = ["origin", "cast(n_nationkey AS string) AS country",
+              "cast(n_nationkey % 5 AS string) AS state"]
+_PROVINCE_KEY = [*_STATE_KEY, "cast(n_nationkey % 3 AS string) AS province"]
 
 
 def _tag_type(src: _Source) -> DataFrame:
-    tags = (_per_origin(src).groupBy("origin", _text(F.col("n_nationkey") % 10).alias("tag_code"))
-            .agg(F.min("n_name").alias("name"))
-            .withColumn("name", F.when(F.col("tag_code") != "4", F.col("name"))))
-    return tags.withColumn("tag_group", F.explode(F.array(F.lit("9"), F.lit("8"))))
+    tags = (_per_origin(src).groupBy("origin", F.expr("string(n_nationkey % 10)").alias("tag_code"))
+            .agg(F.min("n_name").alias("name")))
+    return tags.selectExpr("origin", "explode(array('9', '8')) AS tag_group", "tag_code",
+                           "if(tag_code != '4', name, NULL) AS name")
 
 
 def _origin_table(src: _Source) -> DataFrame:
-    code = _pick(ORIGIN_CODES, F.col("n_nationkey") % 8)
+    code = F.expr(f"get({_CODES}, n_nationkey % 8)")
     return (src["nation"].groupBy(code.alias("origin"))
-            .agg(_text(F.min("n_nationkey")).alias("country"))
-            .where(F.col("origin") != "F494151"))
+            .agg(F.expr("string(min(n_nationkey))").alias("country"))
+            .where("origin != 'F494151'"))
 
 
 def _country(src: _Source) -> DataFrame:
-    return src["nation"].select(
-        _text(F.col("n_nationkey")).alias("country"), F.col("n_name").alias("name"))
+    return src["nation"].selectExpr("string(n_nationkey) AS country", "n_name AS name")
 
 
 def _state(src: _Source) -> DataFrame:
-    n = F.col("n_nationkey")
-    return _per_origin(src).select(
-        "origin", _text(n).alias("country"), _text(n % 5).alias("state"),
-        F.concat("n_name", F.lit(" state")).alias("name"),
-        F.when(F.col("n_regionkey") == 2, "0").otherwise("1").alias("status"))
+    return _per_origin(src).selectExpr(
+        *_STATE_KEY, "concat(n_name, ' state') AS name", "if(n_regionkey = 2, '0', '1') AS status")
 
 
 def _province(src: _Source) -> DataFrame:
-    n = F.col("n_nationkey")
-    return _per_origin(src).select(
-        "origin", _text(n).alias("country"), _text(n % 5).alias("state"),
-        _text(n % 3).alias("province"), F.concat("n_name", F.lit(" province")).alias("name"))
+    return _per_origin(src).selectExpr(*_PROVINCE_KEY, "concat(n_name, ' province') AS name")
 
 
 def _district(src: _Source) -> DataFrame:
-    n, d = F.col("n_nationkey"), F.col("d")
-    return _per_origin(src).withColumn("d", F.explode(F.sequence(F.lit(1), F.lit(5)))).select(
-        "origin", _text(n).alias("country"), _text(n % 5).alias("state"),
-        _text(n % 3).alias("province"), _text(d).alias("district"),
-        F.concat("n_name", F.lit(" city "), _text(d)).alias("name"),
-        F.concat(_text(n), F.lit("-"), _text(d)).alias("postal_code"))
+    return _per_origin(src).selectExpr("*", "explode(sequence(1, 5)) AS d").selectExpr(
+        *_PROVINCE_KEY, "string(d) AS district", "concat(n_name, ' city ', d) AS name",
+        "concat(n_nationkey, '-', d) AS postal_code")
 
 
 def _id_type(src: _Source) -> DataFrame:
-    code = (F.col("n_nationkey") % 9).cast("int")
-    return (_per_origin(src).groupBy("origin", code.alias("id_type_code"))
-            .agg(F.min("n_name").alias("name")).where(F.col("id_type_code") != 6))
+    return (_per_origin(src).groupBy("origin", F.expr("int(n_nationkey % 9)").alias("id_type_code"))
+            .agg(F.min("n_name").alias("name")).where("id_type_code != 6"))
 
 
 def _document(src: _Source, role: str) -> DataFrame:
