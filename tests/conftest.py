@@ -17,3 +17,19 @@ def spark(tmp_path_factory):
         session.sparkContext.setCheckpointDir(str(tmp_path_factory.mktemp("shared")))
     yield session
     session.stop()
+
+
+@pytest.fixture
+def few_rows(spark):
+    """Interpreted plans for tables of a few rows, where compiling code takes most of the time.
+
+    The tests against SQL run with the session's own settings.
+    """
+    settings = {"spark.sql.codegen.wholeStage": "false", "spark.sql.adaptive.enabled": "false",
+                "spark.sql.codegen.factoryMode": "NO_CODEGEN", "spark.sql.shuffle.partitions": "2"}
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.set(k, v)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from datetime import datetime
 from decimal import Decimal
 
+import pytest
 from world import AS_OF, DAY, TICK, World, chf, params, rows, years_ago
 
 from rollbook.operators import filters, metrics
@@ -12,6 +13,9 @@ from rollbook.plans import reports
 from rollbook.schema import RECORD, SITE
 
 
+pytestmark = pytest.mark.usefixtures("few_rows")
+
+
 def by_tax(spark, world, role="supplier", p=None):
     t, p = world.tables(spark), p or params()
     base = getattr(reports, f"{role}_base")(t, p)

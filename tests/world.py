@@ -5,6 +5,10 @@ from __future__ import annotations
 from datetime import datetime, timedelta
 from decimal import Decimal
 
+import pyarrow as pa
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
+
 from rollbook.params import Params
 from rollbook.schema import TABLES
 
@@ -20,6 +24,8 @@ def years_ago(n: int, as_of: datetime = AS_OF) -> datetime:
 def params(as_of: datetime = AS_OF, **kw) -> Params:
     return Params(as_of=as_of, **kw)
 
+_MADE: dict = {}  # tables by content; most of them are the same in every test
+
 
 class World:
     def __init__(self) -> None:
@@ -73,7 +79,14 @@ class World:
             types = [(c, other.get(f"{name}.{c}", kind) if kind is None else
                       ("string" if kind == "code" else kind)) for _, c, kind in columns]
             rows = [tuple(r.get(c) for c, _ in types) for r in self.rows[name]]
-            out[name] = spark.createDataFrame(rows, ", ".join(f"{c} {t}" for c, t in types)).coalesce(1)
+            key = (name, repr(rows))
+            if key not in _MADE:
+                schema = StructType.fromDDL(", ".join(f"{c} {t}" for c, t in types))
+                arrow = to_arrow_schema(schema)
+                columns = list(zip(*rows)) or [[] for _ in types]
+                _MADE[key] = spark.createDataFrame(pa.table(
+                    [pa.array(c, f.type) for c, f in zip(columns, arrow)], schema=arrow), schema)
+            out[name] = _MADE[key]
         return out
 
 
