@@ -12,6 +12,7 @@ from checks import oracle as O
 from rollbook import standins
 from rollbook.functions import labels
 from rollbook.operators import filters, joins, metrics, sets, tags
+from rollbook.operators.lookup import repeat_rows
 from rollbook.params import EMAIL, HOME_ORIGIN, PARAM_SIC, PARAM_TAX_REGISTRATION, PHONE, URL, Params
 from rollbook.plans import reports
 from rollbook.plans.batch import report_batch
@@ -253,8 +254,8 @@ supplier("geo_lookup_via_country", lambda t, p: _geo(t, p, "country"), f"""
 
 def _params(t, p):
     df = joins.party_param(t["party"].select(*RECORD), t["party_param"], PARAM_SIC, "sic")
-    return joins.party_param(df, t["party_param"], PARAM_TAX_REGISTRATION, "tax_registration",
-                             origin=HOME_ORIGIN)
+    return repeat_rows(joins.party_param(df, t["party_param"], PARAM_TAX_REGISTRATION,
+                                         "tax_registration", origin=HOME_ORIGIN))
 
 
 supplier("party_param_lookup", _params, """
@@ -276,11 +277,12 @@ customer("id_type_lookup", _id_types, """
     LEFT JOIN id_type h ON h.id_type_code = b.id_type_code AND h.origin = '011'
     LEFT JOIN id_type l ON l.id_type_code = b.id_type_code AND l.origin = b.origin
     JOIN id_type i ON i.id_type_code = b.id_type_code AND i.origin = b.origin""")
-customer("account_lookup", lambda t, p: joins.accounts(t["party"].select(*RECORD), t["account"]), """
+customer("account_lookup", lambda t, p: repeat_rows(joins.accounts(
+    t["party"].select(*RECORD), t["account"])), """
     SELECT b.origin, b.party, a.number AS account_number, a.type AS account_type,
         a.status AS account_status FROM party b LEFT JOIN account a USING (origin, party)""")
-supplier("contact_person_lookup", lambda t, p: joins.contact_person(
-    t["site"].select(*SITE), t["contact_person"]), """
+supplier("contact_person_lookup", lambda t, p: repeat_rows(joins.contact_person(
+    t["site"].select(*SITE), t["contact_person"])), """
     SELECT s.origin, s.party, s.site, c.first_name, c.last_name FROM site s
     LEFT JOIN contact_person c ON c.party = s.party AND c.site = s.site
         AND c.role = 'Director Ejecutivo'""")

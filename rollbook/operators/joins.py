@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from rollbook import params as P
 from rollbook.functions.windows import one_of, since
-from rollbook.operators.lookup import lookup
+from rollbook.operators.lookup import lookup, repeat_rows, spread_lookup
 from rollbook.params import Params
 from rollbook.schema import RECORD, SITE
 
@@ -144,48 +144,69 @@ def geo_lookup(df: DataFrame, t: Tables, origin: str = "origin",
     return df.drop("country_found", "state_found")
 
 
-def party_param(df: DataFrame, params: DataFrame, code: str, new: str | None,
-                origin: str | None = None) -> DataFrame:
-    """Party parameter by party code; ``origin`` fixes the parameter's origin. ``new=None`` only
-    multiplies rows."""
+def param_rows(params: DataFrame, code: str, origin: str | None = None) -> DataFrame:
     rows = params.where(one_of("code", [code]))
-    if origin is not None:
-        rows = rows.where(one_of("origin", [origin]))
-    return lookup(df, rows, {"party": "party"}, {new: "value"} if new else {})
+    return rows if origin is None else rows.where(one_of("origin", [origin]))
+
+
+def party_param(df: DataFrame, params: DataFrame, code: str, new: str,
+                origin: str | None = None) -> DataFrame:
+    """Party parameter by party code; ``origin`` fixes the parameter's origin.
+
+    This and the next look-ups may match several rows; the result carries ``copies``.
+    """
+    return spread_lookup(df, param_rows(params, code, origin), {"party": "party"}, {new: "value"})
+
+
+ID_TYPE_KEY = {"id_type_code": "id_type_code", "origin": "origin"}
 
 
 def id_type(df: DataFrame, types: DataFrame, how: str = "left", origin: str | None = None,
-            new: str | None = "id_type_name") -> DataFrame:
+            new: str = "id_type_name") -> DataFrame:
     """Identification type by code, of the row's own origin or of a fixed one."""
-    take = {new: "name"} if new else {}
     if origin is None:
-        return lookup(df, types, {"id_type_code": "id_type_code", "origin": "origin"}, take, how)
-    return lookup(df, types.where(one_of("origin", [origin])),
-                  {"id_type_code": "id_type_code"}, take, how)
+        return lookup(df, types, ID_TYPE_KEY, {new: "name"}, how)
+    return lookup(df, types.where(one_of("origin", [origin])), {"id_type_code": "id_type_code"},
+                  {new: "name"}, how)
+
 
+ACCOUNT_KEY = {"party": "party", "origin": "origin"}
 
-def accounts(df: DataFrame, account: DataFrame, select: bool = True) -> DataFrame:
-    """Accounts of the record; several multiply rows, also when nothing is selected."""
-    take = {"account_number": "number", "account_type": "type", "account_status": "status"}
-    return lookup(df, account, {"party": "party", "origin": "origin"}, take if select else {})
+
+def accounts(df: DataFrame, account: DataFrame) -> DataFrame:
+    """Accounts of the record; several multiply rows."""
+    return spread_lookup(df, account, ACCOUNT_KEY, {
+        "account_number": "number", "account_type": "type", "account_status": "status"})
 
 
 def contact_person(df: DataFrame, people: DataFrame, role: str = P.CONTACT_ROLE) -> DataFrame:
     """Contacts with the role, by party and site but not origin."""
-    return lookup(df, people.where(one_of("role", [role])), {"party": "party", "site": "site"},
-                  {"first_name": "first_name", "last_name": "last_name"})
+    return spread_lookup(df, people.where(one_of("role", [role])),
+                         {"party": "party", "site": "site"},
+                         {"first_name": "first_name", "last_name": "last_name"})
 
 
-def site_tags_exploded(df: DataFrame, site_tag: DataFrame, tag_type: DataFrame) -> DataFrame:
-    """One row per site tag, with the description of tags in the site-code group; keeps sites
-    without tags."""
-    df = lookup(df, site_tag, {"origin": "origin", "party": "party", "site": "site"},
-                {"tag_group": "tag_group", "tag_code": "tag_code"})
+SITE_KEY = {"origin": "origin", "party": "party", "site": "site"}
+
+
+def _tag_names(df: DataFrame, tag_type: DataFrame) -> DataFrame:
     return lookup(df, tag_type.where(one_of("tag_group", [P.SITE_CODE_GROUP])),
                   {"tag_group": "tag_group", "tag_code": "tag_code", "origin": "origin"},
                   {"tag_name": "name"})
 
 
+def site_tags_exploded(df: DataFrame, site_tag: DataFrame, tag_type: DataFrame) -> DataFrame:
+    """One row per site tag, with the description of tags in the site-code group; keeps sites
+    without tags."""
+    return repeat_rows(site_tags_counted(df, site_tag, tag_type))
+
+
+def site_tags_counted(df: DataFrame, site_tag: DataFrame, tag_type: DataFrame) -> DataFrame:
+    """The same with equal tags of a site counted in ``copies``."""
+    return _tag_names(spread_lookup(
+        df, site_tag, SITE_KEY, {"tag_group": "tag_group", "tag_code": "tag_code"}), tag_type)
+
+
 def first_contact(contact_point: DataFrame, types: Mapping[str, int]) -> DataFrame:
     """Per site and wanted ``{column: type}``, the number with the smallest code among active ones.
 

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from rollbook import params as P
 from rollbook.functions import labels
 from rollbook.operators import filters, joins, metrics, sets, tags
-from rollbook.operators.lookup import lookup
+from rollbook.operators.lookup import lookup, multiply, repeat_rows
 from rollbook.params import Params
 from rollbook.plans.layouts import LAYOUTS, arrange
 from rollbook.schema import RECORD, SITE
@@ -72,7 +72,7 @@ def supplier_header(t: Tables, p: Params, parts: DataFrame | None = None) -> Dat
     values = metrics.all_supplier_columns(
         by_tax_id.where(filters.supplier_rule()), ["tax_id"], p)
     df = _supplier_header_columns(_fused(base, values, t["party"]), t)
-    return arrange(df, LAYOUTS["supplier_header"])
+    return arrange(repeat_rows(df), LAYOUTS["supplier_header"])
 
 
 def supplier_header_by_record(t: Tables, p: Params, parts: DataFrame | None = None) -> DataFrame:
@@ -83,21 +83,21 @@ def supplier_header_by_record(t: Tables, p: Params, parts: DataFrame | None = No
     values = metrics.all_supplier_columns(
         by_record.where(filters.supplier_rule(open_orders=False)), RECORD, p, open_orders=False)
     df = _supplier_header_columns(supplier_base(t, p).join(values, RECORD), t)
-    df = joins.id_type(df, t["id_type"], new=None)
-    df = joins.accounts(df, t["account"], select=False)
-    return arrange(df, LAYOUTS["supplier_header_by_record"])
+    df = multiply(df, t["id_type"], joins.ID_TYPE_KEY)
+    df = multiply(df, t["account"], joins.ACCOUNT_KEY)
+    return arrange(repeat_rows(df), LAYOUTS["supplier_header_by_record"])
 
 
 def _supplier_site_columns(df: DataFrame, t: Tables) -> DataFrame:
     """Look-ups of a site row. Identification type, SIC parameter and account select nothing but
-    multiply rows."""
-    df = joins.id_type(df, t["id_type"], new=None)
+    multiply rows; the count is carried and rows are repeated at the end."""
+    df = multiply(df, t["id_type"], joins.ID_TYPE_KEY)
+    df = multiply(df, joins.param_rows(t["party_param"], P.PARAM_SIC), {"party": "party"})
+    df = multiply(df, t["account"], joins.ACCOUNT_KEY)
     df = joins.origin_lookup(df, t["origin"])
-    df = joins.party_param(df, t["party_param"], P.PARAM_SIC, None)
     df = joins.geo_lookup(df, t)
     df = joins.contact_lookup(df, t["contact_point"], {"phone": P.PHONE, "email": P.EMAIL},
                               origin="origin_found")
-    df = joins.accounts(df, t["account"], select=False)
     df = labels.org_name(df, "origin_found")
     return labels.supplier_source_tag(labels.site_identifier(df))
 
@@ -115,11 +115,10 @@ def supplier_site(t: Tables, p: Params, parts: DataFrame | None = None) -> DataF
           .join(values, SITE))
     df = filters.site_keep(df, "ne", balance="trx_op_bal_chf")
     df = _supplier_site_columns(df, t)
-    on_site = {k: k for k in SITE}
-    df = lookup(df, tags.site_codes(t["site_tag"], t["tag_type"]), on_site,
+    df = lookup(df, tags.site_codes(t["site_tag"], t["tag_type"]), joins.SITE_KEY,
                 {"site_codes": "site_codes"})
-    df = lookup(df, tags.po_usage(t["site_tag"]), on_site, {"po_usage": "po_usage"})
-    return arrange(sets.order_sites(df), LAYOUTS["supplier_site"])
+    df = lookup(df, tags.po_usage(t["site_tag"]), joins.SITE_KEY, {"po_usage": "po_usage"})
+    return arrange(repeat_rows(sets.order_sites(df)), LAYOUTS["supplier_site"])
 
 
 def supplier_site_self_qualified(t: Tables, p: Params, parts: DataFrame | None = None) -> DataFrame:
@@ -129,10 +128,10 @@ def supplier_site_self_qualified(t: Tables, p: Params, parts: DataFrame | None =
         filters.qualified_site_parts(parts), SITE, p, open_orders=False)
     df = (supplier_base(t, p).join(joins.site_columns(t["site"]), RECORD).join(values, SITE))
     df = filters.site_keep(df, "gt", balance="trx_op_bal_chf")
-    df = joins.site_tags_exploded(df, t["site_tag"], t["tag_type"])
+    df = joins.site_tags_counted(df, t["site_tag"], t["tag_type"])
     df = labels.po_usage_label(df).withColumnRenamed("tag_name", "site_codes")
     df = _supplier_site_columns(df, t)
-    return arrange(sets.order_by_party(df), LAYOUTS["supplier_site_self_qualified"])
+    return arrange(repeat_rows(sets.order_by_party(df)), LAYOUTS["supplier_site_self_qualified"])
 
 
 def _customer_columns(df: DataFrame, t: Tables, district_via: str) -> DataFrame:
@@ -159,7 +158,7 @@ def customer_header(t: Tables, p: Params, parts: DataFrame | None = None) -> Dat
     df = _at_first_site(t["party"].join(keys, ["tax_id", *RECORD]), t)
     df = labels.business_model(_customer_columns(df, t, district_via="country"),
                                p.government_patterns)
-    return arrange(df, LAYOUTS["customer_header"])
+    return arrange(repeat_rows(df), LAYOUTS["customer_header"])
 
 
 def customer_site(t: Tables, p: Params, parts: DataFrame | None = None) -> DataFrame:
@@ -177,7 +176,7 @@ def customer_site(t: Tables, p: Params, parts: DataFrame | None = None) -> DataF
           .join(values, SITE))
     df = filters.site_keep(df, "gt")
     df = labels.org_name(_customer_columns(df, t, district_via="site"), "origin")
-    return arrange(sets.order_sites(df), LAYOUTS["customer_site"])
+    return arrange(repeat_rows(sets.order_sites(df)), LAYOUTS["customer_site"])
 
 
 REPORTS = {
