@@ -70,9 +70,8 @@ def main() -> None:
     p, stored = standins.params(), {}
     for role in ("supplier", "customer"):
         t = stored_tables(spark, role)
-        plan_parts = getattr(reports, f"{role}_parts")
-        stored[f"{role}_parts"] = median_seconds(lambda: plan_parts(t, p))
-        parts = keep(plan_parts(t, p), "bench-parts")
+        stored[f"{role}_parts"] = median_seconds(lambda: reports.report_parts(t, p, role))
+        parts = keep(reports.report_parts(t, p, role), "bench-parts")
         for name in reports.REPORTS:
             if reports.SIDE[name] == role:
                 stored[name] = median_seconds(lambda: reports.REPORTS[name](t, p))

@@ -75,8 +75,8 @@ def _report(name: str):
     plan = reports.REPORTS[name]
     if name in ("supplier_header", "supplier_header_by_record", "customer_header"):
         return plan  # one look at the documents
-    plan_parts = getattr(reports, f"{reports.SIDE[name]}_parts")
-    return lambda t, p: plan(t, p, keep(plan_parts(t, p), f"{name}-parts"))
+    return lambda t, p: plan(
+        t, p, keep(reports.report_parts(t, p, reports.SIDE[name]), f"{name}-parts"))
 
 
 for _name in reports.REPORTS:

@@ -11,7 +11,7 @@ from rollbook.functions.labels import post_transform
 from rollbook.operators.sets import limit_report
 from rollbook.params import Params
 from rollbook.plans.layouts import LAYOUTS, display_names
-from rollbook.plans.reports import REPORTS, SIDE, customer_parts, supplier_parts
+from rollbook.plans.reports import REPORTS, SIDE, report_parts
 from rollbook.plans.shared import keep
 from rollbook.sinks.files import export_report
 
@@ -29,14 +29,13 @@ def report_batch(spark: SparkSession, tables: Mapping[str, DataFrame], p: Params
     counted while they are written.
     """
     shared: dict[str, DataFrame] = {}
-    plan_parts = {"supplier": supplier_parts, "customer": customer_parts}
     log = []
     for name in names:
         path = f"{out}/{name}"
         try:
             side = SIDE[name]
             if side not in shared:
-                shared[side] = keep(plan_parts[side](tables, p), f"{side}-parts")
+                shared[side] = keep(report_parts(tables, p, side), f"{side}-parts")
             report = limit_report(REPORTS[name](tables, p, shared[side]), limit)
             report = post_transform(report, (hooks or {}).get(name))
             seen = Observation()

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from rollbook import params as P
 from rollbook.functions import labels
+from rollbook.functions.windows import one_of
 from rollbook.operators import filters, joins, metrics, sets, tags
 from rollbook.operators.lookup import lookup, multiply, repeat_rows
 from rollbook.params import Params
@@ -32,6 +33,13 @@ def customer_parts(t: Tables, p: Params) -> DataFrame:
     return metrics.site_parts(t["document"], p, p.customer)
 
 
+def report_parts(t: Tables, p: Params, side: str) -> DataFrame:
+    """Parts of one side as far as reports need them: documents of other origins meet no base party,
+    so they are left out at the scan."""
+    doc = t["document"].where(one_of("origin", p.origins))
+    return metrics.site_parts(doc, p, getattr(p, side))
+
+
 def supplier_base(t: Tables, p: Params) -> DataFrame:
     return filters.base_parties(t["party"], t["party_class"], p, p.supplier)
 
@@ -66,7 +74,7 @@ def _supplier_header_columns(df: DataFrame, t: Tables) -> DataFrame:
 
 def supplier_header(t: Tables, p: Params, parts: DataFrame | None = None) -> DataFrame:
     """One row per qualified tax id (times look-up fan-out), described by its chosen record."""
-    parts = supplier_parts(t, p) if parts is None else parts
+    parts = report_parts(t, p, "supplier") if parts is None else parts
     base = supplier_base(t, p)
     by_tax_id = metrics.roll_up(metrics.base_record_parts(parts, t["site"], base), ["tax_id"])
     values = metrics.all_supplier_columns(
@@ -78,7 +86,7 @@ def supplier_header(t: Tables, p: Params, parts: DataFrame | None = None) -> Dat
 def supplier_header_by_record(t: Tables, p: Params, parts: DataFrame | None = None) -> DataFrame:
     """One row per qualified party record; purchase orders need not be open. The account and the
     own-origin identification type select nothing but multiply rows."""
-    parts = supplier_parts(t, p) if parts is None else parts
+    parts = report_parts(t, p, "supplier") if parts is None else parts
     by_record = metrics.record_parts(parts, t["site"])
     values = metrics.all_supplier_columns(
         by_record.where(filters.supplier_rule(open_orders=False)), RECORD, p, open_orders=False)
@@ -104,7 +112,7 @@ def _supplier_site_columns(df: DataFrame, t: Tables) -> DataFrame:
 
 def supplier_site(t: Tables, p: Params, parts: DataFrame | None = None) -> DataFrame:
     """One row per site with a non-zero metric, of tax ids that pass the header rule; ordered."""
-    parts = supplier_parts(t, p) if parts is None else parts
+    parts = report_parts(t, p, "supplier") if parts is None else parts
     base = supplier_base(t, p)
     qualified = filters.qualified_suppliers(metrics.base_record_parts(parts, t["site"], base))
     values = filters.nonzero_metrics(
@@ -123,7 +131,7 @@ def supplier_site(t: Tables, p: Params, parts: DataFrame | None = None) -> DataF
 
 def supplier_site_self_qualified(t: Tables, p: Params, parts: DataFrame | None = None) -> DataFrame:
     """One row per site and site tag, for sites that pass the rule themselves; ordered by party."""
-    parts = supplier_parts(t, p) if parts is None else parts
+    parts = report_parts(t, p, "supplier") if parts is None else parts
     values = metrics.all_supplier_columns(
         filters.qualified_site_parts(parts), SITE, p, open_orders=False)
     df = (supplier_base(t, p).join(joins.site_columns(t["site"]), RECORD).join(values, SITE))
@@ -147,7 +155,7 @@ def _customer_columns(df: DataFrame, t: Tables, district_via: str) -> DataFrame:
 
 def customer_header(t: Tables, p: Params, parts: DataFrame | None = None) -> DataFrame:
     """One row per qualified tax id and account, described by its chosen record."""
-    parts = customer_parts(t, p) if parts is None else parts
+    parts = report_parts(t, p, "customer") if parts is None else parts
     base = customer_base(t, p)
     values = metrics.customer_metrics(
         metrics.base_record_parts(parts, t["site"], base), ["tax_id"], p)
@@ -163,7 +171,7 @@ def customer_header(t: Tables, p: Params, parts: DataFrame | None = None) -> Dat
 
 def customer_site(t: Tables, p: Params, parts: DataFrame | None = None) -> DataFrame:
     """One row per site with a non-zero metric (times accounts) of qualified tax ids; ordered."""
-    parts = customer_parts(t, p) if parts is None else parts
+    parts = report_parts(t, p, "customer") if parts is None else parts
     base = customer_base(t, p)
     valid_parts = metrics.in_valid_sites(parts, t["site"])
     qualified = filters.qualified_customers(

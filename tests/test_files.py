@@ -161,7 +161,7 @@ def test_batch_limit_and_parquet(spark, tmp_path):
 
 def test_shared_parts_give_the_same_report(spark):
     t, p = some_suppliers().tables(spark), params()
-    parts = keep(reports.supplier_parts(t, p), "parts")
+    parts = keep(reports.report_parts(t, p, "supplier"), "parts")
     for name in ("supplier_header", "supplier_site", "supplier_site_self_qualified"):
         plan = reports.REPORTS[name]
         assert rows(plan(t, p, parts)) == rows(plan(t, p)), name

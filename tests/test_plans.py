@@ -26,6 +26,7 @@ def side(request, spark, tmp_path_factory):
 
 
 def plan_of(df) -> str:
+    df.sparkSession.conf.set("spark.sql.maxMetadataStringLength", 10_000)
     return df._jdf.queryExecution().executedPlan().toString()
 
 
@@ -52,7 +53,7 @@ def test_documents_are_read_once_with_filters_in_the_scan(side):
 def test_shared_parts_remove_the_documents(side):
     role, t = side
     p = standins.params()
-    parts = keep(getattr(reports, f"{role}_parts")(t, p), "parts")
+    parts = keep(reports.report_parts(t, p, role), "parts")
     for name in reports.REPORTS:
         if reports.SIDE[name] == role:
             assert document_scans(plan_of(reports.REPORTS[name](t, p, parts))) == [], name
@@ -69,7 +70,7 @@ def test_no_cross_joins_and_nothing_outside_the_jvm(side):
 
 def test_partial_aggregation_before_the_document_shuffle(side):
     role, t = side
-    plan = plan_of(getattr(reports, f"{role}_parts")(t, standins.params()))
+    plan = plan_of(reports.report_parts(t, standins.params(), role))
     assert plan.count("Exchange hashpartitioning(origin") == 1
     assert plan.index("Exchange") < plan.index("partial_sum")  # below the exchange in the tree
 
