@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping
+from contextlib import ExitStack
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -12,7 +13,7 @@ from rollbook.operators.sets import limit_report
 from rollbook.params import Params
 from rollbook.plans.layouts import LAYOUTS, display_names
 from rollbook.plans.reports import REPORTS, SIDE, report_parts
-from rollbook.plans.shared import keep
+from rollbook.plans.shared import kept
 from rollbook.sinks.files import export_report
 
 LOG_SCHEMA = "report string, status string, rows bigint, path string, error string"
@@ -24,24 +25,26 @@ def report_batch(spark: SparkSession, tables: Mapping[str, DataFrame], p: Params
                  hooks: Mapping[str, Callable[[DataFrame], DataFrame]] | None = None) -> DataFrame:
     """Write each report to ``out/<name>`` and return the run log, one row per report.
 
-    The documents are read once per side: their parts are written to the shared folder and all
-    reports of the side start from there. A failing report is logged and the others go on. Rows are
+    The documents are read once per side: their parts are written to the shared folder for the
+    length of the run, and all reports of the side start from there. A failing report is logged and the others go on. Rows are
     counted while they are written.
     """
-    shared: dict[str, DataFrame] = {}
     log = []
-    for name in names:
-        path = f"{out}/{name}"
-        try:
-            side = SIDE[name]
-            if side not in shared:
-                shared[side] = keep(report_parts(tables, p, side), f"{side}-parts")
-            report = limit_report(REPORTS[name](tables, p, shared[side]), limit)
-            report = post_transform(report, (hooks or {}).get(name))
-            seen = Observation()
-            counted = report.observe(seen, F.count(F.lit(1)).alias("rows"))
-            export_report(counted, path, fmt, names=display_names(LAYOUTS[name]))
-            log.append((name, "ok", seen.get["rows"], path, None))
-        except Exception as error:  # a failing report must not stop the batch
-            log.append((name, "failed", None, None, f"{type(error).__name__}: {error}"[:500]))
+    with ExitStack() as written:
+        shared: dict[str, DataFrame] = {}
+        for name in names:
+            path = f"{out}/{name}"
+            try:
+                side = SIDE[name]
+                if side not in shared:
+                    shared[side] = written.enter_context(
+                        kept(report_parts(tables, p, side), f"{side}-parts"))
+                report = limit_report(REPORTS[name](tables, p, shared[side]), limit)
+                report = post_transform(report, (hooks or {}).get(name))
+                seen = Observation()
+                counted = report.observe(seen, F.count(F.lit(1)).alias("rows"))
+                export_report(counted, path, fmt, names=display_names(LAYOUTS[name]))
+                log.append((name, "ok", seen.get["rows"], path, None))
+            except Exception as error:  # a failing report must not stop the batch
+                log.append((name, "failed", None, None, f"{type(error).__name__}: {error}"[:500]))
     return spark.createDataFrame(log, LOG_SCHEMA)

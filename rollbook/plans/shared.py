@@ -8,6 +8,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -32,11 +34,25 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def _write(df: DataFrame, path: str) -> DataFrame:
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def keep(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     The written columns are pruned and filtered by each user of the step, and lineage is cut.
     """
-    path = new_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return _write(df, new_path(df.sparkSession, name))
+
+
+@contextmanager
+def kept(df: DataFrame, name: str) -> Iterator[DataFrame]:
+    """Like :func:`keep`, for a block; the written table is removed at its end."""
+    spark, path = df.sparkSession, new_path(df.sparkSession, name)
+    try:
+        yield _write(df, path)
+    finally:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
