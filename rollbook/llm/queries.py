@@ -5,17 +5,53 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from rollbook.llm import sql
 from rollbook.llm.chat_format import chat_format
 from rollbook.llm.license_scan import license_scan
+from rollbook.llm.packing import pack
+from rollbook.llm.pieces import tokenizer_path
 from rollbook.llm.quality_rules import quality_rules
+from rollbook.llm.scratch import keep, new_folder
+from rollbook.llm.token_counts import commit_batch, count_tokens, totals
+from rollbook.llm.token_files import read_token_files, write_token_files
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents inserted under two tokenizer versions, some counted anew with an end id, some deleted; one batch comes twice."""
+    versions = {"byte_bpe_50k": "byte_bpe_50k.json", "byte_bpe_multi_50k": "byte_bpe_multi_50k.tiktoken"}
+    counts = keep(count_tokens(table(spark, sf_dir, "documents"), {name: tokenizer_path(file) for name, file in versions.items()}), "counts")
+    ledger = new_folder(spark, "ledger")
+    keys = ["doc_id", "source", "lang", "tokenizer"]
+    anew = "doc_id % 10 = 3 AND tokenizer = 'byte_bpe_50k'"
+    inserts = counts.select(F.lit("insert").alias("kind"), *keys, "n_tokens", F.lit(None).cast("bigint").alias("old_tokens"))
+    revised = counts.filter(anew).select(F.lit("revise").alias("kind"), *keys, (F.col("n_tokens") + 1).alias("n_tokens"), F.col("n_tokens").alias("old_tokens"))
+    gone = counts.filter("doc_id % 25 = 7").select(
+        F.lit("delete").alias("kind"), *keys, F.expr(f"n_tokens + if({anew}, 1, 0)").alias("n_tokens"), F.lit(None).cast("bigint").alias("old_tokens")
+    )
+    for name in versions:
+        commit_batch(inserts.filter(F.col("tokenizer") == name), ledger, f"load-{name}")
+    for batch, changes in (("recount", revised), ("removal", gone), ("recount", revised)):
+        commit_batch(changes, ledger, batch)
+    return totals(spark, ledger)
+
+
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = pack(table(spark, sf_dir, "documents"))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = new_folder(spark, "token-files")
+    write_token_files(table(spark, sf_dir, "documents"), folder)
+    return read_token_files(spark, folder).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"))
 
@@ -34,11 +70,17 @@ def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_token_counts": op1_token_counts,
+    "op3_packing": op3_packing,
+    "op4_token_files": op4_token_files,
     "op6_quality_rules": op6_quality_rules,
     "op7_chat_format": op7_chat_format,
     "op8_license_scan": op8_license_scan,
 }
 SQL: dict[str, str] = {
+    "op1_token_counts": op1_token_counts,
+    "op3_packing": op3_packing,
+    "op4_token_files": op4_token_files,
     "op6_quality_rules": sql.QUALITY_RULES,
     "op7_chat_format": sql.CHAT_FORMAT,
 }
