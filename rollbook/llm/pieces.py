@@ -3,7 +3,8 @@
 A byte-level tokenizer never joins across a single blank that stands between two other characters, so a
 text can be cut there and the pieces encoded on their own. Pieces are kept in a bounded table per worker;
 pieces that are new in a block of texts are encoded in one call. Texts with other white space around a
-blank (two blanks, a line break and a blank, a blank at an edge) are encoded whole.
+blank (two blanks, a line break and a blank, a blank at an edge) are encoded whole. Neither does it join
+letters and the marks after them, so a word keeps its ids whatever mark follows.
 """
 
 from __future__ import annotations
@@ -13,8 +14,9 @@ from itertools import chain
 
 import numpy as np
 
-#: Pieces in the younger of the two generations of a table.
-MOST_PIECES = 250_000
+#: Entries in the younger of the two generations of a table.
+MOST_PIECES = 400_000
+MARKS = "!\"#$%&()*+,-./:;<=>?@[]^_`{|}~"
 TOKENIZER = "byte_bpe_50k.json"
 
 _coders: dict[str, Coder] = {}
@@ -33,30 +35,48 @@ def coder(path: str) -> Coder:
     return _coders[path]
 
 
-class Table(dict):
-    """Ids of pieces seen lately; a piece whose ids depend on what stands around it has None.
+class Table:
+    """Ids of pieces seen lately; one whose ids depend on what stands around it has None.
 
     Two generations: when the younger is full it becomes the older one, from which pieces in use move back.
     """
 
-    def __init__(self, many: Callable[[list[str]], list[bytes]]):
-        self._many = many
+    def __init__(self, blank: str, many: Callable[[list[str]], list[bytes]]):
+        self._blank, self._many = blank, many
+        self.known: dict[str, bytes | None] = {}
         self._older: dict[str, bytes | None] = {}
-
-    def learn(self, pieces: set[str], blank: str) -> None:
-        if len(self) > MOST_PIECES:
-            self._older = dict(self)
-            self.clear()
-        new = []
-        for p in pieces.difference(self):
-            if p in self._older:
-                self[p] = self._older[p]
-            elif p and not p[0].isspace() and not p[-1].isspace():
-                new.append(p)
-            else:
-                self[p] = None
+        self._tails: dict[str, bytes] = {}
+
+    def learn(self, pieces: set[str]) -> None:
+        if len(self.known) > MOST_PIECES:
+            self._older, self.known = self.known, {}
+        self._learn(pieces)
+
+    def _learn(self, pieces: set[str]) -> None:
+        cut, new = {}, []
+        for p in pieces:
+            if p not in self.known:
+                if p in self._older:
+                    self.known[p] = self._older[p]
+                elif not p or p[0].isspace() or p[-1].isspace():
+                    self.known[p] = None
+                elif len(word := p.rstrip(MARKS)) < len(p) and word.isalpha():
+                    cut[p] = word
+                else:
+                    new.append(p)
+        self._encode(new)
+        if cut:
+            self._learn(set(cut.values()))
+            tails = {p: p[len(word) :] for p, word in cut.items()}
+            for tail in set(tails.values()).difference(self._tails):
+                self._tails[tail] = self._many([tail])[0]
+            self.known.update((p, self.known[word] + self._tails[tails[p]]) for p, word in cut.items())
+            if len(self._tails) > MOST_PIECES // 10:
+                self._tails = {}
+
+    def _encode(self, new: list[str]) -> None:
         if new:
-            self.update(zip(new, self._many([blank + p for p in new]), strict=True))
+            self.known.update(zip(new, self._many([self._blank + p for p in new]), strict=True))
 
 
 class Coder:
@@ -80,18 +100,18 @@ class Coder:
             model.model._resize_cache(0)  # a piece is encoded once
             self.whole = lambda text: np.array(model.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
             many = lambda pieces: _split(model.encode(pieces, is_pretokenized=True, add_special_tokens=False), len(pieces))
-        self._heads, self._rest = Table(many), Table(many)
+        self._heads, self._rest = Table("", many), Table(" ", many)
 
     def encode(self, texts: Sequence[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
         cut = [text.split(" ") for text in texts]
         heads = [one.pop(0) for one in cut]
-        self._heads.learn(set(heads), "")
-        self._rest.learn(set(chain.from_iterable(cut)), " ")
-        of, out = self._rest.__getitem__, []
+        self._heads.learn(set(heads))
+        self._rest.learn(set(chain.from_iterable(cut)))
+        first, of, out = self._heads.known, self._rest.known.__getitem__, []
         for text, head, rest in zip(texts, heads, cut, strict=True):
             try:
-                out.append(self._heads[head] + b"".join(map(of, rest)))
+                out.append(first[head] + b"".join(map(of, rest)))
             except TypeError:  # a piece without ids of its own
                 out.append(self.whole(text))
         return out

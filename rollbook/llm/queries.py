@@ -9,11 +9,15 @@ from pyspark.sql import functions as F
 
 from rollbook.llm import sql
 from rollbook.llm.chat_format import chat_format
+from rollbook.llm.decontaminate import decontaminate
 from rollbook.llm.license_scan import license_scan
+from rollbook.llm.near_dedup import near_dedup
 from rollbook.llm.packing import pack
 from rollbook.llm.pieces import tokenizer_path
+from rollbook.llm.quality_classifier import quality_classifier
 from rollbook.llm.quality_rules import quality_rules
 from rollbook.llm.scratch import keep, new_folder
+from rollbook.llm.substring_dedup import substring_dedup
 from rollbook.llm.token_counts import commit_batch, count_tokens, totals
 from rollbook.llm.token_files import read_token_files, write_token_files
 
@@ -41,6 +45,10 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return totals(spark, ledger)
 
 
+def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = pack(table(spark, sf_dir, "documents"))
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
@@ -52,6 +60,13 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_token_files(spark, folder).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = substring_dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    blanks = r"[\\x20\\x09-\\x0D]+"
+    kept = F.sha2(F.expr(f"trim(regexp_replace(coalesce(text, ''), '{blanks}', ' '))").cast("binary"), 256)
+    return rows.select("doc_id", "n_words", "n_removed", kept.alias("kept_sha256"))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"))
 
@@ -69,18 +84,27 @@ def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.drop("text")
 
 
+def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup(table(spark, sf_dir, "documents"), shingle=3, percent=85)
+
+
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_classifier(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
+    "op2_decontaminate": op2_decontaminate,
     "op3_packing": op3_packing,
     "op4_token_files": op4_token_files,
+    "op5_substring_dedup": op5_substring_dedup,
     "op6_quality_rules": op6_quality_rules,
     "op7_chat_format": op7_chat_format,
     "op8_license_scan": op8_license_scan,
+    "op9_near_dedup": op9_near_dedup,
+    "op10_quality_classifier": op10_quality_classifier,
 }
 SQL: dict[str, str] = {
-    "op1_token_counts": op1_token_counts,
-    "op3_packing": op3_packing,
-    "op4_token_files": op4_token_files,
     "op6_quality_rules": sql.QUALITY_RULES,
     "op7_chat_format": sql.CHAT_FORMAT,
 }

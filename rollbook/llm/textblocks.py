@@ -19,7 +19,7 @@ _MASK = (1 << 64) - 1
 _powers: dict[int, np.ndarray] = {}
 
 
-def _mix(h: np.ndarray) -> np.ndarray:
+def mix(h: np.ndarray) -> np.ndarray:
     h = h ^ (h >> np.uint64(30))
     h = h * np.uint64(0xBF58476D1CE4E5B9)
     h = h ^ (h >> np.uint64(27))
@@ -27,9 +27,11 @@ def _mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-_BYTE = _mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(_BASE))
+_BYTE = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(_BASE))
 _BLANK = np.zeros(256, bool)
 _BLANK[[0x20, *range(0x09, 0x0E)]] = True
+_LETTER = np.zeros(256, bool)
+_LETTER[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[0x41:0x5B] += 32
 
@@ -52,7 +54,7 @@ def _runs(values: np.ndarray, first: np.ndarray, end: np.ndarray) -> np.ndarray:
     """Hash of values[first:end] for each pair, whatever lies around it."""
     sums = np.zeros(len(values) + 1, np.uint64)
     np.cumsum(values * _power(_BASE, len(values)), out=sums[1:])
-    return _mix((sums[end] - sums[first]) * _power(_INVERSE, len(values) + 1)[first])
+    return mix((sums[end] - sums[first]) * _power(_INVERSE, len(values) + 1)[first])
 
 
 @dataclass
@@ -102,8 +104,12 @@ def blocks(column: pa.Array, most: int = BLOCK_BYTES) -> Iterator[tuple[int, pa.
         row = upto
 
 
-def words(texts: pa.Array, lower: bool = False) -> Words:
-    """The words [^\\x20\\x09-\\x0D]+ of a block of texts; `lower` lower-cases A-Z first."""
+def words(texts: pa.Array, lower: bool = False, marks: bool = False) -> Words:
+    """The words [^\\x20\\x09-\\x0D]+ of a block of texts; `lower` lower-cases A-Z first.
+
+    With `marks`, words are runs of ASCII letters, digits and other non-ASCII characters, and every other
+    character that isn't blank is a word of its own.
+    """
     data, offsets = raw(texts)
     if lower:
         data = _LOWER[data]
@@ -111,9 +117,22 @@ def words(texts: pa.Array, lower: bool = False) -> Words:
     edge = np.zeros(n + 1, bool)
     edge[offsets] = True
     text = np.zeros(n + 2, bool)
-    text[1:-1] = ~_BLANK[data]
-    start = np.flatnonzero(text[1:-1] & (~text[:-2] | edge[:-1]))
-    end = np.flatnonzero(text[1:-1] & (~text[2:] | edge[1:])) + 1
-    first = np.searchsorted(start, offsets)
-    row = np.repeat(np.arange(len(texts)), np.diff(first))
-    return Words(data, row, start, end, _runs(_BYTE[data], start, end), first)
+    text[1:-1] = _LETTER[data] if marks else ~_BLANK[data]
+    first = text[1:-1] & (~text[:-2] | edge[:-1])
+    last = text[1:-1] & (~text[2:] | edge[1:])
+    if marks:
+        alone = ~_BLANK[data] & ~text[1:-1]
+        first, last = first | alone, last | alone
+    start, end = np.flatnonzero(first), np.flatnonzero(last) + 1
+    at = np.searchsorted(start, offsets)
+    row = np.repeat(np.arange(len(texts)), np.diff(at))
+    return Words(data, row, start, end, _runs(_BYTE[data], start, end), at)
+
+
+def sets(hashes: np.ndarray, row: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct hashes of each of n rows, ascending within the row, and where each row begins."""
+    order = np.lexsort((hashes, row))
+    hashes, row = hashes[order], row[order]
+    new = np.ones(len(row), bool)
+    new[1:] = (hashes[1:] != hashes[:-1]) | (row[1:] != row[:-1])
+    return hashes[new], np.searchsorted(row[new], np.arange(n + 1))
