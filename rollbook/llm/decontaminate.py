@@ -34,26 +34,26 @@ BLOCK_SEEDS = 500_000
 
 
 def _hashed(texts: DataFrame, key: str) -> DataFrame:
-    """key and the hashes of the text's words, in order."""
-    found = texts.select(F.col(key), F.expr(r"array_remove(split(lower(coalesce(text, '')), '[^\\p{L}\\p{N}]+'), '')").alias("_words"))
-    return found.select(key, F.expr("transform(_words, w -> xxhash64(w))").alias("_h"))
+    """_key and the hashes of the text's words, in order."""
+    found = texts.select(F.col(key).alias("_key"), F.expr(r"array_remove(split(lower(coalesce(text, '')), '[^\\p{L}\\p{N}]+'), '')").alias("_words"))
+    return found.select("_key", F.expr("transform(_words, w -> xxhash64(w))").alias("_h"))
 
 
-def _seeds(hashed: DataFrame, key: str) -> DataFrame:
+def _seeds(hashed: DataFrame) -> DataFrame:
     """A row for each place and mask: place and masked hash; a mask that would reach beyond the end gives none."""
-    placed = hashed.select(key, "_h", F.expr("size(_h)").alias("_size"), F.explode(F.expr("if(size(_h) = 0, array(), sequence(0, size(_h) - 1))")).alias("_at"))
+    placed = hashed.select("_key", "_h", F.expr("size(_h)").alias("_size"), F.explode(F.expr("if(size(_h) = 0, array(), sequence(0, size(_h) - 1))")).alias("_at"))
     masked = ", ".join(f"xxhash64({k}, {', '.join(f'get(_h, _at + {p})' for p in mask)})" for k, mask in enumerate(MASKS))
     spans = ", ".join(str(mask[-1] + 1) for mask in MASKS)
-    each = placed.select(key, "_h", "_at", "_size", F.posexplode(F.expr(f"array({masked})")).alias("_mask", "_seed"))
-    return each.filter(F.expr(f"_at + array({spans})[_mask] <= _size")).select(key, "_h", "_at", "_seed")
+    each = placed.select("_key", "_h", "_at", "_size", F.posexplode(F.expr(f"array({masked})")).alias("_mask", "_seed"))
+    return each.filter(F.expr(f"_at + array({spans})[_mask] <= _size")).select("_key", "_h", "_at", "_seed")
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, doc_key: str = "doc_id", item_key: str = "item_id") -> DataFrame:
     """One row for each document and item that overlap: keys, first word of the overlap, item's words and those that agree."""
-    items = keep(_hashed(benchmark, item_key).filter("size(_h) > 0").select(F.col(item_key).alias("_name"), F.col("_h").alias("_g")), "items")
-    seeds = keep(_seeds(items.select(F.col("_name").alias("_item"), F.col("_g").alias("_h")), "_item").select("_seed", "_item", F.col("_at").alias("_from")).distinct(), "item-seeds")
+    items = keep(_hashed(benchmark, item_key).filter("size(_h) > 0").select(F.col("_key").alias("_name"), F.col("_h").alias("_g")), "items")
+    seeds = keep(_seeds(items.select(F.col("_name").alias("_key"), F.col("_g").alias("_h"))).select("_seed", F.col("_key").alias("_item"), F.col("_at").alias("_from")).distinct(), "item-seeds")
     number = max(1, -(-seeds.count() // BLOCK_SEEDS))
-    texts = _seeds(_hashed(docs, doc_key), doc_key)
+    texts = _seeds(_hashed(docs, doc_key))
     block = F.pmod(F.xxhash64("_item"), F.lit(number))
     named = F.pmod(F.xxhash64("_name"), F.lit(number))
     hits = []
@@ -69,7 +69,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, doc_key: str = "doc_id"
     found = found.withColumn("_sums", F.expr("aggregate(_same, array(0), (a, x) -> array_append(a, element_at(a, -1) + x))"))
     found = found.withColumn("_best", F.expr("array_max(transform(sequence(0, size(_g) - _run), i -> get(_sums, i + _run) - get(_sums, i)))"))
     good = found.filter(F.expr(f"_best >= _run - CAST(floor({SUBSTITUTED} * _run / {OVERLAP}) AS INT)"))
-    per = good.groupBy(F.col(doc_key), F.col("_item").alias(item_key)).agg(
+    per = good.groupBy(F.col("_key").alias(doc_key), F.col("_item").alias(item_key)).agg(
         F.max(F.struct(F.expr("element_at(_sums, -1)").alias("agree"), (-F.col("_shift")).alias("back"), F.expr("size(_g)").alias("size"))).alias("_m")
     )
     return per.select(

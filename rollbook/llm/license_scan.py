@@ -8,7 +8,7 @@ row, so nothing is shuffled, and a text's cost grows with its length.
 
 Cases: a null text is empty and has no words; a text without detections has empty label strings, null
 places and score 0; of two equal intervals with equal priority the label that sorts first stays; rows are
-judged one by one, so repeated rows repeat; an empty table gives an empty result; other columns pass.
+judged one by one, so repeated rows repeat; an empty table gives an empty result; other columns pass, except those named like a result.
 """
 
 from __future__ import annotations
@@ -94,6 +94,7 @@ NOTICES = (
 )
 #: One of these occurs in every text that a rule can match (compared in lower case).
 GATE = ("licen", "reserved", "cc by", "cc0", "cc 0", "creative commons", "copyright", "public domain", "hereby granted", "redistribution", "warranty", "confidential", "commercial use", "commercial purposes", "unauthori")
+RESULT = ("n_words", "n_base", "first_word", "last_word", "base_labels", "n_detections", "labels", "score")
 WEIGHT = {1: 0.4, 2: 0.6, 3: 0.8, 4: 1.0}
 
 
@@ -126,7 +127,8 @@ def license_scan(docs: DataFrame, rules: list[Rule] | None = None) -> DataFrame:
     table = _table(signature_rules() if rules is None else rules)
     upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
     own = [c for c in docs.columns if c not in RESULT]
-    step = docs.select(*own, F.expr("coalesce(text, '')").alias("_raw"))
+    # kept apart, so that no name can clash
+    step = docs.select(F.struct(*(F.col(f"`{c}`") for c in own)).alias("_own"), F.expr("coalesce(text, '')").alias("_raw"))
     # upper-case letters are word characters, as they'd be in lower case
     step = step.withColumn(
         "_norm", F.expr(r"concat(' ', trim(regexp_replace(_raw, '[\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+', ' ')), ' ')")
@@ -136,7 +138,7 @@ def license_scan(docs: DataFrame, rules: list[Rule] | None = None) -> DataFrame:
     for word in GATE:
         gate = F.contains("_low", F.lit(word)) if gate is None else gate | F.contains("_low", F.lit(word))
     step = step.select(
-        *own,
+        "_own",
         F.expr("CAST(if(_norm = '  ', 0, length(_norm) - length(replace(_norm, ' ', '')) - 1) AS BIGINT)").alias("n_words"),
         F.when(gate, F.translate("_norm", upper, lower)).otherwise(F.lit("  ")).alias("_t"),
     )
@@ -189,7 +191,7 @@ def license_scan(docs: DataFrame, rules: list[Rule] | None = None) -> DataFrame:
     weight = "CASE _kept.best " + " ".join(f"WHEN {p} THEN {w}D" for p, w in WEIGHT.items()) + " ELSE 0D END"
     before = "CAST(length(substring(_t, 1, {0})) - length(replace(substring(_t, 1, {0}), ' ', '')) - 1 AS BIGINT)"
     return step.select(
-        *own,
+        "_own.*",
         "n_words",
         F.expr("CAST(" + " + ".join(f"_places[{k}]" for k in range(len(BASE))) + " AS BIGINT)").alias("n_base"),
         F.expr(before.format("_first")).alias("first_word"),
@@ -199,6 +201,3 @@ def license_scan(docs: DataFrame, rules: list[Rule] | None = None) -> DataFrame:
         F.expr("array_join(array_sort(array_union(_base, _kept.labels)), ',')").alias("labels"),
         F.expr(f"greatest({weight}, if(size(_base) > 0, 0.5D, 0D))").alias("score"),
     )
-
-
-RESULT = ("n_words", "n_base", "first_word", "last_word", "base_labels", "n_detections", "labels", "score")

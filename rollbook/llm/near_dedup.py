@@ -6,11 +6,15 @@ inverted lists. Two sets of the asked similarity share far more of these values
 each class enters only the lists of its rarest values, enough that such a pair still meets (the prefix of
 a set join). A pair is missed only if it shares fewer: for a similarity of 0.8, under one in a million.
 
-Lists don't yield all pairs. Each picks a leader, the member that is in the most crowded lists; it is
-paired with all others, pairs are filtered by sketch (union-sketch estimate) and verified on full sets,
-and links join classes to components. Pairs within a component need no look, so rounds with other
-leaders follow for the lists that still hold several components, until the pairs left there are few against
-the lists' length; these are then paired one by one. Nothing is left out: the rounds only save pairs.
+Short lists yield their pairs, which are filtered by sketch (union-sketch estimate) and verified on full
+sets; links join classes to components, and lists within one component are done. A long list picks a
+leader, the member that is in the most crowded lists, and only its pairs are verified. Let D be the
+symmetric difference of a member and the leader. Two members that aren't both linked to the leader can
+only be linked with each other if their D share an element; so members with at least NEAR in common
+with the leader go on in lists of (leader, element of D), where a large family of copies falls apart
+into those that share an edit. The distance 1 - J is a metric: a member over NEAR + 1 - similarity has no link
+with one under NEAR, and leaves the list; the others stay for the next leader. Rounds go on until
+no list holds two components, so nothing is left out.
 
 Cases: a null, empty or blank text has the empty set and no link; a text with fewer words than a shingle
 has its whole sequence as one; rows with one doc_id are one node, linked by what any of them says; a
@@ -37,9 +41,10 @@ SKETCH = 64
 LISTED = 24
 #: Share of the listed values that a pair of the asked similarity has in common, with all but certainty.
 SHARED = 0.4
-#: Rounds of leaders before the rest is paired one by one, and how many pairs per list entry count as few.
-ROUNDS = 8
-FEW_PAIRS = 2
+#: Members up to which a list yields all its pairs.
+SHORT = 8
+#: Percent of similarity with the leader from which members are told apart by their differences.
+NEAR = 50
 NO_ID = (1 << 63) - 1
 
 
@@ -72,14 +77,19 @@ def _sketch(n: int):
 def _jaccard(n: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row, left in blocks(batch.column(2)):
-                right = batch.column(3).slice(row, len(left))
+            for row, left in blocks(batch.column(3)):
+                right = batch.column(4).slice(row, len(left))
                 (h, i), (g, j) = shingle_sets(left, n), shingle_sets(right, n)
-                both = [len(np.intersect1d(h[i[k] : i[k + 1]], g[j[k] : j[k + 1]], assume_unique=True)) for k in range(len(left))]
-                both = np.array(both, np.int64)
-                either = np.diff(i) + np.diff(j) - both
                 ids = [batch.column(k).slice(row, len(left)) for k in (0, 1)]
-                yield pa.RecordBatch.from_arrays([*ids, pa.array(both), pa.array(either.astype(np.int64))], ["a", "b", "both", "either"])
+                led = batch.column(2).slice(row, len(left)).to_pylist()
+                both, differ = np.zeros(len(left), np.int64), []
+                for k in range(len(left)):
+                    x, y = h[i[k] : i[k + 1]], g[j[k] : j[k + 1]]
+                    both[k] = len(np.intersect1d(x, y, assume_unique=True))
+                    near = led[k] and 100 * both[k] >= NEAR * (len(x) + len(y) - both[k])
+                    differ.append(np.setxor1d(x, y, assume_unique=True).view(np.int64) if near else ())
+                either = np.diff(i) + np.diff(j) - both
+                yield pa.RecordBatch.from_arrays([*ids, pa.array(both), pa.array(either.astype(np.int64)), pa.array(differ, pa.list_(pa.int64()))], ["a", "b", "both", "either", "differ"])
 
     return run
 
@@ -97,53 +107,47 @@ def inverted_lists(classes: DataFrame) -> DataFrame:
 
 
 class Checker:
-    """Tells which of many pairs of classes are similar enough; tests each by sketch, then on full sets."""
+    """Tells how similar many pairs of classes are: passes by sketch those that can reach a share, then counts on full sets."""
 
-    def __init__(self, classes: DataFrame, texts: DataFrame, n: int, percent: int):
-        self.classes, self.texts, self.n, self.percent = classes, texts, n, percent
+    def __init__(self, classes: DataFrame, texts: DataFrame, n: int):
+        self.classes, self.texts, self.n = classes, texts, n
 
-    def links(self, pairs: DataFrame) -> DataFrame:
+    def similar(self, pairs: DataFrame) -> DataFrame:
+        """a, b, both, either and, for the leaders' pairs (`led`), differ; pairs that can't reach `percent` are left out."""
         one = lambda x: self.classes.select(F.col("rep").alias(x), F.col("sketch").alias(f"s{x}"))
-        share = self.percent / 100
-        floor = share - 5 * sqrt(share * (1 - share) / SKETCH)
+        floor = F.expr(f"percent / 100D - 5 * sqrt(percent / 100D * (1 - percent / 100D) / {SKETCH})")
         near = pairs.join(one("a"), "a").join(one("b"), "b").withColumn("low", F.expr(f"slice(array_sort(array_union(sa, sb)), 1, {SKETCH})"))
-        near = near.filter(F.expr(f"size(array_intersect(array_intersect(low, sa), sb)) >= {floor} * size(low)")).select("a", "b").distinct()
+        near = near.filter(F.expr("size(array_intersect(array_intersect(low, sa), sb))") >= floor * F.size("low")).select("a", "b", "led").distinct()
         text = lambda x: self.texts.select(F.col("id").alias(x), F.col("text").alias(f"t{x}"))
-        both = keep(near, "near").join(text("a"), "a").join(text("b"), "b").select("a", "b", "ta", "tb")
-        return both.mapInArrow(_jaccard(self.n), "a bigint, b bigint, both bigint, either bigint").filter(f"100 * both >= {self.percent} * either").select("a", "b")
+        both = keep(near, "near").join(text("a"), "a").join(text("b"), "b").select("a", "b", "led", "ta", "tb")
+        return both.mapInArrow(_jaccard(self.n), "a bigint, b bigint, both bigint, either bigint, differ array<bigint>")
 
 
 def class_links(lists: DataFrame, checker: Checker, percent: int) -> DataFrame:
-    """Links between classes, as many as tell the components."""
-    spark = lists.sparkSession
-    fits = F.expr(f"100 * least(a_n, b_n) >= {percent} * greatest(a_n, b_n)")
-    found = spark.createDataFrame([], "a bigint, b bigint")
-    open_ = lists.withColumn("comp", F.col("rep")).withColumn("led", F.lit(False))
-    entries = lambda df, x: df.select("value", F.col("rep").alias(x), F.col("n").alias(f"{x}_n"), F.col("comp").alias(f"{x}_comp"), F.col("led").alias(f"{x}_led"))
-    for k in range(ROUNDS + 1):
-        # cross-component pairs of each list, from counts alone
-        sizes = open_.groupBy("value", "comp").agg(F.count(F.lit(1)).alias("c")).groupBy("value").agg(F.sum("c").alias("m"), F.sum(F.expr("c * c")).alias("same"), F.count(F.lit(1)).alias("comps"))
-        mixed = keep(sizes.filter("comps > 1"), "mixed")
-        left = mixed.agg(F.sum(F.expr("m * m - same")).alias("pairs"), F.sum("m").alias("entries")).first()
-        if not left["pairs"]:
-            break
-        open_ = keep(open_.join(mixed.select("value"), "value", "left_semi"), "open")
-        last = k == ROUNDS or left["pairs"] <= 2 * FEW_PAIRS * left["entries"]
-        if last:
-            pairs = entries(open_, "a").join(entries(open_, "b"), "value").filter("a < b AND a_comp != b_comp AND NOT a_led AND NOT b_led")
-        else:
-            order = F.struct("score", -F.col("rep")) if k == 0 else F.struct(F.xxhash64("rep", F.lit(k)), "rep")
-            leaders = open_.filter("NOT led").groupBy("value").agg(F.max_by(F.struct("rep", "n", "comp"), order).alias("lead"))
-            leaders = leaders.select("value", F.col("lead.rep").alias("b"), F.col("lead.n").alias("b_n"), F.col("lead.comp").alias("b_comp"))
-            pairs = entries(open_, "a").join(leaders, "value").filter("a != b AND a_comp != b_comp AND NOT a_led")
-        new = keep(checker.links(pairs.filter(fits).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()), "found")
-        found = found.union(new)
-        if last:
-            break
-        joined = components(found).select(F.col("node").alias("rep"), F.col("component"))
-        open_ = open_.join(leaders.select("value", F.col("b").alias("rep"), F.lit(True).alias("now")), ["value", "rep"], "left").join(joined, "rep", "left")
-        open_ = open_.select("value", "rep", "n", "score", F.coalesce("component", "rep").alias("comp"), F.expr("led OR coalesce(now, false)").alias("led"))
-    return found
+    """Links between classes, as many as tell the components. The lists are (value, rep, n, score)."""
+    found = lists.sparkSession.createDataFrame([], "a bigint, b bigint")
+    open_ = lists.withColumn("comp", F.col("rep"))
+    while True:
+        sizes = open_.groupBy("value").agg(F.count(F.lit(1)).alias("m"), F.min("comp").alias("least"), F.max("comp").alias("most"), F.max_by(F.struct("rep", "n"), F.struct("score", -F.col("rep"))).alias("lead"))
+        open_ = keep(open_.join(sizes.filter("least != most").drop("least", "most"), "value"), "open")
+        if open_.isEmpty():
+            return found
+        short, long = open_.filter(F.col("m") <= SHORT), open_.filter(F.col("m") > SHORT)
+        fits = lambda p: F.expr(f"100 * least(a_n, b_n) >= {p} * greatest(a_n, b_n)")
+        ends = lambda x: short.select("value", F.col("rep").alias(x), F.col("n").alias(f"{x}_n"), F.col("comp").alias(f"{x}_comp"))
+        every = ends("a").join(ends("b"), "value").filter("a < b AND a_comp != b_comp").filter(fits(percent)).select("a", "b", F.lit(False).alias("led"), F.lit(percent).alias("percent"))
+        lead = long.select("value", "score", "lead", F.col("rep").alias("a"), F.col("n").alias("a_n"), F.col("lead.rep").alias("b"), F.col("lead.n").alias("b_n")).filter("a != b")
+        led = lead.filter(fits(NEAR)).select("a", "b", F.lit(True).alias("led"), F.lit(NEAR).alias("percent"))
+        seen = keep(checker.similar(every.unionByName(led).distinct()), "seen")
+        found = keep(found.union(seen.filter(f"100 * both >= {percent} * either").select("a", "b")).distinct(), "found")
+        # by their differences from the leader; the lists of one leader come together, whichever list it led
+        near = lead.groupBy("a", "b").agg(F.max("a_n").alias("n"), F.max("score").alias("score")).join(seen.filter("size(differ) > 0"), ["a", "b"])
+        apart = near.select(F.explode("differ").alias("e"), "a", "b", "n", "score")
+        apart = apart.select(F.xxhash64("b", "e").alias("value"), F.col("a").alias("rep"), "n", "score")
+        closed = seen.filter(f"100 * both >= {NEAR + 100 - percent} * either").select("a", "b")
+        stay = lead.join(closed, ["a", "b"], "left_anti").select("value", F.col("a").alias("rep"), F.col("a_n").alias("n"), "score")
+        joined = components(found).select(F.col("node").alias("rep"), "component")
+        open_ = stay.unionByName(apart).distinct().join(joined, "rep", "left").select("value", "rep", "n", "score", F.coalesce("component", "rep").alias("comp"))
 
 
 def near_dedup(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
@@ -158,7 +162,6 @@ def near_dedup(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFram
         keep(groups.select("rep", "sketch").join(active, "rep", "left_semi"), "active"),
         keep(texts.join(active.select(F.col("rep").alias("id")), "id", "left_semi").select("id", F.col("text")), "active-texts"),
         shingle,
-        percent,
     )
     links = class_links(lists, checker, percent)
     member = keep(sketched.select("id", *same).join(groups.select(*same, "rep"), same, "left").select("id", "n", F.coalesce("rep", "id").alias("rep")), "members")

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from rollbook.llm.pieces import coder, tokenizer_path
+from rollbook.llm.pieces import TEXT_BYTES, coder, tokenizer_path
 from rollbook.llm.scratch import keep
 from rollbook.llm.textblocks import blocks
 
@@ -83,7 +83,7 @@ def _pack(path: str, end: int, length: int, most: int, schema: pa.Schema):
             return batch
 
         for batch in batches:
-            for row, texts in blocks(batch.column(1)):
+            for row, texts in blocks(batch.column(1), TEXT_BYTES):
                 keys = batch.column(0).slice(row, len(texts)).to_pylist()
                 for key, ids in zip(keys, encode([t or "" for t in texts.to_pylist()]), strict=True):
                     ids += mark
@@ -127,12 +127,12 @@ def _merge(length: int):
 def pack(docs: DataFrame, key: str = "doc_id", path: str | None = None, end: int = END, length: int = LENGTH, open_windows: int = OPEN_WINDOWS) -> DataFrame:
     """One row per piece: key, start, length, ids (little-endian unsigned 32-bit), doc_tokens, sequence_id, offset."""
     kind = dict(docs.dtypes)[key]
-    layout = f"`{key}` {kind}, start bigint, length bigint, ids binary, doc_tokens bigint, part bigint, number bigint, offset bigint, closed boolean"
+    layout = f"_key {kind}, start bigint, length bigint, ids binary, doc_tokens bigint, part bigint, number bigint, offset bigint, closed boolean"
     types = [to_arrow_type(docs.schema[key].dataType), *[pa.int64()] * 2, pa.binary(), *[pa.int64()] * 4, pa.bool_()]
-    schema = pa.schema(list(zip([key, "start", "length", "ids", "doc_tokens", "part", "number", "offset", "closed"], types, strict=True)))
+    schema = pa.schema(list(zip(["_key", "start", "length", "ids", "doc_tokens", "part", "number", "offset", "closed"], types, strict=True)))
     run = _pack(path or tokenizer_path(), end, length, open_windows, schema)
     placed = keep(docs.select(key, "text").mapInArrow(run, layout), "pieces")
-    columns = [key, "start", "length", "ids", "doc_tokens"]
+    columns = [F.col("_key").alias(key), "start", "length", "ids", "doc_tokens"]
     closed = placed.filter("closed").select(*columns, F.expr("shiftleft(part, 32) + number").alias("sequence_id"), "offset")
     group = F.expr(f"part div {GROUP}")
     left = placed.filter("NOT closed").groupBy(group.alias("_group")).applyInArrow(_merge(length), layout)

@@ -4,11 +4,13 @@ A byte-level tokenizer never joins across a single blank that stands between two
 text can be cut there and the pieces encoded on their own. Pieces are kept in a bounded table per worker;
 pieces that are new in a block of texts are encoded in one call. Texts with other white space around a
 blank (two blanks, a line break and a blank, a blank at an edge) are encoded whole. Neither does it join
-letters and the marks after them, so a word keeps its ids whatever mark follows.
+letters and the marks after them, so a word keeps its ids whatever mark follows. A word of letters alone
+goes straight to the tokenizer's model, in the byte alphabet that the model is written in.
 """
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Callable, Sequence
 from itertools import chain
 
@@ -16,6 +18,8 @@ import numpy as np
 
 #: Entries in the younger of the two generations of a table.
 MOST_PIECES = 400_000
+#: Texts encoded at a time.
+TEXT_BYTES = 1 << 22
 MARKS = "!\"#$%&()*+,-./:;<=>?@[]^_`{|}~"
 TOKENIZER = "byte_bpe_50k.json"
 
@@ -90,16 +94,21 @@ class Coder:
             with open(path, "rb") as file:
                 ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, file)}
             model = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-            self.whole = lambda text: np.array(model.encode_ordinary(text), "<u4").tobytes()
+            self.whole = lambda text: array("I", model.encode_ordinary(text)).tobytes()
             many = lambda pieces: [self.whole(p) for p in pieces]
         else:
             from tokenizers import Tokenizer
 
             model = Tokenizer.from_file(path)
             model.encode_special_tokens = True  # their strings in a text are ordinary text
-            model.model._resize_cache(0)  # a piece is encoded once
-            self.whole = lambda text: np.array(model.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-            many = lambda pieces: _split(model.encode(pieces, is_pretokenized=True, add_special_tokens=False), len(pieces))
+            inner = model.model
+            self.whole = lambda text: array("I", model.encode(text, add_special_tokens=False).ids).tobytes()
+
+            def many(pieces: list[str]) -> list[bytes]:
+                other = [p for p in pieces if not p.lstrip(" ").isalpha()]
+                ids = dict(zip(other, _split(model.encode(other, is_pretokenized=True, add_special_tokens=False), len(other)), strict=True)) if other else {}
+                return [ids[p] if p in ids else array("I", [t.id for t in inner.tokenize(_in_bytes(p))]).tobytes() for p in pieces]
+
         self._heads, self._rest = Table("", many), Table(" ", many)
 
     def encode(self, texts: Sequence[str]) -> list[bytes]:
@@ -117,6 +126,18 @@ class Coder:
         return out
 
 
+#: The byte alphabet: printable bytes stand for themselves, the others follow from 256 on.
+_PRINTABLE = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+_ALPHABET = {b: 256 + k for k, b in enumerate(b for b in range(256) if b not in _PRINTABLE)}
+_BLANK = chr(_ALPHABET[0x20])
+
+
+def _in_bytes(piece: str) -> str:
+    if piece.isascii():
+        return piece.replace(" ", _BLANK)
+    return piece.encode().decode("latin-1").translate(_ALPHABET)
+
+
 def _split(encoding, n: int) -> list[bytes]:
     ids, of = np.array(encoding.ids, "<u4"), np.array(encoding.word_ids, np.int64)
     at = (4 * np.searchsorted(of, np.arange(n + 1))).tolist()

@@ -7,7 +7,7 @@ habitually: clean documents of a bad host stay.
 
 Cases: a null or blank text has no words and fails; a null host is a host of its own; repeated rows are
 judged row by row and count once each; an empty table gives an empty result; columns of the input other
-than those asked for with `carry` are not looked at.
+than those asked for with `carry` are not looked at, and may not be named like a result.
 """
 
 from __future__ import annotations
@@ -55,7 +55,10 @@ class Rules:
 def measure(docs: DataFrame, carry: tuple[str, ...]) -> DataFrame:
     """The carried columns and the measures of the column `text`; row by row, nothing is shuffled."""
     window = ", ".join(f"get(_hashes, i + {k})" for k in range(WINDOW))
-    step = docs.select(*(F.col(c) for c in carry), F.expr("coalesce(text, '')").alias("_text"))
+    if clash := {*carry} & {*MEASURES, "base_failed", "host_failed", "kept"}:
+        raise ValueError(f"columns named like results: {sorted(clash)}")
+    # kept apart, so that no name can clash
+    step = docs.select(F.struct(*(F.col(f"`{c}`") for c in carry)).alias("_own"), F.expr("coalesce(text, '')").alias("_text"))
     step = step.withColumn("_words", F.expr(f"array_remove(split(_text, '{BLANKS}+'), '')"))
     step = step.withColumns(
         {
@@ -81,7 +84,7 @@ def measure(docs: DataFrame, carry: tuple[str, ...]) -> DataFrame:
         f"aggregate(transform(_found, (p, j) -> least({WINDOW}, coalesce(get(_found, j + 1) - p, {WINDOW}))), 0L, (a, x) -> a + x)"
     )
     return step.select(
-        *carry,
+        "_own.*",
         F.expr("CAST(size(_words) AS BIGINT)").alias("n_words"),
         F.expr("CAST(length(_joined) AS BIGINT)").alias("word_chars"),
         F.expr("CAST(length(_joined) - length(regexp_replace(_joined, '[#*$%&|<>]+', '')) AS BIGINT)").alias("n_symbols"),

@@ -14,7 +14,7 @@ are no pairs. Hashes have 64 bits.
 Cases: a null or empty text has no words and stays as it is; so does a text shorter than WINDOW; a window
 that repeats within its own document goes, too; rows that repeat are documents of equal text, all of
 whose windows repeat; rows with one doc_id and different texts are told apart by a hash of the text; an
-empty table gives an empty result; other columns pass.
+empty table gives an empty result; other columns pass, except those named like a result.
 """
 
 from __future__ import annotations
@@ -133,9 +133,9 @@ def substring_dedup(docs: DataFrame) -> DataFrame:
 
     A text from which nothing goes is left as it is; otherwise its kept words are joined by one blank.
     """
-    own = [c for c in docs.columns if c not in ("n_words", "n_removed", "_single", "_single_window", *_KEY)]
+    own = [c for c in docs.columns if c not in ("text", "n_words", "n_removed")]
     tie = F.expr(f"xxhash64(doc_id IS NULL, text) & {(1 << TIE_BITS) - 1}")
-    keyed = docs.select(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(0)).alias("_id"), tie.alias("_tie"), "text", *(F.col(f"`{c}`") for c in own if c != "text"))
+    keyed = docs.select(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(0)).alias("_id"), tie.alias("_tie"), "text", F.struct(*(F.col(f"`{c}`") for c in own)).alias("_own"))
     layout = "hash bigint, _id bigint, _tag bigint"
     anchors = keyed.select(*_KEY, "text").mapInArrow(_anchor_rows, layout)
     single = keep(_singles(anchors, "_single"), "single-anchors")
@@ -143,6 +143,7 @@ def substring_dedup(docs: DataFrame) -> DataFrame:
     # the exchange of `marked` is used twice: for the windows and for the removal
     windows = _singles(marked.mapInArrow(_window_rows, layout), "_single_window")
     both = marked.join(windows, list(_KEY), "left")
-    fields = [docs.schema[c] for c in own] + [T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType())]
-    schema = T.StructType(fields)
-    return both.mapInArrow(_remove(to_arrow_schema(schema)), schema)
+    made = [T.StructField("text", T.StringType()), T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType())]
+    schema = T.StructType([both.schema["_own"], *made])
+    out = both.mapInArrow(_remove(to_arrow_schema(schema)), schema)
+    return out.select(*(F.col("text") if c == "text" else F.col(f"_own.`{c}`") for c in docs.columns if c not in ("n_words", "n_removed")), "n_words", "n_removed")

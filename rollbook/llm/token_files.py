@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from rollbook.llm.pieces import coder, tokenizer_path
+from rollbook.llm.pieces import TEXT_BYTES, coder, tokenizer_path
 from rollbook.llm.textblocks import blocks as text_blocks
 
 END = 2
@@ -83,7 +83,7 @@ def _write(path: str, end: int, dictionary: bytes, digest: str):
             return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, types, strict=True)], [c.split()[0] for c in _BLOCKS.split(", ")])
 
         for batch in batches:
-            for row, texts in text_blocks(batch.column(1)):
+            for row, texts in text_blocks(batch.column(1), TEXT_BYTES):
                 keys = batch.column(0).slice(row, len(texts)).to_pylist()
                 for key, ids in zip(keys, coder(path).encode([t or "" for t in texts.to_pylist()]), strict=True):
                     ids += mark
