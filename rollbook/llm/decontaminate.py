@@ -7,8 +7,8 @@ other, and that alignment is verified: some run of OVERLAP words of the item (th
 shorter) has to agree in all but a share of substituted words.
 
 The benchmark side is broadcast in blocks: its seeds are counted, dealt to blocks of about BLOCK_SEEDS by
-hash of the item, and each block is one pass over the documents. Documents are never shuffled; hits are
-verified where they arise and summed per document and item.
+hash of the item, and each block is one pass over the documents, of which only hits are left. Documents with hits are read
+once more and verified, and summed per document and item.
 
 Cases: a null or empty text has no words and no hit, and so has an item shorter than the shortest mask;
 null ids are carried; repeated rows of one doc_id are reported together, with the best match; items that
@@ -40,28 +40,32 @@ def _hashed(texts: DataFrame, key: str) -> DataFrame:
 
 
 def _seeds(hashed: DataFrame) -> DataFrame:
-    """A row for each place and mask: place and masked hash; a mask that would reach beyond the end gives none."""
-    placed = hashed.select("_key", "_h", F.expr("size(_h)").alias("_size"), F.explode(F.expr("if(size(_h) = 0, array(), sequence(0, size(_h) - 1))")).alias("_at"))
-    masked = ", ".join(f"xxhash64({k}, {', '.join(f'get(_h, _at + {p})' for p in mask)})" for k, mask in enumerate(MASKS))
-    spans = ", ".join(str(mask[-1] + 1) for mask in MASKS)
-    each = placed.select("_key", "_h", "_at", "_size", F.posexplode(F.expr(f"array({masked})")).alias("_mask", "_seed"))
-    return each.filter(F.expr(f"_at + array({spans})[_mask] <= _size")).select("_key", "_h", "_at", "_seed")
+    """_key, _at and _seed of each place and mask.
+
+    The hashes are made within the row, so that only they are exploded and no text is copied for each
+    place. A mask that reaches beyond the end hashes fewer words, and can't match a whole one.
+    """
+    masked = [f"transform(_h, (h, i) -> xxhash64({k}, h, {', '.join(f'get(_h, i + {p})' for p in mask[1:])}))" for k, mask in enumerate(MASKS)]
+    made = hashed.select("_key", F.expr("size(_h)").alias("_size"), F.expr(f"concat({', '.join(masked)})").alias("_seeds"))
+    # the outer form, as for the other one Spark tests the size of the array first, and makes it twice
+    placed = made.select("_key", "_size", F.posexplode_outer("_seeds").alias("_place", "_seed"))
+    return placed.select("_key", F.expr("_place % _size").alias("_at"), "_seed", F.expr("_place div _size").alias("_mask"), "_size")
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, doc_key: str = "doc_id", item_key: str = "item_id") -> DataFrame:
     """One row for each document and item that overlap: keys, first word of the overlap, item's words and those that agree."""
-    items = keep(_hashed(benchmark, item_key).filter("size(_h) > 0").select(F.col("_key").alias("_name"), F.col("_h").alias("_g")), "items")
-    seeds = keep(_seeds(items.select(F.col("_name").alias("_key"), F.col("_g").alias("_h"))).select("_seed", F.col("_key").alias("_item"), F.col("_at").alias("_from")).distinct(), "item-seeds")
+    items = keep(_hashed(benchmark, item_key).filter("size(_h) > 0"), "items")
+    spans = ", ".join(str(mask[-1] + 1) for mask in MASKS)
+    whole = _seeds(items).filter(f"_at + get(array({spans}), CAST(_mask AS INT)) <= _size")
+    seeds = keep(whole.select("_seed", F.col("_key").alias("_item"), F.col("_at").alias("_from")).distinct(), "item-seeds")
     number = max(1, -(-seeds.count() // BLOCK_SEEDS))
-    texts = _seeds(_hashed(docs, doc_key))
     block = F.pmod(F.xxhash64("_item"), F.lit(number))
-    named = F.pmod(F.xxhash64("_name"), F.lit(number))
-    hits = []
-    for k in range(number):
-        # bounded by BLOCK_SEEDS, as counted above
-        found = texts.join(F.broadcast(seeds.filter(block == k)), "_seed")
-        hits.append(found.join(F.broadcast(items.filter(named == k)), F.col("_item").eqNullSafe(F.col("_name"))).drop("_name"))
-    found = reduce(DataFrame.unionByName, hits).withColumn("_shift", F.expr("_at - _from"))
+    # each side is bounded by BLOCK_SEEDS, as counted above
+    hits = [_seeds(_hashed(docs, doc_key)).join(F.broadcast(seeds.filter(block == k)), "_seed") for k in range(number)]
+    aligned = keep(reduce(DataFrame.unionByName, hits).select("_key", "_item", (F.col("_at") - F.col("_from")).alias("_shift")).distinct(), "alignments")
+    sides = aligned.join(items.select(F.col("_key").alias("_name"), F.col("_h").alias("_g")), F.col("_item").eqNullSafe(F.col("_name"))).drop("_name")
+    texts = docs.select(F.col(doc_key).alias("_doc"), "text").join(aligned.select(F.col("_key").alias("_hit")).distinct(), F.col("_doc").eqNullSafe(F.col("_hit")), "left_semi")
+    found = _hashed(texts, "_doc").withColumnRenamed("_key", "_doc").join(sides, F.col("_doc").eqNullSafe(F.col("_key")))
     found = found.withColumn("_same", F.expr("transform(_g, (g, i) -> if(get(_h, i + _shift) <=> g, 1, 0))"))
     run = F.expr(f"least({OVERLAP}, size(_g))")
     found = found.withColumn("_run", run)

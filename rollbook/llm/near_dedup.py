@@ -11,10 +11,11 @@ sets; links join classes to components, and lists within one component are done.
 leader, the member that is in the most crowded lists, and only its pairs are verified. Let D be the
 symmetric difference of a member and the leader. Two members that aren't both linked to the leader can
 only be linked with each other if their D share an element; so members with at least NEAR in common
-with the leader go on in lists of (leader, element of D), where a large family of copies falls apart
-into those that share an edit. The distance 1 - J is a metric: a member over NEAR + 1 - similarity has no link
-with one under NEAR, and leaves the list; the others stay for the next leader. Rounds go on until
-no list holds two components, so nothing is left out.
+with the leader go on in lists of (leader, rare element of D), where a large family of copies falls
+apart into those that share their edits. The distance 1 - J is a metric: a member over NEAR + 1 - similarity has no link
+with one under NEAR, and leaves the list; the others stay for the next leader. From round to round
+lists count as short up to four times the length, and rounds go on until no list holds two components,
+so nothing is left out.
 
 Cases: a null, empty or blank text has the empty set and no link; a text with fewer words than a shingle
 has its whole sequence as one; rows with one doc_id are one node, linked by what any of them says; a
@@ -25,6 +26,7 @@ table gives an empty result; other columns are not looked at.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import count
 from math import sqrt
 
 import numpy as np
@@ -41,8 +43,8 @@ SKETCH = 64
 LISTED = 24
 #: Share of the listed values that a pair of the asked similarity has in common, with all but certainty.
 SHARED = 0.4
-#: Members up to which a list yields all its pairs.
-SHORT = 8
+#: Members up to which a list yields all its pairs in the first round, of retained values and of differences from a leader.
+SHORT, SHORT_APART = 8, 100
 #: Percent of similarity with the leader from which members are told apart by their differences.
 NEAR = 50
 NO_ID = (1 << 63) - 1
@@ -123,31 +125,54 @@ class Checker:
         return both.mapInArrow(_jaccard(self.n), "a bigint, b bigint, both bigint, either bigint, differ array<bigint>")
 
 
+def difference_lists(near: DataFrame, percent: int) -> DataFrame:
+    """Lists of (leader, element of the difference) with two members or more; `apart` is the size of the difference.
+
+    Let s be the size of a member's difference. A link between members whose differences have sizes s and r
+    needs (s + r - most) / 2 elements in common, where `most` is how far apart linked sets of their sizes can
+    be. That is s - n (1 - t) / t at least, and nearly half of s for a member that is linked to the leader (its
+    partner isn't). As above, a member enters the lists of its rarest elements only.
+    """
+    t = percent / 100
+    part = (1 - t) / (1 + t)
+    linked = f"100 * both >= {percent} * either"
+    least = f"CAST(greatest(1, if({linked}, ceil({(1 - part) / 2} * size(differ)), size(differ) - floor(n * {(1 - t) / t}))) AS INT)"
+    each = near.select("a", "b", "n", "score", F.size("differ").alias("s"), F.expr(least).alias("need"), F.explode("differ").alias("e"))
+    often = each.groupBy("b", "e").agg(F.count(F.lit(1)).alias("often")).filter("often > 1")
+    met = each.join(often, ["b", "e"])
+    by = W.partitionBy("a", "b")
+    met = met.withColumns({"rank": F.row_number().over(by.orderBy("often", "e")), "common": F.count(F.lit(1)).over(by)})
+    return met.filter("rank + s - common <= s - need + 1").select(F.xxhash64("b", "e").alias("value"), F.col("a").alias("rep"), "n", "score", F.lit(SHORT_APART).alias("short"), F.col("s").alias("apart"))
+
+
 def class_links(lists: DataFrame, checker: Checker, percent: int) -> DataFrame:
     """Links between classes, as many as tell the components. The lists are (value, rep, n, score)."""
     found = lists.sparkSession.createDataFrame([], "a bigint, b bigint")
-    open_ = lists.withColumn("comp", F.col("rep"))
-    while True:
-        sizes = open_.groupBy("value").agg(F.count(F.lit(1)).alias("m"), F.min("comp").alias("least"), F.max("comp").alias("most"), F.max_by(F.struct("rep", "n"), F.struct("score", -F.col("rep"))).alias("lead"))
-        open_ = keep(open_.join(sizes.filter("least != most").drop("least", "most"), "value"), "open")
+    open_ = lists.select("*", F.col("rep").alias("comp"), F.lit(SHORT).alias("short"), F.lit(0).alias("apart"))
+    for k in count():
+        sizes = open_.groupBy("value").agg(F.count(F.lit(1)).alias("m"), F.min("comp").alias("least"), F.max("comp").alias("most"))
+        open_ = keep(open_.join(sizes.filter("least != most").select("value", "m"), "value"), "open")
         if open_.isEmpty():
             return found
-        short, long = open_.filter(F.col("m") <= SHORT), open_.filter(F.col("m") > SHORT)
+        short, long = open_.filter(f"m <= short * {4**k}"), open_.filter(f"m > short * {4**k}")
         fits = lambda p: F.expr(f"100 * least(a_n, b_n) >= {p} * greatest(a_n, b_n)")
-        ends = lambda x: short.select("value", F.col("rep").alias(x), F.col("n").alias(f"{x}_n"), F.col("comp").alias(f"{x}_comp"))
-        every = ends("a").join(ends("b"), "value").filter("a < b AND a_comp != b_comp").filter(fits(percent)).select("a", "b", F.lit(False).alias("led"), F.lit(percent).alias("percent"))
-        lead = long.select("value", "score", "lead", F.col("rep").alias("a"), F.col("n").alias("a_n"), F.col("lead.rep").alias("b"), F.col("lead.n").alias("b_n")).filter("a != b")
+        ends = lambda x: short.select("value", F.col("rep").alias(x), F.col("n").alias(f"{x}_n"), F.col("comp").alias(f"{x}_comp"), F.col("apart").alias(f"{x}_apart"))
+        every = ends("a").join(ends("b"), "value").filter("a < b AND a_comp != b_comp").filter(fits(percent)).filter(f"abs(a_apart - b_apart) <= {(100 - percent) / (100 + percent)} * (a_n + b_n)")
+        every = every.select("a", "b", F.lit(False).alias("led"), F.lit(percent).alias("percent"))
+        leaders = long.groupBy("value").agg(F.max_by(F.struct("rep", "n"), F.struct("score", -F.col("rep"))).alias("lead"))
+        leaders = leaders.select("value", F.col("lead.rep").alias("b"), F.col("lead.n").alias("b_n"))
+        member = long.join(leaders.select("value", F.col("b").alias("rep")), ["value", "rep"], "left_anti")
+        lead = long.withColumnsRenamed({"rep": "a", "n": "a_n"}).join(leaders, "value").filter("a != b")
         led = lead.filter(fits(NEAR)).select("a", "b", F.lit(True).alias("led"), F.lit(NEAR).alias("percent"))
         seen = keep(checker.similar(every.unionByName(led).distinct()), "seen")
         found = keep(found.union(seen.filter(f"100 * both >= {percent} * either").select("a", "b")).distinct(), "found")
-        # by their differences from the leader; the lists of one leader come together, whichever list it led
         near = lead.groupBy("a", "b").agg(F.max("a_n").alias("n"), F.max("score").alias("score")).join(seen.filter("size(differ) > 0"), ["a", "b"])
-        apart = near.select(F.explode("differ").alias("e"), "a", "b", "n", "score")
-        apart = apart.select(F.xxhash64("b", "e").alias("value"), F.col("a").alias("rep"), "n", "score")
+        apart = difference_lists(near, percent)
         closed = seen.filter(f"100 * both >= {NEAR + 100 - percent} * either").select("a", "b")
-        stay = lead.join(closed, ["a", "b"], "left_anti").select("value", F.col("a").alias("rep"), F.col("a_n").alias("n"), "score")
+        closed = lead.join(closed, ["a", "b"], "left_semi").select("value", F.col("a").alias("rep")).distinct()
+        stay = member.join(closed, ["value", "rep"], "left_anti").select("value", "rep", "n", "score", "short", "apart")
         joined = components(found).select(F.col("node").alias("rep"), "component")
-        open_ = stay.unionByName(apart).distinct().join(joined, "rep", "left").select("value", "rep", "n", "score", F.coalesce("component", "rep").alias("comp"))
+        open_ = stay.unionByName(apart).distinct().join(joined, "rep", "left").select("value", "rep", "n", "score", F.coalesce("component", "rep").alias("comp"), "short", "apart")
 
 
 def near_dedup(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
