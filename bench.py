@@ -60,7 +60,7 @@ def stored_tables(spark: SparkSession, role: str):
     for name, (stored, columns) in TABLES.items():
         tables[name].selectExpr(*[f"{ours} AS {raw}" for raw, ours, _ in columns]).write.parquet(
             f"{out}/{stored}")
-    return load_tables(spark, out, padded=False)
+    return load_tables(spark, out, trim=())
 
 
 def main() -> None:

@@ -10,9 +10,8 @@ from __future__ import annotations
 import re
 
 from checks.standin_sql import ctes
-from rollbook.params import GOVERNMENT_NAME_PATTERNS
-from rollbook.plans.layouts import LAYOUTS, plain_name
 
+# Codes.
 T1, T2, T5 = (f"TIMESTAMP '{d}'" for d in ("2000-08-02", "1999-08-02", "1996-08-02"))
 RATE = "CAST(0.000210699 AS DECIMAL(10,9))"
 ORIGINS = "('011','F490401','F490411','F491201','F494101','F494151')"
@@ -227,13 +226,135 @@ def _geo(row: str, origin: str, via: str) -> str:
             AND pv.country = {row}.country AND pv.state = st.state"""
 
 
+# The reports' columns in order, each as `name=source` (`name=` is blank text).
+COLUMNS = {
+    "supplier_header": """
+        vendor_name=name vendor_num=tax_id vendor_id=party vendor_name_alt=short_name sic=sic
+        employee_id= vendor_type_lookup_code= ceo_title= ceo_name=contact_name principal_title=
+        principal_name= tax_registration_num=tax_id taxpayer_id=tax_id remittance_email=email
+        default_rep_country_code=origin_country default_rep_reg_number=tax_id
+        default_rep_tax_reg_type=tax_registration parent_party_id= parent_vendor_id=
+        party_alias=short_name url=url party_id=party registry_id=tax_id party_name=name
+        party_type=id_type_name tax_name= country=country_name address1=address address2=
+        address3= address4= city=district_name postal_code=postal_code state=state_name
+        province=province_name trx_1y_amount_chf=trx_1y_amount_chf
+        trx_2y_amount_chf=trx_2y_amount_chf trx_op_bal_chf=trx_op_bal_chf
+        trx_1y_count=trx_1y_count trx_2y_count=trx_2y_count trx_op_count=trx_op_count
+        min_trx_date=min_trx_date max_trx_date=max_trx_date min_trx_year=min_trx_year
+        max_trx_year=max_trx_year vendor_creation_date=created
+        supplier_trx_source_list=source_tag po_1y_op_count=po_1y_op_count
+        po_2y_op_count=po_2y_op_count po_op_count=po_op_count min_po_date=min_po_date
+        max_po_date=max_po_date po_agreement_count=po_agreement_count""",
+    "supplier_header_by_record": """
+        vendor_name=name vendor_num=tax_id vendor_id=party vendor_name_alt=short_name sic=sic
+        employee_id= vendor_type_lookup_code= ceo_title= ceo_name=contact_name principal_title=
+        principal_name= tax_registration_num=tax_id taxpayer_id=tax_id remittance_email=email
+        default_rep_country_code=origin_country default_rep_reg_number=tax_id
+        default_rep_tax_reg_type=tax_registration parent_party_id= parent_vendor_id=
+        party_alias=short_name url=url party_id=party registry_id=tax_id party_name=name
+        party_type=id_type_name tax_name= country=country_name address1=address address2=
+        address3= address4= city=district_name postal_code=postal_code state=state_name
+        province=province_name trx_1y_amount_chf=trx_1y_amount_chf
+        trx_2y_amount_chf=trx_2y_amount_chf trx_op_bal_chf=trx_op_bal_chf
+        trx_1y_count=trx_1y_count trx_2y_count=trx_2y_count trx_op_count=trx_op_count
+        min_trx_date=min_trx_date max_trx_date=max_trx_date min_trx_year=min_trx_year
+        max_trx_year=max_trx_year vendor_creation_date=created
+        supplier_trx_source_list=source_tag po_1y_op_count=po_1y_op_count
+        po_2y_op_count=po_2y_op_count po_op_count=po_op_count min_po_date=min_po_date
+        max_po_date=max_po_date po_agreement_count=po_agreement_count""",
+    "supplier_site": """
+        org_name=org_name organization_id= business_group_id= vendor_name=name vendor_num=tax_id
+        vendor_site_code=site_codes vendor_creation_date=created vendor_site_creation_date=
+        address_style= language= province=province_name country=country_name area_code=
+        phone=phone email_address=email customer_num= vendor_site_code_alt=
+        address_line1=address address_line2= address_line3= address_lines_alt=
+        city=district_name state=state_name zip=postal_code address_line4= vat_registration_num=
+        vat_code= default_rep_country_code=origin_country default_rep_reg_number=tax_id
+        default_rep_tax_reg_type= party_site_id= party_id= vendor_id=party
+        vendor_site_id=site_identifier location_id=site vendor_site_id_2=site_identifier
+        address_name= addressee= trx_1y_amount_chf=trx_1y_amount_chf
+        trx_2y_amount_chf=trx_2y_amount_chf trx_op_bal_chf=trx_op_bal_chf
+        trx_1y_count=trx_1y_count trx_2y_count=trx_2y_count trx_op_count=trx_op_count
+        min_trx_date=min_trx_date max_trx_date=max_trx_date min_trx_year=min_trx_year
+        max_trx_year=max_trx_year supplier_trx_source_list=source_tag
+        po_2y_op_count=po_2y_op_count po_1y_op_count=po_1y_op_count po_op_count=po_op_count
+        min_po_date=min_po_date max_po_date=max_po_date po_agreement_count=po_agreement_count
+        po_usage=po_usage""",
+    "supplier_site_self_qualified": """
+        org_name=org_name organization_id= business_group_id= vendor_name=name vendor_num=tax_id
+        vendor_site_code=site_codes vendor_creation_date=created vendor_site_creation_date=
+        address_style= language= province=province_name country=country_name area_code=
+        phone=phone email_address=email customer_num= vendor_site_code_alt=
+        address_line1=address address_line2= address_line3= address_lines_alt=
+        city=district_name state=state_name zip=postal_code address_line4= vat_registration_num=
+        vat_code= default_rep_country_code=origin_country default_rep_reg_number=tax_id
+        default_rep_tax_reg_type= party_site_id= party_id= vendor_id=party
+        vendor_site_id=site_identifier location_id=site vendor_site_id_2=site_identifier
+        address_name= addressee= trx_1y_amount_chf=trx_1y_amount_chf
+        trx_2y_amount_chf=trx_2y_amount_chf trx_op_bal_chf=trx_op_bal_chf
+        trx_1y_count=trx_1y_count trx_2y_count=trx_2y_count trx_op_count=trx_op_count
+        min_trx_date=min_trx_date max_trx_date=max_trx_date min_trx_year=min_trx_year
+        max_trx_year=max_trx_year supplier_trx_source_list=source_tag
+        po_2y_op_count=po_2y_op_count po_1y_op_count=po_1y_op_count po_op_count=po_op_count
+        min_po_date=min_po_date max_po_date=max_po_date po_agreement_count=po_agreement_count
+        po_usage=po_usage""",
+    "customer_header": """
+        business_model_b2x=business_model party_name=name party_status=party_status
+        party_id=account_number registry_id=tax_id known_as=short_name name_pronunciation=name
+        translated_customer_name=name sic_code=sic default_rep_country_code=origin_country
+        default_rep_reg_number=tax_id default_rep_tax_reg_type=id_type_name parent_company=
+        taxpayer_id=tax_id party_site_status='1' tax_registration_number=tax_id
+        account_number=account_number party_site_name=site_name account_description=account_type
+        cust_account_id=account_number account_status=account_status party_site_number=site
+        party_site_id=site_identifier cust_acct_site_id= country=country_name address1=address
+        address2= address3= address4= city=district_name postal_code=postal_code
+        state=state_name province=province_name county=district_name addressee=address
+        status=site_status account_site_phone_number=phone account_site_email=email
+        tot_trx_0y2_amount_chf=tot_trx_0y2_amount_chf
+        tot_trx_2y5_amount_chf=tot_trx_2y5_amount_chf
+        tot_trx_op_amount_chf=tot_trx_op_amount_chf
+        tot_trx_0y5_op_amount_chf=tot_trx_0y5_op_amount_chf doc_trx_0y2_count=doc_trx_0y2_count
+        doc_trx_2y5_count=doc_trx_2y5_count doc_trx_op_count=doc_trx_op_count
+        doc_trx_0y5_op_count=doc_trx_0y5_op_count min_trx_date=min_trx_date
+        max_trx_date=max_trx_date min_trx_year=min_trx_year max_trx_year=max_trx_year
+        customer_trx_source_list=source_tag""",
+    "customer_site": """
+        org_name=org_name party_name=name party_status=party_status party_id=account_number
+        registry_id=tax_id sic_code=sic default_rep_country_code=origin_country
+        default_rep_reg_number=tax_id default_rep_tax_reg_type=id_type_name taxpayer_id=tax_id
+        tax_registration_number=tax_id account_number=account_number party_site_name=site_name
+        account_description=account_type cust_account_id=account_number
+        account_status=account_status party_site_number=site party_site_id=site_identifier
+        country=country_name address1=address city=district_name postal_code=postal_code
+        state=state_name province=province_name county=district_name status=site_status
+        account_site_phone_number=phone account_site_email=email
+        tot_trx_0y2_amount_chf=tot_trx_0y2_amount_chf
+        tot_trx_2y5_amount_chf=tot_trx_2y5_amount_chf
+        tot_trx_op_amount_chf=tot_trx_op_amount_chf
+        tot_trx_0y5_op_amount_chf=tot_trx_0y5_op_amount_chf doc_trx_0y2_count=doc_trx_0y2_count
+        doc_trx_2y5_count=doc_trx_2y5_count doc_trx_op_count=doc_trx_op_count
+        doc_trx_0y5_op_count=doc_trx_0y5_op_count min_trx_date=min_trx_date
+        max_trx_date=max_trx_date min_trx_year=min_trx_year max_trx_year=max_trx_year
+        customer_trx_source_list=source_tag""",
+}
+# Name patterns of public bodies.
+PUBLIC_BODIES = (
+    "%ALCALD%", "%MUNICIP%", "%GOBERN%", "%MINISTER%", "%PRESIDEN%", "%SECRETAR%",
+    "%SUPERINTEND%", "%CONTRALOR%", "%PROCURAD%", "%PERSONER%", "%DEFENSOR%", "%REGISTRADUR%",
+    "%DEPARTAMENTO%", "%E.S.E%", "% ESE %", "%E.S.P%", "% ESP %", "%SERVICIOS PUBLICOS%",
+    "%BANCO DE LA REPUBLICA%", "%AUDITORIA GENERAL DE LA REPUBLICA%", "%CORPORACION AUTONOMA%",
+    "%CORPORACION PARA%", "%AGENCIA LOGÍSTICA%", "%AGENCIA NACIONAL%",
+    "%AGENCIA DE RENOVACION%", "%TERRITORIAL%", "%ATENEA%", "%UNTA CENTRAL DE CONTADORES%", "%SANIDAD%",
+    "%ECOPETROL%", "%CENIT%", "%EMPRESA SOCIAL DEL ESTADO%", "%POLICIA%", "%EJERCITO%",
+    "%ARMADA%", "%FUERZA AEREA%", "%FISCALIA%", "%RAM A JUDICIAL%", "%JUZGAD%", "%TRIBUNAL%",
+)
 _GEO_COLUMNS = {"country_name": "pt.name", "district_name": "dt.name",
                 "postal_code": "dt.postal_code", "state_name": "st.name", "province_name": "pv.name"}
 _SUPPLIER_TAG = """CASE WHEN f.has_inv_op_old THEN 'INV_OP' WHEN f.has_inv_1y THEN 'INV_1Y'
     WHEN f.has_inv_2y THEN 'INV_2Y' WHEN f.has_po_2y THEN 'POH_OP' ELSE 'NO_TRX_AT_ALL' END"""
 _CUSTOMER_TAG = """CASE WHEN m.has_op_trx THEN 'OP_TRX' WHEN m.has_trx_02y THEN 'TRX_02Y'
     WHEN m.has_trx_5y THEN 'TRX_2Y5' ELSE 'PAY_SCHE_NO_TRX' END"""
-_MODEL = ("CASE WHEN " + " OR ".join(f"upper(b.name) LIKE '{x}'" for x in GOVERNMENT_NAME_PATTERNS)
+_MODEL = ("CASE WHEN " + " OR ".join(f"upper(b.name) LIKE '{x}'" for x in PUBLIC_BODIES)
           + """ THEN 'B2G - Business To Government'
     WHEN b.id_type_code IN (3, 4, 7, 8) THEN 'B2C - Business To Customers'
     ELSE 'B2B - Business To Business' END""")
@@ -274,7 +395,8 @@ def _report(name: str, sources: dict[str, str], body: str) -> str:
             return "''"
         return source if source.startswith("'") else sources[source]
 
-    listed = ",\n".join(f"{column(s)} AS {plain_name(d)}" for d, s in LAYOUTS[name])
+    pairs = [x.split("=", 1) for x in COLUMNS[name].split()]
+    listed = ",\n".join(f"{column(s)} AS {n}" for n, s in pairs)
     return f"SELECT {listed}\n{body}"
 
 
@@ -393,9 +515,37 @@ REPORT_SQL = {
 }
 
 
-def sql(role: str, body: str) -> str:
-    """``body`` with the CTEs it needs, in order."""
-    known = {**ctes(role), **_steps(role)}
+def text_cells(name: str) -> list[str]:
+    """The columns of a report that are taken from a text."""
+    texts = {"name", "short_name", "address", "country_name", "state_name", "province_name", "district_name",
+             "postal_code", "contact_name", "email", "url", "phone", "site_codes", "po_usage", "sic",
+             "tax_registration", "account_number", "org_name", "site_name", "source_tag"}
+    return [n for n, s in (x.split("=", 1) for x in COLUMNS[name].split()) if s in texts]
+
+
+def batch_row(name: str) -> str:
+    """One report's row of the batch check: its rows, filled text cells and their characters."""
+    cells = [f"coalesce({c}, '')" for c in text_cells(name)]
+    filled = " + ".join(f"CAST({c} <> '' AS INTEGER)" for c in cells)
+    chars = " + ".join(f"length({c})" for c in cells)
+    return (f"SELECT '{name}' AS report, 'ok' AS status, count(*) AS rows, count(*) AS n_read, "
+            f"CAST(sum({filled}) AS BIGINT) AS filled, CAST(sum({chars}) AS BIGINT) AS chars "
+            f"FROM ({REPORT_SQL[name]})")
+
+
+def exported_customer_header() -> str:
+    """The customer header over parties with odd names, with dates as text."""
+    dates = [n for n, s in (x.split("=", 1) for x in COLUMNS["customer_header"].split())
+             if s in ("created", "min_trx_date", "max_trx_date")]
+    odd = f"""SELECT * REPLACE ('  ' || name || ' "q", ' || short_name || chr(10) || ' ' AS name,
+        CASE WHEN id_type_code % 2 <> 0 THEN short_name END AS short_name) FROM ({ctes("customer")["party"]})"""
+    texts = ", ".join(f"strftime({c}, '%Y-%m-%d') AS {c}" for c in dates)
+    return sql("customer", f"SELECT * REPLACE ({texts}) FROM ({REPORT_SQL['customer_header']})", {"party": odd})
+
+
+def sql(role: str, body: str, instead: dict[str, str] | None = None) -> str:
+    """``body`` with the CTEs it needs, in order; ``instead`` replaces some."""
+    known = {**ctes(role), **_steps(role), **(instead or {})}
     needed: set[str] = set()
 
     def visit(text: str) -> None:

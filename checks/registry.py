@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,9 +18,9 @@ from rollbook.params import EMAIL, HOME_ORIGIN, PARAM_SIC, PARAM_TAX_REGISTRATIO
 from rollbook.plans import reports
 from rollbook.plans.batch import report_batch
 from rollbook.plans.layouts import LAYOUTS, display_names
-from rollbook.plans.shared import keep, new_path
-from rollbook.schema import RECORD, SITE, TABLES
-from rollbook.sinks.files import column_width_profile, export_report
+from rollbook.plans.shared import new_path
+from rollbook.schema import PADDED, RECORD, SITE, TABLES, TIME
+from rollbook.sinks.files import column_width_profile, export_report, read_export
 from rollbook.sources.tables import load_tables, tag_pieces
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -73,10 +74,7 @@ def _with_sites(base: DataFrame, t) -> DataFrame:
 
 def _report(name: str):
     plan = reports.REPORTS[name]
-    if name in ("supplier_header", "supplier_header_by_record", "customer_header"):
-        return plan  # one look at the documents
-    return lambda t, p: plan(
-        t, p, keep(reports.report_parts(t, p, reports.SIDE[name]), f"{name}-parts"))
+    return lambda t, p: plan(t, p)
 
 
 for _name in reports.REPORTS:
@@ -84,28 +82,39 @@ for _name in reports.REPORTS:
 
 customer("open_documents_topk", lambda t, p: sets.open_documents_topk(t["document"]), """
     SELECT party, type, number, balance FROM document WHERE CAST(status AS INTEGER) >= 4
-    ORDER BY number DESC LIMIT 10""")
+    ORDER BY number DESC, party, type, balance LIMIT 10""")
 
 
 # --- sources and sinks ---------------------------------------------------------------------------
 
 def _load_tables(spark: SparkSession, folder: str) -> DataFrame:
-    """Tables stored under their database names, with padded codes, read back."""
-    t = standins.tables(spark, folder, "customer")
-    out = new_path(spark, "erp")
-    for name in ("party", "document"):
-        stored, columns = TABLES[name]
-        t[name].select(*[
-            (F.concat(F.col(ours), F.lit("   ")) if kind == "code" else F.col(ours)).alias(raw)
-            for raw, ours, kind in columns]).write.parquet(f"{out}/{stored}")
-    loaded = load_tables(spark, out, names=("party", "document"))
-    return loaded["document"].join(
-        loaded["party"].select(*RECORD, "tax_id", F.col("created").alias("party_created")), RECORD)
-
-
-ENTRIES["load_tables"] = Entry(_load_tables, O.sql("customer", """
-    SELECT d.*, b.tax_id, b.created AS party_created
-    FROM document d JOIN party b USING (origin, party)"""))
+    """All tables of both roles, stored under their database names with padded codes, read back."""
+    out = []
+    for role in ("supplier", "customer"):
+        t, path = standins.tables(spark, folder, role), new_path(spark, "erp")
+        for name, (stored, columns) in TABLES.items():
+            t[name].select(*[
+                (F.concat(F.col(ours), F.lit("   ")) if kind == PADDED else F.col(ours)).alias(raw)
+                for raw, ours, kind in columns]).write.parquet(f"{path}/{stored}")
+        for name, df in load_tables(spark, path).items():
+            cells = [F.date_format(c, "yyyy-MM-dd HH:mm:ss") if kind == TIME else F.col(c).cast("string")
+                     for _, c, kind in TABLES[name][1]]
+            cells = [F.coalesce(c, F.lit("NULL")) for c in cells]
+            out.append(df.select(F.lit(role).alias("role"), F.lit(name).alias("name"), F.concat_ws("|", *cells).alias("cells")))
+    return reduce(DataFrame.unionByName, out)
+
+
+def _table_rows(role: str) -> str:
+    def cells(columns) -> str:
+        texts = [f"strftime({c}, '%Y-%m-%d %H:%M:%S')" if kind == TIME else f"CAST({c} AS VARCHAR)" for _, c, kind in columns]
+        return "concat_ws('|', " + ", ".join(f"coalesce({x}, 'NULL')" for x in texts) + ")"
+    return O.sql(role, "\nUNION ALL\n".join(
+        f"SELECT '{role}' AS role, '{name}' AS name, {cells(columns)} AS cells FROM {name}"
+        for name, (_, columns) in TABLES.items()))
+
+
+ENTRIES["load_tables"] = Entry(_load_tables, "\nUNION ALL\n".join(
+    f"SELECT * FROM ({_table_rows(role)})" for role in ("supplier", "customer")))
 ENTRIES["partitioned_read"] = Entry(
     lambda spark, folder: tag_pieces(
         spark.read.parquet(f"{folder}/orders.parquet").select("o_orderkey", "o_custkey"),
@@ -114,17 +123,27 @@ ENTRIES["partitioned_read"] = Entry(
         CAST(least(greatest(o_orderkey // 1250, 0), 7) AS INTEGER) AS piece FROM orders""")
 
 
+def cell_schema(report: DataFrame) -> str:
+    """Types of a report's cells in CSV: dates are text there."""
+    return ", ".join(f"{c} {'string' if kind in ('timestamp', 'timestamp_ntz') else kind}" for c, kind in report.dtypes)
+
+
+_ODD = "concat('  ', name, ' \"q\", ', short_name, '\n ')"
+
+
 def _export_report(spark: SparkSession, folder: str) -> DataFrame:
-    party = standins.tables(spark, folder, "customer")["party"]
+    """A whole report, with blanks at the edges, quotes, line breaks and NULLs, through CSV files."""
+    t = dict(standins.tables(spark, folder, "customer"))
+    t["party"] = t["party"].selectExpr(
+        *[c for c in t["party"].columns if c not in ("name", "short_name")], f"{_ODD} AS name",
+        "if(id_type_code % 2 = 0, NULL, short_name) AS short_name")
+    report = reports.REPORTS["customer_header"](t, standins.params())
     path = new_path(spark, "export")
-    export_report(party.select("tax_id", "party", "name", "created", "status"), path,
-                  max_rows=500, names={"tax_id": "registry_id", "created": "creation_date"})
-    return spark.read.option("header", True).csv(path)
+    export_report(report, path, max_rows=500, names=display_names(LAYOUTS["customer_header"]))
+    return read_export(spark, path, cell_schema(report))
 
 
-ENTRIES["export_report"] = Entry(_export_report, O.sql("customer", """
-    SELECT tax_id AS registry_id, party, name, strftime(created, '%Y-%m-%d') AS creation_date,
-        status FROM party"""))
+ENTRIES["export_report"] = Entry(_export_report, O.exported_customer_header())
 customer("column_width_profile", lambda t, p: column_width_profile(t["document"]),
          "\nUNION ALL\n".join(
              f"""SELECT '{c}' AS "column", least(greatest(coalesce(max(length(
@@ -133,18 +152,30 @@ customer("column_width_profile", lambda t, p: column_width_profile(t["document"]
 
 
 def _report_batch(role: str) -> Query:
+    """Rows of every written report, read back: count, and how many cells are filled or NULL."""
     def run(spark: SparkSession, folder: str) -> DataFrame:
         names = [n for n in reports.REPORTS if reports.SIDE[n] == role]
-        log = report_batch(spark, standins.tables(spark, folder, role), standins.params(),
-                           new_path(spark, "batch"), names)
-        return log.select("report", "status", "rows")
+        t, out = standins.tables(spark, folder, role), new_path(spark, "batch")
+        log = report_batch(spark, t, standins.params(), out, names)
+        found = []
+        for name in names:
+            cells = read_export(spark, f"{out}/{name}", cell_schema(reports.REPORTS[name](t, standins.params())))
+            found.append(cells.select(F.lit(name).alias("report"), *_summary(O.text_cells(name))).groupBy("report").agg(
+                F.count(F.lit(1)).alias("n_read"), F.sum("filled").alias("filled"), F.sum("chars").alias("chars")))
+        return log.select("report", "status", "rows").join(reduce(DataFrame.unionByName, found), "report", "left")
     return run
 
 
+def _summary(cells) -> list:
+    """Filled text cells of a row and their characters; numbers are compared by the reports' own entries."""
+    filled = " + ".join(f"int(coalesce({c}, '') != '')" for c in cells)
+    chars = " + ".join(f"coalesce(length({c}), 0)" for c in cells)
+    return [F.expr(f"bigint({filled})").alias("filled"), F.expr(f"bigint({chars})").alias("chars")]
+
+
 for _role, _key in (("supplier", "report_batch"), ("customer", "report_batch_customers")):
     ENTRIES[_key] = Entry(_report_batch(_role), O.sql(_role, "\nUNION ALL\n".join(
-        f"SELECT '{n}' AS report, 'ok' AS status, count(*) AS rows FROM ({O.REPORT_SQL[n]})"
-        for n in reports.REPORTS if reports.SIDE[n] == _role)))
+        O.batch_row(n) for n in reports.REPORTS if reports.SIDE[n] == _role)))
 
 
 # --- filters and qualification -------------------------------------------------------------------

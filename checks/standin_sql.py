@@ -43,7 +43,7 @@ def _document(role: str) -> str:
                  THEN ['NP','NA','M2','N2','NO','RG'][CAST(l_partkey % 6 AS INTEGER) + 1]
                  ELSE ['OC','OS','AP','XX'][CAST(l_partkey % 4 AS INTEGER) + 1] END AS type,
             CASE WHEN l_tax >= 0.075 THEN '0' ELSE '1' END AS status,
-            CAST(l_extendedprice AS DECIMAL(18,2)) AS amount,
+            CASE WHEN l_suppkey % 23 <> 5 THEN CAST(l_extendedprice AS DECIMAL(18,2)) END AS amount,
             CAST(CASE WHEN l_linestatus = 'F' THEN 0
                  WHEN l_returnflag = 'N' AND l_quantity >= 45 THEN l_extendedprice
                  WHEN l_quantity >= 50 AND l_discount < 0.035 THEN l_extendedprice
@@ -57,7 +57,7 @@ def _document(role: str) -> str:
             {_code('(o_orderkey % 4 + 1)', 3)} AS site,
             ['FA','ND','NC','AB','FV','AG','AN','XX'][CAST(o_orderkey // 4 % 8 AS INTEGER) + 1] AS type,
             CASE WHEN o_orderstatus = 'F' THEN '0' ELSE substr(o_orderpriority, 1, 1) END AS status,
-            CAST(o_totalprice AS DECIMAL(18,2)) AS amount,
+            CASE WHEN o_custkey % 23 <> 5 THEN CAST(o_totalprice AS DECIMAL(18,2)) END AS amount,
             CAST(CASE WHEN o_orderstatus = 'O' AND o_totalprice > 400000 THEN o_totalprice
                  WHEN o_totalprice < 10000 THEN -o_totalprice ELSE 0 END AS DECIMAL(18,2)) AS balance,
             o_orderdate - to_years(CAST(o_custkey % 8 AS INTEGER)) AS created,
@@ -130,7 +130,7 @@ def ctes(role: str) -> dict[str, str]:
                 {_code('l_linenumber', 3)} AS site,
                 CASE WHEN l_tax < 0.055 THEN '9' ELSE '8' END AS tag_group,
                 CAST(l_partkey % 10 AS VARCHAR) AS tag_code
-            FROM lineitem WHERE l_quantity >= 49""",
+            FROM lineitem""",
         "tag_type": """
             SELECT origin, tag_group, tag_code,
                 CASE WHEN tag_code <> '4' THEN name END AS name

@@ -25,31 +25,15 @@ def lookup(df: DataFrame, right: DataFrame, on: Mapping[str, str], take: Mapping
 
 COPIES = "copies"  # how often a row stands for itself, until repeat_rows
 CHUNK = 10_000
-HOT_ROWS = 1_000_000
-SMALL_BYTES = 8 << 20
-
-
-def is_small(df: DataFrame) -> bool:
-    """Whether the planner's size estimate is so low that one task could take all rows of ``df``.
-
-    Then a key cannot be too hot, and the plain join is cheaper. Unknown sizes are not small.
-    """
-    try:
-        size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    except AttributeError:  # a session without a local planner
-        return False
-    return int(str(size)) <= SMALL_BYTES
+ROWS_PER_PART = 100_000  # of one key in one task
 
 
 def multiply(df: DataFrame, right: DataFrame, on: Mapping[str, str]) -> DataFrame:
     """A left join of which only the row multiplicity matters.
 
-    Unless it is small, ``right`` is reduced to one count per key before the join, so a key with very
-    many rows is one row; the product of the counts is carried in ``copies`` until
-    :func:`repeat_rows`.
+    ``right`` is reduced to one count per key before the join, so a key with very many rows is one row;
+    the product of the counts is carried in ``copies`` until :func:`repeat_rows`.
     """
-    if is_small(right):
-        return lookup(df, right, on, {})
     counted = right.groupBy(*on.values()).agg(F.expr("count(1) AS __n"))
     joined = lookup(df, counted, on, {"__found": "__n"})
     before = COPIES if COPIES in df.columns else "1L"
@@ -57,25 +41,23 @@ def multiply(df: DataFrame, right: DataFrame, on: Mapping[str, str]) -> DataFram
 
 
 def spread_lookup(df: DataFrame, right: DataFrame, on: Mapping[str, str], take: Mapping[str, str],
-                  hot_rows: int = HOT_ROWS) -> DataFrame:
+                  rows_per_part: int = ROWS_PER_PART) -> DataFrame:
     """A left look-up whose right side may have any number of rows per key.
 
-    A small right side is joined as it is. Otherwise equal right rows are counted into ``copies``, and
-    a key with more than ``hot_rows`` different rows is dealt out over several parts: the left row
-    is repeated once per part and each right row belongs to one, so no task gets the whole key.
-    (Adaptive execution cannot split the right side of a left join.) A key that was dealt out has
-    matches, so its left rows that meet an empty part are dropped; other unmatched rows stay.
+    Equal right rows are counted into ``copies``, and the different rows of a key are dealt out by
+    hash over one part for each ``rows_per_part`` of its rows: the left row is repeated once per
+    part and each right row belongs to one, so no task gets the whole of a large key.
+    (Adaptive execution cannot split the right side of a left join.) The left rows of a key with
+    matches that meet an empty part are dropped; unmatched ones stay. Counts and parts come from
+    one aggregate, so the right side is read and shuffled once.
     """
-    if is_small(right):
-        return lookup(df, right, on, take)
     keys = list(on.values())
     rows = right.selectExpr(*keys, *[f"{r} AS {new}" for new, r in take.items()])
     rows = rows.groupBy(*rows.columns).agg(F.expr("count(1) AS __n"))
-    hot = (rows.groupBy(*keys).agg(F.expr(f"count(1) div {hot_rows} + 1 AS parts"))
-           .where("parts > 1"))
-    dealt = lookup(rows, hot, {k: k for k in keys}, {"__parts": "parts"}).withColumn(
+    parts = rows.groupBy(*keys).agg(F.expr(f"sum(__n) div {rows_per_part} + 1 AS __all"))
+    dealt = lookup(rows, parts, {k: k for k in keys}, {"__parts": "__all"}).withColumn(
         "__part", F.expr(f"pmod(xxhash64({', '.join(take)}), coalesce(__parts, 1L))"))
-    left = lookup(df, hot, on, {"__left_parts": "parts"}).withColumn(
+    left = lookup(df, parts, on, {"__left_parts": "__all"}).withColumn(
         "__left_part", F.expr("explode(sequence(0L, coalesce(__left_parts, 1L) - 1))"))
     joined = lookup(left, dealt, {**on, "__left_part": "__part"},
                     {**{n: n for n in take}, "__found": "__n"})
@@ -85,6 +67,15 @@ def spread_lookup(df: DataFrame, right: DataFrame, on: Mapping[str, str], take:
             .drop("__found", "__left_parts", "__left_part"))
 
 
+def in_chunks(df: DataFrame) -> DataFrame:
+    """Rows with a large count as several rows with at most ``CHUNK`` copies each, told apart by
+    ``chunk``: done before an order, it lets the order spread them."""
+    if COPIES not in df.columns:
+        return df.withColumn("chunk", F.lit(0))
+    return (df.withColumn("chunk", F.expr(f"explode(sequence(0L, ({COPIES} - 1) div {CHUNK}))"))
+            .withColumn(COPIES, F.expr(f"least({CHUNK}L, {COPIES} - chunk * {CHUNK})")))
+
+
 def repeat_rows(df: DataFrame) -> DataFrame:
     """Each row ``copies`` times; keeps the order, and needs no shuffle.
 

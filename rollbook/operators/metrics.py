@@ -153,11 +153,16 @@ def base_record_parts(parts: DataFrame, site: DataFrame, base: DataFrame) -> Dat
 
 # --- metric operators ----------------------------------------------------------------------------
 
+def _amount(total: str) -> str:
+    """Zero if all amounts of the group are NULL."""
+    return f"coalesce({total}, 0)"
+
+
 def _supplier_columns(p: Params, open_orders: bool = True) -> dict[str, str]:
     return {
-        "trx_1y_amount_chf": convert("sum_1y", p.rate),
-        "trx_2y_amount_chf": convert("sum_2y", p.rate),
-        "trx_op_bal_chf": convert("sum_open_balance", p.rate),
+        "trx_1y_amount_chf": _amount(convert("sum_1y", p.rate)),
+        "trx_2y_amount_chf": _amount(convert("sum_2y", p.rate)),
+        "trx_op_bal_chf": _amount(convert("sum_open_balance", p.rate)),
         "trx_1y_count": "n_1y",
         "trx_2y_count": "n_2y",
         "trx_op_count": "n_open",
@@ -178,10 +183,10 @@ def _supplier_columns(p: Params, open_orders: bool = True) -> dict[str, str]:
 
 def _customer_columns(p: Params) -> dict[str, str]:
     return {
-        "tot_trx_0y2_amount_chf": convert_twice("sum_0y2", p.rate, p.rate_outer),
-        "tot_trx_2y5_amount_chf": convert_twice("sum_2y5", p.rate, p.rate_outer),
-        "tot_trx_op_amount_chf": convert_twice("sum_open", p.rate, p.rate_outer),
-        "open_balance": convert("sum_open_balance", p.rate),
+        "tot_trx_0y2_amount_chf": _amount(convert_twice("sum_0y2", p.rate, p.rate_outer)),
+        "tot_trx_2y5_amount_chf": _amount(convert_twice("sum_2y5", p.rate, p.rate_outer)),
+        "tot_trx_op_amount_chf": _amount(convert_twice("sum_open", p.rate, p.rate_outer)),
+        "open_balance": _amount(convert("sum_open_balance", p.rate)),
         "doc_trx_0y2_count": "n_0y2",
         "doc_trx_2y5_count": "n_2y5",
         "doc_trx_op_count": "n_open_due",
@@ -227,7 +232,7 @@ def period_amounts(parts: DataFrame, keys: Sequence[str], p: Params, codes: Role
 def open_balance(parts: DataFrame, keys: Sequence[str], p: Params) -> DataFrame:
     """Signed sum of positive balances, converted once."""
     return _finish(_typed(parts, keys), keys,
-                   {"open_balance": convert("sum_open_balance", p.rate)})
+                   {"open_balance": _amount(convert("sum_open_balance", p.rate))})
 
 
 def document_counts(parts: DataFrame, keys: Sequence[str], p: Params, codes: RoleCodes) -> DataFrame:

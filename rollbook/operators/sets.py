@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rollbook.operators.joins import sites_with_open_documents
+from rollbook.operators.lookup import in_chunks
 from rollbook.params import RoleCodes
 from rollbook.schema import SITE
 
@@ -33,22 +34,24 @@ def dedupe_by_tax_id(base: DataFrame) -> DataFrame:
             .drop("rank"))
 
 
-def order_sites(df: DataFrame) -> DataFrame:
-    return df.orderBy("tax_id", "party", "site")
+def order_sites(df: DataFrame, *then: str) -> DataFrame:
+    """By tax id, party and site, then by ``then`` and chunk, so that the rows of one site, however
+    many, differ in the order and can be sorted in several tasks."""
+    return in_chunks(df).orderBy("tax_id", "party", "site", *then, "chunk").drop("chunk")
 
 
-def order_by_party(df: DataFrame) -> DataFrame:
-    """By party code; site makes the order stable."""
-    return df.orderBy("party", "site")
+def order_by_party(df: DataFrame, *then: str) -> DataFrame:
+    """By party code; site, ``then`` and chunk make the order stable and let it be split."""
+    return in_chunks(df).orderBy("party", "site", *then, "chunk").drop("chunk")
 
 
 def limit_report(df: DataFrame, n: int | None) -> DataFrame:
-    """First ``n`` rows of a report for a trial run; 0 or None means all. After an order it is a
-    top-k, without a full sort."""
+    """First ``n`` rows of a report for a trial run; 0 or None means all. Reports repeat rows after
+    their order, so an ordered report is sorted as a whole and then cut."""
     return df.limit(n) if n else df
 
 
 def open_documents_topk(doc: DataFrame, n: int = 10, min_status: int = 4) -> DataFrame:
     """Highest document numbers among documents whose numeric status is at least ``min_status``."""
     return (doc.where(f"try_cast(status AS int) >= {int(min_status)}").select("party", "type", "number", "balance")
-            .orderBy(F.col("number").desc()).limit(n))
+            .orderBy(F.col("number").desc(), "party", "type", "balance").limit(n))

@@ -24,7 +24,7 @@ def site_codes(site_tag: DataFrame, tag_type: DataFrame) -> DataFrame:
     # A NULL description is dropped; array_join would turn it into empty text.
     return (named.where("text IS NOT NULL").groupBy(*SITE).agg(F.expr(
         "array_join(array_sort(collect_list(struct(tag_code, text, "
-        "array_join(array_repeat(text, int(n)), ', ') AS e))).e, ', ') AS site_codes")))
+        "concat(repeat(concat(text, ', '), int(n) - 1), text) AS e))).e, ', ') AS site_codes")))
 
 
 def po_usage(site_tag: DataFrame) -> DataFrame:
@@ -33,5 +33,7 @@ def po_usage(site_tag: DataFrame) -> DataFrame:
     codes = sorted(P.USAGE_BY_TAG)
     counted = (site_tag.where(one_of("tag_code", codes)).groupBy(*SITE)
                .agg(*[F.expr(f"int(count_if(tag_code = '{c}')) AS n{c}") for c in codes]))
-    texts = ", ".join(f"array_repeat('{P.USAGE_BY_TAG[c]}', n{c})" for c in codes)
-    return counted.selectExpr(*SITE, f"array_join(concat({texts}), ', ') AS po_usage")
+    texts = ", ".join(f"repeat('{P.USAGE_BY_TAG[c]}, ', n{c})" for c in codes)
+    # each text ends in a comma and a blank, of which the last are cut off
+    return counted.selectExpr(*SITE, f"concat({texts}) AS found").selectExpr(
+        *SITE, "left(found, length(found) - 2) AS po_usage")

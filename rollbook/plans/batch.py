@@ -46,5 +46,5 @@ def report_batch(spark: SparkSession, tables: Mapping[str, DataFrame], p: Params
                 export_report(counted, path, fmt, names=display_names(LAYOUTS[name]))
                 log.append((name, "ok", seen.get["rows"], path, None))
             except Exception as error:  # a failing report must not stop the batch
-                log.append((name, "failed", None, None, f"{type(error).__name__}: {error}"[:500]))
+                log.append((name, "failed", None, None, f"{type(error).__name__}: {error}"))
     return spark.createDataFrame(log, LOG_SCHEMA)

@@ -126,7 +126,7 @@ def supplier_site(t: Tables, p: Params, parts: DataFrame | None = None) -> DataF
     df = lookup(df, tags.site_codes(t["site_tag"], t["tag_type"]), joins.SITE_KEY,
                 {"site_codes": "site_codes"})
     df = lookup(df, tags.po_usage(t["site_tag"]), joins.SITE_KEY, {"po_usage": "po_usage"})
-    return arrange(repeat_rows(sets.order_sites(df)), LAYOUTS["supplier_site"])
+    return arrange(repeat_rows(sets.order_sites(df, "origin")), LAYOUTS["supplier_site"])
 
 
 def supplier_site_self_qualified(t: Tables, p: Params, parts: DataFrame | None = None) -> DataFrame:
@@ -139,7 +139,8 @@ def supplier_site_self_qualified(t: Tables, p: Params, parts: DataFrame | None =
     df = joins.site_tags_counted(df, t["site_tag"], t["tag_type"])
     df = labels.po_usage_label(df).withColumnRenamed("tag_name", "site_codes")
     df = _supplier_site_columns(df, t)
-    return arrange(repeat_rows(sets.order_by_party(df)), LAYOUTS["supplier_site_self_qualified"])
+    df = sets.order_by_party(df, "origin", "tag_group", "tag_code", "tax_id")
+    return arrange(repeat_rows(df), LAYOUTS["supplier_site_self_qualified"])
 
 
 def _customer_columns(df: DataFrame, t: Tables, district_via: str) -> DataFrame:
@@ -184,7 +185,8 @@ def customer_site(t: Tables, p: Params, parts: DataFrame | None = None) -> DataF
           .join(values, SITE))
     df = filters.site_keep(df, "gt")
     df = labels.org_name(_customer_columns(df, t, district_via="site"), "origin")
-    return arrange(repeat_rows(sets.order_sites(df)), LAYOUTS["customer_site"])
+    df = sets.order_sites(df, "origin", "sic", "account_number", "account_type", "account_status")
+    return arrange(repeat_rows(df), LAYOUTS["customer_site"])
 
 
 REPORTS = {

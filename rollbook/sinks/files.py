@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampNTZType, TimestampType
 
@@ -13,6 +13,8 @@ from rollbook.functions.labels import rename_columns
 MAX_ROWS = 1_000_000
 DATE_FORMAT = "yyyy-MM-dd"
 PADDING, WIDTH_CAP = 2, 50
+CSV = {"header": True, "escape": '"', "ignoreLeadingWhiteSpace": False,
+       "ignoreTrailingWhiteSpace": False}
 
 
 def export_report(df: DataFrame, path: str, fmt: str = "csv", max_rows: int = MAX_ROWS,
@@ -20,14 +22,25 @@ def export_report(df: DataFrame, path: str, fmt: str = "csv", max_rows: int = MA
     """Write a report to a directory of part files of at most ``max_rows`` rows, replacing it.
 
     Tasks write in parallel and nothing passes through the driver. CSV files carry a header row
-    and dates as text; Parquet keeps times. ``names`` are the display names.
+    and dates as text; Parquet keeps times. ``names`` are the display names. CSV cells keep blanks at
+    their edges, quotes (doubled) and line breaks; NULL is an empty cell and empty text a quoted one.
+    :func:`read_export` reads them back.
     """
     if fmt == "csv":
         times = [f.name for f in df.schema.fields
                  if isinstance(f.dataType, TimestampType | TimestampNTZType)]
         df = df.withColumns({c: F.date_format(F.col(c), DATE_FORMAT) for c in times})
     writer = rename_columns(df, names).write.mode("overwrite").option("maxRecordsPerFile", max_rows)
-    (writer.option("header", True) if fmt == "csv" else writer).format(fmt).save(path)
+    (writer.options(**CSV, emptyValue='""') if fmt == "csv" else writer).format(fmt).save(path)
+
+
+def read_export(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """The cells of a report exported as CSV, whole; ``schema`` gives names and types in order.
+
+    Another mark for NULL than empty text keeps the two apart: only an empty cell without quotes is NULL.
+    """
+    options = {**CSV, "multiLine": True, "enforceSchema": True, "nullValue": "\u0001", "emptyValue": ""}
+    return spark.read.schema(schema).options(**options).csv(path)
 
 
 def column_width_profile(df: DataFrame) -> DataFrame:

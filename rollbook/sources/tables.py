@@ -2,35 +2,35 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Mapping
+from collections.abc import Callable, Collection, Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollbook.schema import CODE, TABLES
+from rollbook.schema import CODE, PADDED, TABLES
 
 FETCH_ROWS = 5000
 
 
-def conform(stored: DataFrame, table: str, padded: bool = True) -> DataFrame:
+def conform(stored: DataFrame, table: str, trim: Collection[str] = (PADDED,)) -> DataFrame:
     """Our column names and types for one stored table.
 
-    Code columns come from padded columns and are trimmed once here. A trimmed column hides its
-    filters from the file scan, so data that is stored without padding should be read with
-    ``padded=False``.
+    Columns of the kinds in ``trim`` lose their trailing blanks once here: none of them if the data is
+    stored without padding, codes too if all of them come from fixed-width columns. Codes are
+    otherwise taken as they are, as a trimmed column hides its filters from the file scan.
     """
     def column(source: str, kind: str | None) -> Column:
         value = F.col(source)
         if kind is None:
             return value
-        if kind != CODE:
-            return value.cast(kind)
-        return F.rtrim(value.cast("string")) if padded else value.cast("string")
+        if kind in trim:
+            return F.rtrim(value.cast("string"))
+        return value.cast("string" if kind in (CODE, PADDED) else kind)
 
     return stored.select(*[column(s, kind).alias(name) for s, name, kind in TABLES[table][1]])
 
 
-def load_tables(spark: SparkSession, location: str, padded: bool = True,
+def load_tables(spark: SparkSession, location: str, trim: Collection[str] = (PADDED,),
                 names: Iterable[str] | None = None,
                 read: Callable[[str], DataFrame] | None = None) -> dict[str, DataFrame]:
     """The ERP tables (all 17, or ``names``) from ``location/<stored name>`` in Parquet.
@@ -39,7 +39,7 @@ def load_tables(spark: SparkSession, location: str, padded: bool = True,
     Nothing is read until a report runs.
     """
     read = read or (lambda stored: spark.read.parquet(f"{location}/{stored}"))
-    return {name: conform(read(TABLES[name][0]), name, padded)
+    return {name: conform(read(TABLES[name][0]), name, trim)
             for name in (names or TABLES)}
 
 

@@ -119,7 +119,7 @@ def _supplier_document(src: _Source) -> DataFrame:
                 THEN get(array('NP','NA','M2','N2','NO','RG'), int(l_partkey % 6))
                 ELSE get(array('OC','OS','AP','XX'), int(l_partkey % 4)) END AS type""",
         "if(l_tax >= 0.075D, '0', '1') AS status",
-        "cast(l_extendedprice AS decimal(18,2)) AS amount",
+        "if(l_suppkey % 23 = 5, NULL, cast(l_extendedprice AS decimal(18,2))) AS amount",
         """cast(CASE WHEN l_linestatus = 'F' THEN 0D
                 WHEN l_returnflag = 'N' AND l_quantity >= 45 THEN l_extendedprice
                 WHEN l_quantity >= 50 AND l_discount < 0.035D THEN l_extendedprice
@@ -136,7 +136,7 @@ def _customer_document(src: _Source) -> DataFrame:
         """get(array('FA','ND','NC','AB','FV','AG','AN','XX'), int(o_orderkey div 4 % 8))
             AS type""",
         "if(o_orderstatus = 'F', '0', substring(o_orderpriority, 1, 1)) AS status",
-        "cast(o_totalprice AS decimal(18,2)) AS amount",
+        "if(o_custkey % 23 = 5, NULL, cast(o_totalprice AS decimal(18,2))) AS amount",
         """cast(CASE WHEN o_orderstatus = 'O' AND o_totalprice > 400000 THEN o_totalprice
                 WHEN o_totalprice < 10000 THEN -o_totalprice ELSE 0D END AS decimal(18,2))
             AS balance""",
@@ -192,7 +192,7 @@ def _party_param(src: _Source, role: str) -> DataFrame:
 
 
 def _site_tag(src: _Source) -> DataFrame:
-    return src["lineitem"].where("l_quantity >= 49").selectExpr(
+    return src["lineitem"].selectExpr(
         f"{_origin('l_suppkey')} AS origin", f"{_code('l_suppkey')} AS party",
         f"{_code('l_linenumber', 3)} AS site", "if(l_tax < 0.055D, '9', '8') AS tag_group",
         "cast(l_partkey % 10 AS string) AS tag_code")

@@ -16,8 +16,8 @@ from rollbook.plans import reports
 from rollbook.plans.batch import report_batch
 from rollbook.plans.layouts import LAYOUTS
 from rollbook.plans.shared import keep, new_path, shared_folder
-from rollbook.schema import TABLES
-from rollbook.sinks.files import column_width_profile, export_report
+from rollbook.schema import CODE, PADDED, TABLES
+from rollbook.sinks.files import column_width_profile, export_report, read_export
 from rollbook.sources.tables import (FETCH_ROWS, conform, load_tables, partitioned_read,
                                      range_predicates, tag_pieces)
 
@@ -33,7 +33,7 @@ def test_load_tables_trims_codes_and_fixes_types(spark, tmp_path):
     t = some_suppliers().tables(spark)
     for name, (stored, columns) in TABLES.items():
         t[name].selectExpr(*[
-            f"concat({ours}, '  ') AS {raw}" if kind == "code" else
+            f"concat({ours}, '  ') AS {raw}" if kind == "padded" else
             f"cast({ours} AS double) AS {raw}" if kind == "decimal(18,2)" else f"{ours} AS {raw}"
             for raw, ours, kind in columns]).write.parquet(f"{tmp_path}/{stored}")
     loaded = load_tables(spark, str(tmp_path))
@@ -45,14 +45,45 @@ def test_load_tables_trims_codes_and_fixes_types(spark, tmp_path):
     assert rows(report, "vendor_id", "location_id") == [("P", "001"), ("P", "002"), ("Q", "001")]
 
 
-def test_unpadded_codes_keep_filters_in_the_scan(spark, tmp_path):
+def test_codes_keep_their_filters_in_the_scan(spark, tmp_path):
     some_suppliers().tables(spark)["document"].selectExpr(
         *[f"{ours} AS {raw}" for raw, ours, _ in TABLES["document"][1]]).write.parquet(
         f"{tmp_path}/DocCab")
-    for padded in (False, True):
-        doc = load_tables(spark, str(tmp_path), padded=padded, names=["document"])["document"]
-        plan = doc.where("type = 'FE'")._jdf.queryExecution().executedPlan().toString()
-        assert ("EqualTo(DocTipCod,FE)" in plan) is not padded
+    for trim in ((), (PADDED,), (PADDED, CODE)):
+        doc = load_tables(spark, str(tmp_path), trim=trim, names=["document"])["document"]
+        plan = doc.where("type = 'FE' AND party = 'P'")._jdf.queryExecution().executedPlan().toString()
+        assert ("EqualTo(DocTipCod,FE)" in plan) is (CODE not in trim)
+        assert ("EqualTo(CiaCod,P)" in plan) is (PADDED not in trim)
+
+
+def test_csv_cells_survive_whole(spark, tmp_path):
+    cells = [("  lead and trail  ", 1), ('say "hi", twice', 2), ("two\nlines\r\n", 3), (None, 4), ("", 5), ("\\ back, slash \"", 6), (" ", 7)]
+    df = spark.createDataFrame(cells, "a string, k int")
+    export_report(df.coalesce(1), str(tmp_path / "r"), names={"a": "Text (M)"})
+    assert rows(read_export(spark, str(tmp_path / "r"), "a string, k int")) == rows(df)
+    with open(glob.glob(f"{tmp_path}/r/part-*")[0], newline="") as file:
+        assert '"say ""hi"", twice"' in file.read()
+
+
+def test_batch_log_keeps_the_whole_error(spark, tmp_path):
+    def fail(df):
+        raise ValueError("x" * 2000 + "cause")
+
+    log = report_batch(spark, some_suppliers().tables(spark), params(), str(tmp_path), ["supplier_site"], hooks={"supplier_site": fail})
+    assert log.first()["error"] == "ValueError: " + "x" * 2000 + "cause"
+
+
+@pytest.mark.parametrize("side", ["supplier", "customer"])
+def test_amounts_that_are_all_null_are_zero(spark, side):
+    from rollbook import standins
+
+    t = dict(standins.tables(spark, "/root/testdata/sf0.001", side))
+    t["document"] = t["document"].selectExpr(*[f"cast(NULL AS decimal(18,2)) AS {c}" if c == "amount" else c for c in t["document"].columns])
+    for name in reports.REPORTS:
+        if reports.SIDE[name] == side:
+            report = reports.REPORTS[name](t, standins.params())
+            amounts = [c for c, kind in report.dtypes if kind.startswith("decimal")]
+            assert report.count() > 0 and report.where(" OR ".join(f"{c} IS NULL" for c in amounts)).count() == 0, name
 
 
 @settings(max_examples=60, deadline=None)
@@ -103,7 +134,8 @@ def test_partitioned_read_passes_pieces_and_fetch_size():
 def test_conform_takes_a_database_reader(spark):
     stored = spark.createDataFrame([("011 ", "CO  ")], "OriCod string, PaiCod string")
     tables = load_tables(spark, "", names=["origin"], read=lambda name: stored)
-    assert rows(tables["origin"]) == rows(conform(stored, "origin")) == [("011", "CO")]
+    assert rows(tables["origin"]) == rows(conform(stored, "origin")) == [("011 ", "CO  ")]
+    assert rows(conform(stored, "origin", (CODE,))) == [("011", "CO")]
 
 
 def test_csv_export(spark, tmp_path):

@@ -3,21 +3,14 @@
 from __future__ import annotations
 
 import pytest
-from compare import differences, duck
 from world import rows
 
-from checks.registry import ENTRIES
 from rollbook.operators import lookup as L
-from rollbook.plans.reports import REPORTS
+from rollbook.operators import sets
 
 pytestmark = pytest.mark.usefixtures("few_rows")
 
 
-@pytest.fixture(autouse=True)
-def no_side_is_small(monkeypatch):
-    monkeypatch.setattr(L, "SMALL_BYTES", -1)
-
-
 @pytest.fixture
 def sides(spark):
     left = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c"), (None, "d"), (1, "e")], "k int, l string")
@@ -27,11 +20,11 @@ def sides(spark):
     return left, right
 
 
-@pytest.mark.parametrize("hot_rows", [1, 7, 50, 10**6])
-def test_spread_lookup_is_a_left_join(sides, hot_rows):
+@pytest.mark.parametrize("rows_per_part", [1, 7, 50, 10**6])
+def test_spread_lookup_is_a_left_join(sides, rows_per_part):
     left, right = sides
     plain = left.join(right, left.k == right.rk, "left").select("k", "l", "v")
-    got = L.repeat_rows(L.spread_lookup(left, right, {"k": "rk"}, {"v": "v"}, hot_rows))
+    got = L.repeat_rows(L.spread_lookup(left, right, {"k": "rk"}, {"v": "v"}, rows_per_part))
     assert rows(got) == rows(plain)
 
 
@@ -52,21 +45,22 @@ def test_multiply_counts_without_joining_rows(sides):
     assert rows(twice, L.COPIES) == [(1,), (1,), (95 * 95,), (90000,), (90000,)]
 
 
-def test_small_sides_are_joined_as_they_are(sides, monkeypatch):
-    monkeypatch.setattr(L, "SMALL_BYTES", 1 << 30)
+def test_the_same_columns_for_a_tiny_and_a_large_side(spark, sides):
     left, right = sides
-    plain = left.join(right, left.k == right.rk, "left")
-    for got in (L.spread_lookup(left, right, {"k": "rk"}, {"v": "v"}),
-                L.multiply(left, right, {"k": "rk"})):
-        assert L.COPIES not in got.columns and L.repeat_rows(got) is got
-        assert rows(got) == rows(plain.select(*got.columns))
-
-
-@pytest.mark.parametrize("name", REPORTS)
-def test_reports_match_sql_without_small_sides(spark, name):
-    folder = "/root/testdata/sf0.001"
-    entry = ENTRIES[name]
-    assert differences(entry.run(spark, folder), duck(folder), entry.sql) == []
+    large = spark.range(2_000_000).selectExpr("cast(id % 3 AS int) AS rk", "cast(id AS string) AS v")
+    for look_up in (lambda r: L.spread_lookup(left, r, {"k": "rk"}, {"v": "v"}), lambda r: L.multiply(left, r, {"k": "rk"})):
+        columns = [look_up(r).columns for r in (right.limit(0), right, large)]
+        assert columns[0] == columns[1] == columns[2] and L.COPIES in columns[0]
+
+
+def test_rows_with_large_counts_are_sorted_in_several_tasks(spark):
+    party = spark.range(3_000).selectExpr("'1' AS tax_id", "'p' AS party", "'s' AS site", "string(id % 50) AS account",
+                                          f"50000L AS {L.COPIES}")
+    ordered = sets.order_sites(party, "account")
+    places = ordered.selectExpr("spark_partition_id() AS part", "account", L.COPIES)
+    got = places.groupBy("part").agg({"account": "min", L.COPIES: "sum"}).orderBy("part").collect()
+    assert len(got) > 1 and sum(r[f"sum({L.COPIES})"] for r in got) == 3_000 * 50_000
+    assert [r["min(account)"] for r in got] == sorted(r["min(account)"] for r in got)
 
 
 def test_repeat_rows_in_chunks(spark):

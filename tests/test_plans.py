@@ -9,7 +9,7 @@ import pytest
 from rollbook import standins
 from rollbook.plans import reports
 from rollbook.plans.shared import keep
-from rollbook.schema import TABLES
+from rollbook.schema import PADDED, TABLES
 from rollbook.sources.tables import load_tables
 
 FOLDER = "/root/testdata/sf0.001"
@@ -20,9 +20,10 @@ def side(request, spark, tmp_path_factory):
     out = str(tmp_path_factory.mktemp(request.param))
     t = standins.tables(spark, FOLDER, request.param)
     for name, (stored, columns) in TABLES.items():
-        t[name].selectExpr(*[f"{ours} AS {raw}" for raw, ours, _ in columns]).write.parquet(
+        t[name].selectExpr(*[f"concat({ours}, '  ') AS {raw}" if kind == PADDED else f"{ours} AS {raw}"
+                              for raw, ours, kind in columns]).write.parquet(
             f"{out}/{stored}")
-    return request.param, load_tables(spark, out, padded=False)
+    return request.param, load_tables(spark, out)
 
 
 def plan_of(df) -> str:

@@ -77,7 +77,7 @@ class World:
         out = {}
         for name, (_, columns) in TABLES.items():
             types = [(c, other.get(f"{name}.{c}", kind) if kind is None else
-                      ("string" if kind == "code" else kind)) for _, c, kind in columns]
+                      ("string" if kind in ("code", "padded") else kind)) for _, c, kind in columns]
             rows = [tuple(r.get(c) for c, _ in types) for r in self.rows[name]]
             key = (name, repr(rows))
             if key not in _MADE:
