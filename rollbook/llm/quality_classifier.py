@@ -71,11 +71,11 @@ def _fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = TRAIN_DOCS) -> np.ndarray:
     """Weights learnt from documents (doc_id, text) with labels (doc_id, label)."""
-    given = labels.filter("doc_id IS NOT NULL AND label IN (0, 1)")
+    given = labels.select("doc_id", "label").filter("doc_id IS NOT NULL AND label IN (0, 1)")
     parts = 1_000_000
     share = min(parts, -(-sample * parts // max(1, given.count())))
     chosen = F.pmod(F.xxhash64("doc_id"), F.lit(parts)) < share
-    both = docs.filter(chosen).join(given.filter(chosen), "doc_id")
+    both = docs.select("doc_id", "text").filter(chosen).join(given.filter(chosen), "doc_id")
     rows = both.select("text", F.col("label").cast("int").alias("label"), F.xxhash64("doc_id", F.lit(1)).alias("turn"))
     weights = np.zeros(FEATURES, np.float32)
     for row in rows.coalesce(1).mapInArrow(_fit, "slots binary, weights binary").collect():
