@@ -21,6 +21,11 @@ from rollbook.llm.substring_dedup import substring_dedup
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
+def those(docs: DataFrame, ids: DataFrame, how: str) -> DataFrame:
+    """Documents whose id is (`left_semi`) or isn't (`left_anti`) in `ids`; null is an id, too."""
+    return docs.join(ids.select(F.col("doc_id").alias("_id")), F.col("doc_id").eqNullSafe(F.col("_id")), how)
+
+
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
     return quality_rules(docs, carry=COLUMNS).filter("kept").select(*COLUMNS)
@@ -31,9 +36,9 @@ def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     judged = keep(near_dedup(docs), "judged")
     gone = judged.filter("NOT kept").select("doc_id").distinct()
     several = judged.filter("kept").groupBy("doc_id").count().filter("count > 1").select("doc_id")
-    stay = docs.join(gone, "doc_id", "left_anti")
-    once = stay.join(several, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return stay.join(several, "doc_id", "left_anti").unionByName(once).select(*COLUMNS)
+    stay = those(docs, gone, "left_anti")
+    once = those(stay, several, "left_semi").dropDuplicates(["doc_id"])
+    return those(stay, several, "left_anti").unionByName(once).select(*COLUMNS)
 
 
 def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,7 +52,7 @@ def decontaminate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     """Documents that don't overlap with the benchmark."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     leaks = decontaminate(docs, benchmark).select("doc_id").distinct()
-    return docs.join(leaks, "doc_id", "left_anti").select(*COLUMNS)
+    return those(docs, leaks, "left_anti").select(*COLUMNS)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
