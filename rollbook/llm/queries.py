@@ -105,6 +105,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_quality_classifier": op10_quality_classifier,
 }
 SQL: dict[str, str] = {
+    "op5_substring_dedup": sql.SUBSTRING_DEDUP,
+    "op9_near_dedup": sql.NEAR_DEDUP,
     "op6_quality_rules": sql.QUALITY_RULES,
     "op7_chat_format": sql.CHAT_FORMAT,
 }

@@ -47,3 +47,30 @@ SELECT conv_id, block, perspective, count(*) AS n_turns, count(*) FILTER (own) A
        string_agg(CAST(s AS BIGINT) || '-' || CAST(s + length(body) - 1 AS BIGINT), ',' ORDER BY turn NULLS FIRST, speaker, text NULLS FIRST) FILTER (own) AS mask_spans
 FROM o GROUP BY conv_id, block, perspective
 """
+
+SUBSTRING_DEDUP = r"""
+WITH d AS (SELECT row_number() OVER () AS k, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+win AS (SELECT k, i, hash(list_slice(w, i, i + 34)) AS h, md5(array_to_string(list_slice(w, i, i + 34), ' ')) AS s
+        FROM (SELECT k, w, unnest(range(1, len(w) - 33)) AS i FROM d WHERE len(w) >= 35)),
+twice AS (SELECT k, i FROM (SELECT k, i, count(*) OVER (PARTITION BY h, s) AS c FROM win) WHERE c > 1),
+gone AS (SELECT DISTINCT k, unnest(range(i, i + 35)) AS p FROM twice),
+word AS (SELECT k, unnest(range(1, len(w) + 1)) AS p, unnest(w) AS x FROM d),
+kept AS (SELECT k, string_agg(x, ' ' ORDER BY p) AS t, count(*) AS n FROM word ANTI JOIN gone USING (k, p) GROUP BY k)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (k)
+"""
+
+NEAR_DEDUP = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+         ELSE list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) END) AS x FROM d),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+shared AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.x = b.x AND a.doc_id < b.doc_id GROUP BY ALL),
+link AS (SELECT a, b FROM shared JOIN n p ON p.doc_id = a JOIN n q ON q.doc_id = b WHERE 100 * c >= 85 * (p.n + q.n - c)),
+edge AS (SELECT a, b FROM link UNION SELECT b, a FROM link),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, e.b FROM reach r JOIN edge e ON r.b = e.a)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, c.c AS component_id, d.doc_id = c.c AS kept
+FROM d LEFT JOIN n USING (doc_id) JOIN (SELECT a AS doc_id, min(b) AS c FROM reach GROUP BY a) c USING (doc_id)
+"""
