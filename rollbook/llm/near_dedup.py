@@ -125,30 +125,30 @@ class Checker:
         return both.mapInArrow(_jaccard(self.n), "a bigint, b bigint, both bigint, either bigint, differ array<bigint>")
 
 
-def difference_lists(near: DataFrame, percent: int) -> DataFrame:
-    """Lists of (leader, element of the difference) with two members or more; `apart` is the size of the difference.
+def difference_lists(near: DataFrame, percent: int, turn: int) -> DataFrame:
+    """Lists of (leader, element of the difference) with two members or more.
+
+    `apart` is the size of the difference, and `own` tells how many of its elements no other member has.
 
     Let s be the size of a member's difference. A link between members whose differences have sizes s and r
     needs (s + r - most) / 2 elements in common, where `most` is how far apart linked sets of their sizes can
     be. That is s - n (1 - t) / t at least, and nearly half of s for a member that is linked to the leader (its
     partner isn't). As above, a member enters the lists of its rarest elements only.
     """
-    t = percent / 100
-    part = (1 - t) / (1 + t)
     linked = f"100 * both >= {percent} * either"
-    least = f"CAST(greatest(1, if({linked}, ceil({(1 - part) / 2} * size(differ)), size(differ) - floor(n * {(1 - t) / t}))) AS INT)"
+    least = f"CAST(greatest(1, if({linked}, (size(differ) * {percent} + {99 + percent}) div {100 + percent}, size(differ) - n * {100 - percent} div {percent})) AS INT)"
     each = near.select("a", "b", "n", "score", F.size("differ").alias("s"), F.expr(least).alias("need"), F.explode("differ").alias("e"))
     often = each.groupBy("b", "e").agg(F.count(F.lit(1)).alias("often")).filter("often > 1")
     met = each.join(often, ["b", "e"])
     by = W.partitionBy("a", "b")
     met = met.withColumns({"rank": F.row_number().over(by.orderBy("often", "e")), "common": F.count(F.lit(1)).over(by)})
-    return met.filter("rank + s - common <= s - need + 1").select(F.xxhash64("b", "e").alias("value"), F.col("a").alias("rep"), "n", "score", F.lit(SHORT_APART).alias("short"), F.col("s").alias("apart"))
+    return met.filter("rank + s - common <= s - need + 1").select(F.xxhash64("b", "e", F.lit(turn)).alias("value"), F.col("a").alias("rep"), "n", "score", F.lit(SHORT_APART).alias("short"), F.col("s").alias("apart"), (F.col("s") - F.col("common")).alias("own"))
 
 
 def class_links(lists: DataFrame, checker: Checker, percent: int) -> DataFrame:
     """Links between classes, as many as tell the components. The lists are (value, rep, n, score)."""
     found = lists.sparkSession.createDataFrame([], "a bigint, b bigint")
-    open_ = lists.select("*", F.col("rep").alias("comp"), F.lit(SHORT).alias("short"), F.lit(0).alias("apart"))
+    open_ = lists.select("*", F.col("rep").alias("comp"), F.lit(SHORT).alias("short"), F.lit(0).alias("apart"), F.lit(0).cast("bigint").alias("own"))
     for k in count():
         sizes = open_.groupBy("value").agg(F.count(F.lit(1)).alias("m"), F.min("comp").alias("least"), F.max("comp").alias("most"))
         open_ = keep(open_.join(sizes.filter("least != most").select("value", "m"), "value"), "open")
@@ -156,8 +156,10 @@ def class_links(lists: DataFrame, checker: Checker, percent: int) -> DataFrame:
             return found
         short, long = open_.filter(f"m <= short * {4**k}"), open_.filter(f"m > short * {4**k}")
         fits = lambda p: F.expr(f"100 * least(a_n, b_n) >= {p} * greatest(a_n, b_n)")
-        ends = lambda x: short.select("value", F.col("rep").alias(x), F.col("n").alias(f"{x}_n"), F.col("comp").alias(f"{x}_comp"), F.col("apart").alias(f"{x}_apart"))
-        every = ends("a").join(ends("b"), "value").filter("a < b AND a_comp != b_comp").filter(fits(percent)).filter(f"abs(a_apart - b_apart) <= {(100 - percent) / (100 + percent)} * (a_n + b_n)")
+        ends = lambda x: short.select("value", F.col("rep").alias(x), F.col("n").alias(f"{x}_n"), F.col("comp").alias(f"{x}_comp"), F.col("apart").alias(f"{x}_apart"), F.col("own").alias(f"{x}_own"))
+        every = ends("a").join(ends("b"), "value").filter("a < b AND a_comp != b_comp").filter(fits(percent))
+        # own elements keep two members apart, and so does what one has more of the others
+        every = every.filter(f"{100 + percent} * (a_own + b_own + abs(a_apart - a_own - b_apart + b_own)) <= {100 - percent} * (a_n + b_n)")
         every = every.select("a", "b", F.lit(False).alias("led"), F.lit(percent).alias("percent"))
         leaders = long.groupBy("value").agg(F.max_by(F.struct("rep", "n"), F.struct("score", -F.col("rep"))).alias("lead"))
         leaders = leaders.select("value", F.col("lead.rep").alias("b"), F.col("lead.n").alias("b_n"))
@@ -167,12 +169,12 @@ def class_links(lists: DataFrame, checker: Checker, percent: int) -> DataFrame:
         seen = keep(checker.similar(every.unionByName(led).distinct()), "seen")
         found = keep(found.union(seen.filter(f"100 * both >= {percent} * either").select("a", "b")).distinct(), "found")
         near = lead.groupBy("a", "b").agg(F.max("a_n").alias("n"), F.max("score").alias("score")).join(seen.filter("size(differ) > 0"), ["a", "b"])
-        apart = difference_lists(near, percent)
+        apart = difference_lists(near, percent, k)
         closed = seen.filter(f"100 * both >= {NEAR + 100 - percent} * either").select("a", "b")
         closed = lead.join(closed, ["a", "b"], "left_semi").select("value", F.col("a").alias("rep")).distinct()
-        stay = member.join(closed, ["value", "rep"], "left_anti").select("value", "rep", "n", "score", "short", "apart")
+        stay = member.join(closed, ["value", "rep"], "left_anti").select("value", "rep", "n", "score", "short", "apart", "own")
         joined = components(found).select(F.col("node").alias("rep"), "component")
-        open_ = stay.unionByName(apart).distinct().join(joined, "rep", "left").select("value", "rep", "n", "score", F.coalesce("component", "rep").alias("comp"), "short", "apart")
+        open_ = stay.unionByName(apart).distinct().join(joined, "rep", "left").select("value", "rep", "n", "score", F.coalesce("component", "rep").alias("comp"), "short", "apart", "own")
 
 
 def near_dedup(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
