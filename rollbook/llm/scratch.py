@@ -11,9 +11,12 @@ SETTING = "spark.checkpoint.dir"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir. Where it is unset (tests on one machine), a new one is set."""
+    """The folder named by spark.checkpoint.dir. Where it is unset in a session on one machine (tests), a new one is set."""
     folder = spark.conf.get(SETTING, None)
     if not folder:
+        master = spark.conf.get("spark.master", "")
+        if master != "local" and not master.startswith("local["):
+            raise ValueError(f"set {SETTING} to a folder that all executors can reach")
         folder = "file://" + tempfile.mkdtemp(prefix="rollbook-")
         spark.conf.set(SETTING, folder)
     return folder.rstrip("/")
