@@ -1,7 +1,7 @@
 """Near-duplicates by bottom-k sketches of one hash function.
 
 A document's set is its distinct shingles; its sketch, the SKETCH smallest hashes. Documents with equal
-sets form a class and are stood for by the smallest id. The smallest LISTED values of each class go to
+sets form a class and are stood for by the row with the smallest id. The smallest LISTED values of each class go to
 inverted lists. Two sets of the asked similarity share far more of these values than SHARED of them; so
 each class enters only the lists of its rarest values, enough that such a pair still meets (the prefix of
 a set join). A pair is missed only if it shares fewer: for a similarity of 0.8, under one in a million.
@@ -18,9 +18,10 @@ lists count as short up to four times the length, and rounds go on until no list
 so nothing is left out.
 
 Cases: a null, empty or blank text has the empty set and no link; a text with fewer words than a shingle
-has its whole sequence as one; rows with one doc_id are one node, linked by what any of them says; a
-null doc_id sorts last and never stands for others with an id; equal rows get equal results; an empty
-table gives an empty result; other columns are not looked at.
+has its whole sequence as one; rows are told apart by a 64-bit key of doc_id and text, so that neither a
+null doc_id nor one with several texts links rows; a null doc_id sorts last and never stands for others
+with an id; equal rows get equal results; an empty table gives an empty result; other columns are not
+looked at.
 """
 
 from __future__ import annotations
@@ -31,7 +32,7 @@ from math import sqrt
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -50,6 +51,11 @@ NEAR = 50
 NO_ID = (1 << 63) - 1
 
 
+def row_key(doc_id: str = "doc_id", text: str = "text") -> Column:
+    """Tells a row apart by its id and text; null is no id."""
+    return F.xxhash64(F.col(doc_id).isNull(), F.col(doc_id).cast("bigint"), text)
+
+
 def shingle_sets(texts: pa.Array, n: int) -> tuple[np.ndarray, np.ndarray]:
     """Each text's set as ascending hashes, and where each text's begins."""
     w = words(texts, lower=True)
@@ -63,7 +69,7 @@ def shingle_sets(texts: pa.Array, n: int) -> tuple[np.ndarray, np.ndarray]:
 def _sketch(n: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row, texts in blocks(batch.column(1)):
+            for row, texts in blocks(batch.column(2)):
                 hashes, at = shingle_sets(texts, n)
                 size = np.diff(at)
                 sums = [np.concatenate((np.zeros(1, np.uint64), np.cumsum(mix(hashes ^ np.uint64(salt))))) for salt in (0, 0x5851F42D4C957F2D)]
@@ -71,7 +77,8 @@ def _sketch(n: int):
                 low = np.arange(len(hashes)) - np.repeat(at[:-1], size) < SKETCH
                 cut = np.concatenate(([0], np.cumsum(np.minimum(size, SKETCH)))).astype(np.int32)
                 sketch = pa.ListArray.from_arrays(pa.array(cut), pa.array(hashes[low].view(np.int64)))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(row, len(texts)), pa.array(size.astype(np.int64)), *digests, sketch], ["id", "n", "d1", "d2", "sketch"])
+                keys = [batch.column(k).slice(row, len(texts)) for k in (0, 1)]
+                yield pa.RecordBatch.from_arrays([*keys, pa.array(size.astype(np.int64)), *digests, sketch], ["id", "row", "n", "d1", "d2", "sketch"])
 
     return run
 
@@ -120,7 +127,7 @@ class Checker:
         floor = F.expr(f"percent / 100D - 5 * sqrt(percent / 100D * (1 - percent / 100D) / {SKETCH})")
         near = pairs.join(one("a"), "a").join(one("b"), "b").withColumn("low", F.expr(f"slice(array_sort(array_union(sa, sb)), 1, {SKETCH})"))
         near = near.filter(F.expr("size(array_intersect(array_intersect(low, sa), sb))") >= floor * F.size("low")).select("a", "b", "led").distinct()
-        text = lambda x: self.texts.select(F.col("id").alias(x), F.col("text").alias(f"t{x}"))
+        text = lambda x: self.texts.select(F.col("row").alias(x), F.col("text").alias(f"t{x}"))
         both = keep(near, "near").join(text("a"), "a").join(text("b"), "b").select("a", "b", "led", "ta", "tb")
         return both.mapInArrow(_jaccard(self.n), "a bigint, b bigint, both bigint, either bigint, differ array<bigint>")
 
@@ -177,29 +184,36 @@ def class_links(lists: DataFrame, checker: Checker, percent: int) -> DataFrame:
         open_ = stay.unionByName(apart).distinct().join(joined, "rep", "left").select("value", "rep", "n", "score", F.coalesce("component", "rep").alias("comp"), "short", "apart", "own")
 
 
-def near_dedup(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
-    """One row per row of `docs`: doc_id, n_shingles, component_id, kept (the document that stands for its component)."""
-    texts = docs.select(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NO_ID)).alias("id"), "text")
-    sketched = keep(texts.mapInArrow(_sketch(shingle), "id bigint, n bigint, d1 bigint, d2 bigint, sketch array<bigint>"), "sketches")
+def near_rows(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
+    """One row per row of `docs`: its key (row_key), doc_id, n_shingles, component_id and kept, all but the key as of near_dedup."""
+    texts = docs.select(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NO_ID)).alias("id"), row_key().alias("row"), "text")
+    sketched = keep(texts.mapInArrow(_sketch(shingle), "id bigint, row bigint, n bigint, d1 bigint, d2 bigint, sketch array<bigint>"), "sketches")
     same = ["n", "d1", "d2"]
-    groups = keep(sketched.filter("n > 0").groupBy(*same).agg(F.min("id").alias("rep"), F.first("sketch").alias("sketch")), "classes")
+    groups = sketched.filter("n > 0").groupBy(*same).agg(F.min(F.struct("id", "row")).alias("lead"), F.first("sketch").alias("sketch"))
+    groups = keep(groups.select(*same, F.col("lead.id").alias("least"), F.col("lead.row").alias("rep"), "sketch"), "classes")
     lists = keep(inverted_lists(groups), "lists")
     active = lists.select("rep").distinct()
     checker = Checker(
         keep(groups.select("rep", "sketch").join(active, "rep", "left_semi"), "active"),
-        keep(texts.join(active.select(F.col("rep").alias("id")), "id", "left_semi").select("id", F.col("text")), "active-texts"),
+        # equal rows have one key; one text for each is enough
+        keep(texts.select("row", "text").join(active.select(F.col("rep").alias("row")), "row", "left_semi").dropDuplicates(["row"]), "active-texts"),
         shingle,
     )
-    links = class_links(lists, checker, percent)
-    member = keep(sketched.select("id", *same).join(groups.select(*same, "rep"), same, "left").select("id", "n", F.coalesce("rep", "id").alias("rep")), "members")
-    # an id with several sets joins their classes
-    several = member.groupBy("id").agg(F.min("rep").alias("least"), F.max("rep").alias("most")).filter("least != most").select("id")
-    ties = member.join(several, "id", "left_semi").select(F.col("id").alias("a"), F.col("rep").alias("b")).distinct()
-    comps = components(links.union(ties)).select(F.col("node").alias("rep"), "component")
-    out = member.join(comps, "rep", "left").select("id", "n", F.coalesce("component", "rep").alias("component"))
-    return out.select(
+    comps = components(class_links(lists, checker, percent)).select(F.col("node").alias("rep"), "component")
+    # a component is named for its smallest id, whose row stands for it
+    best = comps.join(groups.select("rep", "least"), "rep").groupBy("component").agg(F.min(F.struct("least", "rep")).alias("lead"))
+    named = comps.join(best, "component").select("rep", F.col("lead.least").alias("first"), F.col("lead.rep").alias("stands"))
+    member = sketched.select("id", "row", *same).join(groups.select(*same, "least", "rep"), same, "left")
+    member = member.select("id", "row", "n", F.coalesce("least", "id").alias("least"), F.coalesce("rep", "row").alias("rep"))
+    return member.join(named, "rep", "left").select(
+        "row",
         F.expr(f"nullif(id, {NO_ID}L)").alias("doc_id"),
         F.col("n").alias("n_shingles"),
-        F.expr(f"nullif(component, {NO_ID}L)").alias("component_id"),
-        (F.col("id") == F.col("component")).alias("kept"),
+        F.expr(f"nullif(coalesce(first, least), {NO_ID}L)").alias("component_id"),
+        (F.col("row") == F.coalesce("stands", "rep")).alias("kept"),
     )
+
+
+def near_dedup(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
+    """One row per row of `docs`: doc_id, n_shingles, component_id, kept (the document that stands for its component)."""
+    return near_rows(docs, shingle, percent).drop("row")

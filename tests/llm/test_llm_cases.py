@@ -202,6 +202,13 @@ def test_near_dedup(spark, odd, none):
     assert near_dedup(none).count() == 0
 
 
+def test_near_dedup_ties_no_rows_by_their_ids(spark):
+    text = lambda k, *more: " ".join([*(f"g{k}n{x}" for x in range(100)), *more])
+    rows = [(5, text(1), "a"), (None, text(1, "end"), "a"), (9, text(2), "a"), (None, text(2, "end"), "a"), (None, text(3), "a"), (None, text(3, "end"), "b"), (7, text(4), "a"), (7, text(5), "a"), (8, text(4, "end"), "a"), (6, text(5, "end"), "a"), (None, "", "a")]
+    got = by_row((r["doc_id"], r["component_id"], r["kept"]) for r in near_dedup(docs(spark, rows)).collect())
+    assert got == by_row([(5, 5, True), (None, 5, False), (9, 9, True), (None, 9, False), (None, None, True), (None, None, False), (7, 7, True), (8, 7, False), (6, 6, True), (7, 6, False), (None, None, True)])
+
+
 def test_components(spark):
     links = [(k, k + 1) for k in range(50)] + [(99, 80), (80, 70), (99, 99), (60, 61), (61, 60)]
     got = {r["node"]: r["component"] for r in components(spark.createDataFrame(links, "a bigint, b bigint")).collect()}
