@@ -3,7 +3,8 @@
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written as Parquet and read again
 as the next one's documents. All but the last return the columns of documents. A document is dropped by
 quality rules, as a near copy of another, or for an overlap with the benchmark; repeated passages are cut
-out of the texts that stay.
+out of the texts that stay. A verdict holds for the rows of its id and text, so rows whose id is null or
+repeats are judged each by its own text.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rollbook.llm.decontaminate import decontaminate
-from rollbook.llm.near_dedup import near_dedup
+from rollbook.llm.near_dedup import near_rows, row_key
 from rollbook.llm.packing import pack
 from rollbook.llm.quality_rules import quality_rules
 from rollbook.llm.scratch import keep
@@ -21,9 +22,9 @@ from rollbook.llm.substring_dedup import substring_dedup
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
-def those(docs: DataFrame, ids: DataFrame, how: str) -> DataFrame:
-    """Documents whose id is (`left_semi`) or isn't (`left_anti`) in `ids`; null is an id, too."""
-    return docs.join(ids.select(F.col("doc_id").alias("_id")), F.col("doc_id").eqNullSafe(F.col("_id")), how)
+def those(docs: DataFrame, rows: DataFrame, how: str) -> DataFrame:
+    """Documents whose row key is (`left_semi`) or isn't (`left_anti`) in `rows`."""
+    return docs.withColumn("row", row_key()).join(rows, "row", how)
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,13 +33,14 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies; of rows with one doc_id, one row."""
-    judged = keep(near_dedup(docs), "judged")
-    gone = judged.filter("NOT kept").select("doc_id").distinct()
-    several = judged.filter("kept").groupBy("doc_id").count().filter("count > 1").select("doc_id")
+    """One document of each group of near copies; of rows with one id and text, one row, unless the text is blank."""
+    judged = keep(near_rows(docs), "judged")
+    gone = judged.filter("NOT kept").select("row").distinct()
+    several = judged.filter("kept AND n_shingles > 0").groupBy("row").count().filter("count > 1").select("row")
     stay = those(docs, gone, "left_anti")
-    once = those(stay, several, "left_semi").dropDuplicates(["doc_id"])
-    return those(stay, several, "left_anti").unionByName(once).select(*COLUMNS)
+    rest = [c for c in COLUMNS if c not in ("doc_id", "text")]
+    once = those(stay, several, "left_semi").groupBy("row").agg(F.min(F.struct(*rest, "doc_id", "text")).alias("one")).select("one.*")
+    return those(stay, several, "left_anti").select(*COLUMNS).unionByName(once.select(*COLUMNS))
 
 
 def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,7 +53,7 @@ def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def decontaminate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that don't overlap with the benchmark."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    leaks = decontaminate(docs, benchmark).select("doc_id").distinct()
+    leaks = decontaminate(docs.withColumn("row", row_key()), benchmark, doc_key="row").select("row").distinct()
     return those(docs, leaks, "left_anti").select(*COLUMNS)
 
 

@@ -238,3 +238,15 @@ def test_pipeline_on_odd_documents(spark, odd, none, tmp_path):
             data = stage(spark, data, folder)
             assert data.columns == names
         assert {r["doc_id"] for r in corpus_pipeline.run(spark, folder).collect()} == ({4, 7} if k == 0 else set())
+
+
+def test_pipeline_judges_rows_by_their_own_text(spark, tmp_path):
+    text = lambda k, *more: " ".join([*(f"p{k}q{x}" for x in range(60)), *more])
+    folder = f"file://{tmp_path}"
+    spark.createDataFrame([(1, text(7))], "item_id bigint, text string").write.parquet(f"{folder}/benchmark.parquet")
+    rows = [(None, text(1), "a"), (None, text(2), "a"), (None, text(2), "a"), (3, text(3), "a"), (None, text(3, "end"), "a"), (4, text(4), "a"), (4, text(5), "a"), (4, text(5), "b"), (None, text(7, "end"), "a"), (6, text(6), "a"), (6, text(7, "own", "end"), "a")]
+    stay = lambda df: by_row((*x, r["source"]) for x, r in zip(pairs(df), df.collect(), strict=True))
+    got = corpus_pipeline.near_dedup_stage(spark, docs(spark, rows[:8]), folder)
+    assert stay(got) == by_row((i, t, s) for i, t, s in [*rows[:2], rows[3], *rows[5:7]])
+    got = corpus_pipeline.decontaminate_stage(spark, docs(spark, rows), folder)
+    assert stay(got) == by_row((i, t, s) for i, t, s in [*rows[:8], rows[9]])
