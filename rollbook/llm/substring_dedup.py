@@ -13,7 +13,7 @@ are no pairs. Hashes have 64 bits.
 
 Cases: a null or empty text has no words and stays as it is; so does a text shorter than WINDOW; a window
 that repeats within its own document goes, too; rows that repeat are documents of equal text, all of
-whose windows repeat; rows with one doc_id and different texts are told apart by a hash of the text; an
+whose windows repeat; rows with one doc_id and different texts are told apart by a 64-bit hash of the text; an
 empty table gives an empty result; other columns pass, except those named like a result.
 """
 
@@ -38,7 +38,6 @@ PERIOD = 21
 #: A perfect difference set modulo PERIOD.
 COVER = (0, 1, 4, 14, 16)
 ANCHOR = WINDOW - PERIOD + 1
-TIE_BITS = 20
 _KEY = ("_id", "_tie")
 
 
@@ -68,11 +67,11 @@ def _candidates(w: Words, single: np.ndarray) -> np.ndarray:
 
 
 def _located(batch: pa.RecordBatch, row: int, w: Words, at: np.ndarray, hashes: np.ndarray) -> pa.RecordBatch:
-    """Hash, id and a tag of place and tie for each run."""
+    """Hash, id, tie and place of each run."""
     of = w.row[at]
     ids, ties = (batch.column(k).slice(row, len(w.first) - 1).to_numpy(zero_copy_only=False) for k in (0, 1))
-    tags = (at - w.first[of]) << TIE_BITS | ties[of]
-    return pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), pa.array(ids[of]), pa.array(tags)], ["hash", "_id", "_tag"])
+    places = (at - w.first[of]).astype(np.int32)
+    return pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), pa.array(ids[of]), pa.array(ties[of]), pa.array(places)], ["hash", *_KEY, "_at"])
 
 
 def _anchor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -123,9 +122,9 @@ def _remove(layout: pa.Schema):
 
 def _singles(runs: DataFrame, name: str) -> DataFrame:
     """For each document, the places of the runs that occur once in all documents."""
-    once = runs.groupBy("hash").agg(F.count(F.lit(1)).alias("_n"), F.min("_id").alias("_id"), F.min("_tag").alias("_tag")).filter("_n = 1")
-    places = once.select("_id", F.expr(f"_tag & {(1 << TIE_BITS) - 1}").alias("_tie"), F.expr(f"CAST(shiftright(_tag, {TIE_BITS}) AS INT)").alias("_at"))
-    return places.groupBy(*_KEY).agg(F.collect_list("_at").alias(name))
+    # a group of one row: each minimum is that row's
+    once = runs.groupBy("hash").agg(F.count(F.lit(1)).alias("_n"), *(F.min(c).alias(c) for c in (*_KEY, "_at"))).filter("_n = 1")
+    return once.groupBy(*_KEY).agg(F.collect_list("_at").alias(name))
 
 
 def substring_dedup(docs: DataFrame) -> DataFrame:
@@ -134,9 +133,9 @@ def substring_dedup(docs: DataFrame) -> DataFrame:
     A text from which nothing goes is left as it is; otherwise its kept words are joined by one blank.
     """
     own = [c for c in docs.columns if c not in ("text", "n_words", "n_removed")]
-    tie = F.expr(f"xxhash64(doc_id IS NULL, text) & {(1 << TIE_BITS) - 1}")
+    tie = F.expr("xxhash64(doc_id IS NULL, text)")
     keyed = docs.select(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(0)).alias("_id"), tie.alias("_tie"), "text", F.struct(*(F.col(f"`{c}`") for c in own)).alias("_own"))
-    layout = "hash bigint, _id bigint, _tag bigint"
+    layout = "hash bigint, _id bigint, _tie bigint, _at int"
     anchors = keyed.select(*_KEY, "text").mapInArrow(_anchor_rows, layout)
     single = keep(_singles(anchors, "_single"), "single-anchors")
     marked = keyed.join(single, list(_KEY), "left")

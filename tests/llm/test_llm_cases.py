@@ -144,6 +144,15 @@ def test_substring_dedup(spark, odd, none):
     assert substring_dedup(none).count() == 0
 
 
+def test_substring_dedup_of_many_texts_without_id(spark):
+    own = lambda k: " ".join(f"k{k}w{x}" for x in range(40 + k % 9))
+    shared = lambda k: " ".join(f"s{k}w{x}" for x in range(40))
+    rows = [(None, f"{own(k)} {shared(k // 2)}" if k % 2 else f"{shared(k // 2)} {own(k)}", "a") for k in range(4000)]
+    df = docs(spark, rows)
+    got = by_row((r["n_words"], r["n_removed"], r["text"]) for r in substring_dedup(df).collect())
+    assert got == by_row(brute.repeated_runs([t for _, t, _ in rows]))
+
+
 def test_quality_rules(spark, odd, none):
     got = {(r["doc_id"], r["n_words"], r["kept"], r["base_failed"]) for r in quality_rules(odd).collect()}
     assert {(1, 0, False, True), (2, 0, False, True), (9, 2, False, True), (7, 60_000, True, False)} <= got
