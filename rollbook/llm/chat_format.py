@@ -4,63 +4,98 @@ A dialogue is rendered once for every participant: that speaker's turns become t
 carry the training mask, all others are users with their name, instructions (`system`) stay what they are.
 
 A rendered turn is `<|assistant|>`, `<|system|>` or `<|user|>NAME`, a line break, the text, `<|end|>` and a
-line break. The mask lists character spans [start, end) of the rendered text: text and end mark of the
-assistant's turns. Dialogues are cut into blocks of BLOCK turn numbers, each rendered on its own (turns
-after the cut start a new text), so no task holds an unbounded dialogue.
+line break. The mask lists character spans [start, end): text and end mark of the assistant's turns.
+
+With `block=None` a dialogue is all turns of a conversation, and every participant gets all of them. A
+rendering is one row (block 0) up to about PART characters; a longer one is cut between turns into rows
+that are numbered in `block` and give the whole when put together in that order. Spans count
+from the beginning of the whole rendering; n_turns and n_own are those of the row. With a number, a
+dialogue is the turns of one block of so many turn numbers, rendered on its own and cut nowhere else.
+
+No list is longer than a part: turns are put in order by range, so a conversation of any length is
+spread over tasks, places are running sums over the ranges, and participants are joined.
 
 Cases: rows equal in all four columns count once; turns with equal numbers follow in order of role, then
-text, null first; a null turn number is its own block, -1; a null or blank role is the participant
-`unknown`; a null text is empty; the rows with a null conversation id are one conversation with that id; a
-conversation or block without participants other than `system` has no perspective and gives no row; an
-empty table gives none; other columns are not looked at.
+text, null first; null turn numbers come first, and are block -1 if there are blocks; a null or blank role
+is the participant `unknown`; a null text is empty; the rows with a null conversation id are one
+conversation with that id; a dialogue without participants other than `system` has no perspective and
+gives no row; an empty table gives none; other columns are not looked at.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from rollbook.llm.scratch import keep
+
 BLOCK = 256
+#: Characters of a rendering, with every head a user's, from which a dialogue goes on in another part.
+PART = 1 << 20
+_ORDER = ("turn", "speaker", "given", "text")
+
+
+def _running(df: DataFrame, keys: list[str], value: str, name: str) -> DataFrame:
+    """Sum of `value` over the rows before, by `keys` in order; each range is summed alone, and what precedes it is added."""
+    within = W.partitionBy("range", *keys).orderBy(*_ORDER).rowsBetween(W.unboundedPreceding, -1)
+    sums = df.groupBy("range", *keys).agg(F.sum(value).alias("_sum"))
+    ahead = sums.withColumn("_ahead", F.coalesce(F.sum("_sum").over(W.partitionBy(*keys).orderBy("range").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)))
+    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in ("range", *keys)]
+    joined = df.join(ahead.select(*(F.col(k).alias(f"_{k}") for k in ("range", *keys)), "_ahead"), same)
+    return joined.withColumn(name, F.col("_ahead") + F.coalesce(F.sum(value).over(within), F.lit(0))).select(*df.columns, name)
 
 
-def chat_format(turns: DataFrame, block: int = BLOCK) -> DataFrame:
+def chat_format(turns: DataFrame, block: int | None = BLOCK, part: int = PART) -> DataFrame:
     """One row per conversation, block and participant: rendered text, mask spans and counts."""
+    number = F.lit(0) if block is None else F.expr(f"coalesce(floor(turn / {int(block)}), -1)")
     clean = turns.select(
         "conv_id",
+        number.cast("bigint").alias("cut"),
         "turn",
-        F.expr("CAST(coalesce(floor(turn / {0}), -1) AS BIGINT)".format(int(block))).alias("block"),
         F.expr("coalesce(nullif(trim(role), ''), 'unknown')").alias("speaker"),
+        F.expr("text IS NOT NULL").alias("given"),
         F.expr("coalesce(text, '')").alias("text"),
-        F.expr("text IS NULL").alias("_null"),
     ).distinct()
-    # the block's turns in order; at most a block of them, so the list is bounded
-    blocks = clean.groupBy("conv_id", "block").agg(
-        F.sort_array(F.collect_list(F.struct("turn", "speaker", F.expr("NOT _null").alias("given"), "text"))).alias("_turns")
+    ranged = clean.repartitionByRange("conv_id", "cut", *_ORDER).withColumn("range", F.spark_partition_id())
+    head = "length(if(speaker = 'system', '<|system|>\n', concat('<|user|>', speaker, '\n')))"
+    ranged = ranged.withColumns({"size": F.expr(f"CAST({head} + length(text) + 8 AS BIGINT)"), "one": F.lit(1).cast("bigint")})
+    ranged = keep(ranged, "turns")
+    dialogue = ["conv_id", "cut"]
+    placed = _running(_running(ranged, dialogue, "size", "at"), [*dialogue, "speaker"], "one", "before")
+    # a part ends with the turn that fills it, so its list is bounded by PART and one turn
+    parts = placed.withColumn("part", F.expr(f"at div {int(part)}")).groupBy(*dialogue, "part").agg(
+        F.sort_array(F.collect_list(F.struct(*_ORDER, "at", "before"))).alias("_turns")
     )
-    blocks = blocks.withColumn("_who", F.expr("array_sort(filter(array_distinct(transform(_turns, t -> t.speaker)), s -> s != 'system'))"))
-    sides = blocks.select("conv_id", "block", "_turns", F.explode("_who").alias("perspective"))
+    who = ranged.filter("speaker != 'system'").select(F.col("conv_id").alias("_conv"), F.col("cut").alias("_cut"), F.col("speaker").alias("perspective")).distinct()
+    sides = parts.join(who, F.col("conv_id").eqNullSafe(F.col("_conv")) & (F.col("cut") == F.col("_cut")))
+    # turns of their own have another head, and shift what follows them
+    shift = "(length('<|assistant|>\n') - length(concat('<|user|>', perspective, '\n')))"
     sides = sides.withColumn(
-        "_parts",
+        "mask",
         F.expr(
-            "transform(_turns, t -> struct("
-            "CASE WHEN t.speaker = perspective THEN '<|assistant|>\n' WHEN t.speaker = 'system' THEN '<|system|>\n' "
-            "ELSE concat('<|user|>', t.speaker, '\n') END AS head, concat(t.text, '<|end|>\n') AS body, t.speaker = perspective AS own))"
+            "transform(filter(_turns, t -> t.speaker = perspective), t -> named_struct("
+            f"'start', t.at + t.before * {shift} + 14, 'end', t.at + t.before * {shift} + 14 + length(t.text) + 7))"
         ),
     )
-    sides = sides.withColumn(
-        "_spans",
-        F.expr(
-            "aggregate(_parts, named_struct('at', 0L, 'spans', CAST(array() AS ARRAY<STRUCT<start: BIGINT, end: BIGINT>>)), (a, p) -> named_struct("
-            "'at', a.at + length(p.head) + length(p.body), 'spans', if(p.own, array_append(a.spans, named_struct("
-            "'start', a.at + length(p.head), 'end', a.at + length(p.head) + length(p.body) - 1)), a.spans))).spans"
-        ),
+    rendered = (
+        "array_join(transform(_turns, t -> concat(CASE WHEN t.speaker = perspective THEN '<|assistant|>\n' WHEN t.speaker = 'system' THEN '<|system|>\n' "
+        "ELSE concat('<|user|>', t.speaker, '\n') END, t.text, '<|end|>\n')), '')"
     )
-    return sides.select(
+    # the parts of a dialogue of a numbered block are put together again
+    out = sides.select(
         "conv_id",
-        "block",
+        F.col("part" if block is None else "cut").alias("block"),
         "perspective",
-        F.expr("CAST(size(_parts) AS BIGINT)").alias("n_turns"),
-        F.expr("CAST(size(_spans) AS BIGINT)").alias("n_own"),
-        F.expr("array_join(transform(_parts, p -> concat(p.head, p.body)), '')").alias("rendered"),
-        F.col("_spans").alias("mask"),
+        F.expr("CAST(size(_turns) AS BIGINT)").alias("n_turns"),
+        F.expr("CAST(size(mask) AS BIGINT)").alias("n_own"),
+        F.expr(rendered).alias("rendered"),
+        "mask",
+        "part",
+    )
+    if block is None:
+        return out.drop("part")
+    whole = out.groupBy("conv_id", "block", "perspective").agg(
+        F.sum("n_turns").alias("n_turns"), F.sum("n_own").alias("n_own"), F.sort_array(F.collect_list(F.struct("part", "rendered", "mask"))).alias("_p")
     )
+    return whole.select("conv_id", "block", "perspective", "n_turns", "n_own", F.expr("array_join(_p.rendered, '')").alias("rendered"), F.expr("flatten(_p.mask)").alias("mask"))

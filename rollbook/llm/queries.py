@@ -72,7 +72,7 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = chat_format(table(spark, sf_dir, "conversations"))
+    rows = chat_format(table(spark, sf_dir, "conversations"), block=None)
     return rows.selectExpr(
         "conv_id", "block", "perspective", "n_turns", "n_own", "rendered",
         "array_join(transform(mask, m -> concat(m.start, '-', m.end)), ',') AS mask_spans",

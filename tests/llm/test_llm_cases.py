@@ -6,6 +6,7 @@ import brute
 import pytest
 
 import corpus_pipeline
+from rollbook.llm import queries
 from rollbook.llm.chat_format import chat_format
 from rollbook.llm.components import components
 from rollbook.llm.decontaminate import decontaminate
@@ -184,6 +185,33 @@ def test_chat_format(spark):
     assert chat_format(df.limit(0)).count() == 0
 
 
+def test_whole_dialogues(spark, tmp_path):
+    rows = [(1, 0, "system", "Be kind."), *((1, k, ("ann", "bob")[k % 2], f"t{k}") for k in range(1, 300)), (1, 300, "cy", "last"), (None, None, "ann", "?"), (None, 2, "bo", "!")]
+    df = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string").repartition(5)
+    df.write.parquet(f"file://{tmp_path}/conversations.parquet")
+
+    def plain(conv, who):
+        text, spans = "", []
+        for c, _, role, t in rows:
+            if c == conv:
+                head = "<|assistant|>\n" if role == who else "<|system|>\n" if role == "system" else f"<|user|>{role}\n"
+                spans += [(len(text) + len(head), len(text) + len(head) + len(t) + 7)] * (role == who)
+                text += f"{head}{t}<|end|>\n"
+        return text, spans
+
+    want = {(c, w): plain(c, w) for c, w in ((1, "ann"), (1, "bob"), (1, "cy"), (None, "ann"), (None, "bo"))}
+    got = queries.op7_chat_format(spark, f"file://{tmp_path}").collect()
+    assert {(r["conv_id"], r["perspective"]): (r["rendered"], r["mask_spans"]) for r in got} == {k: (t, ",".join(f"{a}-{b}" for a, b in m)) for k, (t, m) in want.items()}
+    assert len(got) == 5 and {r["block"] for r in got} == {0}
+    parts = {}
+    for r in sorted(chat_format(df, block=None, part=500).collect(), key=lambda r: r["block"]):
+        assert len(r["rendered"]) < 800
+        text, spans, n = parts.setdefault((r["conv_id"], r["perspective"]), ["", [], 0])
+        assert r["block"] == n
+        parts[(r["conv_id"], r["perspective"])] = [text + r["rendered"], [*spans, *map(tuple, r["mask"])], n + 1]
+    assert {k: (t, m) for k, (t, m, _) in parts.items()} == want and parts[(1, "cy")][2] > 10
+
+
 def test_license_scan(spark, odd, none):
     rows = [
         (1, "Licensed under the Apache License, Version 2.0. Copyright 2020 x", "a"), (2, "SPDX-License-Identifier: MIT License", "a"), (3, "GNU Lesser General Public License v3 or later", "b"),
