@@ -29,9 +29,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents inserted under two tokenizer versions, some counted anew with an end id, some deleted; one batch comes twice."""
     versions = {"byte_bpe_50k": "byte_bpe_50k.json", "byte_bpe_multi_50k": "byte_bpe_multi_50k.tiktoken"}
-    counts = keep(count_tokens(table(spark, sf_dir, "documents"), {name: tokenizer_path(file) for name, file in versions.items()}), "counts")
+    counts = count_tokens(table(spark, sf_dir, "documents"), {name: tokenizer_path(file) for name, file in versions.items()})
+    # written with the counts, so a row's id is the same whenever a batch is read
+    counts = keep(counts.withColumn("change_id", F.monotonically_increasing_id()), "counts")
     ledger = new_folder(spark, "ledger")
-    keys = ["doc_id", "source", "lang", "tokenizer"]
+    keys = ["change_id", "doc_id", "source", "lang", "tokenizer"]
     anew = "doc_id % 10 = 3 AND tokenizer = 'byte_bpe_50k'"
     inserts = counts.select(F.lit("insert").alias("kind"), *keys, "n_tokens", F.lit(None).cast("bigint").alias("old_tokens"))
     revised = counts.filter(anew).select(F.lit("revise").alias("kind"), *keys, (F.col("n_tokens") + 1).alias("n_tokens"), F.col("n_tokens").alias("old_tokens"))

@@ -5,7 +5,10 @@ of signed sums per source, language and tokenizer, written to a folder of its ow
 that is committed again replaces its own folder, so retries and replays change nothing; the totals are
 the sums over all batches. Nothing is ever read to be updated, so commits don't depend on each other.
 
-Cases: changes equal in all columns count once per batch; null sources, languages and tokenizers are
+A change row may carry a change_id; replays of one change have the same one, other changes have others.
+
+Cases: changes equal in all columns, the change_id included, count once per batch; without a doc_id and a
+change_id nothing tells a replay from another document, and each row counts; null sources, languages and tokenizers are
 groups of their own; null counts are 0; an unknown or null kind is an error; a batch without changes is
 committed as an empty one; a ledger without batches has no totals; other columns are not looked at.
 """
@@ -25,6 +28,7 @@ from rollbook.llm.pieces import TEXT_BYTES, coder
 from rollbook.llm.textblocks import blocks
 
 CHANGES = ("kind", "doc_id", "source", "lang", "tokenizer", "n_tokens", "old_tokens")
+CHANGE_ID = "change_id"
 GROUPS = ("source", "lang", "tokenizer")
 TOTALS = "source string, lang string, tokenizer string, n_docs bigint, n_tokens bigint"
 
@@ -50,8 +54,10 @@ def signed_deltas(changes: DataFrame) -> DataFrame:
     """Signed sums of a batch by source, language and tokenizer; hot groups are summed before they are shuffled."""
     sign = F.expr("CASE kind WHEN 'insert' THEN 1 WHEN 'delete' THEN -1 WHEN 'revise' THEN 0 ELSE raise_error(concat('unknown change: ', coalesce(kind, 'null'))) END")
     tokens = F.expr("CASE kind WHEN 'delete' THEN -coalesce(n_tokens, 0) WHEN 'revise' THEN coalesce(n_tokens, 0) - coalesce(old_tokens, 0) ELSE coalesce(n_tokens, 0) END")
-    once = changes.select(*CHANGES).distinct()
-    return once.groupBy(*GROUPS).agg(F.sum(sign).cast("bigint").alias("n_docs"), F.sum(tokens).cast("bigint").alias("n_tokens"))
+    known = changes if CHANGE_ID in changes.columns else changes.withColumn(CHANGE_ID, F.lit(None).cast("string"))
+    once = known.groupBy(*CHANGES, CHANGE_ID).agg(F.count(F.lit(1)).alias("_rows"))
+    times = F.expr(f"if(doc_id IS NULL AND {CHANGE_ID} IS NULL, _rows, 1)")
+    return once.groupBy(*GROUPS).agg(F.sum(sign * times).cast("bigint").alias("n_docs"), F.sum(tokens * times).cast("bigint").alias("n_tokens"))
 
 
 def commit_batch(changes: DataFrame, ledger: str, batch_id: str) -> None:

@@ -73,6 +73,19 @@ def test_token_counts_and_replays(spark, odd, none):
         commit_batch(one, ledger, "a/b")
 
 
+def test_token_counts_of_documents_alike(spark, tmp_path):
+    rows = [(None, "one two", "a"), (None, "two one", "a"), (None, "one two", "a"), (4, "one two", "a"), (4, "two one", "a"), (13, "one", "a")]
+    docs(spark, rows).write.parquet(f"file://{tmp_path}/documents.parquet")
+    got = {r["tokenizer"]: (r["n_docs"], r["n_tokens"]) for r in queries.op1_token_counts(spark, f"file://{tmp_path}").collect()}
+    assert len(got) == 2 and got["byte_bpe_50k"] == (6, sum(len(brute.ids(t)) for _, t, _ in rows) + 1)
+    assert {n for n, _ in got.values()} == {6}
+    ledger = new_folder(spark, "ledger")
+    schema = "kind string, doc_id bigint, source string, lang string, tokenizer string, n_tokens bigint, old_tokens bigint, change_id string"
+    changes = spark.createDataFrame([("insert", i, "a", "en", "v1", 5, None, c) for i, c in ((None, "x"), (None, "x"), (None, "y"), (1, "z"), (1, "u"), (None, None), (None, None))], schema)
+    commit_batch(changes, ledger, "1")
+    assert [tuple(r)[3:] for r in totals(spark, ledger).collect()] == [(6, 30)]
+
+
 def test_decontaminate(spark, odd, none):
     words = [f"word{k}" for k in range(40)]
     swap = words.copy()
