@@ -10,8 +10,11 @@ The benchmark side is broadcast in blocks: its seeds are counted, dealt to block
 hash of the item, and each block is one pass over the documents, of which only hits are left. Documents with hits are read
 once more and verified, and summed per document and item.
 
-Cases: a null or empty text has no words and no hit, and so has an item shorter than the shortest mask;
-null ids are carried; repeated rows of one doc_id are reported together, with the best match; items that
+The masks find every overlap with items of 10 words or more. For shorter items there are seeds of
+neighbouring words: the whole item where no word may differ, else its two halves, one of which is intact.
+Documents get seeds of these lengths only if the benchmark has such items.
+
+Cases: a null or empty text has no words and no hit; null ids are carried; repeated rows of one doc_id are reported together, with the best match; items that
 repeat are reported under each id; an empty table on either side gives an empty result; other columns
 are not looked at.
 """
@@ -31,6 +34,14 @@ OVERLAP = 13
 #: Words that may differ in a run of OVERLAP words, and as a share of a shorter item.
 SUBSTITUTED = 2
 BLOCK_SEEDS = 500_000
+#: Words of an item from which the masks find it.
+MASKED = 10
+
+
+def _neighbours(size: int) -> list[tuple[int, int]]:
+    """Place and number of words of each seed of a short item."""
+    half = size // 2
+    return [(0, half), (half, size - half)] if SUBSTITUTED * size // OVERLAP else [(0, size)]
 
 
 def _hashed(texts: DataFrame, key: str) -> DataFrame:
@@ -39,13 +50,14 @@ def _hashed(texts: DataFrame, key: str) -> DataFrame:
     return found.select("_key", F.expr("transform(_words, w -> xxhash64(w))").alias("_h"))
 
 
-def _seeds(hashed: DataFrame) -> DataFrame:
-    """_key, _at and _seed of each place and mask.
+def _seeds(hashed: DataFrame, lengths: list[int]) -> DataFrame:
+    """_key, _at and _seed of each place and mask, and of each place and run of one of the lengths.
 
     The hashes are made within the row, so that only they are exploded and no text is copied for each
     place. A mask that reaches beyond the end hashes fewer words, and can't match a whole one.
     """
-    masked = [f"transform(_h, (h, i) -> xxhash64({k}, h, {', '.join(f'get(_h, i + {p})' for p in mask[1:])}))" for k, mask in enumerate(MASKS)]
+    all_masks = [*enumerate(MASKS), *((100 + n, tuple(range(n))) for n in lengths)]
+    masked = [f"transform(_h, (h, i) -> xxhash64({', '.join([str(k), 'h', *(f'get(_h, i + {p})' for p in mask[1:])])}))" for k, mask in all_masks]
     made = hashed.select("_key", F.expr("size(_h)").alias("_size"), F.expr(f"concat({', '.join(masked)})").alias("_seeds"))
     # the outer form, as for the other one Spark tests the size of the array first, and makes it twice
     placed = made.select("_key", "_size", F.posexplode_outer("_seeds").alias("_place", "_seed"))
@@ -55,13 +67,18 @@ def _seeds(hashed: DataFrame) -> DataFrame:
 def decontaminate(docs: DataFrame, benchmark: DataFrame, doc_key: str = "doc_id", item_key: str = "item_id") -> DataFrame:
     """One row for each document and item that overlap: keys, first word of the overlap, item's words and those that agree."""
     items = keep(_hashed(benchmark, item_key).filter("size(_h) > 0"), "items")
+    # at most MASKED - 1 numbers
+    sizes = sorted(r[0] for r in items.filter(f"size(_h) < {MASKED}").select(F.size("_h")).distinct().collect())
+    lengths = sorted({n for size in sizes for _, n in _neighbours(size)})
     spans = ", ".join(str(mask[-1] + 1) for mask in MASKS)
-    whole = _seeds(items).filter(f"_at + get(array({spans}), CAST(_mask AS INT)) <= _size")
+    fits = [f"_mask < {len(MASKS)} AND _at + get(array({spans}), CAST(_mask AS INT)) <= _size"]
+    fits += [f"_size = {size} AND _at = {at} AND _mask = {len(MASKS) + lengths.index(n)}" for size in sizes for at, n in _neighbours(size)]
+    whole = _seeds(items, lengths).filter(" OR ".join(f"({fit})" for fit in fits))
     seeds = keep(whole.select("_seed", F.col("_key").alias("_item"), F.col("_at").alias("_from")).distinct(), "item-seeds")
     number = max(1, -(-seeds.count() // BLOCK_SEEDS))
     block = F.pmod(F.xxhash64("_item"), F.lit(number))
     # each side is bounded by BLOCK_SEEDS, as counted above
-    hits = [_seeds(_hashed(docs, doc_key)).join(F.broadcast(seeds.filter(block == k)), "_seed") for k in range(number)]
+    hits = [_seeds(_hashed(docs, doc_key), lengths).join(F.broadcast(seeds.filter(block == k)), "_seed") for k in range(number)]
     aligned = keep(reduce(DataFrame.unionByName, hits).select("_key", "_item", (F.col("_at") - F.col("_from")).alias("_shift")).distinct(), "alignments")
     sides = aligned.join(items.select(F.col("_key").alias("_name"), F.col("_h").alias("_g")), F.col("_item").eqNullSafe(F.col("_name"))).drop("_name")
     texts = docs.select(F.col(doc_key).alias("_doc"), "text").join(aligned.select(F.col("_key").alias("_hit")).distinct(), F.col("_doc").eqNullSafe(F.col("_hit")), "left_semi")

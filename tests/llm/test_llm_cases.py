@@ -99,6 +99,15 @@ def test_decontaminate(spark, odd, none):
     assert decontaminate(odd, bench.filter("item_id = 7")).count() == 0
 
 
+def test_decontaminate_finds_short_items(spark):
+    item = lambda n: [f"i{n}w{k}" for k in range(n)]
+    other = lambda n, at: " ".join("x" if k == at else w for k, w in enumerate(item(n)))
+    rows = [(100 * n + k, f"some {other(n, k)} tail", "a") for n in range(1, 12) for k in range(-1, n)]
+    items = [(n, " ".join(item(n))) for n in range(1, 12)]
+    found = {(r["doc_id"], r["item_id"]) for r in decontaminate(docs(spark, rows), spark.createDataFrame(items, "item_id bigint, text string")).collect()}
+    assert found == brute.overlaps([(i, t) for i, t, _ in rows], items) and {(99 + 0, 1), (899, 9), (900, 9), (908, 9)} <= found
+
+
 def check_pieces(df, packed):
     got, room = {}, {}
     for r in packed.collect():
