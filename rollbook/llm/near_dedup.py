@@ -4,7 +4,8 @@ A document's set is its distinct shingles; its sketch, the SKETCH smallest hashe
 sets form a class and are stood for by the row with the smallest id. The smallest LISTED values of each class go to
 inverted lists. Two sets of the asked similarity share far more of these values than SHARED of them; so
 each class enters only the lists of its rarest values, enough that such a pair still meets (the prefix of
-a set join). A pair is missed only if it shares fewer: for a similarity of 0.8, under one in a million.
+a set join). A pair is missed only if it shares fewer: for a similarity of 0.8, under one in a million. For
+less, the share is lowered and, under 0.44, more values are listed, to keep the chance under MISSED.
 
 Short lists yield their pairs, which are filtered by sketch (union-sketch estimate) and verified on full
 sets; links join classes to components, and lists within one component are done. A long list picks a
@@ -28,7 +29,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from itertools import count
-from math import sqrt
+from math import ceil, comb, log
 
 import numpy as np
 import pyarrow as pa
@@ -42,11 +43,13 @@ from rollbook.llm.textblocks import mix, blocks, sets, words
 
 SKETCH = 64
 LISTED = 24
-#: Share of the listed values that a pair of the asked similarity has in common, with all but certainty.
-SHARED = 0.4
+#: Share of the listed values that a pair of FIXED percent or more has in common, with all but certainty.
+SHARED, FIXED = 0.4, 80
+#: Chance that a pair of a lower similarity shares fewer values than asked for.
+MISSED = 1e-6
 #: Members up to which a list yields all its pairs in the first round, of retained values and of differences from a leader.
 SHORT, SHORT_APART = 8, 100
-#: Percent of similarity with the leader from which members are told apart by their differences.
+#: Percent of similarity with the leader from which members are told apart by their differences, if no less is asked for.
 NEAR = 50
 NO_ID = (1 << 63) - 1
 
@@ -66,7 +69,25 @@ def shingle_sets(texts: pa.Array, n: int) -> tuple[np.ndarray, np.ndarray]:
     return sets(hashes >> np.uint64(1), np.concatenate((w.row[at], short)), len(texts))
 
 
-def _sketch(n: int):
+def prefix(percent: int) -> tuple[int, float]:
+    """How many values are listed, and the share of them that a pair of `percent` has in common.
+
+    The pair shares those of the smallest values of its union that are in both: a binomial number, at least.
+    """
+    if not 0 < percent <= 100:
+        raise ValueError(f"not a percentage of similarity: {percent}")
+    if percent >= FIXED:
+        return LISTED, SHARED
+    t = percent / 100
+    m = max(LISTED, ceil(log(MISSED) / log(1 - t)))
+    need, chance = 0, (1 - t) ** m
+    while chance <= MISSED:
+        need += 1
+        chance += comb(m, need) * t**need * (1 - t) ** (m - need)
+    return m, (max(1, need) + 0.5) / m
+
+
+def _sketch(n: int, most: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row, texts in blocks(batch.column(2)):
@@ -74,8 +95,8 @@ def _sketch(n: int):
                 size = np.diff(at)
                 sums = [np.concatenate((np.zeros(1, np.uint64), np.cumsum(mix(hashes ^ np.uint64(salt))))) for salt in (0, 0x5851F42D4C957F2D)]
                 digests = [pa.array((s[at[1:]] - s[at[:-1]]).view(np.int64)) for s in sums]
-                low = np.arange(len(hashes)) - np.repeat(at[:-1], size) < SKETCH
-                cut = np.concatenate(([0], np.cumsum(np.minimum(size, SKETCH)))).astype(np.int32)
+                low = np.arange(len(hashes)) - np.repeat(at[:-1], size) < most
+                cut = np.concatenate(([0], np.cumsum(np.minimum(size, most)))).astype(np.int32)
                 sketch = pa.ListArray.from_arrays(pa.array(cut), pa.array(hashes[low].view(np.int64)))
                 keys = [batch.column(k).slice(row, len(texts)) for k in (0, 1)]
                 yield pa.RecordBatch.from_arrays([*keys, pa.array(size.astype(np.int64)), *digests, sketch], ["id", "row", "n", "d1", "d2", "sketch"])
@@ -83,7 +104,7 @@ def _sketch(n: int):
     return run
 
 
-def _jaccard(n: int):
+def _jaccard(n: int, least: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row, left in blocks(batch.column(3)):
@@ -95,7 +116,7 @@ def _jaccard(n: int):
                 for k in range(len(left)):
                     x, y = h[i[k] : i[k + 1]], g[j[k] : j[k + 1]]
                     both[k] = len(np.intersect1d(x, y, assume_unique=True))
-                    near = led[k] and 100 * both[k] >= NEAR * (len(x) + len(y) - both[k])
+                    near = led[k] and 100 * both[k] >= least * (len(x) + len(y) - both[k])
                     differ.append(np.setxor1d(x, y, assume_unique=True).view(np.int64) if near else ())
                 either = np.diff(i) + np.diff(j) - both
                 yield pa.RecordBatch.from_arrays([*ids, pa.array(both), pa.array(either.astype(np.int64)), pa.array(differ, pa.list_(pa.int64()))], ["a", "b", "both", "either", "differ"])
@@ -103,23 +124,24 @@ def _jaccard(n: int):
     return run
 
 
-def inverted_lists(classes: DataFrame) -> DataFrame:
+def inverted_lists(classes: DataFrame, percent: int) -> DataFrame:
     """value, rep, n and score of each entry: the lists of two or more that a class belongs to."""
-    values = classes.select("rep", "n", F.least(F.size("sketch"), F.lit(LISTED)).alias("m"), F.explode(F.slice("sketch", 1, LISTED)).alias("value"))
+    listed, shared = prefix(percent)
+    values = classes.select("rep", "n", F.least(F.size("sketch"), F.lit(listed)).alias("m"), F.explode(F.slice("sketch", 1, listed)).alias("value"))
     often = values.groupBy("value").agg(F.count(F.lit(1)).alias("often")).filter("often > 1")
     met = values.join(often, "value")
     by = W.partitionBy("rep", "n")
     met = met.withColumns({"rank": F.row_number().over(by.orderBy("often", "value")), "common": F.count(F.lit(1)).over(by)})
     # values of its own come first in a class's order, and count towards the prefix
-    last = F.expr(f"m - greatest(1, CAST(floor({SHARED} * m) AS INT)) + 1")
+    last = F.expr(f"m - greatest(1, CAST(floor({shared} * m) AS INT)) + 1")
     return met.filter(F.col("rank") + F.col("m") - F.col("common") <= last).select("value", "rep", "n", F.sum("often").over(by).alias("score"))
 
 
 class Checker:
     """Tells how similar many pairs of classes are: passes by sketch those that can reach a share, then counts on full sets."""
 
-    def __init__(self, classes: DataFrame, texts: DataFrame, n: int):
-        self.classes, self.texts, self.n = classes, texts, n
+    def __init__(self, classes: DataFrame, texts: DataFrame, n: int, least: int):
+        self.classes, self.texts, self.n, self.least = classes, texts, n, least
 
     def similar(self, pairs: DataFrame) -> DataFrame:
         """a, b, both, either and, for the leaders' pairs (`led`), differ; pairs that can't reach `percent` are left out."""
@@ -129,7 +151,7 @@ class Checker:
         near = near.filter(F.expr("size(array_intersect(array_intersect(low, sa), sb))") >= floor * F.size("low")).select("a", "b", "led").distinct()
         text = lambda x: self.texts.select(F.col("row").alias(x), F.col("text").alias(f"t{x}"))
         both = keep(near, "near").join(text("a"), "a").join(text("b"), "b").select("a", "b", "led", "ta", "tb")
-        return both.mapInArrow(_jaccard(self.n), "a bigint, b bigint, both bigint, either bigint, differ array<bigint>")
+        return both.mapInArrow(_jaccard(self.n, self.least), "a bigint, b bigint, both bigint, either bigint, differ array<bigint>")
 
 
 def difference_lists(near: DataFrame, percent: int, turn: int) -> DataFrame:
@@ -172,12 +194,12 @@ def class_links(lists: DataFrame, checker: Checker, percent: int) -> DataFrame:
         leaders = leaders.select("value", F.col("lead.rep").alias("b"), F.col("lead.n").alias("b_n"))
         member = long.join(leaders.select("value", F.col("b").alias("rep")), ["value", "rep"], "left_anti")
         lead = long.withColumnsRenamed({"rep": "a", "n": "a_n"}).join(leaders, "value").filter("a != b")
-        led = lead.filter(fits(NEAR)).select("a", "b", F.lit(True).alias("led"), F.lit(NEAR).alias("percent"))
+        led = lead.filter(fits(checker.least)).select("a", "b", F.lit(True).alias("led"), F.lit(checker.least).alias("percent"))
         seen = keep(checker.similar(every.unionByName(led).distinct()), "seen")
         found = keep(found.union(seen.filter(f"100 * both >= {percent} * either").select("a", "b")).distinct(), "found")
         near = lead.groupBy("a", "b").agg(F.max("a_n").alias("n"), F.max("score").alias("score")).join(seen.filter("size(differ) > 0"), ["a", "b"])
         apart = difference_lists(near, percent, k)
-        closed = seen.filter(f"100 * both >= {NEAR + 100 - percent} * either").select("a", "b")
+        closed = seen.filter(f"100 * both >= {checker.least + 100 - percent} * either").select("a", "b")
         closed = lead.join(closed, ["a", "b"], "left_semi").select("value", F.col("a").alias("rep")).distinct()
         stay = member.join(closed, ["value", "rep"], "left_anti").select("value", "rep", "n", "score", "short", "apart", "own")
         joined = components(found).select(F.col("node").alias("rep"), "component")
@@ -187,17 +209,18 @@ def class_links(lists: DataFrame, checker: Checker, percent: int) -> DataFrame:
 def near_rows(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
     """One row per row of `docs`: its key (row_key), doc_id, n_shingles, component_id and kept, all but the key as of near_dedup."""
     texts = docs.select(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NO_ID)).alias("id"), row_key().alias("row"), "text")
-    sketched = keep(texts.mapInArrow(_sketch(shingle), "id bigint, row bigint, n bigint, d1 bigint, d2 bigint, sketch array<bigint>"), "sketches")
+    sketched = keep(texts.mapInArrow(_sketch(shingle, max(SKETCH, prefix(percent)[0])), "id bigint, row bigint, n bigint, d1 bigint, d2 bigint, sketch array<bigint>"), "sketches")
     same = ["n", "d1", "d2"]
     groups = sketched.filter("n > 0").groupBy(*same).agg(F.min(F.struct("id", "row")).alias("lead"), F.first("sketch").alias("sketch"))
     groups = keep(groups.select(*same, F.col("lead.id").alias("least"), F.col("lead.row").alias("rep"), "sketch"), "classes")
-    lists = keep(inverted_lists(groups), "lists")
+    lists = keep(inverted_lists(groups, percent), "lists")
     active = lists.select("rep").distinct()
     checker = Checker(
         keep(groups.select("rep", "sketch").join(active, "rep", "left_semi"), "active"),
         # equal rows have one key; one text for each is enough
         keep(texts.select("row", "text").join(active.select(F.col("rep").alias("row")), "row", "left_semi").dropDuplicates(["row"]), "active-texts"),
         shingle,
+        min(NEAR, percent),
     )
     comps = components(class_links(lists, checker, percent)).select(F.col("node").alias("rep"), "component")
     # a component is named for its smallest id, whose row stands for it

@@ -268,6 +268,15 @@ def test_near_dedup_ties_no_rows_by_their_ids(spark):
     assert got == by_row([(5, 5, True), (None, 5, False), (9, 9, True), (None, 9, False), (None, None, True), (None, None, False), (7, 7, True), (8, 7, False), (6, 6, True), (7, 6, False), (None, None, True)])
 
 
+def test_near_dedup_of_low_similarity(spark):
+    text = lambda k, side: " ".join([*(f"c{k}w{x}" for x in range(48)), *(f"o{k}{side}w{x}" for x in range(50))])
+    rows = [(2 * k + j, text(k, "ab"[j]), "a") for k in range(80) for j in range(2)]
+    got = {r["doc_id"]: r["component_id"] for r in near_dedup(docs(spark, rows), 1, 30).collect()}
+    assert got == brute.near_components([(i, t) for i, t, _ in rows], 1, 30) == {i: i - i % 2 for i in got}
+    with pytest.raises(ValueError):
+        near_dedup(docs(spark, rows), 1, 0)
+
+
 def test_components(spark):
     links = [(k, k + 1) for k in range(50)] + [(99, 80), (80, 70), (99, 99), (60, 61), (61, 60)]
     got = {r["node"]: r["component"] for r in components(spark.createDataFrame(links, "a bigint, b bigint")).collect()}
