@@ -11,6 +11,7 @@ from rollbook.llm import sql
 from rollbook.llm.chat_format import chat_format
 from rollbook.llm.decontaminate import decontaminate
 from rollbook.llm.license_scan import license_scan
+from rollbook.llm.merkle_manifest import merkle_manifest
 from rollbook.llm.near_dedup import near_dedup
 from rollbook.llm.packing import pack
 from rollbook.llm.pieces import tokenizer_path
@@ -94,6 +95,10 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classifier(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle_manifest(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_decontaminate": op2_decontaminate,
@@ -105,10 +110,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_license_scan": op8_license_scan,
     "op9_near_dedup": op9_near_dedup,
     "op10_quality_classifier": op10_quality_classifier,
+    "op11_merkle_manifest": op11_merkle_manifest,
 }
 SQL: dict[str, str] = {
     "op5_substring_dedup": sql.SUBSTRING_DEDUP,
     "op9_near_dedup": sql.NEAR_DEDUP,
     "op6_quality_rules": sql.QUALITY_RULES,
     "op7_chat_format": sql.CHAT_FORMAT,
+    "op11_merkle_manifest": sql.MERKLE_MANIFEST,
 }

