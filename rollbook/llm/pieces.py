@@ -111,6 +111,18 @@ class Coder:
 
         self._heads, self._rest = Table("", many), Table(" ", many)
 
+    def encode_after_blank(self, texts: Sequence[str]) -> list[bytes]:
+        """Ids of a blank and each text, in the same form."""
+        cut = [text.split(" ") for text in texts]
+        self._rest.learn(set(chain.from_iterable(cut)))
+        of, out = self._rest.known.__getitem__, []
+        for text, pieces in zip(texts, cut, strict=True):
+            try:
+                out.append(b"".join(map(of, pieces)))
+            except TypeError:
+                out.append(self.whole(" " + text))
+        return out
+
     def encode(self, texts: Sequence[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
         cut = [text.split(" ") for text in texts]

@@ -19,6 +19,7 @@ from rollbook.llm.quality_classifier import quality_classifier
 from rollbook.llm.quality_rules import quality_rules
 from rollbook.llm.scratch import keep, new_folder
 from rollbook.llm.substring_dedup import substring_dedup
+from rollbook.llm.token_alignment import groups_digest, score_alignment
 from rollbook.llm.token_counts import commit_batch, count_tokens, totals
 from rollbook.llm.token_files import read_token_files, write_token_files
 
@@ -99,6 +100,11 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle_manifest(table(spark, sf_dir, "documents"))
 
 
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = groups_digest(score_alignment(table(spark, sf_dir, "documents"), tokenizer_path(), tokenizer_path("piece_bpe_32k.model")))
+    return rows.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_decontaminate": op2_decontaminate,
@@ -111,6 +117,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_near_dedup": op9_near_dedup,
     "op10_quality_classifier": op10_quality_classifier,
     "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_token_alignment": op12_token_alignment,
 }
 SQL: dict[str, str] = {
     "op5_substring_dedup": sql.SUBSTRING_DEDUP,
