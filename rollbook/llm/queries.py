@@ -22,6 +22,7 @@ from rollbook.llm.substring_dedup import substring_dedup
 from rollbook.llm.token_alignment import groups_digest, score_alignment
 from rollbook.llm.token_counts import commit_batch, count_tokens, totals
 from rollbook.llm.token_files import read_token_files, write_token_files
+from rollbook.llm.warc import read_warc, write_warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -105,6 +106,12 @@ def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
 
 
+def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = new_folder(spark, "warc")
+    write_warc(table(spark, sf_dir, "pages"), folder)
+    return read_warc(spark, folder, payloads=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_decontaminate": op2_decontaminate,
@@ -118,6 +125,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_quality_classifier": op10_quality_classifier,
     "op11_merkle_manifest": op11_merkle_manifest,
     "op12_token_alignment": op12_token_alignment,
+    "op13_warc": op13_warc,
 }
 SQL: dict[str, str] = {
     "op5_substring_dedup": sql.SUBSTRING_DEDUP,
@@ -125,4 +133,5 @@ SQL: dict[str, str] = {
     "op6_quality_rules": sql.QUALITY_RULES,
     "op7_chat_format": sql.CHAT_FORMAT,
     "op11_merkle_manifest": sql.MERKLE_MANIFEST,
+    "op13_warc": sql.WARC,
 }

@@ -118,3 +118,15 @@ pr AS (SELECT k, string_agg(lft || rgt, '' ORDER BY lvl) AS proof FROM p GROUP B
 SELECT r.doc_id, r.leaf, s.subroot, u.digest AS root, sha256(coalesce(pr.proof, '')) AS proof_sha256, top.folded_root, top.folded_root = u.digest AS verified
 FROM r JOIN s ON r.lang IS NOT DISTINCT FROM s.lang JOIN u ON u.n = 1 JOIN top USING (k) LEFT JOIN pr USING (k)
 """
+
+WARC = r"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
+f AS (SELECT body, min(page_id) AS first FROM p GROUP BY body),
+r AS (SELECT p.*, f.first, row_number() OVER (PARTITION BY p.body ORDER BY page_id NULLS LAST) AS turn FROM p JOIN f USING (body)),
+b AS (SELECT *, list_transform(range(0, 8), lambda i: CAST('0x' || substr(sha1(body), CAST(5 * i + 1 AS BIGINT), 5) AS BIGINT)) AS v FROM r)
+SELECT page_id, octet_length(encode(body)) AS payload_bytes,
+       list_aggregate(list_transform(v, lambda n: list_aggregate(list_transform([15, 10, 5, 0], lambda s:
+         substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST((n >> s) & 31 AS BIGINT) + 1, 1)), 'string_agg', '')), 'string_agg', '') AS payload_digest,
+       CASE WHEN turn = 1 THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN turn = 1 THEN NULL ELSE first END AS refers_to
+FROM b
+"""
