@@ -239,7 +239,9 @@ def _records(pages: DataFrame, least: int) -> DataFrame:
 
 def write_warc(pages: DataFrame, folder: str, least_bytes: int = 0, shard_bytes: int = SHARD_BYTES, roll_bytes: int = ROLL_BYTES, date: str = DATE) -> None:
     """Write the pages (page_id, url, html) as archives into a new folder."""
-    spark = pages.sparkSession
+    system, path = file_system(folder)
+    if system.get_file_info(f"{path}/manifest").type != fs.FileType.NotFound:
+        raise FileExistsError(f"{folder} already exists")
     weighed = _records(pages, least_bytes).withColumn("weight", F.expr(f"copies * {HEADERS} + if(NOT shared, copies * size, if(is_first AND chunk = 0, size, 0))"))
     placed = running(weighed, [F.col(c) for c in _PLACE], "weight", "places")
     total = placed.agg(F.sum("weight")).first()[0] or 0
@@ -258,7 +260,6 @@ def write_warc(pages: DataFrame, folder: str, least_bytes: int = 0, shard_bytes:
     moved = files.repartition(max(1, min(256, files.count())), "name").mapInArrow(_publish(folder), _FILE)
     moved.drop("temporary").write.parquet(f"{folder}/manifest")
     if total:
-        system, path = file_system(folder)
         system.delete_dir(f"{path}/_temporary")
 
 
