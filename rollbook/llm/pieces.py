@@ -5,7 +5,8 @@ text can be cut there and the pieces encoded on their own. Pieces are kept in a
 pieces that are new in a block of texts are encoded in one call. Texts with other white space around a
 blank (two blanks, a line break and a blank, a blank at an edge) are encoded whole. Neither does it join
 letters and the marks after them, so a word keeps its ids whatever mark follows. A word of letters alone
-goes straight to the tokenizer's model, in the byte alphabet that the model is written in.
+goes straight to the tokenizer's model, in the byte alphabet that the model is written in. A text with the
+string of a special token is encoded whole, and the string becomes that token, as the library does it.
 """
 
 from __future__ import annotations
@@ -95,15 +96,25 @@ class Coder:
                 ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, file)}
             model = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
             self.whole = lambda text: array("I", model.encode_ordinary(text)).tobytes()
+            self._special: list[str] = []
             many = lambda pieces: [self.whole(p) for p in pieces]
         else:
             from tokenizers import Tokenizer
 
             model = Tokenizer.from_file(path)
-            model.encode_special_tokens = True  # their strings in a text are ordinary text
-            inner = model.model
+            model.encode_special_tokens = True  # their strings in a piece are ordinary text
+            self._special = [t.content for t in model.get_added_tokens_decoder().values()]
+            inner, self.vocabulary = model.model, model.get_vocab
             self.whole = lambda text: array("I", model.encode(text, add_special_tokens=False).ids).tobytes()
 
+            def marked(text: str) -> bytes:
+                model.encode_special_tokens = False
+                ids = self.whole(text)
+                model.encode_special_tokens = True
+                return ids
+
+            self._marked = marked
+
             def many(pieces: list[str]) -> list[bytes]:
                 other = [p for p in pieces if not p.lstrip(" ").isalpha()]
                 ids = dict(zip(other, _split(model.encode(other, is_pretokenized=True, add_special_tokens=False), len(other)), strict=True)) if other else {}
@@ -112,7 +123,7 @@ class Coder:
         self._heads, self._rest = Table("", many), Table(" ", many)
 
     def encode_after_blank(self, texts: Sequence[str]) -> list[bytes]:
-        """Ids of a blank and each text, in the same form."""
+        """Ids of a blank and each text, in the same form; strings of special tokens are ordinary text."""
         cut = [text.split(" ") for text in texts]
         self._rest.learn(set(chain.from_iterable(cut)))
         of, out = self._rest.known.__getitem__, []
@@ -135,6 +146,10 @@ class Coder:
                 out.append(first[head] + b"".join(map(of, rest)))
             except TypeError:  # a piece without ids of its own
                 out.append(self.whole(text))
+        for special in self._special:
+            for k, text in enumerate(texts):
+                if special in text:
+                    out[k] = self._marked(text)
         return out
 
 

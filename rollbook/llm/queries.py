@@ -73,11 +73,13 @@ def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality_rules(table(spark, sf_dir, "documents"))
+    rows = quality_rules(table(spark, sf_dir, "documents"))
+    asked = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
+    return rows.select(*asked, *(c for c in rows.columns if c not in asked))
 
 
 def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = chat_format(table(spark, sf_dir, "conversations"), block=None)
+    rows = chat_format(table(spark, sf_dir, "conversations"))
     return rows.selectExpr(
         "conv_id", "block", "perspective", "n_turns", "n_own", "rendered",
         "array_join(transform(mask, m -> concat(m.start, '-', m.end)), ',') AS mask_spans",
@@ -90,7 +92,8 @@ def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_dedup(table(spark, sf_dir, "documents"), shingle=3, percent=85)
+    rows = near_dedup(table(spark, sf_dir, "documents"), shingle=3, percent=85)
+    return rows.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
 def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -102,8 +105,7 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = groups_digest(score_alignment(table(spark, sf_dir, "documents"), tokenizer_path(), tokenizer_path("piece_bpe_32k.model")))
-    return rows.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+    return score_alignment(table(spark, sf_dir, "documents"), tokenizer_path(), tokenizer_path("piece_bpe_32k.model"), groups_digest, "groups_sha256 string")
 
 
 def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:

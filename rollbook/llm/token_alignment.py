@@ -7,9 +7,9 @@ tokens were spread evenly, and then by halving. Ends that are found are common;
 into groups. The ranks of a token's own end and of the one before it tell the range of the other
 side's tokens that it overlaps: links.
 
-Links are counted over the whole corpus. Blocks of about TEXT_BYTES of text keep each pair of ids once,
+Links are counted over the whole corpus. Blocks of about BLOCK_BYTES of text keep each pair of ids once,
 with the number of its links, so a pair that is everywhere is summed before it is shuffled; the totals go back to
-the blocks and from there to the documents. A block holds its own texts' links and no more.
+the blocks, which know which of their pairs a document has and how often. Ids themselves are not stored.
 
 Cases: a null or empty text has no tokens, and neither has one whose tokens on either side don't give back
 its bytes; strings of special tokens are ordinary text; null ids are carried; equal rows count each; very long texts are a block of
@@ -20,26 +20,31 @@ from __future__ import annotations
 
 import hashlib
 from array import array
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 from functools import cache
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rollbook.llm.pieces import _ALPHABET, MOST_PIECES, TEXT_BYTES, coder
+from rollbook.llm.pieces import _ALPHABET, coder
 from rollbook.llm.scratch import keep
-from rollbook.llm.textblocks import blocks
+from rollbook.llm.textblocks import blocks, raw
 
 #: A pair of ids is one number: A's id times this, and B's.
 PAIR = 1 << 32
-_BLOCKS = "block bigint, docs array<bigint>, n_a array<int>, n_b array<int>, n_groups array<int>, a array<int>, b array<int>, a_sizes array<int>, b_sizes array<int>, overlaps array<int>, pairs array<bigint>, times array<bigint>"
-_DOCUMENTS = "doc_id bigint, a array<int>, b array<int>, a_sizes array<int>, b_sizes array<int>, overlaps array<int>, n_links bigint, n_best bigint, count_sum bigint"
+#: Text of a block, and words whose pieces a worker remembers.
+BLOCK_BYTES = 1 << 20
+MOST_WORDS = 100_000
+#: Rows of `alignments`. Binary columns are little-endian unsigned 32-bit integers.
+_ROWS = "doc_id bigint, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, a binary, b binary, a_sizes binary, b_sizes binary, overlaps binary"
+#: A block: of each document its counts and how many pairs it has, which of the block's pairs these are and how often (compressed); the pairs and their sums.
+_BLOCK = "block bigint, docs array<struct<doc_id:bigint,n_a:bigint,n_b:bigint,n_groups:bigint,n_links:bigint>>, n_pairs binary, pair binary, often binary, pairs array<bigint>, times array<bigint>"
 
 
 class Pieces:
@@ -62,7 +67,7 @@ class Pieces:
         if not self._apart:
             return self._encode(texts)
         cut = [text.split(" ") for text in texts]
-        if len(self._known) > MOST_PIECES:
+        if len(self._known) > MOST_WORDS:
             self._known = {}
         new = set(chain.from_iterable(cut)).difference(self._known)
         new.discard("")
@@ -80,10 +85,8 @@ def _pieces(path: str) -> Pieces:
 @cache
 def _byte_tokens(path: str) -> list[bytes]:
     """The bytes of each id of a byte-level vocabulary."""
-    from tokenizers import Tokenizer
-
     back = {chr(to): b for b, to in _ALPHABET.items()}
-    vocabulary = Tokenizer.from_file(path).get_vocab()
+    vocabulary = coder(path).vocabulary()
     out = [b""] * (max(vocabulary.values()) + 1)
     for token, i in vocabulary.items():
         out[i] = bytes(back.get(c, ord(c) & 0xFF) for c in token)
@@ -193,67 +196,108 @@ def encoded(texts: Sequence[str | None], path_a: str, path_b: str) -> tuple[Side
     return _side(ids[0], bytes_a), _side(ids[1], pieces.tokens)
 
 
-def _lists(values: np.ndarray | pa.Array, first: np.ndarray, kind: pa.DataType) -> pa.Array:
-    return pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), values if isinstance(values, pa.Array) else pa.array(values, kind))
+def _cut(values: np.ndarray, sizes: np.ndarray) -> pa.Array:
+    """The values of each document as bytes."""
+    ends = np.concatenate(([0], np.cumsum(4 * sizes))).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(ends.tobytes()), pa.py_buffer(values.astype("<u4").tobytes())])
+
+
+def _rows(docs: pa.Array, x: Aligned) -> pa.Table:
+    """The rows of a block as of _ROWS."""
+    n_a, n_b = np.diff(x.a.first), np.diff(x.b.first)
+    over = np.bincount(x.links[0], minlength=len(x.a.ids))
+    upto = np.concatenate(([0], np.cumsum(over)))[x.a.first]
+    lists = [_cut(c, n) for c, n in ((x.a.ids, n_a), (x.b.ids, n_b), (x.a_sizes, x.n_groups), (x.b_sizes, x.n_groups), (over, n_a))]
+    return pa.table([docs, *map(pa.array, (n_a, n_b, x.n_groups, np.diff(upto))), *lists], [c.split()[0] for c in _ROWS.split(", ")])
+
+
+def _blocks(path_a: str, path_b: str, batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[Aligned, pa.Table]]:
+    for batch in batches:
+        for row, texts in blocks(batch.column(1), BLOCK_BYTES):
+            x = aligned(*encoded(texts.to_pylist(), path_a, path_b))
+            yield x, _rows(batch.column(0).slice(row, len(texts)), x)
 
 
-def _align(path_a: str, path_b: str):
+def alignments(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
+    """One row per document: doc_id, n_a, n_b, n_groups, n_links, the ids of both sides (a, b), the sizes of the groups on both, and
+    the number of B's tokens that each of A's overlaps."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number = TaskContext.get().partitionId() << 32
-        for batch in batches:
-            for row, texts in blocks(batch.column(1), TEXT_BYTES):
-                x = aligned(*encoded(texts.to_pylist(), path_a, path_b))
-                pairs, times = np.unique(x.a.ids[x.links[0]] * PAIR + x.b.ids[x.links[1]], return_counts=True)
-                columns = [np.diff(x.a.first), np.diff(x.b.first), x.n_groups, x.a.ids, x.b.ids, x.a_sizes, x.b_sizes, np.bincount(x.links[0], minlength=len(x.a.ids))]
-                columns = [pa.array([number]), *(_lists(c, np.array([0, len(c)]), pa.int32()) for c in columns), *(_lists(c, np.array([0, len(c)]), pa.int64()) for c in (pairs, times))]
-                columns.insert(1, pa.ListArray.from_arrays(pa.array([0, len(texts)], pa.int32()), batch.column(0).slice(row, len(texts))))
-                yield pa.RecordBatch.from_arrays(columns, [c.split()[0] for c in _BLOCKS.split(", ")])
-                number += 1
+        for _, rows in _blocks(path_a, path_b, batches):
+            yield from rows.to_batches()
+
+    return docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(run, _ROWS)
+
+
+def _one(values: pa.Array) -> pa.Array:
+    """A column of one row, a list of all values."""
+    return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
 
-    return run
 
+def _structs(table: pa.Table, names: Sequence[str]) -> pa.Array:
+    return pa.StructArray.from_arrays([table[c].combine_chunks() for c in names], list(names))
 
-def _cut(values: pa.Array, sizes: np.ndarray) -> pa.Array:
-    return _lists(values, np.concatenate(([0], np.cumsum(sizes))), pa.int32())
 
+def _counted(path_a: str, path_b: str, made: Callable[[pa.Table], pa.Table] | None):
+    names = [c.split()[0] for c in _ROWS.split(", ")][:5]
 
-def _links(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, over: np.ndarray, common: np.ndarray) -> np.ndarray:
-    """The pair of ids of each link, from the number of tokens that each token of A overlaps and whether it ends in common."""
-    # the next token begins in the last one overlapped, unless both end there
-    first = np.cumsum(over - ~common) - (over - ~common)
-    return np.repeat(a, over) * PAIR + b[_runs(first, over)]
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number, press = TaskContext.get().partitionId() << 32, zstandard.ZstdCompressor(level=1)
+        pressed = lambda some: pa.array([press.compress(some.astype("<u4").tobytes())])
+        for x, rows in _blocks(path_a, path_b, batches):
+            pairs, at, times = np.unique(x.a.ids[x.links[0]] * PAIR + x.b.ids[x.links[1]], return_inverse=True, return_counts=True)
+            of = np.repeat(np.arange(rows.num_rows), rows["n_links"].to_numpy())
+            own, often = np.unique(of * max(1, len(pairs)) + at, return_counts=True)
+            of, at = np.divmod(own, max(1, len(pairs)))
+            new = np.diff(of, prepend=-1) > 0
+            columns = [pa.array([number]), _one(_structs(rows, names)), pressed(np.bincount(of, minlength=rows.num_rows)), pressed(np.where(new, at, np.diff(at, prepend=0))), pressed(often), _one(pa.array(pairs)), _one(pa.array(times))]
+            if made:
+                extra = made(rows)
+                columns.append(_one(_structs(extra, extra.schema.names)))
+            yield pa.RecordBatch.from_arrays(columns, [c.split()[0] for c in _BLOCK.split(", ")] + ["made"] * bool(made))
+            number += 1
+
+    return run
 
 
-def _documents(key: tuple[pa.Scalar, ...], held: pa.Table, scored: pa.Table) -> pa.Table:
-    row = held.combine_chunks()
-    given = {name: row.column(name).chunk(0)[0].values for name in row.schema.names if name not in ("block", "times")}
-    number = lambda c: given[c].to_numpy(zero_copy_only=False).astype(np.int64)
-    n_a, n_b, n_groups, a, b, over, pairs = map(number, ("n_a", "n_b", "n_groups", "a", "b", "overlaps", "pairs"))
+def _scored(held: pa.Table, scored: pa.Table) -> pa.Table:
+    """The documents of a block, from its row and from the total of each of its pairs and the most of any pair with the same B."""
+    open_ = zstandard.ZstdDecompressor()
+    n_pairs, step, often = (np.frombuffer(open_.decompress(held[c][0].as_py()), "<u4").astype(np.int64) for c in ("n_pairs", "pair", "often"))
+    first = np.cumsum(n_pairs) - n_pairs
+    sums = np.concatenate(([0], np.cumsum(step)))
+    pair = sums[1:] - np.repeat(sums[first], n_pairs)
     at, total, most = (scored.column(c).to_numpy() for c in ("pos", "total", "most"))
-    totals, best = np.zeros(len(pairs), np.int64), np.zeros(len(pairs), np.int64)
+    totals, best = np.zeros((2, len(held["pairs"][0])), np.int64)
     totals[at], best[at] = total, total == most
-    common = np.zeros(len(a), np.int64)
-    common[np.cumsum(number("a_sizes")) - 1] = 1
-    # the next token begins in the last one overlapped, unless both end there
-    steps = over - 1 + common
-    link = np.searchsorted(pairs, np.repeat(a, over) * PAIR + b[_runs(np.cumsum(steps) - steps, over)])
-    upto = np.concatenate(([0], np.cumsum(over)))[np.concatenate(([0], np.cumsum(n_a)))]
-    sums = lambda x: pa.array(np.diff(np.concatenate(([0], np.cumsum(x)))[upto]))
-    lists = [_lists(given[c], np.concatenate(([0], np.cumsum(n))), pa.int32()) for c, n in (("a", n_a), ("b", n_b), ("a_sizes", n_groups), ("b_sizes", n_groups), ("overlaps", n_a))]
-    return pa.table([given["docs"], *lists, pa.array(np.diff(upto)), sums(best[link]), sums(totals[link])], [c.split()[0] for c in _DOCUMENTS.split(", ")])
-
-
-def score_alignment(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
-    """One row per document: doc_id, the ids of both sides (a, b), the sizes of its groups on both (a_sizes, b_sizes), the number of
-    B's tokens that each of A's overlaps, n_links, n_best (links whose pair's count is the highest of its B id) and count_sum."""
+    added = lambda x: pa.array(np.diff(np.concatenate(([0], np.cumsum(x * often)))[np.append(first, len(pair))]))
+    lists = [held[c][0].values for c in ("docs", "made") if c in held.schema.names]
+    columns = {f.name: rows.field(f.name) for rows in lists for f in rows.type}
+    return pa.table(columns | {"n_best": added(best[pair]), "count_sum": added(totals[pair])})
+
+
+def score_alignment(docs: DataFrame, path_a: str, path_b: str, made: Callable[[pa.Table], pa.Table] | None = None, schema: str = "") -> DataFrame:
+    """One row per document: doc_id, n_a, n_b, n_groups, n_links, n_best (links whose pair's count is the highest of its B id) and count_sum.
+
+    With `made`, its columns (of `schema`) follow. It gets the rows of `alignments`, a block at a time, in the task that finds them, so
+    that ids are not stored for it.
+    """
+    kind = f", made array<struct<{schema.replace(', ', ',').replace(' ', ':')}>>" if made else ""
+    counts = "doc_id bigint, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, n_best bigint, count_sum bigint"
+    out = f"{counts}, {schema}" if made else counts
+    names = [c.split()[0] for c in out.split(", ")]
+
+    def run(key: tuple[pa.Scalar, ...], held: pa.Table, scored: pa.Table) -> pa.Table:
+        return _scored(held, scored).select(names)
+
     texts = docs.select(F.col("doc_id").cast("bigint"), "text")
-    held = keep(texts.mapInArrow(_align(path_a, path_b), _BLOCKS), "aligned")
+    held = keep(texts.mapInArrow(_counted(path_a, path_b, made), _BLOCK + kind), "aligned")
     totals = held.select(F.inline(F.arrays_zip("pairs", "times"))).groupBy("pairs").agg(F.sum("times").alias("total"))
     totals = keep(totals, "pair-counts")
     best = totals.groupBy(F.expr(f"pairs % {PAIR}").alias("b")).agg(F.max("total").alias("most"))
     scored = totals.withColumn("b", F.expr(f"pairs % {PAIR}")).join(best, "b").select("pairs", "total", "most")
     asked = held.select("block", F.posexplode("pairs").alias("pos", "pairs")).join(scored, "pairs").select(F.col("block").alias("of"), "pos", "total", "most")
-    return held.groupBy("block").cogroup(asked.groupBy("of")).applyInArrow(_documents, _DOCUMENTS)
+    return held.drop("times").groupBy("block").cogroup(asked.groupBy("of")).applyInArrow(run, out)
 
 
 @cache
@@ -286,19 +330,8 @@ def groups_text(a: np.ndarray, b: np.ndarray, a_sizes: np.ndarray, b_sizes: np.n
     return [data[x : max(x, y - 1)] for x, y in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
 
 
-def groups_digest(rows: DataFrame) -> DataFrame:
-    """Numbers of tokens, groups and links of the rows of `score_alignment`, and the hash of each one's groups as text; empty without tokens."""
-    names = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, len(batch), 512):
-                part = batch.slice(at, 512)
-                column = lambda name: part.column(part.schema.get_field_index(name))
-                counts = [pc.list_value_length(column(c)).cast(pa.int64()) for c in ("a", "b", "a_sizes")]
-                flat = [column(c).flatten().to_numpy(zero_copy_only=False).astype(np.int64) for c in ("a", "b", "a_sizes", "b_sizes")]
-                texts = groups_text(*flat, counts[2].to_numpy())
-                digests = pa.array([hashlib.sha256(t).hexdigest() if t else "" for t in texts])
-                yield pa.RecordBatch.from_arrays([column("doc_id"), *counts, *map(column, names[4:7]), digests], names)
-
-    return rows.mapInArrow(run, "doc_id bigint, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, n_best bigint, count_sum bigint, groups_sha256 string")
+def groups_digest(rows: pa.Table) -> pa.Table:
+    """groups_sha256, the hash of each row's groups as text; empty without tokens."""
+    flat = [raw(rows[c].combine_chunks())[0].view("<u4").astype(np.int64) for c in ("a", "b", "a_sizes", "b_sizes")]
+    texts = groups_text(*flat, rows["n_groups"].to_numpy())
+    return pa.table({"groups_sha256": pa.array([hashlib.sha256(t).hexdigest() if t else "" for t in texts], pa.string())})

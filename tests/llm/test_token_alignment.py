@@ -14,7 +14,7 @@ from tokenizers import Tokenizer
 
 from rollbook.llm import queries
 from rollbook.llm.pieces import tokenizer_path
-from rollbook.llm.token_alignment import Side, aligned, gallop, groups_digest, score_alignment
+from rollbook.llm.token_alignment import Side, aligned, alignments, gallop, groups_digest, score_alignment
 
 A, B = tokenizer_path(), tokenizer_path("piece_bpe_32k.model")
 FOLDER = "/root/testdata/sf0.001"
@@ -94,16 +94,18 @@ ODD = [
 @pytest.mark.usefixtures("few_rows")
 def test_odd_rows(spark, models):
     docs = spark.createDataFrame([(i, t, "a", 1, "b") for i, t in ODD], "doc_id bigint, text string, block string, a int, pairs string")
-    got = [tuple(r) for r in groups_digest(score_alignment(docs, A, B)).collect()]
+    got = [tuple(r) for r in score_alignment(docs, A, B, groups_digest, "groups_sha256 string").collect()]
     want = expected(models, ODD)
     assert sorted(got, key=repr) == sorted(want, key=repr)
     assert sum(w[1] == 0 for w in want) == 4 and all(w[4] == w[1] + w[2] - w[3] for w in want)
-    assert groups_digest(score_alignment(docs.limit(0), A, B)).count() == 0
+    assert [tuple(r) for r in sorted(score_alignment(docs, A, B).collect(), key=repr)] == [w[:-1] for w in sorted(want, key=repr)]
+    assert score_alignment(docs.limit(0), A, B).count() == 0
 
 
 def test_groups_and_overlaps_are_given(spark, models):
-    row = score_alignment(spark.createDataFrame([(1, "uncharacteristically antidisestablishment 2024")], "doc_id int, text string"), A, B).first()
+    row = alignments(spark.createDataFrame([(1, "uncharacteristically antidisestablishment 2024")], "doc_id int, text string"), A, B).first()
     a, b = tokens(models, "uncharacteristically antidisestablishment 2024")
+    row = {c: np.frombuffer(row[c], "<u4").tolist() for c in ("a", "b", "a_sizes", "b_sizes", "overlaps")}
     assert (row["a"], row["b"]) == ([x[0] for x in a], [x[0] for x in b])
     assert row["overlaps"] == [sum(y[1] < x[2] and x[1] < y[2] for y in b) for x in a]
     assert (sum(row["a_sizes"]), sum(row["b_sizes"]), len(row["a_sizes"])) == (len(a), len(b), len({x[2] for x in a} & {x[2] for x in b}))
