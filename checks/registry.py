@@ -442,7 +442,7 @@ customer("quoted_tax_ids", lambda t, p: filters.quoted(reports.customer_base(t,
          "SELECT tax_id FROM quoted")
 supplier("site_codes_text", lambda t, p: tags.site_codes(t["site_tag"], t["tag_type"]),
          "SELECT * FROM codes")
-supplier("po_usage_text", lambda t, p: tags.po_usage(t["site_tag"]), "SELECT * FROM usage")
+supplier("po_usage_text", lambda t, p: tags.po_usage(t["site_tag"], t["tag_type"]), "SELECT * FROM usage")
 
 
 # --- sets, order, limit --------------------------------------------------------------------------

@@ -25,7 +25,6 @@ def lookup(df: DataFrame, right: DataFrame, on: Mapping[str, str], take: Mapping
 
 COPIES = "copies"  # how often a row stands for itself, until repeat_rows
 CHUNK = 10_000
-ROWS_PER_PART = 100_000  # of one key in one task
 
 
 def multiply(df: DataFrame, right: DataFrame, on: Mapping[str, str]) -> DataFrame:
@@ -40,31 +39,34 @@ def multiply(df: DataFrame, right: DataFrame, on: Mapping[str, str]) -> DataFram
     return joined.withColumn(COPIES, F.expr(f"{before} * coalesce(__found, 1L)")).drop("__found")
 
 
-def spread_lookup(df: DataFrame, right: DataFrame, on: Mapping[str, str], take: Mapping[str, str],
-                  rows_per_part: int = ROWS_PER_PART) -> DataFrame:
+def spread_lookup(df: DataFrame, right: DataFrame, on: Mapping[str, str],
+                  take: Mapping[str, str]) -> DataFrame:
     """A left look-up whose right side may have any number of rows per key.
 
-    Equal right rows are counted into ``copies``, and the different rows of a key are dealt out by
-    hash over one part for each ``rows_per_part`` of its rows: the left row is repeated once per
-    part and each right row belongs to one, so no task gets the whole of a large key.
-    (Adaptive execution cannot split the right side of a left join.) The left rows of a key with
-    matches that meet an empty part are dropped; unmatched ones stay. Counts and parts come from
-    one aggregate, so the right side is read and shuffled once.
+    Adaptive execution can split only the left side of a left join, but both of an inner one. So the left
+    join is done as an inner half and an anti half in one: a first join with the distinct keys marks the left
+    rows that have a match (one row per key, so only the left side can be hot, and be split); a second,
+    inner one gives those their matches, and the others, whose key becomes NULL, the one row of NULLs that is added
+    to the right side. Equal right rows are counted into ``copies`` before the shuffle. The left side is computed once.
     """
-    keys = list(on.values())
-    rows = right.selectExpr(*keys, *[f"{r} AS {new}" for new, r in take.items()])
+    keys = {f"__k{i}": r for i, r in enumerate(on.values())}
+    rows = right.selectExpr(*[f"{r} AS {k}" for k, r in keys.items()],
+                            *[f"{r} AS {new}" for new, r in take.items()]).dropna(subset=list(keys))
+    # grouped by a bit of the keys too: so the join shuffles them on their own, and can split its left side
+    bit = F.expr(f"xxhash64({', '.join(keys)}) & 1").alias("__bit")
+    known = rows.select(*keys, bit).distinct().withColumn("__known", F.lit(True))
     rows = rows.groupBy(*rows.columns).agg(F.expr("count(1) AS __n"))
-    parts = rows.groupBy(*keys).agg(F.expr(f"sum(__n) div {rows_per_part} + 1 AS __all"))
-    dealt = lookup(rows, parts, {k: k for k in keys}, {"__parts": "__all"}).withColumn(
-        "__part", F.expr(f"pmod(xxhash64({', '.join(take)}), coalesce(__parts, 1L))"))
-    left = lookup(df, parts, on, {"__left_parts": "__all"}).withColumn(
-        "__left_part", F.expr("explode(sequence(0L, coalesce(__left_parts, 1L) - 1))"))
-    joined = lookup(left, dealt, {**on, "__left_part": "__part"},
-                    {**{n: n for n in take}, "__found": "__n"})
+    kinds = dict(rows.dtypes)
+    nothing = df.sparkSession.range(1).selectExpr(
+        *[f"CAST(NULL AS {kinds[c]}) AS {c}" for c in [*keys, *take]], "1L AS __n")
+    marked = lookup(df, known, dict(zip(on, keys)), {"__found": "__known"})
+    marked = marked.withColumns({f"__m{i}": F.expr(f"if(__found, {left}, NULL)")
+                                 for i, left in enumerate(on)}).drop("__found")
+    match = " AND ".join(f"__m{i} <=> __k{i}" for i in range(len(on)))
     before = COPIES if COPIES in df.columns else "1L"
-    return (joined.where("__found IS NOT NULL OR __left_parts IS NULL")
-            .withColumn(COPIES, F.expr(f"{before} * coalesce(__found, 1L)"))
-            .drop("__found", "__left_parts", "__left_part"))
+    joined = marked.join(rows.unionByName(nothing), F.expr(match))
+    return (joined.withColumn(COPIES, F.expr(f"{before} * __n"))
+            .drop("__n", *keys, *[f"__m{i}" for i in range(len(on))]))
 
 
 def in_chunks(df: DataFrame) -> DataFrame:

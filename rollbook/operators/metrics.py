@@ -123,6 +123,17 @@ def site_parts(doc: DataFrame, p: Params, codes: RoleCodes) -> DataFrame:
             .groupBy(*SITE).agg(*[F.expr(f"{e} AS {n}") for n, e in aggregates.items()]))
 
 
+def at_two_grains(parts: DataFrame) -> DataFrame:
+    """The same parts for a plan that uses them at two grains.
+
+    Each use would keep columns of its own, and so aggregate the documents on its own. Here all columns count as
+    used, by a test that every row passes, which makes the uses alike up to the shuffle, and the planner runs it
+    once and reads it twice. The row number in the test keeps the planner from deriving conditions from it.
+    """
+    return parts.where(f"xxhash64({', '.join(parts.columns)}) >= -9223372036854775808BD "
+                       "OR monotonically_increasing_id() < 0")
+
+
 def roll_up(parts: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Parts of coarser keys. Row multiplicity of the input counts, as it does for documents."""
     again = {"sum": "sum", "n": "sum", "min": "min", "max": "max"}

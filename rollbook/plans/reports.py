@@ -1,9 +1,8 @@
 """The six party reports. Each takes the tables and the parameters and returns a DataFrame with
 plain column names (``layouts.display_names`` maps them to the display names).
 
-Header reports read the documents once. Site reports need the parts at two grains, so they accept
-``parts`` that were computed before (``plans.shared``); without them the parts are planned in
-line and the documents are read once per grain.
+Every report reads the documents once, also where it needs them at two grains
+(``metrics.at_two_grains``). Reports accept ``parts`` that were computed before (``plans.shared``, ``plans.days``).
 """
 
 from __future__ import annotations
@@ -112,7 +111,7 @@ def _supplier_site_columns(df: DataFrame, t: Tables) -> DataFrame:
 
 def supplier_site(t: Tables, p: Params, parts: DataFrame | None = None) -> DataFrame:
     """One row per site with a non-zero metric, of tax ids that pass the header rule; ordered."""
-    parts = report_parts(t, p, "supplier") if parts is None else parts
+    parts = metrics.at_two_grains(report_parts(t, p, "supplier")) if parts is None else parts
     base = supplier_base(t, p)
     qualified = filters.qualified_suppliers(metrics.base_record_parts(parts, t["site"], base))
     values = filters.nonzero_metrics(
@@ -123,15 +122,14 @@ def supplier_site(t: Tables, p: Params, parts: DataFrame | None = None) -> DataF
           .join(values, SITE))
     df = filters.site_keep(df, "ne", balance="trx_op_bal_chf")
     df = _supplier_site_columns(df, t)
-    df = lookup(df, tags.site_codes(t["site_tag"], t["tag_type"]), joins.SITE_KEY,
-                {"site_codes": "site_codes"})
-    df = lookup(df, tags.po_usage(t["site_tag"]), joins.SITE_KEY, {"po_usage": "po_usage"})
+    df = lookup(df, tags.site_tag_texts(t["site_tag"], t["tag_type"]), joins.SITE_KEY,
+                {"site_codes": "site_codes", "po_usage": "po_usage"})
     return arrange(repeat_rows(sets.order_sites(df, "origin")), LAYOUTS["supplier_site"])
 
 
 def supplier_site_self_qualified(t: Tables, p: Params, parts: DataFrame | None = None) -> DataFrame:
     """One row per site and site tag, for sites that pass the rule themselves; ordered by party."""
-    parts = report_parts(t, p, "supplier") if parts is None else parts
+    parts = metrics.at_two_grains(report_parts(t, p, "supplier")) if parts is None else parts
     values = metrics.all_supplier_columns(
         filters.qualified_site_parts(parts), SITE, p, open_orders=False)
     df = (supplier_base(t, p).join(joins.site_columns(t["site"]), RECORD).join(values, SITE))
@@ -172,7 +170,7 @@ def customer_header(t: Tables, p: Params, parts: DataFrame | None = None) -> Dat
 
 def customer_site(t: Tables, p: Params, parts: DataFrame | None = None) -> DataFrame:
     """One row per site with a non-zero metric (times accounts) of qualified tax ids; ordered."""
-    parts = report_parts(t, p, "customer") if parts is None else parts
+    parts = metrics.at_two_grains(report_parts(t, p, "customer")) if parts is None else parts
     base = customer_base(t, p)
     valid_parts = metrics.in_valid_sites(parts, t["site"])
     qualified = filters.qualified_customers(

@@ -20,19 +20,48 @@ def sides(spark):
     return left, right
 
 
-@pytest.mark.parametrize("rows_per_part", [1, 7, 50, 10**6])
-def test_spread_lookup_is_a_left_join(sides, rows_per_part):
+def test_spread_lookup_is_a_left_join(sides):
     left, right = sides
     plain = left.join(right, left.k == right.rk, "left").select("k", "l", "v")
-    got = L.repeat_rows(L.spread_lookup(left, right, {"k": "rk"}, {"v": "v"}, rows_per_part))
-    assert rows(got) == rows(plain)
-
-
-def test_hot_keys_are_dealt_out(sides):
-    left, right = sides
-    got = L.spread_lookup(left, right, {"k": "rk"}, {"v": "v"}, 10)
-    assert {"k", "l", "v", L.COPIES} == set(got.columns)
-    assert got.where("k = 3 OR k IS NULL").count() == 2
+    once = L.spread_lookup(left, right, {"k": "rk"}, {"v": "v"})
+    assert {"k", "l", "v", L.COPIES} == set(once.columns)
+    assert rows(L.repeat_rows(once)) == rows(plain)
+    assert once.where("k = 3 OR k IS NULL").count() == 2
+    both = right.selectExpr("rk", "v AS code", "concat('x', v) AS v")
+    plain = left.join(both, (left.k == both.rk) & (left.l == both.code), "left").select("k", "l", both.v)
+    got = L.spread_lookup(left, both, {"k": "rk", "l": "code"}, {"v": "v"})
+    assert rows(L.repeat_rows(got)) == rows(plain)
+
+
+def test_equal_rows_are_one_row(spark, sides):
+    """Three million equal rows of one key are one row with a count, and the left row isn't repeated for them."""
+    left, _ = sides
+    same = spark.range(3_000_000).selectExpr("1 AS rk", "'v' AS v")
+    got = L.spread_lookup(left, same, {"k": "rk"}, {"v": "v"})
+    assert rows(got.where("k = 1"), "l", L.COPIES) == [("a", 3_000_000), ("e", 3_000_000)]
+
+
+@pytest.mark.parametrize("hot", ["left", "right"])
+def test_a_hot_key_is_split_on_either_side(spark, hot):
+    """Adaptive execution deals the rows of one key out over several tasks."""
+    settings = {"spark.sql.adaptive.enabled": "true", "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "8",
+                "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+                "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5"}
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        many = spark.range(0, 200_000, 1, 16).selectExpr("if(id % 3 = 0, 7, cast(id AS int)) AS k", "cast(id AS string) AS v")
+        few = spark.range(0, 2000, 1, 4).selectExpr("cast(id AS int) AS k", "cast(id AS string) AS w")
+        left, right = (many, few) if hot == "left" else (few, many)
+        left, right = left.toDF("k", "l"), right.toDF("rk", "v")
+        got = L.spread_lookup(left, right, {"k": "rk"}, {"v": "v"})
+        assert got.count() == left.join(right, left.k == right.rk, "left").count()
+        got.collect()
+        assert "skew=true" in got._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
 def test_multiply_counts_without_joining_rows(sides):
