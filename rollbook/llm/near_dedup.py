@@ -9,12 +9,18 @@ less, the share is lowered and, under 0.44, more values are listed, to keep the
 
 Short lists yield their pairs, which are filtered by sketch (union-sketch estimate) and verified on full
 sets; links join classes to components, and lists within one component are done. A long list picks a
-leader, the member that is in the most crowded lists, and only its pairs are verified. Let D be the
-symmetric difference of a member and the leader. Two members that aren't both linked to the leader can
-only be linked with each other if their D share an element; so members with at least NEAR in common
-with the leader go on in lists of (leader, rare element of D), where a large family of copies falls
-apart into those that share their edits. The distance 1 - J is a metric: a member over NEAR + 1 - similarity has no link
-with one under NEAR, and leaves the list; the others stay for the next leader. From round to round
+leader, the member that is in the most crowded lists, and only its pairs are verified. The members with at least
+NEAR in common with it are a family. What more than half of them have is their centre, a set that none
+of them needs to be. Members so near to the centre that they must be linked to the one that is nearest to it
+are the core, one component without further pairs. Any other member adds some of what its partner adds to the
+centre, or removes the same, so members go on in lists of (leader, rare element that is added), where
+a large family falls apart into those that share their edits. Shared removals alone can only do for a pair
+if one of the two removes more than it adds, or both are hardly too far from the centre; only such members
+go on in lists of (leader, rare element that is removed). Sizes of what two members add and remove tell
+before they become a pair whether they can share enough (see difference_lists), and long lists pick a leader again, whose
+family shares that element. The distance 1 - J is a metric: a member over NEAR + 1 - similarity has no link
+with one under NEAR, and leaves the list; the others stay for the next leader, as long as some are under NEAR, and
+only pairs that aren't both of one family are looked at. From round to round
 lists count as short up to four times the length, and rounds go on until no list holds two components,
 so nothing is left out.
 
@@ -35,10 +41,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
+from pyspark.sql.window import WindowSpec
 from pyspark.sql import functions as F
 
 from rollbook.llm.components import components
-from rollbook.llm.scratch import keep
+from rollbook.llm.scratch import keep, settled
 from rollbook.llm.textblocks import mix, blocks, sets, words
 
 SKETCH = 64
@@ -48,8 +55,8 @@ SHARED, FIXED = 0.4, 80
 #: Chance that a pair of a lower similarity shares fewer values than asked for.
 MISSED = 1e-6
 #: Members up to which a list yields all its pairs in the first round, of retained values and of differences from a leader.
-SHORT, SHORT_APART = 8, 100
-#: Percent of similarity with the leader from which members are told apart by their differences, if no less is asked for.
+SHORT, SHORT_APART = 8, 16
+#: Percent of similarity with the leader from which members are told apart by what they add and remove, if no less is asked for.
 NEAR = 50
 NO_ID = (1 << 63) - 1
 
@@ -112,20 +119,26 @@ def _jaccard(n: int, least: int):
                 (h, i), (g, j) = shingle_sets(left, n), shingle_sets(right, n)
                 ids = [batch.column(k).slice(row, len(left)) for k in (0, 1)]
                 led = batch.column(2).slice(row, len(left)).to_pylist()
-                both, differ = np.zeros(len(left), np.int64), []
+                both, added, removed = np.zeros(len(left), np.int64), [], []
                 for k in range(len(left)):
                     x, y = h[i[k] : i[k + 1]], g[j[k] : j[k + 1]]
                     both[k] = len(np.intersect1d(x, y, assume_unique=True))
                     near = led[k] and 100 * both[k] >= least * (len(x) + len(y) - both[k])
-                    differ.append(np.setxor1d(x, y, assume_unique=True).view(np.int64) if near else ())
+                    added.append(np.setdiff1d(x, y, assume_unique=True).view(np.int64) if near else ())
+                    removed.append(np.setdiff1d(y, x, assume_unique=True).view(np.int64) if near else ())
                 either = np.diff(i) + np.diff(j) - both
-                yield pa.RecordBatch.from_arrays([*ids, pa.array(both), pa.array(either.astype(np.int64)), pa.array(differ, pa.list_(pa.int64()))], ["a", "b", "both", "either", "differ"])
+                yield pa.RecordBatch.from_arrays([*ids, pa.array(both), pa.array(either.astype(np.int64)), *(pa.array(x, pa.list_(pa.int64())) for x in (added, removed))], ["a", "b", "both", "either", "added", "removed"])
 
     return run
 
 
+def _before(order: WindowSpec) -> Column:
+    """The LISTED lists that come right before: two members that share one of these needn't become a pair here again."""
+    return F.collect_list("value").over(order.rowsBetween(-LISTED, -1)).alias("before")
+
+
 def inverted_lists(classes: DataFrame, percent: int) -> DataFrame:
-    """value, rep, n and score of each entry: the lists of two or more that a class belongs to."""
+    """value, rep, n, score and the lists of the class that come `before` this one, for each entry: the lists of two or more that a class belongs to."""
     listed, shared = prefix(percent)
     values = classes.select("rep", "n", F.least(F.size("sketch"), F.lit(listed)).alias("m"), F.explode(F.slice("sketch", 1, listed)).alias("value"))
     often = values.groupBy("value").agg(F.count(F.lit(1)).alias("often")).filter("often > 1")
@@ -134,7 +147,8 @@ def inverted_lists(classes: DataFrame, percent: int) -> DataFrame:
     met = met.withColumns({"rank": F.row_number().over(by.orderBy("often", "value")), "common": F.count(F.lit(1)).over(by)})
     # values of its own come first in a class's order, and count towards the prefix
     last = F.expr(f"m - greatest(1, CAST(floor({shared} * m) AS INT)) + 1")
-    return met.filter(F.col("rank") + F.col("m") - F.col("common") <= last).select("value", "rep", "n", F.sum("often").over(by).alias("score"))
+    kept = met.filter(F.col("rank") + F.col("m") - F.col("common") <= last)
+    return kept.select("value", "rep", "n", F.sum("often").over(by).alias("score"), _before(by.orderBy("rank")))
 
 
 class Checker:
@@ -144,70 +158,130 @@ class Checker:
         self.classes, self.texts, self.n, self.least = classes, texts, n, least
 
     def similar(self, pairs: DataFrame) -> DataFrame:
-        """a, b, both, either and, for the leaders' pairs (`led`), differ; pairs that can't reach `percent` are left out."""
+        """a, b, both, either and, for the leaders' pairs (`led`), what a has and b hasn't (added) and the reverse (removed); pairs that can't reach `percent` are left out."""
         one = lambda x: self.classes.select(F.col("rep").alias(x), F.col("sketch").alias(f"s{x}"))
         floor = F.expr(f"percent / 100D - 5 * sqrt(percent / 100D * (1 - percent / 100D) / {SKETCH})")
         near = pairs.join(one("a"), "a").join(one("b"), "b").withColumn("low", F.expr(f"slice(array_sort(array_union(sa, sb)), 1, {SKETCH})"))
         near = near.filter(F.expr("size(array_intersect(array_intersect(low, sa), sb))") >= floor * F.size("low")).select("a", "b", "led").distinct()
         text = lambda x: self.texts.select(F.col("row").alias(x), F.col("text").alias(f"t{x}"))
-        both = keep(near, "near").join(text("a"), "a").join(text("b"), "b").select("a", "b", "led", "ta", "tb")
-        return both.mapInArrow(_jaccard(self.n, self.least), "a bigint, b bigint, both bigint, either bigint, differ array<bigint>")
+        both = near.join(text("a"), "a").join(text("b"), "b").select("a", "b", "led", "ta", "tb")
+        return both.mapInArrow(_jaccard(self.n, self.least), "a bigint, b bigint, both bigint, either bigint, added array<bigint>, removed array<bigint>")
 
 
-def difference_lists(near: DataFrame, percent: int, turn: int) -> DataFrame:
-    """Lists of (leader, element of the difference) with two members or more.
+def families(near: DataFrame, percent: int) -> DataFrame:
+    """Members (a) of each leader (b) with what each adds to the centre of the family and removes from it, by sizes and weights.
 
-    `apart` is the size of the difference, and `own` tells how many of its elements no other member has.
-
-    Let s be the size of a member's difference. A link between members whose differences have sizes s and r
-    needs (s + r - most) / 2 elements in common, where `most` is how far apart linked sets of their sizes can
-    be. That is s - n (1 - t) / t at least, and nearly half of s for a member that is linked to the leader (its
-    partner isn't). As above, a member enters the lists of its rarest elements only.
+    Let the centre have n elements, of which a member removes R, and let it add A. Its weight is 100 R + percent A, its
+    excess what that is over (100 - percent) n, and lean is percent (R - A). Two members have in common
+    what neither removes and what both add, so they are linked if what both add and both remove
+    are c elements with (100 + percent) c >= the excess of one + the weight of the other. A member in the core reaches this with the
+    lightest of all (first, of weight lightest) where c = 0.
+    """
+    rest = 100 - percent
+    whole = F.expr("both + size(removed)")
+    empty = F.expr("CAST(array() AS array<bigint>)")
+    own = near.groupBy("b").agg(F.max(whole).alias("n"), F.max("score").alias("score"), F.count(F.lit(1)).alias("g"))
+    leaders = own.select("b", F.col("b").alias("a"), "n", "score", empty.alias("added"), empty.alias("removed"))
+    members = leaders.unionByName(near.select("a", "b", "n", "score", "added", "removed"))
+    half = near.select("b", F.explode("added").alias("e"), F.lit(1).alias("adds")).unionAll(near.select("b", F.explode("removed"), F.lit(0)))
+    half = half.groupBy("b", "e", "adds").agg(F.count(F.lit(1)).alias("often")).join(own.select("b", "g"), "b").filter("2 * often > g + 1")
+    # no more than twice a member's elements on average
+    half = half.groupBy("b").agg(F.collect_list(F.expr("if(adds = 1, e, null)")).alias("most_add"), F.collect_list(F.expr("if(adds = 0, e, null)")).alias("most_remove"))
+    centre = own.select("b", F.col("n").alias("lead_n")).join(half, "b", "left").select("b", F.coalesce("most_add", empty).alias("most_add"), F.coalesce("most_remove", empty).alias("most_remove"), F.expr("lead_n + coalesce(size(most_add), 0) - coalesce(size(most_remove), 0)").alias("whole"))
+    told = members.join(centre, "b").select(
+        "a", "b", "n", "score", "whole",
+        F.expr("concat(array_except(added, most_add), array_except(most_remove, removed))").alias("added"),
+        F.expr("concat(array_except(removed, most_remove), array_except(most_add, added))").alias("removed"),
+    )
+    told = told.withColumns({"more": F.size("added"), "less": F.size("removed")}).withColumns({"weight": F.expr(f"100 * less + {percent} * more"), "lean": F.expr(f"{percent} * (less - more)")})
+    told = keep(told.withColumn("excess", F.expr(f"weight - {rest} * whole")).drop("whole"), "families")
+    ends = told.groupBy("b").agg(F.max("lean").alias("cap"), F.min(F.struct("weight", "a")).alias("light"))
+    ends = ends.select("b", "cap", F.col("light.weight").alias("lightest"), F.col("light.a").alias("first"))
+    return told.join(ends, "b").withColumn("core", F.expr("excess + lightest <= 0"))
+
+
+def difference_lists(told: DataFrame, percent: int, turn: int) -> DataFrame:
+    """Lists of (leader, element that is added to the centre or removed from it) with two members or more.
+
+    Only pairs with a member u outside the core matter. The partner v shares at most its own removals, so there are at
+    least (excess(u) - lean(v)) / (100 + percent) that both add. Where that has to be, u meets each partner in the
+    lists of the rarest elements that it adds. If u and v add nothing in common, excess(u) is at most lean(v), and they
+    share (excess(u) + weight(v)) / (100 + percent) of what they remove, where weight(v) is that of the
+    lightest at least: lists of removals have the rarest of such members only.
+
+    `own` is how many of the added elements no other member has, `shared` the rest.
     """
-    linked = f"100 * both >= {percent} * either"
-    least = f"CAST(greatest(1, if({linked}, (size(differ) * {percent} + {99 + percent}) div {100 + percent}, size(differ) - n * {100 - percent} div {percent})) AS INT)"
-    each = near.select("a", "b", "n", "score", F.size("differ").alias("s"), F.expr(least).alias("need"), F.explode("differ").alias("e"))
+    sure = 100 + percent
+    adds = F.expr(f"if(core, 1, greatest(1, (excess - cap + {sure - 1}) div {sure}))")
+    removes = F.expr(f"greatest(1, (if(core, weight + 1 - lightest, excess + lightest) + {sure - 1}) div {sure})")
+    carried = ["a", "b", "n", "score", "more", "less", "weight", "excess"]
+    each = told.select(*carried, F.lit(1).alias("kind"), F.col("more").alias("s"), adds.alias("need"), F.explode("added").alias("e"))
+    lost = told.filter("if(core, lean + lightest > 0, excess <= cap)").select(*carried, F.lit(2).alias("kind"), F.col("less").alias("s"), removes.alias("need"), F.explode("removed").alias("e"))
+    # an element is either the centre's or not, so its kind is the same for all members
+    each = each.unionByName(lost)
     often = each.groupBy("b", "e").agg(F.count(F.lit(1)).alias("often")).filter("often > 1")
     met = each.join(often, ["b", "e"])
-    by = W.partitionBy("a", "b")
+    pair, by = W.partitionBy("a", "b"), W.partitionBy("a", "b", "kind")
+    met = met.withColumn("value", F.xxhash64("b", "e", F.lit(turn))).withColumn("shared", F.count(F.expr("if(kind = 1, 1, null)")).over(pair))
     met = met.withColumns({"rank": F.row_number().over(by.orderBy("often", "e")), "common": F.count(F.lit(1)).over(by)})
-    return met.filter("rank + s - common <= s - need + 1").select(F.xxhash64("b", "e", F.lit(turn)).alias("value"), F.col("a").alias("rep"), "n", "score", F.lit(SHORT_APART).alias("short"), F.col("s").alias("apart"), (F.col("s") - F.col("common")).alias("own"))
+    kept = met.filter("rank + s - common <= s - need + 1")
+    own = (F.col("more") - F.col("shared")).alias("own")
+    return kept.select("value", F.col("a").alias("rep"), "n", "score", _before(pair.orderBy("kind", "rank")), F.lit(SHORT_APART).alias("short"), "kind", "less", own, "shared", "weight", "excess")
 
 
-def class_links(lists: DataFrame, checker: Checker, percent: int) -> DataFrame:
-    """Links between classes, as many as tell the components. The lists are (value, rep, n, score)."""
-    found = lists.sparkSession.createDataFrame([], "a bigint, b bigint")
-    open_ = lists.select("*", F.col("rep").alias("comp"), F.lit(SHORT).alias("short"), F.lit(0).alias("apart"), F.lit(0).cast("bigint").alias("own"))
+#: Columns of a list's entry besides value, rep, n, score and before, and what they are in lists of retained values.
+_APART = {"short": SHORT, "kind": 0, "less": 0, "own": 0, "shared": 0, "weight": 0, "excess": 0}
+
+
+def class_components(lists: DataFrame, checker: Checker, percent: int) -> DataFrame:
+    """node and component of every class that is linked with another. The lists are (value, rep, n, score, before)."""
+    sure, rest = 100 + percent, 100 - percent
+    labels = lists.sparkSession.createDataFrame([], "node bigint, component bigint")
+    # far: not near any leader that the list has had
+    open_ = lists.select("*", F.lit(True).alias("far"), *(F.lit(v).cast("bigint").alias(c) for c, v in _APART.items()), F.col("rep").alias("comp"))
+    passed = ["value", "rep", "n", "score", "before", "far", *_APART]
     for k in count():
-        sizes = open_.groupBy("value").agg(F.count(F.lit(1)).alias("m"), F.min("comp").alias("least"), F.max("comp").alias("most"))
-        open_ = keep(open_.join(sizes.filter("least != most").select("value", "m"), "value"), "open")
+        sizes = open_.groupBy("value").agg(F.count(F.lit(1)).alias("m"), F.min("comp").alias("least"), F.max("comp").alias("most"), F.max("far").alias("far"))
+        open_ = keep(open_.join(sizes.filter("least != most AND far").select("value", "m"), "value"), "open")
         if open_.isEmpty():
-            return found
+            return labels
         short, long = open_.filter(f"m <= short * {4**k}"), open_.filter(f"m > short * {4**k}")
         fits = lambda p: F.expr(f"100 * least(a_n, b_n) >= {p} * greatest(a_n, b_n)")
-        ends = lambda x: short.select("value", F.col("rep").alias(x), F.col("n").alias(f"{x}_n"), F.col("comp").alias(f"{x}_comp"), F.col("apart").alias(f"{x}_apart"), F.col("own").alias(f"{x}_own"))
-        every = ends("a").join(ends("b"), "value").filter("a < b AND a_comp != b_comp").filter(fits(percent))
-        # own elements keep two members apart, and so does what one has more of the others
-        every = every.filter(f"{100 + percent} * (a_own + b_own + abs(a_apart - a_own - b_apart + b_own)) <= {100 - percent} * (a_n + b_n)")
+        ends = lambda x: short.select("value", *(F.col(c).alias(f"{x}_{c}") for c in ("n", "comp", "before", *_APART)), F.col("rep").alias(x))
+        # a pair that shares an earlier list is found there: each list sees to all of its links
+        every = ends("a").join(ends("b"), "value").filter("a < b AND a_comp != b_comp AND NOT arrays_overlap(a_before, b_before)").filter(fits(percent))
+        # own elements keep two members apart, and so does what one adds or removes more than the other
+        every = every.filter(f"{sure} * (a_own + b_own + abs(a_shared - b_shared) + abs(a_less - b_less)) <= {rest} * (a_n + b_n)")
+        every = every.filter(f"a_kind = 0 OR a_excess + b_weight <= {sure} * (least(a_less, b_less) + if(a_kind = 1, least(a_shared, b_shared), 0))")
         every = every.select("a", "b", F.lit(False).alias("led"), F.lit(percent).alias("percent"))
         leaders = long.groupBy("value").agg(F.max_by(F.struct("rep", "n"), F.struct("score", -F.col("rep"))).alias("lead"))
         leaders = leaders.select("value", F.col("lead.rep").alias("b"), F.col("lead.n").alias("b_n"))
-        member = long.join(leaders.select("value", F.col("b").alias("rep")), ["value", "rep"], "left_anti")
-        lead = long.withColumnsRenamed({"rep": "a", "n": "a_n"}).join(leaders, "value").filter("a != b")
+        member = long.join(leaders.select("value", F.col("b").alias("rep")), ["value", "rep"], "left_anti").select(*passed)
+        lead = long.select("value", F.col("rep").alias("a"), F.col("n").alias("a_n"), "score").join(leaders, "value").filter("a != b")
         led = lead.filter(fits(checker.least)).select("a", "b", F.lit(True).alias("led"), F.lit(checker.least).alias("percent"))
         seen = keep(checker.similar(every.unionByName(led).distinct()), "seen")
-        found = keep(found.union(seen.filter(f"100 * both >= {percent} * either").select("a", "b")).distinct(), "found")
-        near = lead.groupBy("a", "b").agg(F.max("a_n").alias("n"), F.max("score").alias("score")).join(seen.filter("size(differ) > 0"), ["a", "b"])
-        apart = difference_lists(near, percent, k)
-        closed = seen.filter(f"100 * both >= {checker.least + 100 - percent} * either").select("a", "b")
-        closed = lead.join(closed, ["a", "b"], "left_semi").select("value", F.col("a").alias("rep")).distinct()
-        stay = member.join(closed, ["value", "rep"], "left_anti").select("value", "rep", "n", "score", "short", "apart", "own")
-        joined = components(found).select(F.col("node").alias("rep"), "component")
-        open_ = stay.unionByName(apart).distinct().join(joined, "rep", "left").select("value", "rep", "n", "score", F.coalesce("component", "rep").alias("comp"), "short", "apart", "own")
+        near = lead.groupBy("a", "b").agg(F.max("a_n").alias("n"), F.max("score").alias("score")).join(seen.filter("size(added) + size(removed) > 0"), ["a", "b"])
+        told = families(near, percent)
+        apart = difference_lists(told, percent, k)
+        # two that are near the leader are seen to by its family's lists; whoever is so near that all it can be linked to are near, leaves this one
+        marked = seen.filter(f"100 * both >= {checker.least} * either").select("a", "b", F.expr(f"100 * both >= {checker.least + rest} * either").alias("closed"))
+        marked = lead.join(marked, ["a", "b"]).groupBy("value", F.col("a").alias("rep"), "b").agg(F.max("closed").alias("closed"))
+        stay = member.join(marked, ["value", "rep"], "left").filter("NOT coalesce(closed, false)")
+        stay = stay.withColumns({"before": F.expr("if(b IS NULL, before, array_append(before, xxhash64(b, 'family')))"), "far": F.expr("b IS NULL")}).select(*passed)
+        links = seen.filter(f"100 * both >= {percent} * either").select("a", "b").union(told.filter("core").select("a", "first"))
+        # earlier components are links to their smallest class
+        links = links.union(labels.select(F.col("node").alias("a"), F.col("component").alias("b")))
+        labels = settled(links.sparkSession, lambda links=links: components(links), "components")
+        joined = labels.select(F.col("node").alias("rep"), "component")
+        open_ = stay.unionByName(apart.withColumn("far", F.lit(True)).select(*passed)).join(joined, "rep", "left").select(*passed, F.coalesce("component", "rep").alias("comp"))
 
 
 def near_rows(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
     """One row per row of `docs`: its key (row_key), doc_id, n_shingles, component_id and kept, all but the key as of near_dedup."""
+    return settled(docs.sparkSession, lambda: _near_rows(docs, shingle, percent), "near-rows")
+
+
+def _near_rows(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
     texts = docs.select(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NO_ID)).alias("id"), row_key().alias("row"), "text")
     sketched = keep(texts.mapInArrow(_sketch(shingle, max(SKETCH, prefix(percent)[0])), "id bigint, row bigint, n bigint, d1 bigint, d2 bigint, sketch array<bigint>"), "sketches")
     same = ["n", "d1", "d2"]
@@ -222,7 +296,7 @@ def near_rows(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame
         shingle,
         min(NEAR, percent),
     )
-    comps = components(class_links(lists, checker, percent)).select(F.col("node").alias("rep"), "component")
+    comps = class_components(lists, checker, percent).select(F.col("node").alias("rep"), "component")
     # a component is named for its smallest id, whose row stands for it
     best = comps.join(groups.select("rep", "least"), "rep").groupBy("component").agg(F.min(F.struct("least", "rep")).alias("lead"))
     named = comps.join(best, "component").select("rep", F.col("lead.least").alias("first"), F.col("lead.rep").alias("stands"))
