@@ -2,13 +2,14 @@
 
 A text's features are its distinct single words and pairs of neighbouring words, hashed to FEATURES slots;
 punctuation marks are words of their own. Each feature weighs 1 / sqrt(number of features). Training
-sees a bounded sample of labelled documents, TRAIN_DOCS of them chosen by hash, one after another and
-PASSES times, in a single task; weights that the regularisation keeps at 0 stay 0. All documents are
+sees a bounded sample of labelled documents, one after another and PASSES times, in a single task: the TRAIN_DOCS
+with the smallest hashes, and of these, in that order, as many as have TRAIN_BYTES of text together. The sample is found where the
+documents are read, and only it is sent to that task. Weights that the regularisation keeps at 0 stay 0. All documents are
 scored, a block at a time, as sparse dot products with the weights, which every task gets (FEATURES
 numbers, whatever the size of the table).
 
 Cases: a null or empty text has the bias alone and its score; a label other than 0 and 1, or null, isn't
-learnt from; several labels of one document count each; without labels every score is 0.5; a null doc_id
+learnt from; several labels of one document count each, equal rows once; rows of one id are chosen one by one; without labels every score is 0.5; a null doc_id
 is scored and never learnt from; repeated rows get equal scores; an empty table gives an empty result.
 """
 
@@ -21,10 +22,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rollbook.llm.textblocks import blocks, sets, words
+from rollbook.llm.textblocks import blocks, raw, sets, words
 
 FEATURES = 1 << 20
 TRAIN_DOCS = 8000
+TRAIN_BYTES = 1 << 28
 PASSES = 2
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 0.02, 0.1
 
@@ -60,25 +62,40 @@ def train(texts: pa.Array, labels: np.ndarray) -> np.ndarray:
     return weights(z, n).astype(np.float32)
 
 
-def _fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    found = list(batches)
-    if sum(map(len, found)):
-        rows = pa.Table.from_batches(found).sort_by("turn").combine_chunks()
-        w = train(rows["text"].chunk(0), rows["label"].to_numpy())
-        at = np.flatnonzero(w)
-        yield pa.RecordBatch.from_arrays([pa.array([at.astype("<i4").tobytes()]), pa.array([w[at].astype("<f4").tobytes()])], ["slots", "weights"])
-
-
-def fit(docs: DataFrame, labels: DataFrame, sample: int = TRAIN_DOCS) -> np.ndarray:
-    """Weights learnt from documents (doc_id, text) with labels (doc_id, label)."""
+def _fit(most: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found, held = [], 0
+        for batch in batches:
+            upto = np.cumsum(np.diff(raw(batch.column(0))[1])) + held
+            found.append(batch.slice(0, int(np.searchsorted(upto, most, "right"))))
+            held = int(upto[-1]) if len(upto) else held
+            if held > most:
+                break
+        if sum(map(len, found)):
+            rows = pa.Table.from_batches(found).combine_chunks()
+            w = train(rows["text"].chunk(0), rows["label"].to_numpy())
+            at = np.flatnonzero(w)
+            yield pa.RecordBatch.from_arrays([pa.array([at.astype("<i4").tobytes()]), pa.array([w[at].astype("<f4").tobytes()])], ["slots", "weights"])
+
+    return run
+
+
+def training_rows(docs: DataFrame, labels: DataFrame, sample: int = TRAIN_DOCS) -> DataFrame:
+    """text and label of the chosen labelled documents, `sample` at most, in the order of training."""
     given = labels.select("doc_id", "label").filter("doc_id IS NOT NULL AND label IN (0, 1)")
     parts = 1_000_000
     share = min(parts, -(-sample * parts // max(1, given.count())))
     chosen = F.pmod(F.xxhash64("doc_id"), F.lit(parts)) < share
     both = docs.select("doc_id", "text").filter(chosen).join(given.filter(chosen), "doc_id")
-    rows = both.select("text", F.col("label").cast("int").alias("label"), F.xxhash64("doc_id", F.lit(1)).alias("turn"))
+    rows = both.select("text", F.col("label").cast("int").alias("label"), F.xxhash64("doc_id", F.lit(1)).alias("turn")).distinct()
+    # each partition sends its `sample` smallest at most
+    return rows.orderBy("turn", "text", "label").limit(sample).select("text", "label")
+
+
+def fit(docs: DataFrame, labels: DataFrame, sample: int = TRAIN_DOCS, most_bytes: int = TRAIN_BYTES) -> np.ndarray:
+    """Weights learnt from documents (doc_id, text) with labels (doc_id, label)."""
     weights = np.zeros(FEATURES, np.float32)
-    for row in rows.coalesce(1).mapInArrow(_fit, "slots binary, weights binary").collect():
+    for row in training_rows(docs, labels, sample).mapInArrow(_fit(most_bytes), "slots binary, weights binary").collect():
         weights[np.frombuffer(row["slots"], "<i4")] = np.frombuffer(row["weights"], "<f4")
     return weights
 
