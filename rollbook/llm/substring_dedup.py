@@ -9,7 +9,7 @@ repeated anchors are then extended to their full length, hashed and counted.
 Both counts are one aggregation: a run that occurs once is its group's only row, so the group carries the
 run's place, and the places of single runs go back to their documents. Runs of a passage that many
 documents share are summed before they are shuffled, no group of places is ever collected, and there
-are no pairs. Hashes have 64 bits.
+are no pairs. Anchors are told apart by 64 bits, as one more that seems to repeat only adds candidates; whole windows by 128.
 
 Cases: a null or empty text has no words and stays as it is; so does a text shorter than WINDOW; a window
 that repeats within its own document goes, too; rows that repeat are documents of equal text, all of
@@ -39,6 +39,7 @@ PERIOD = 21
 COVER = (0, 1, 4, 14, 16)
 ANCHOR = WINDOW - PERIOD + 1
 _KEY = ("_id", "_tie")
+_HASHES = ("hash", "hash2")
 
 
 def _anchors(w: Words) -> tuple[np.ndarray, np.ndarray]:
@@ -66,12 +67,12 @@ def _candidates(w: Words, single: np.ndarray) -> np.ndarray:
     return at[upto[at + PERIOD] > upto[at]]
 
 
-def _located(batch: pa.RecordBatch, row: int, w: Words, at: np.ndarray, hashes: np.ndarray) -> pa.RecordBatch:
-    """Hash, id, tie and place of each run."""
+def _located(batch: pa.RecordBatch, row: int, w: Words, at: np.ndarray, *hashes: np.ndarray) -> pa.RecordBatch:
+    """Hashes, id, tie and place of each run."""
     of = w.row[at]
     ids, ties = (batch.column(k).slice(row, len(w.first) - 1).to_numpy(zero_copy_only=False) for k in (0, 1))
     places = (at - w.first[of]).astype(np.int32)
-    return pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), pa.array(ids[of]), pa.array(ties[of]), pa.array(places)], ["hash", *_KEY, "_at"])
+    return pa.RecordBatch.from_arrays([*(pa.array(h.view(np.int64)) for h in hashes), pa.array(ids[of]), pa.array(ties[of]), pa.array(places)], [*_HASHES[: len(hashes)], *_KEY, "_at"])
 
 
 def _anchor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -87,8 +88,9 @@ def _window_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row, texts in blocks(batch.column(2)):
             w = words(texts)
             at = _candidates(w, _listed(w, single.slice(row, len(texts))))
-            hashes = w.windows(WINDOW)
-            yield _located(batch, row, w, at, hashes[1][np.searchsorted(hashes[0], at)])
+            (first, one), (_, two) = w.windows(WINDOW), w.windows(WINDOW, other=True)
+            chosen = np.searchsorted(first, at)
+            yield _located(batch, row, w, at, one[chosen], two[chosen])
 
 
 def _rest(text: str, gone: np.ndarray) -> str:
@@ -123,7 +125,7 @@ def _remove(layout: pa.Schema):
 def _singles(runs: DataFrame, name: str) -> DataFrame:
     """For each document, the places of the runs that occur once in all documents."""
     # a group of one row: each minimum is that row's
-    once = runs.groupBy("hash").agg(F.count(F.lit(1)).alias("_n"), *(F.min(c).alias(c) for c in (*_KEY, "_at"))).filter("_n = 1")
+    once = runs.groupBy(*(c for c in _HASHES if c in runs.columns)).agg(F.count(F.lit(1)).alias("_n"), *(F.min(c).alias(c) for c in (*_KEY, "_at"))).filter("_n = 1")
     return once.groupBy(*_KEY).agg(F.collect_list("_at").alias(name))
 
 
@@ -140,7 +142,7 @@ def substring_dedup(docs: DataFrame) -> DataFrame:
     single = keep(_singles(anchors, "_single"), "single-anchors")
     marked = keyed.join(single, list(_KEY), "left")
     # the exchange of `marked` is used twice: for the windows and for the removal
-    windows = _singles(marked.mapInArrow(_window_rows, layout), "_single_window")
+    windows = _singles(marked.mapInArrow(_window_rows, layout.replace(",", ", hash2 bigint,", 1)), "_single_window")
     both = marked.join(windows, list(_KEY), "left")
     made = [T.StructField("text", T.StringType()), T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType())]
     schema = T.StructType([both.schema["_own"], *made])

@@ -16,6 +16,7 @@ import pyarrow.compute as pc
 BLOCK_BYTES = 1 << 20
 _BASE = 0x9E3779B97F4A7C15
 _MASK = (1 << 64) - 1
+_OTHER = 0xD1B54A32D192ED03
 _powers: dict[int, np.ndarray] = {}
 
 
@@ -72,13 +73,13 @@ class Words:
     def counts(self) -> np.ndarray:
         return np.diff(self.first)
 
-    def windows(self, n: int) -> tuple[np.ndarray, np.ndarray]:
-        """First word and hash of every run of n words within one text."""
+    def windows(self, n: int, other: bool = False) -> tuple[np.ndarray, np.ndarray]:
+        """First word and hash of every run of n words within one text; `other` gives a second hash."""
         m = len(self.hash) - n + 1
         if m <= 0:
             return np.empty(0, np.int64), np.empty(0, np.uint64)
         at = np.flatnonzero(self.row[n - 1 :] == self.row[:m])
-        return at, _runs(self.hash, at, at + n)
+        return at, _runs(mix(self.hash ^ np.uint64(_OTHER)) if other else self.hash, at, at + n)
 
     def whole(self) -> np.ndarray:
         """Hash of each text's whole word sequence."""
