@@ -6,17 +6,16 @@ carry the training mask, all others are users with their name, instructions (`sy
 A rendered turn is `<|assistant|>`, `<|system|>` or `<|user|>NAME`, a line break, the text, `<|end|>` and a
 line break. The mask lists character spans [start, end): text and end mark of the assistant's turns.
 
-With `block=None` a dialogue is all turns of a conversation, and every participant gets all of them. A
+A dialogue is all turns of a conversation, and every participant gets all of them. A
 rendering is one row (block 0) up to about PART characters; a longer one is cut between turns into rows
 that are numbered in `block` and give the whole when put together in that order. Spans count
-from the beginning of the whole rendering; n_turns and n_own are those of the row. With a number, a
-dialogue is the turns of one block of so many turn numbers, rendered on its own and cut nowhere else.
+from the beginning of the whole rendering; n_turns and n_own are those of the row.
 
 No list is longer than a part: turns are put in order by range, so a conversation of any length is
-spread over tasks, places are running sums over the ranges, and participants are joined.
+spread over tasks, places are running sums over the ranges, and participants are joined to each part on its own.
 
 Cases: rows equal in all four columns count once; turns with equal numbers follow in order of role, then
-text, null first; null turn numbers come first, and are block -1 if there are blocks; a null or blank role
+text, null first; null turn numbers come first; a null or blank role
 is the participant `unknown`; a null text is empty; the rows with a null conversation id are one
 conversation with that id; a dialogue without participants other than `system` has no perspective and
 gives no row; an empty table gives none; other columns are not looked at.
@@ -30,7 +29,6 @@ from pyspark.sql import functions as F
 
 from rollbook.llm.scratch import keep
 
-BLOCK = 256
 #: Characters of a rendering, with every head a user's, from which a dialogue goes on in another part.
 PART = 1 << 20
 _ORDER = ("turn", "speaker", "given", "text")
@@ -46,29 +44,29 @@ def _running(df: DataFrame, keys: list[str], value: str, name: str) -> DataFrame
     return joined.withColumn(name, F.col("_ahead") + F.coalesce(F.sum(value).over(within), F.lit(0))).select(*df.columns, name)
 
 
-def chat_format(turns: DataFrame, block: int | None = BLOCK, part: int = PART) -> DataFrame:
-    """One row per conversation, block and participant: rendered text, mask spans and counts."""
-    number = F.lit(0) if block is None else F.expr(f"coalesce(floor(turn / {int(block)}), -1)")
+def chat_format(turns: DataFrame, part: int = PART) -> DataFrame:
+    """One row per conversation, part (`block`) and participant: rendered text, mask spans and counts."""
     clean = turns.select(
         "conv_id",
-        number.cast("bigint").alias("cut"),
         "turn",
         F.expr("coalesce(nullif(trim(role), ''), 'unknown')").alias("speaker"),
         F.expr("text IS NOT NULL").alias("given"),
         F.expr("coalesce(text, '')").alias("text"),
     ).distinct()
-    ranged = clean.repartitionByRange("conv_id", "cut", *_ORDER).withColumn("range", F.spark_partition_id())
+    ranged = clean.repartitionByRange("conv_id", *_ORDER).withColumn("range", F.spark_partition_id())
     head = "length(if(speaker = 'system', '<|system|>\n', concat('<|user|>', speaker, '\n')))"
     ranged = ranged.withColumns({"size": F.expr(f"CAST({head} + length(text) + 8 AS BIGINT)"), "one": F.lit(1).cast("bigint")})
     ranged = keep(ranged, "turns")
-    dialogue = ["conv_id", "cut"]
-    placed = _running(_running(ranged, dialogue, "size", "at"), [*dialogue, "speaker"], "one", "before")
+    placed = _running(_running(ranged, ["conv_id"], "size", "at"), ["conv_id", "speaker"], "one", "before")
     # a part ends with the turn that fills it, so its list is bounded by PART and one turn
-    parts = placed.withColumn("part", F.expr(f"at div {int(part)}")).groupBy(*dialogue, "part").agg(
+    parts = placed.withColumn("part", F.expr(f"at div {int(part)}")).groupBy("conv_id", "part").agg(
         F.sort_array(F.collect_list(F.struct(*_ORDER, "at", "before"))).alias("_turns")
     )
-    who = ranged.filter("speaker != 'system'").select(F.col("conv_id").alias("_conv"), F.col("cut").alias("_cut"), F.col("speaker").alias("perspective")).distinct()
-    sides = parts.join(who, F.col("conv_id").eqNullSafe(F.col("_conv")) & (F.col("cut") == F.col("_cut")))
+    who = ranged.filter("speaker != 'system'").select(F.col("conv_id").alias("_conv"), F.col("speaker").alias("perspective")).distinct()
+    # a row without text for each part and participant, so that parts of one conversation are rendered in many tasks
+    asked = placed.select("conv_id", F.expr(f"at div {int(part)}").alias("_part")).distinct()
+    asked = asked.join(who, F.col("conv_id").eqNullSafe(F.col("_conv"))).select("_conv", "_part", "perspective")
+    sides = parts.join(asked, F.col("conv_id").eqNullSafe(F.col("_conv")) & (F.col("part") == F.col("_part")))
     # turns of their own have another head, and shift what follows them
     shift = "(length('<|assistant|>\n') - length(concat('<|user|>', perspective, '\n')))"
     sides = sides.withColumn(
@@ -82,20 +80,12 @@ def chat_format(turns: DataFrame, block: int | None = BLOCK, part: int = PART) -
         "array_join(transform(_turns, t -> concat(CASE WHEN t.speaker = perspective THEN '<|assistant|>\n' WHEN t.speaker = 'system' THEN '<|system|>\n' "
         "ELSE concat('<|user|>', t.speaker, '\n') END, t.text, '<|end|>\n')), '')"
     )
-    # the parts of a dialogue of a numbered block are put together again
-    out = sides.select(
+    return sides.select(
         "conv_id",
-        F.col("part" if block is None else "cut").alias("block"),
+        F.col("part").alias("block"),
         "perspective",
         F.expr("CAST(size(_turns) AS BIGINT)").alias("n_turns"),
         F.expr("CAST(size(mask) AS BIGINT)").alias("n_own"),
         F.expr(rendered).alias("rendered"),
         "mask",
-        "part",
     )
-    if block is None:
-        return out.drop("part")
-    whole = out.groupBy("conv_id", "block", "perspective").agg(
-        F.sum("n_turns").alias("n_turns"), F.sum("n_own").alias("n_own"), F.sort_array(F.collect_list(F.struct("part", "rendered", "mask"))).alias("_p")
-    )
-    return whole.select("conv_id", "block", "perspective", "n_turns", "n_own", F.expr("array_join(_p.rendered, '')").alias("rendered"), F.expr("flatten(_p.mask)").alias("mask"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -27,13 +28,34 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/rollbook-llm/{name}-{uuid.uuid4().hex}"
 
 
+#: Folders of the tables that the innermost `settled` step has written so far.
+_written: list[list[str]] = []
+
+
 def keep(df: DataFrame, name: str) -> DataFrame:
     """Write a step as Parquet and read it back.
 
     It is computed once, whoever reads it; a lost executor costs its tasks and not the table. Folders stay
-    until the owner of the shared folder clears it, as the returned rows are read lazily.
+    until the step around them is settled, or the owner of the shared folder clears it, as the returned rows are read lazily.
     """
     spark = df.sparkSession
     folder = new_folder(spark, name)
     df.write.parquet(folder)
+    for folders in _written[-1:]:
+        folders.append(folder)
     return spark.read.schema(df.schema).parquet(folder)
+
+
+def settled(spark: SparkSession, make: Callable[[], DataFrame], name: str) -> DataFrame:
+    """What `make` returns, written; the tables that were kept on the way are deleted."""
+    _written.append([])
+    try:
+        out = keep(make(), name)
+    finally:
+        folders = _written.pop()
+    for one in _written[-1:]:
+        one.append(folders[-1])
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    for folder in folders[:-1]:
+        path(folder).getFileSystem(spark._jsc.hadoopConfiguration()).delete(path(folder), True)
+    return out

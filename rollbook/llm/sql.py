@@ -30,21 +30,22 @@ FROM m LEFT JOIN hf USING (k)
 """
 
 CHAT_FORMAT = r"""
-WITH t AS (
-  SELECT DISTINCT conv_id, turn, CAST(coalesce(floor(turn / 256), -1) AS BIGINT) AS block,
-         coalesce(nullif(trim(role, ' '), ''), 'unknown') AS speaker, text FROM conversations),
-who AS (SELECT DISTINCT conv_id, block, speaker AS perspective FROM t WHERE speaker <> 'system'),
+WITH t AS (SELECT DISTINCT conv_id, turn, coalesce(nullif(trim(role, ' '), ''), 'unknown') AS speaker, text FROM conversations),
+l AS (
+  SELECT *, (sum(length(CASE WHEN speaker = 'system' THEN '<|system|>' ELSE '<|user|>' || speaker END) + 1 + length(coalesce(text, '')) + 8)
+               OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, speaker, text NULLS FIRST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)) AS upto FROM t),
+who AS (SELECT DISTINCT conv_id, speaker AS perspective FROM t WHERE speaker <> 'system'),
 p AS (
-  SELECT t.conv_id, t.block, who.perspective, t.turn, t.speaker, t.text, t.speaker = who.perspective AS own,
-         CASE WHEN t.speaker = who.perspective THEN '<|assistant|>' WHEN t.speaker = 'system' THEN '<|system|>' ELSE '<|user|>' || t.speaker END || chr(10) AS head,
-         coalesce(t.text, '') || '<|end|>' || chr(10) AS body
-  FROM t JOIN who ON t.conv_id IS NOT DISTINCT FROM who.conv_id AND t.block = who.block),
+  SELECT l.conv_id, CAST(coalesce(upto, 0) AS BIGINT) // 1048576 AS block, who.perspective, l.turn, l.speaker, l.text, l.speaker = who.perspective AS own,
+         CASE WHEN l.speaker = who.perspective THEN '<|assistant|>' WHEN l.speaker = 'system' THEN '<|system|>' ELSE '<|user|>' || l.speaker END || chr(10) AS head,
+         coalesce(l.text, '') || '<|end|>' || chr(10) AS body
+  FROM l JOIN who ON l.conv_id IS NOT DISTINCT FROM who.conv_id),
 o AS (
-  SELECT *, sum(length(head) + length(body)) OVER (PARTITION BY conv_id, block, perspective
+  SELECT *, sum(length(head) + length(body)) OVER (PARTITION BY conv_id, perspective
               ORDER BY turn NULLS FIRST, speaker, text NULLS FIRST ROWS UNBOUNDED PRECEDING) - length(body) AS s FROM p)
 SELECT conv_id, block, perspective, count(*) AS n_turns, count(*) FILTER (own) AS n_own,
        string_agg(head || body, '' ORDER BY turn NULLS FIRST, speaker, text NULLS FIRST) AS rendered,
-       string_agg(CAST(s AS BIGINT) || '-' || CAST(s + length(body) - 1 AS BIGINT), ',' ORDER BY turn NULLS FIRST, speaker, text NULLS FIRST) FILTER (own) AS mask_spans
+       coalesce(string_agg(CAST(s AS BIGINT) || '-' || CAST(s + length(body) - 1 AS BIGINT), ',' ORDER BY turn NULLS FIRST, speaker, text NULLS FIRST) FILTER (own), '') AS mask_spans
 FROM o GROUP BY conv_id, block, perspective
 """
 

@@ -23,7 +23,6 @@ def ids(text: str | None) -> list[int]:
     global _tokenizer
     if _tokenizer is None:
         _tokenizer = Tokenizer.from_file(tokenizer_path())
-        _tokenizer.encode_special_tokens = True
     return _tokenizer.encode(text or "", add_special_tokens=False).ids
 
 
@@ -94,7 +93,7 @@ def overlaps(docs: list[tuple[int, str | None]], items: list[tuple[int, str | No
 
 
 def scanned(text: str | None) -> tuple:
-    """n_words, n_base, first_word, last_word, base_labels, n_detections, labels, score."""
+    """n_words, n_base, first_word, last_word, base_labels, labels, score, n_detections."""
     w = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (text or "").translate(LOWER))
     places, base = [], set()
     for phrase, label in L.BASE:
@@ -111,4 +110,21 @@ def scanned(text: str | None) -> tuple:
     kept = [h for k, h in enumerate(hits) if not any(g[1] >= h[1] and g[2] >= h[2] for g in hits[:k])]
     labels = base | {h[3] for h in kept}
     score = max([L.WEIGHT[h[2]] for h in kept] + [0.5 * bool(base)])
-    return len(w), len(places), min(places, default=None), max(places, default=None), ",".join(sorted(base)), len(kept), ",".join(sorted(labels)), float(score)
+    return len(w), len(places), min(places, default=None), max(places, default=None), ",".join(sorted(base)), ",".join(sorted(labels)), float(score), len(kept)
+
+
+def ftrl(rows: list[tuple[list[int], int]], passes: int, alpha: float, beta: float, l1: float, l2: float) -> dict[int, float]:
+    """Weights of a logistic regression, one row and one feature at a time."""
+    z, n = defaultdict(float), defaultdict(float)
+
+    def weight(k: int) -> float:
+        return 0.0 if abs(z[k]) <= l1 else -(z[k] - (l1 if z[k] > 0 else -l1)) / ((beta + n[k] ** 0.5) / alpha + l2)
+
+    for _ in range(passes):
+        for on, label in rows:
+            w, x = {k: weight(k) for k in on}, len(on) ** -0.5
+            g = (1 / (1 + np.exp(-sum(w.values()) * x)) - label) * x
+            for k in on:
+                z[k] += g - ((n[k] + g * g) ** 0.5 - n[k] ** 0.5) / alpha * w[k]
+                n[k] += g * g
+    return {k: weight(k) for k in z}

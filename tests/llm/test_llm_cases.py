@@ -199,10 +199,12 @@ def test_chat_format(spark):
     rows = [(1, 0, "system", "Be kind."), (1, 1, "ann", "Hi"), (1, 2, "bob", None), (1, 2, "bob", None), (1, 3, None, "é"), (1, 300, "ann", "late"), (None, None, "ann", "?"), (2, 0, "system", "alone")]
     df = spark.createDataFrame([(*r, "x", "y") for r in rows], "conv_id bigint, turn bigint, role string, text string, block string, _turns string")
     got = {(r["conv_id"], r["block"], r["perspective"]): r for r in chat_format(df).collect()}
-    assert set(got) == {(1, 0, "ann"), (1, 0, "bob"), (1, 0, "unknown"), (1, 1, "ann"), (None, -1, "ann")}
+    assert set(got) == {(1, 0, "ann"), (1, 0, "bob"), (1, 0, "unknown"), (None, 0, "ann")}
     bob = got[(1, 0, "bob")]
-    assert bob["rendered"] == "<|system|>\nBe kind.<|end|>\n<|user|>ann\nHi<|end|>\n<|assistant|>\n<|end|>\n<|user|>unknown\né<|end|>\n"
+    assert bob["rendered"] == "<|system|>\nBe kind.<|end|>\n<|user|>ann\nHi<|end|>\n<|assistant|>\n<|end|>\n<|user|>unknown\né<|end|>\n<|user|>ann\nlate<|end|>\n"
     assert [bob["rendered"][m["start"] : m["end"]] for m in bob["mask"]] == ["<|end|>"]
+    ann = got[(1, 0, "ann")]
+    assert [ann["rendered"][m["start"] : m["end"]] for m in ann["mask"]] == ["Hi<|end|>", "late<|end|>"]
     assert [got[(1, 0, "unknown")]["rendered"][m["start"] : m["end"]] for m in got[(1, 0, "unknown")]["mask"]] == ["é<|end|>"]
     assert chat_format(df.limit(0)).count() == 0
 
@@ -226,7 +228,7 @@ def test_whole_dialogues(spark, tmp_path):
     assert {(r["conv_id"], r["perspective"]): (r["rendered"], r["mask_spans"]) for r in got} == {k: (t, ",".join(f"{a}-{b}" for a, b in m)) for k, (t, m) in want.items()}
     assert len(got) == 5 and {r["block"] for r in got} == {0}
     parts = {}
-    for r in sorted(chat_format(df, block=None, part=500).collect(), key=lambda r: r["block"]):
+    for r in sorted(chat_format(df, part=500).collect(), key=lambda r: r["block"]):
         assert len(r["rendered"]) < 800
         text, spans, n = parts.setdefault((r["conv_id"], r["perspective"]), ["", [], 0])
         assert r["block"] == n
@@ -241,7 +243,7 @@ def test_license_scan(spark, odd, none):
     ]
     for df in (docs(spark, rows), odd):
         out = license_scan(df)
-        keys = ["n_words", "n_base", "first_word", "last_word", "base_labels", "n_detections", "labels", "score"]
+        keys = ["n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score", "n_detections"]
         assert by_row((r["doc_id"], *(r[k] for k in keys)) for r in out.collect()) == by_row((i, *brute.scanned(t)) for i, t in pairs(df))
         assert out.columns == [*[c for c in df.columns if c != "n_words"], *keys]
     assert license_scan(none).count() == 0
