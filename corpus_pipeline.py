@@ -34,7 +34,7 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies; of rows with one id and text, one row, unless the text is blank."""
-    judged = keep(near_rows(docs), "judged")
+    judged = near_rows(docs)
     gone = judged.filter("NOT kept").select("row").distinct()
     several = judged.filter("kept AND n_shingles > 0").groupBy("row").count().filter("count > 1").select("row")
     stay = those(docs, gone, "left_anti")
