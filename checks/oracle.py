@@ -523,13 +523,24 @@ def text_cells(name: str) -> list[str]:
     return [n for n, s in (x.split("=", 1) for x in COLUMNS[name].split()) if s in texts]
 
 
+def cell_text(column: str, source: str) -> str:
+    """A cell as text: dates without time, amounts with 11 places."""
+    if source in ("created", "min_trx_date", "max_trx_date", "min_po_date", "max_po_date"):
+        return f"strftime({column}, '%Y-%m-%d')"
+    if source.endswith(("_amount_chf", "_bal_chf")) or source == "open_balance":
+        return f"CAST(CAST({column} AS DECIMAL(38,11)) AS VARCHAR)"
+    return f"CAST({column} AS VARCHAR)"
+
+
 def batch_row(name: str) -> str:
-    """One report's row of the batch check: its rows, filled text cells and their characters."""
+    """One report's row of the batch check: its rows, filled text cells and their characters, and a sum over the hashes of whole rows."""
     cells = [f"coalesce({c}, '')" for c in text_cells(name)]
     filled = " + ".join(f"CAST({c} <> '' AS INTEGER)" for c in cells)
     chars = " + ".join(f"length({c})" for c in cells)
+    texts = ", ".join(f"coalesce({cell_text(*x.split('=', 1))}, 'NULL')" for x in COLUMNS[name].split())
     return (f"SELECT '{name}' AS report, 'ok' AS status, count(*) AS rows, count(*) AS n_read, "
-            f"CAST(sum({filled}) AS BIGINT) AS filled, CAST(sum({chars}) AS BIGINT) AS chars "
+            f"CAST(sum({filled}) AS BIGINT) AS filled, CAST(sum({chars}) AS BIGINT) AS chars, "
+            f"CAST(sum(CAST('0x' || substr(md5(concat_ws('|', {texts})), 1, 12) AS BIGINT)) AS VARCHAR) AS cells "
             f"FROM ({REPORT_SQL[name]})")
 
 

@@ -17,11 +17,12 @@ from rollbook.operators.lookup import repeat_rows
 from rollbook.params import EMAIL, HOME_ORIGIN, PARAM_SIC, PARAM_TAX_REGISTRATION, PHONE, URL, Params
 from rollbook.plans import reports
 from rollbook.plans.batch import report_batch
+from rollbook.plans.days import parts_from_days, write_day_rollup
 from rollbook.plans.layouts import LAYOUTS, display_names
 from rollbook.plans.shared import new_path
 from rollbook.schema import PADDED, RECORD, SITE, TABLES, TIME
 from rollbook.sinks.files import column_width_profile, export_report, read_export
-from rollbook.sources.tables import load_tables, tag_pieces
+from rollbook.sources.tables import load_tables, quantile_cuts, tag_cuts, tag_pieces
 
 Query = Callable[[SparkSession, str], DataFrame]
 Step = Callable[[dict[str, DataFrame], Params], DataFrame]
@@ -80,6 +81,18 @@ def _report(name: str):
 for _name in reports.REPORTS:
     _add(_name, reports.SIDE[_name], _report(_name), O.REPORT_SQL[_name])
 
+def _from_days(name: str, side: str) -> Query:
+    """A report of the same date from a roll-up of the documents by day."""
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        t, p, path = standins.tables(spark, folder, side), standins.params(), new_path(spark, "days")
+        write_day_rollup(t["document"], p, side, path)
+        return reports.REPORTS[name](t, p, parts_from_days(spark, path, p, side))
+    return run
+
+
+for _name in ("supplier_header", "customer_site"):
+    ENTRIES[f"{_name}_from_days"] = Entry(_from_days(_name, reports.SIDE[_name]), O.sql(reports.SIDE[_name], O.REPORT_SQL[_name]))
+
 customer("open_documents_topk", lambda t, p: sets.open_documents_topk(t["document"]), """
     SELECT party, type, number, balance FROM document WHERE CAST(status AS INTEGER) >= 4
     ORDER BY number DESC, party, type, balance LIMIT 10""")
@@ -123,6 +136,16 @@ ENTRIES["partitioned_read"] = Entry(
         CAST(least(greatest(o_orderkey // 1250, 0), 7) AS INTEGER) AS piece FROM orders""")
 
 
+def _balanced_read(spark: SparkSession, folder: str) -> DataFrame:
+    """Pieces of equal size by quantiles of the key: all rows are in one, and the largest has at most twice the rows of the median one."""
+    orders = spark.read.parquet(f"{folder}/orders.parquet").select("o_orderkey")
+    sizes = tag_cuts(orders, "o_orderkey", quantile_cuts(orders, "o_orderkey", 8)).groupBy("piece").agg(F.count(F.lit(1)).alias("n"))
+    return sizes.agg(F.count(F.lit(1)).alias("pieces"), F.sum("n").alias("n_rows"), (F.max("n") <= 2 * F.median("n")).alias("balanced"))
+
+
+ENTRIES["balanced_read"] = Entry(_balanced_read, "SELECT 8 AS pieces, count(*) AS n_rows, true AS balanced FROM orders")
+
+
 def cell_schema(report: DataFrame) -> str:
     """Types of a report's cells in CSV: dates are text there."""
     return ", ".join(f"{c} {'string' if kind in ('timestamp', 'timestamp_ntz') else kind}" for c, kind in report.dtypes)
@@ -152,7 +175,7 @@ customer("column_width_profile", lambda t, p: column_width_profile(t["document"]
 
 
 def _report_batch(role: str) -> Query:
-    """Rows of every written report, read back: count, and how many cells are filled or NULL."""
+    """Rows of every written report, read back: count, filled text cells, and a sum over the hashes of whole rows."""
     def run(spark: SparkSession, folder: str) -> DataFrame:
         names = [n for n in reports.REPORTS if reports.SIDE[n] == role]
         t, out = standins.tables(spark, folder, role), new_path(spark, "batch")
@@ -160,14 +183,21 @@ def _report_batch(role: str) -> Query:
         found = []
         for name in names:
             cells = read_export(spark, f"{out}/{name}", cell_schema(reports.REPORTS[name](t, standins.params())))
-            found.append(cells.select(F.lit(name).alias("report"), *_summary(O.text_cells(name))).groupBy("report").agg(
-                F.count(F.lit(1)).alias("n_read"), F.sum("filled").alias("filled"), F.sum("chars").alias("chars")))
+            found.append(cells.select(F.lit(name).alias("report"), *_summary(O.text_cells(name)), _row_hash(cells)).groupBy("report").agg(
+                F.count(F.lit(1)).alias("n_read"), F.sum("filled").alias("filled"), F.sum("chars").alias("chars"),
+                F.sum("row").cast("string").alias("cells")))
         return log.select("report", "status", "rows").join(reduce(DataFrame.unionByName, found), "report", "left")
     return run
 
 
+def _row_hash(cells: DataFrame):
+    """48 bits of the hash of a row's cells as text, amounts with 11 places."""
+    text = [f"coalesce(CAST({f'CAST({c} AS DECIMAL(38,11))' if kind.startswith('decimal') else c} AS STRING), 'NULL')" for c, kind in cells.dtypes]
+    return F.expr(f"CAST(CAST(conv(substr(md5(concat_ws('|', {', '.join(text)})), 1, 12), 16, 10) AS BIGINT) AS DECIMAL(20,0))").alias("row")
+
+
 def _summary(cells) -> list:
-    """Filled text cells of a row and their characters; numbers are compared by the reports' own entries."""
+    """Filled text cells of a row and their characters."""
     filled = " + ".join(f"int(coalesce({c}, '') != '')" for c in cells)
     chars = " + ".join(f"coalesce(length({c}), 0)" for c in cells)
     return [F.expr(f"bigint({filled})").alias("filled"), F.expr(f"bigint({chars})").alias("chars")]

@@ -13,6 +13,7 @@ Parts hold unconverted amounts; conversion and rounding come after the last sum.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -22,14 +23,45 @@ from rollbook.functions.windows import between_closed, between_half_open, one_of
 from rollbook.params import Params, RoleCodes
 from rollbook.schema import RECORD, SITE
 
-def _signed(value: str, plus: Sequence[str], minus: Sequence[str]) -> str:
-    return (f"CASE WHEN {one_of('type', plus)} THEN {value} "
-            f"WHEN {one_of('type', minus)} THEN cast(-{value} AS decimal(18,2)) "
-            f"ELSE cast(0 AS decimal(18,2)) END")
+@dataclass(frozen=True)
+class Form:
+    """How the rows look that are measured: documents, or sums of documents of one day (``plans.days``).
 
+    Sums have a ``kind``: by day of creation, which is what counts, or by the day they are due.
+    """
+
+    created: str = "created"
+    due: str = "due"
+    is_open: str = "balance > 0"
+    money: str = "decimal(18,2)"
+    summed: bool = False
+
+    def _of(self, test: str | None, kind: str = "created") -> str:
+        return " AND ".join([f"kind = '{kind}'"] * self.summed + [test] * bool(test)) or "true"
+
+    def signed(self, value: str, plus: Sequence[str], minus: Sequence[str]) -> str:
+        return (f"CASE WHEN {one_of('type', plus)} THEN {value} "
+                f"WHEN {one_of('type', minus)} THEN cast(-{value} AS {self.money}) "
+                f"ELSE cast(0 AS {self.money}) END")
+
+    def sum_if(self, test: str, value: str) -> str:
+        total = f"sum(CASE WHEN {self._of(test)} THEN {value} ELSE cast(0 AS {self.money}) END)"
+        return f"cast({total} AS decimal(28,2))" if self.summed else total
+
+    def count_if(self, test: str | None = None, kind: str = "created") -> str:
+        if self.summed:
+            return f"sum(CASE WHEN {self._of(test, kind)} THEN n ELSE 0L END)"
+        return f"count_if({test})" if test else "count(1)"
 
-def _sum_if(test: str, value: str) -> str:
-    return f"sum(CASE WHEN {test} THEN {value} ELSE cast(0 AS decimal(18,2)) END)"
+    def first(self, test: str | None = None) -> str:
+        return f"min(CASE WHEN {self._of(test)} THEN {'first' if self.summed else 'created'} END)"
+
+    def last(self, test: str | None = None) -> str:
+        return f"max(CASE WHEN {self._of(test)} THEN {'last' if self.summed else 'created'} END)"
+
+
+DOCUMENTS = Form()
+DAYS = Form(created="time", due="time", is_open="is_open", money="decimal(28,2)", summed=True)
 
 
 def live_documents(doc: DataFrame, codes: RoleCodes) -> DataFrame:
@@ -40,7 +72,7 @@ def live_documents(doc: DataFrame, codes: RoleCodes) -> DataFrame:
     return doc.where("status != '0'").where(one_of("type", codes.read_types))
 
 
-def _supplier_measures(p: Params) -> tuple[dict[str, str], dict[str, str]]:
+def _supplier_measures(p: Params, f: Form) -> tuple[dict[str, str], dict[str, str]]:
     """Row columns (evaluated once per document) and the aggregates over them."""
     c = p.supplier
     rows = {
@@ -50,74 +82,79 @@ def _supplier_measures(p: Params) -> tuple[dict[str, str], dict[str, str]]:
         "agreement": one_of("type", c.agreement_types),
         "recent": one_of("type", c.recent_types),
         "excluding": one_of("type", c.excluding_types),
-        "is_open": "balance > 0",
-        "in_1y": since("created", p.as_of, 1),
-        "in_2y": since("created", p.as_of, 2),
-        "in_year_2": between_half_open("created", p.as_of, 2, 1),
-        "signed_amount": _signed("amount", c.amount_plus, c.amount_minus),
-        "signed_balance": _signed("balance", c.balance_plus, c.balance_minus),
+        "is_open": f.is_open,
+        "in_1y": since(f.created, p.as_of, 1),
+        "in_2y": since(f.created, p.as_of, 2),
+        "in_year_2": between_half_open(f.created, p.as_of, 2, 1),
+        "signed_amount": f.signed("amount", c.amount_plus, c.amount_minus),
+        "signed_balance": f.signed("balance", c.balance_plus, c.balance_minus),
     }
     return rows, {
-        "sum_1y": _sum_if("in_1y", "signed_amount"),
-        "sum_2y": _sum_if("in_year_2", "signed_amount"),
-        "sum_open_balance": _sum_if("is_open", "signed_balance"),
-        "n_typed": "count_if(typed)",
-        "n_1y": "count_if(typed AND in_1y)",
-        "n_2y": "count_if(typed AND in_year_2)",
-        "n_open": "count_if(typed AND is_open)",
-        "min_created": "min(CASE WHEN typed THEN created END)",
-        "max_created": "max(CASE WHEN typed THEN created END)",
-        "n_invoice_1y": "count_if(invoice AND in_1y)",
-        "n_invoice_2y": "count_if(invoice AND in_2y)",
-        "n_invoice_old_open": "count_if(invoice AND is_open AND NOT in_2y)",
-        "n_order_any_2y": "count_if(purchase AND in_2y)",
-        "n_order_1y": "count_if(purchase AND is_open AND in_1y)",
-        "n_order_2y": "count_if(purchase AND is_open AND in_2y)",
-        "n_order": "count_if(purchase AND is_open)",
-        "min_order": "min(CASE WHEN purchase AND is_open THEN created END)",
-        "max_order": "max(CASE WHEN purchase AND is_open THEN created END)",
-        "n_agreement": "count_if(agreement AND is_open)",
-        "n_recent_2y": "count_if(recent AND in_2y)",
-        "n_excluding": "count_if(excluding)",
+        "sum_1y": f.sum_if("in_1y", "signed_amount"),
+        "sum_2y": f.sum_if("in_year_2", "signed_amount"),
+        "sum_open_balance": f.sum_if("is_open", "signed_balance"),
+        "n_typed": f.count_if("typed"),
+        "n_1y": f.count_if("typed AND in_1y"),
+        "n_2y": f.count_if("typed AND in_year_2"),
+        "n_open": f.count_if("typed AND is_open"),
+        "min_created": f.first("typed"),
+        "max_created": f.last("typed"),
+        "n_invoice_1y": f.count_if("invoice AND in_1y"),
+        "n_invoice_2y": f.count_if("invoice AND in_2y"),
+        "n_invoice_old_open": f.count_if("invoice AND is_open AND NOT in_2y"),
+        "n_order_any_2y": f.count_if("purchase AND in_2y"),
+        "n_order_1y": f.count_if("purchase AND is_open AND in_1y"),
+        "n_order_2y": f.count_if("purchase AND is_open AND in_2y"),
+        "n_order": f.count_if("purchase AND is_open"),
+        "min_order": f.first("purchase AND is_open"),
+        "max_order": f.last("purchase AND is_open"),
+        "n_agreement": f.count_if("agreement AND is_open"),
+        "n_recent_2y": f.count_if("recent AND in_2y"),
+        "n_excluding": f.count_if("excluding"),
     }
 
 
-def _customer_measures(p: Params) -> tuple[dict[str, str], dict[str, str]]:
+def _customer_measures(p: Params, f: Form) -> tuple[dict[str, str], dict[str, str]]:
     c = p.customer
     rows = {
-        "is_open": "balance > 0",
+        "is_open": f.is_open,
         "openable": one_of("type", c.open_types),
         "charge": one_of("type", c.amount_plus),
         "moving": one_of("type", c.amount_plus + c.amount_minus),
-        "due_in_2y": since("due", p.as_of, 2),
-        "in_2y": since("created", p.as_of, 2),
-        "in_5y": since("created", p.as_of, 5),
-        "in_2y5": between_closed("created", p.as_of, 5, 2),
-        "signed_amount": _signed("amount", c.amount_plus, c.amount_minus),
-        "signed_open": _signed("balance", c.amount_plus, c.amount_minus),
-        "signed_balance": _signed("balance", c.balance_plus, c.balance_minus),
+        "due_in_2y": since(f.due, p.as_of, 2),
+        "in_2y": since(f.created, p.as_of, 2),
+        "in_5y": since(f.created, p.as_of, 5),
+        "in_2y5": between_closed(f.created, p.as_of, 5, 2),
+        "signed_amount": f.signed("amount", c.amount_plus, c.amount_minus),
+        "signed_open": f.signed("balance", c.amount_plus, c.amount_minus),
+        "signed_balance": f.signed("balance", c.balance_plus, c.balance_minus),
     }
     return rows, {
-        "sum_0y2": _sum_if("in_2y", "signed_amount"),
-        "sum_2y5": _sum_if("in_2y5", "signed_amount"),
-        "sum_open": _sum_if("is_open", "signed_open"),
-        "sum_open_balance": _sum_if("is_open", "signed_balance"),
-        "n_typed": "count(1)",
-        "n_0y2": "count_if(in_2y)",
-        "n_2y5": "count_if(in_2y5)",
-        "n_open_due": "count_if(is_open AND due_in_2y AND openable)",
-        "n_open": "count_if(is_open AND openable)",
-        "min_created": "min(created)",
-        "max_created": "max(created)",
-        "n_charge_open": "count_if(charge AND is_open)",
-        "n_moving_2y": "count_if(moving AND in_2y)",
-        "n_moving_5y": "count_if(moving AND in_5y)",
+        "sum_0y2": f.sum_if("in_2y", "signed_amount"),
+        "sum_2y5": f.sum_if("in_2y5", "signed_amount"),
+        "sum_open": f.sum_if("is_open", "signed_open"),
+        "sum_open_balance": f.sum_if("is_open", "signed_balance"),
+        "n_typed": f.count_if(),
+        "n_0y2": f.count_if("in_2y"),
+        "n_2y5": f.count_if("in_2y5"),
+        "n_open_due": f.count_if("is_open AND due_in_2y AND openable", "due"),
+        "n_open": f.count_if("is_open AND openable"),
+        "min_created": f.first(),
+        "max_created": f.last(),
+        "n_charge_open": f.count_if("charge AND is_open"),
+        "n_moving_2y": f.count_if("moving AND in_2y"),
+        "n_moving_5y": f.count_if("moving AND in_5y"),
     }
 
 
+def measures(p: Params, codes: RoleCodes, form: Form = DOCUMENTS) -> tuple[dict[str, str], dict[str, str]]:
+    """Row columns and aggregates of one side."""
+    return (_supplier_measures if codes.role == "supplier" else _customer_measures)(p, form)
+
+
 def site_parts(doc: DataFrame, p: Params, codes: RoleCodes) -> DataFrame:
     """All measures of one side per (origin, party, site), in one pass over the documents."""
-    rows, aggregates = (_supplier_measures if codes.role == "supplier" else _customer_measures)(p)
+    rows, aggregates = measures(p, codes)
     return (live_documents(doc, codes)
             .selectExpr(*SITE, "created", *[f"{e} AS {n}" for n, e in rows.items()])
             .groupBy(*SITE).agg(*[F.expr(f"{e} AS {n}") for n, e in aggregates.items()]))

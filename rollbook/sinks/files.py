@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import json
+import uuid
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,11 +19,82 @@ CSV = {"header": True, "escape": '"', "ignoreLeadingWhiteSpace": False,
        "ignoreTrailingWhiteSpace": False}
 
 
+MANIFEST = "_manifest"  # readers of part files pass over names that begin with an underscore
+
+
+class Folders:
+    """The few things that publishing asks of a file system, whichever one Spark writes to."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self._path = spark._jvm.org.apache.hadoop.fs.Path
+        self._files = self._path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def exists(self, path: str) -> bool:
+        return self._files.exists(self._path(path))
+
+    def rename(self, old: str, new: str) -> None:
+        if not self._files.rename(self._path(old), self._path(new)):
+            raise OSError(f"could not rename {old} to {new}")
+
+    def delete(self, path: str) -> None:
+        self._files.delete(self._path(path), True)
+
+
+def _former(path: str) -> str:
+    return f"{path.rstrip('/')}.former"
+
+
+def published(spark: SparkSession, path: str) -> str | None:
+    """The folder that holds the last good report of ``path``, if there is one.
+
+    A run that broke off between its two renames has left it under the former name.
+    """
+    folders = Folders(spark, path)
+    for one in (path, _former(path)):
+        if folders.exists(one):
+            return one
+    return None
+
+
+def publish(spark: SparkSession, path: str, write: Callable[[str], Mapping[str, object]]) -> None:
+    """Let ``write`` fill a new folder beside ``path``, then put it in the place of ``path``.
+
+    ``write`` returns what the folder's manifest is to say; the manifest is written last. If anything fails before, the
+    report that was there stays, and the new folder is removed. Folders are only renamed, so
+    nobody reads half a report.
+    """
+    folders = Folders(spark, path)
+    staging = f"{path.rstrip('/')}.staging-{uuid.uuid4().hex}"
+    try:
+        said = json.dumps(dict(write(staging)), sort_keys=True)
+        spark.createDataFrame([(said,)], "manifest string").coalesce(1).write.text(
+            f"{staging}/{MANIFEST}")
+    except BaseException:
+        folders.delete(staging)
+        raise
+    former = _former(path)
+    if folders.exists(path):
+        folders.delete(former)
+        folders.rename(path, former)
+    folders.rename(staging, path)
+    folders.delete(former)
+
+
+def manifest(spark: SparkSession, path: str) -> dict[str, object] | None:
+    """What the manifest of the last good report says; None without a report."""
+    folder = published(spark, path)
+    if folder is None or not Folders(spark, path).exists(f"{folder}/{MANIFEST}"):
+        return None
+    return json.loads(spark.read.text(f"{folder}/{MANIFEST}").first()[0])
+
+
 def export_report(df: DataFrame, path: str, fmt: str = "csv", max_rows: int = MAX_ROWS,
-                  names: Mapping[str, str] | None = None) -> None:
+                  names: Mapping[str, str] | None = None,
+                  about: Callable[[], Mapping[str, object]] = dict) -> None:
     """Write a report to a directory of part files of at most ``max_rows`` rows, replacing it.
 
-    Tasks write in parallel and nothing passes through the driver. CSV files carry a header row
+    Tasks write in parallel and nothing passes through the driver. The report that is there is replaced
+    when the new one is complete (:func:`publish`); ``about`` is asked then what the manifest is to say. CSV files carry a header row
     and dates as text; Parquet keeps times. ``names`` are the display names. CSV cells keep blanks at
     their edges, quotes (doubled) and line breaks; NULL is an empty cell and empty text a quoted one.
     :func:`read_export` reads them back.
@@ -30,8 +103,14 @@ def export_report(df: DataFrame, path: str, fmt: str = "csv", max_rows: int = MA
         times = [f.name for f in df.schema.fields
                  if isinstance(f.dataType, TimestampType | TimestampNTZType)]
         df = df.withColumns({c: F.date_format(F.col(c), DATE_FORMAT) for c in times})
-    writer = rename_columns(df, names).write.mode("overwrite").option("maxRecordsPerFile", max_rows)
-    (writer.options(**CSV, emptyValue='""') if fmt == "csv" else writer).format(fmt).save(path)
+    writer = rename_columns(df, names).write.option("maxRecordsPerFile", max_rows)
+    writer = (writer.options(**CSV, emptyValue='""') if fmt == "csv" else writer).format(fmt)
+
+    def write(folder: str) -> Mapping[str, object]:
+        writer.save(folder)
+        return about()
+
+    publish(df.sparkSession, path, write)
 
 
 def read_export(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -39,6 +118,7 @@ def read_export(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
     Another mark for NULL than empty text keeps the two apart: only an empty cell without quotes is NULL.
     """
+    path = published(spark, path) or path
     options = {**CSV, "multiLine": True, "enforceSchema": True, "nullValue": "\u0001", "emptyValue": ""}
     return spark.read.schema(schema).options(**options).csv(path)
 

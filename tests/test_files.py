@@ -17,9 +17,9 @@ from rollbook.plans.batch import report_batch
 from rollbook.plans.layouts import LAYOUTS
 from rollbook.plans.shared import keep, new_path, shared_folder
 from rollbook.schema import CODE, PADDED, TABLES
-from rollbook.sinks.files import column_width_profile, export_report, read_export
+from rollbook.sinks.files import column_width_profile, export_report, manifest, read_export
 from rollbook.sources.tables import (FETCH_ROWS, conform, load_tables, partitioned_read,
-                                     range_predicates, tag_pieces)
+                                     cut_predicates, quantile_cuts, range_predicates, tag_cuts, tag_pieces)
 
 pytestmark = pytest.mark.usefixtures("few_rows")
 
@@ -205,3 +205,80 @@ def test_hooks_and_renames(spark):
     assert post_transform(df) is df and rename_columns(df, None) is df
     assert rename_columns(df, {"a": "A (M)"}).columns == ["A (M)"]
     assert rows(blank_columns(df, ["b"])) == [(1, "")]
+
+
+def files_of(path):
+    return sorted(x.name for x in path.iterdir())
+
+
+def test_a_failed_export_leaves_the_former_report(spark, tmp_path):
+    out = tmp_path / "r"
+    export_report(spark.createDataFrame([(1,), (2,)], "n int"), str(out))
+    bad = spark.range(0, 1000, 1, 4).selectExpr("if(id = 900, raise_error('in mid-write'), id) AS n")
+    with pytest.raises(Exception, match="in mid-write"):
+        export_report(bad, str(out))
+    assert rows(read_export(spark, str(out), "n int")) == [(1,), (2,)]
+    assert files_of(tmp_path) == ["r"]  # nothing is left beside it
+    export_report(spark.createDataFrame([(3,)], "n int"), str(out))
+    assert rows(read_export(spark, str(out), "n int")) == [(3,)] and files_of(tmp_path) == ["r"]
+
+
+def test_a_run_that_broke_off_between_renames(spark, tmp_path):
+    out = tmp_path / "r"
+    export_report(spark.createDataFrame([(1,)], "n int"), str(out), about=lambda: {"rows": 1})
+    out.rename(tmp_path / "r.former")  # the new folder was not put in place
+    assert rows(read_export(spark, str(out), "n int")) == [(1,)] and manifest(spark, str(out)) == {"rows": 1}
+    export_report(spark.createDataFrame([(2,)], "n int"), str(out), about=lambda: {"rows": 5})
+    assert rows(read_export(spark, str(out), "n int")) == [(2,)] and manifest(spark, str(out)) == {"rows": 5}
+    assert files_of(tmp_path) == ["r"] and manifest(spark, str(tmp_path / "none")) is None
+
+
+def test_a_repeated_run_does_what_failed(spark, tmp_path):
+    t, names, seen = some_suppliers().tables(spark), ["supplier_header", "supplier_site"], []
+
+    def hook(name, fail=False):
+        def run(df):
+            seen.append(name)
+            if fail:
+                raise RuntimeError("lost")
+            return df
+        return run
+
+    batch = lambda fail, run="monday", **kw: [tuple(r)[:3] for r in report_batch(
+        spark, t, params(), str(tmp_path), names, run=run, hooks={"supplier_header": hook("h"), "supplier_site": hook("s", fail)}, **kw).collect()]
+    assert batch(True) == [("supplier_header", "ok", 2), ("supplier_site", "failed", None)] and sorted(seen) == ["h", "s"]
+    seen.clear()
+    assert batch(False) == [("supplier_header", "kept", 2), ("supplier_site", "ok", 3)] and seen == ["s"]
+    seen.clear()
+    assert [r[1] for r in batch(False)] == ["kept", "kept"] and not seen
+    assert [r[1] for r in batch(False, "tuesday")] == ["ok", "ok"] and sorted(seen) == ["h", "s"]
+    assert [r[1] for r in batch(False, "tuesday", limit=1)] == ["ok", "ok"]  # other parameters
+    assert [r[1] for r in batch(False, None)] == ["ok", "ok"]
+
+
+def test_batch_reports_run_side_by_side(spark, tmp_path):
+    """Each waits for the other one, so they have to be under way at the same time."""
+    import threading
+
+    both = threading.Barrier(2, timeout=60)
+    pools = []
+
+    def meet(df):
+        both.wait()
+        pools.append(df.sparkSession.sparkContext.getLocalProperty("spark.scheduler.pool"))
+        return df
+
+    names = ["supplier_site", "supplier_header"]
+    log = report_batch(spark, some_suppliers().tables(spark), params(), str(tmp_path), names, hooks=dict.fromkeys(names, meet), workers=2)
+    assert [(r["report"], r["status"]) for r in log.collect()] == [(n, "ok") for n in names] and sorted(pools) == sorted(names)
+
+
+@pytest.mark.parametrize("pieces", [1, 3, 8])
+def test_cuts_by_quantiles(spark, pieces):
+    keys = spark.range(4000).selectExpr("CASE WHEN id % 400 = 0 THEN NULL ELSE id * id END AS k")
+    cuts = quantile_cuts(keys, "k", pieces)
+    sizes = [r["count"] for r in tag_cuts(keys, "k", cuts).groupBy("piece").count().collect()]
+    assert len(sizes) == pieces and sum(sizes) == 4000 and max(sizes) < 1.1 * 4000 / pieces
+    assert quantile_cuts(keys.limit(0), "k", pieces) == [] and cut_predicates("k", []) == ["1 = 1"]
+    with pytest.raises(ValueError):
+        quantile_cuts(keys, "k", 0)
