@@ -90,13 +90,14 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, doc_key: str = "doc_id"
     sides = aligned.join(items.select(F.col("_row").alias("_item"), F.col("_id").alias("_item_id"), F.col("_h").alias("_g")), "_item")
     texts = rows.join(aligned.select("_row").distinct(), "_row", "left_semi").dropDuplicates(["_row"])
     found = _hashed(texts, "_row", "_id").join(sides, "_row")
-    found = found.withColumn("_same", F.expr("transform(_g, (g, i) -> if(get(_h, i + _shift) <=> g, 1, 0))"))
     found = found.withColumn("_run", F.expr(f"least({OVERLAP}, size(_g))"))
-    # agreeing words of each run that begins at a place of the item
-    found = found.withColumn("_best", F.expr("array_max(transform(sequence(0, size(_g) - _run), i -> aggregate(slice(_same, i + 1, _run), 0, (n, x) -> n + x)))"))
-    good = found.filter(F.expr(f"_best >= _run - CAST(floor({SUBSTITUTED} * _run / {OVERLAP}) AS INT)"))
+    # words that agree (s, made once for each alignment), in each run that begins at a place of the item and altogether
+    same = "transform(_g, (g, i) -> if(get(_h, i + _shift) <=> g, 1, 0))"
+    best = "array_max(transform(sequence(0, size(s) - _run), i -> aggregate(slice(s, i + 1, _run), 0, (n, x) -> n + x)))"
+    found = found.withColumn("_found", F.expr(f"element_at(transform(array({same}), s -> named_struct('best', {best}, 'agree', aggregate(s, 0, (n, x) -> n + x))), 1)"))
+    good = found.filter(F.expr(f"_found.best >= _run - CAST(floor({SUBSTITUTED} * _run / {OVERLAP}) AS INT)"))
     per = good.groupBy(F.col("_id").alias(doc_key), F.col("_item_id").alias(item_key)).agg(
-        F.max(F.struct(F.expr("aggregate(_same, 0, (n, x) -> n + x)").alias("agree"), (-F.col("_shift")).alias("back"), F.expr("size(_g)").alias("size"))).alias("_m")
+        F.max(F.struct(F.col("_found.agree").alias("agree"), (-F.col("_shift")).alias("back"), F.expr("size(_g)").alias("size"))).alias("_m")
     )
     return per.select(
         doc_key,
