@@ -45,7 +45,7 @@ from pyspark.sql.window import WindowSpec
 from pyspark.sql import functions as F
 
 from rollbook.llm.components import components
-from rollbook.llm.scratch import keep, settled
+from rollbook.llm.scratch import drop, keep, settled
 from rollbook.llm.textblocks import mix, blocks, sets, words
 
 SKETCH = 64
@@ -178,9 +178,11 @@ def families(near: DataFrame, percent: int) -> DataFrame:
     lightest of all (first, of weight lightest) where c = 0.
     """
     rest = 100 - percent
+    # read five times below: as a table, each plan stays as short as its own step
+    near = keep(near, "near")
     whole = F.expr("both + size(removed)")
     empty = F.expr("CAST(array() AS array<bigint>)")
-    own = near.groupBy("b").agg(F.max(whole).alias("n"), F.max("score").alias("score"), F.count(F.lit(1)).alias("g"))
+    own = keep(near.groupBy("b").agg(F.max(whole).alias("n"), F.max("score").alias("score"), F.count(F.lit(1)).alias("g")), "leaders")
     leaders = own.select("b", F.col("b").alias("a"), "n", "score", empty.alias("added"), empty.alias("removed"))
     members = leaders.unionByName(near.select("a", "b", "n", "score", "added", "removed"))
     half = near.select("b", F.explode("added").alias("e"), F.lit(1).alias("adds")).unionAll(near.select("b", F.explode("removed"), F.lit(0)))
@@ -195,6 +197,7 @@ def families(near: DataFrame, percent: int) -> DataFrame:
     )
     told = told.withColumns({"more": F.size("added"), "less": F.size("removed")}).withColumns({"weight": F.expr(f"100 * less + {percent} * more"), "lean": F.expr(f"{percent} * (less - more)")})
     told = keep(told.withColumn("excess", F.expr(f"weight - {rest} * whole")).drop("whole"), "families")
+    drop(near, own)
     ends = told.groupBy("b").agg(F.max("lean").alias("cap"), F.min(F.struct("weight", "a")).alias("light"))
     ends = ends.select("b", "cap", F.col("light.weight").alias("lightest"), F.col("light.a").alias("first"))
     return told.join(ends, "b").withColumn("core", F.expr("excess + lightest <= 0"))
@@ -242,7 +245,8 @@ def class_components(lists: DataFrame, checker: Checker, percent: int) -> DataFr
     passed = ["value", "rep", "n", "score", "before", "far", *_APART]
     for k in count():
         sizes = open_.groupBy("value").agg(F.count(F.lit(1)).alias("m"), F.min("comp").alias("least"), F.max("comp").alias("most"), F.max("far").alias("far"))
-        open_ = keep(open_.join(sizes.filter("least != most AND far").select("value", "m"), "value"), "open")
+        before, open_ = open_, keep(open_.join(sizes.filter("least != most AND far").select("value", "m"), "value"), "open")
+        drop(before)
         if open_.isEmpty():
             return labels
         short, long = open_.filter(f"m <= short * {4**k}"), open_.filter(f"m > short * {4**k}")
@@ -273,7 +277,11 @@ def class_components(lists: DataFrame, checker: Checker, percent: int) -> DataFr
         links = links.union(labels.select(F.col("node").alias("a"), F.col("component").alias("b")))
         labels = settled(links.sparkSession, lambda links=links: components(links), "components")
         joined = labels.select(F.col("node").alias("rep"), "component")
-        open_ = stay.unionByName(apart.withColumn("far", F.lit(True)).select(*passed)).join(joined, "rep", "left").select(*passed, F.coalesce("component", "rep").alias("comp"))
+        after = stay.unionByName(apart.withColumn("far", F.lit(True)).select(*passed)).join(joined, "rep", "left").select(*passed, F.coalesce("component", "rep").alias("comp"))
+        # written before its sizes are looked at, as a plan that has all of this twice is the driver's to plan again after each of its shuffles
+        after = keep(after, "lists")
+        drop(open_, seen)
+        open_ = after
 
 
 def near_rows(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+from pathlib import Path
 
 import brute
 import numpy as np
@@ -13,7 +14,7 @@ from rollbook.llm import decontaminate as D
 from rollbook.llm import near_dedup as N
 from rollbook.llm import quality_classifier as Q
 from rollbook.llm.license_scan import license_scan
-from rollbook.llm.scratch import keep, settled
+from rollbook.llm.scratch import drop, keep, settled
 from rollbook.llm.substring_dedup import substring_dedup
 
 DOCS = "doc_id bigint, text string"
@@ -57,6 +58,26 @@ def found(spark, rows, n=3, percent=85):
     return {r["doc_id"]: r["component_id"] for r in N.near_dedup(spark.createDataFrame(rows, DOCS), n, percent).collect()}
 
 
+def test_no_step_of_near_dedup_is_planned_with_the_others(spark, monkeypatch):
+    exchanges = {}
+
+    def counting(df, name):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        exchanges[name] = max(exchanges.get(name, 0), plan.count("Exchange "))
+        return keep(df, name)
+
+    monkeypatch.setattr(N, "keep", counting)
+    found(spark, family(60, "mix"))
+    assert "families" in exchanges and max(exchanges.values()) <= 24
+
+
+def test_dropped_tables_are_gone(spark):
+    a, b = keep(spark.range(3), "a"), keep(spark.range(4), "b")
+    folder = Path(a.inputFiles()[0].removeprefix("file://")).parent
+    drop(a, spark.range(1))
+    assert not folder.exists() and b.count() == 4
+
+
 @pytest.mark.usefixtures("few_rows")
 @pytest.mark.parametrize("kind", ["swap", "drop", "mix"])
 def test_a_family_of_copies(spark, pairs, kind):
