@@ -17,7 +17,7 @@ from rollbook.plans.batch import report_batch
 from rollbook.plans.layouts import LAYOUTS
 from rollbook.plans.shared import keep, new_path, shared_folder
 from rollbook.schema import CODE, PADDED, TABLES
-from rollbook.sinks.files import column_width_profile, export_report, manifest, read_export
+from rollbook.sinks.files import CSV_ROWS, column_width_profile, export_report, manifest, read_export
 from rollbook.sources.tables import (FETCH_ROWS, conform, load_tables, partitioned_read,
                                      cut_predicates, quantile_cuts, range_predicates, tag_cuts, tag_pieces)
 
@@ -152,6 +152,15 @@ def test_csv_export(spark, tmp_path):
     assert ["0", "t0", "2024-01-01"] in [r for p in parts for r in p]
 
 
+def test_csv_files_stay_small_enough_for_one_task(spark, tmp_path):
+    n = 2 * CSV_ROWS + 10
+    export_report(spark.range(n).coalesce(1), str(tmp_path / "r"))
+    files = [list(csv.reader(open(f))) for f in sorted(glob.glob(str(tmp_path / "r/*.csv")))]
+    assert [len(f) - 1 for f in files] == [CSV_ROWS, CSV_ROWS, 10]
+    assert [int(r[0]) for f in files for r in f[1:]] == list(range(n))
+    assert read_export(spark, str(tmp_path / "r"), "id bigint").count() == n
+
+
 def test_parquet_export_keeps_times(spark, tmp_path):
     df = spark.createDataFrame([(datetime(2024, 1, 1, 13),)], "d timestamp_ntz")
     export_report(df, str(tmp_path / "p"), fmt="parquet")
