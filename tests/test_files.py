@@ -11,6 +11,8 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from world import World, params, rows
 
+from checks import registry
+from rollbook import standins
 from rollbook.functions.labels import blank_columns, post_transform, rename_columns
 from rollbook.plans import reports
 from rollbook.plans.batch import report_batch
@@ -161,6 +163,28 @@ def test_csv_files_stay_small_enough_for_one_task(spark, tmp_path):
     assert read_export(spark, str(tmp_path / "r"), "id bigint").count() == n
 
 
+def test_common_tables_are_stored_once(spark, tmp_path, monkeypatch):
+    day = "TIMESTAMP_NTZ '2000-01-01 00:00:00'"
+    columns = {
+        "nation": "int(id) AS n_nationkey; concat('N', id) AS n_name; int(id % 2) AS n_regionkey",
+        "customer": "id AS c_custkey; 'c' AS c_name; 1 AS c_nationkey; 10D AS c_acctbal; 'BUILDING' AS c_mktsegment",
+        "supplier": "id AS s_suppkey; 's' AS s_name; 1 AS s_nationkey; 10D AS s_acctbal",
+        "orders": f"id AS o_orderkey; id AS o_custkey; 'O' AS o_orderstatus; 5D AS o_totalprice; {day} AS o_orderdate; '1' AS o_orderpriority",
+        "lineitem": f"id AS l_orderkey; id AS l_partkey; id AS l_suppkey; 1 AS l_linenumber; 1D AS l_quantity; 1D AS l_extendedprice; "
+                    f"0D AS l_discount; 0D AS l_tax; 'N' AS l_returnflag; 'O' AS l_linestatus; {day} AS l_shipdate",
+        "events": f"id AS event_id; id AS user_id; {day} AS ts; 'click' AS event_type; 1D AS value",
+    }
+    for name in standins.STORED:
+        spark.range(5).selectExpr(*columns[name].split("; ")).write.parquet(str(tmp_path / f"{name}.parquet"))
+    stored = []
+    monkeypatch.setattr(registry, "new_path", lambda spark, name: stored.append(tmp_path / f"stored-{len(stored)}") or str(stored[-1]))
+    found = registry.ENTRIES["load_tables"].run(spark, str(tmp_path)).collect()
+    assert sorted(f.name for s in stored for f in s.iterdir() if f.name == TABLES["site_tag"][0]) == [TABLES["site_tag"][0]]
+    for name in standins.COMMON:
+        of = {role: sorted(r.cells for r in found if (r.role, r.name) == (role, name)) for role in ("supplier", "customer")}
+        assert of["supplier"] == of["customer"] and of["supplier"]
+
+
 def test_parquet_export_keeps_times(spark, tmp_path):
     df = spark.createDataFrame([(datetime(2024, 1, 1, 13),)], "d timestamp_ntz")
     export_report(df, str(tmp_path / "p"), fmt="parquet")
