@@ -24,7 +24,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 
 from rollbook.llm.pieces import TEXT_BYTES, coder, tokenizer_path
 from rollbook.llm.scratch import keep
-from rollbook.llm.textblocks import blocks
+from rollbook.llm.textblocks import blocks, released
 
 LENGTH = 1024
 OPEN_WINDOWS = 64
@@ -82,7 +82,7 @@ def _pack(path: str, end: int, length: int, most: int, schema: pa.Schema):
             rows.clear()
             return batch
 
-        for batch in batches:
+        for batch in released(batches):
             for row, texts in blocks(batch.column(1), TEXT_BYTES):
                 keys = batch.column(0).slice(row, len(texts)).to_pylist()
                 for key, ids in zip(keys, encode([t or "" for t in texts.to_pylist()]), strict=True):

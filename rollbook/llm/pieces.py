@@ -17,10 +17,11 @@ from itertools import chain
 
 import numpy as np
 
-#: Entries in the younger of the two generations of a table.
-MOST_PIECES = 400_000
+#: Entries in the younger of the two generations of a table, and characters in its entries: one block of texts may go beyond.
+MOST_PIECES = 150_000
+MOST_CHARS = 1 << 23
 #: Texts encoded at a time.
-TEXT_BYTES = 1 << 22
+TEXT_BYTES = 1 << 21
 MARKS = "!\"#$%&()*+,-./:;<=>?@[]^_`{|}~"
 TOKENIZER = "byte_bpe_50k.json"
 
@@ -49,26 +50,28 @@ class Table:
     def __init__(self, blank: str, many: Callable[[list[str]], list[bytes]]):
         self._blank, self._many = blank, many
         self.known: dict[str, bytes | None] = {}
+        self._chars = 0
         self._older: dict[str, bytes | None] = {}
         self._tails: dict[str, bytes] = {}
 
     def learn(self, pieces: set[str]) -> None:
-        if len(self.known) > MOST_PIECES:
-            self._older, self.known = self.known, {}
+        if len(self.known) > MOST_PIECES or self._chars > MOST_CHARS:
+            self._older, self.known, self._chars = self.known, {}, 0
         self._learn(pieces)
 
     def _learn(self, pieces: set[str]) -> None:
+        unknown = pieces.difference(self.known)
+        self._chars += sum(map(len, unknown))
+        again = self._older.keys() & unknown
+        self.known.update([(p, self._older.pop(p)) for p in again])
         cut, new = {}, []
-        for p in pieces:
-            if p not in self.known:
-                if p in self._older:
-                    self.known[p] = self._older[p]
-                elif not p or p[0].isspace() or p[-1].isspace():
-                    self.known[p] = None
-                elif len(word := p.rstrip(MARKS)) < len(p) and word.isalpha():
-                    cut[p] = word
-                else:
-                    new.append(p)
+        for p in unknown.difference(again):
+            if not p or p[0].isspace() or p[-1].isspace():
+                self.known[p] = None
+            elif len(word := p.rstrip(MARKS)) < len(p) and word.isalpha():
+                cut[p] = word
+            else:
+                new.append(p)
         self._encode(new)
         if cut:
             self._learn(set(cut.values()))

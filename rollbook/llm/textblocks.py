@@ -105,6 +105,21 @@ def blocks(column: pa.Array, most: int = BLOCK_BYTES) -> Iterator[tuple[int, pa.
         row = upto
 
 
+def released(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same batches; before each, and at the end, memory that Arrow keeps of earlier ones goes back to the system.
+
+    A worker lives on from step to step, and what its pool keeps adds up to several batches.
+    """
+    pool = pa.default_memory_pool()
+    try:
+        for batch in batches:
+            yield batch
+            del batch
+            pool.release_unused()
+    finally:
+        pool.release_unused()
+
+
 def words(texts: pa.Array, lower: bool = False, marks: bool = False) -> Words:
     """The words [^\\x20\\x09-\\x0D]+ of a block of texts; `lower` lower-cases A-Z first.
 
