@@ -2,10 +2,10 @@
 
 A document's set is its distinct shingles; its sketch, the SKETCH smallest hashes. Documents with equal
 sets form a class and are stood for by the row with the smallest id. The smallest LISTED values of each class go to
-inverted lists. Two sets of the asked similarity share far more of these values than SHARED of them; so
-each class enters only the lists of its rarest values, enough that such a pair still meets (the prefix of
-a set join). A pair is missed only if it shares fewer: for a similarity of 0.8, under one in a million. For
-less, the share is lowered and, under 0.44, more values are listed, to keep the chance under MISSED.
+inverted lists. Two sets of the asked similarity share so many of these values, but for a chance of MISSED (the share
+follows from the similarity; for little of it, more values are listed); so each class enters only the lists of its
+rarest values, enough that such a pair still meets (the prefix of a set join). The more values are listed, the closer
+the share is to the similarity, and sets that have a common passage, but less than that, don't meet.
 
 Short lists yield their pairs, which are filtered by sketch (union-sketch estimate) and verified on full
 sets; links join classes to components, and lists within one component are done. A long list picks a
@@ -21,7 +21,7 @@ before they become a pair whether they can share enough (see difference_lists),
 family shares that element. The distance 1 - J is a metric: a member over NEAR + 1 - similarity has no link
 with one under NEAR, and leaves the list; the others stay for the next leader, as long as some are under NEAR, and
 only pairs that aren't both of one family are looked at. From round to round
-lists count as short up to four times the length, and rounds go on until no list holds two components,
+lists count as short up to GROWTH times the length, and rounds go on until no list holds two components,
 so nothing is left out.
 
 Cases: a null, empty or blank text has the empty set and no link; a text with fewer words than a shingle
@@ -46,16 +46,16 @@ from pyspark.sql import functions as F
 
 from rollbook.llm.components import components
 from rollbook.llm.scratch import drop, keep, settled
-from rollbook.llm.textblocks import mix, blocks, sets, words
+from rollbook.llm.textblocks import blocks, mix, released, sets, words
 
 SKETCH = 64
-LISTED = 24
-#: Share of the listed values that a pair of FIXED percent or more has in common, with all but certainty.
-SHARED, FIXED = 0.4, 80
-#: Chance that a pair of a lower similarity shares fewer values than asked for.
-MISSED = 1e-6
+LISTED = 40
+#: Chance that a pair shares fewer of the listed values than asked for.
+MISSED = 1e-8
 #: Members up to which a list yields all its pairs in the first round, of retained values and of differences from a leader.
-SHORT, SHORT_APART = 8, 16
+SHORT, SHORT_APART = 16, 16
+#: How much longer a short list may be from round to round.
+GROWTH = 8
 #: Percent of similarity with the leader from which members are told apart by what they add and remove, if no less is asked for.
 NEAR = 50
 NO_ID = (1 << 63) - 1
@@ -83,10 +83,8 @@ def prefix(percent: int) -> tuple[int, float]:
     """
     if not 0 < percent <= 100:
         raise ValueError(f"not a percentage of similarity: {percent}")
-    if percent >= FIXED:
-        return LISTED, SHARED
     t = percent / 100
-    m = max(LISTED, ceil(log(MISSED) / log(1 - t)))
+    m = max(LISTED, ceil(log(MISSED) / log(1 - t))) if t < 1 else LISTED
     need, chance = 0, (1 - t) ** m
     while chance <= MISSED:
         need += 1
@@ -96,7 +94,7 @@ def prefix(percent: int) -> tuple[int, float]:
 
 def _sketch(n: int, most: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in released(batches):
             for row, texts in blocks(batch.column(2)):
                 hashes, at = shingle_sets(texts, n)
                 size = np.diff(at)
@@ -113,7 +111,7 @@ def _sketch(n: int, most: int):
 
 def _jaccard(n: int, least: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in released(batches):
             for row, left in blocks(batch.column(3)):
                 right = batch.column(4).slice(row, len(left))
                 (h, i), (g, j) = shingle_sets(left, n), shingle_sets(right, n)
@@ -249,15 +247,15 @@ def class_components(lists: DataFrame, checker: Checker, percent: int) -> DataFr
         drop(before)
         if open_.isEmpty():
             return labels
-        short, long = open_.filter(f"m <= short * {4**k}"), open_.filter(f"m > short * {4**k}")
+        short, long = open_.filter(f"m <= short * {GROWTH**k}"), open_.filter(f"m > short * {GROWTH**k}")
         fits = lambda p: F.expr(f"100 * least(a_n, b_n) >= {p} * greatest(a_n, b_n)")
         ends = lambda x: short.select("value", *(F.col(c).alias(f"{x}_{c}") for c in ("n", "comp", "before", *_APART)), F.col("rep").alias(x))
-        # a pair that shares an earlier list is found there: each list sees to all of its links
-        every = ends("a").join(ends("b"), "value").filter("a < b AND a_comp != b_comp AND NOT arrays_overlap(a_before, b_before)").filter(fits(percent))
+        every = ends("a").join(ends("b"), "value").filter("a < b AND a_comp != b_comp").filter(fits(percent))
         # own elements keep two members apart, and so does what one adds or removes more than the other
         every = every.filter(f"{sure} * (a_own + b_own + abs(a_shared - b_shared) + abs(a_less - b_less)) <= {rest} * (a_n + b_n)")
         every = every.filter(f"a_kind = 0 OR a_excess + b_weight <= {sure} * (least(a_less, b_less) + if(a_kind = 1, least(a_shared, b_shared), 0))")
-        every = every.select("a", "b", F.lit(False).alias("led"), F.lit(percent).alias("percent"))
+        # a pair that shares an earlier list is found there: each list sees to all of its links
+        every = every.filter("NOT arrays_overlap(a_before, b_before)").select("a", "b", F.lit(False).alias("led"), F.lit(percent).alias("percent"))
         leaders = long.groupBy("value").agg(F.max_by(F.struct("rep", "n"), F.struct("score", -F.col("rep"))).alias("lead"))
         leaders = leaders.select("value", F.col("lead.rep").alias("b"), F.col("lead.n").alias("b_n"))
         member = long.join(leaders.select("value", F.col("b").alias("rep")), ["value", "rep"], "left_anti").select(*passed)
