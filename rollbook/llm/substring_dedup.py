@@ -1,10 +1,11 @@
-"""Substring dedup with difference-cover anchors.
+"""Substring dedup with the least short run of each window as its anchor (winnowing).
 
-Every run of WINDOW words that also starts anywhere else is removed, word by word. To find such runs,
-shorter runs (anchors) are hashed at the positions whose remainder modulo PERIOD lies in COVER. The
-differences of COVER give every remainder, so two equal windows, wherever they start, share an anchor at
-the same place within both: each window that repeats holds an anchor that repeats. Only windows around
-repeated anchors are then extended to their full length, hashed and counted.
+Every run of WINDOW words that also starts anywhere else is removed, word by word. A window holds PERIOD
+shorter runs of ANCHOR words; that with the smallest hash, the first of equal ones, is its anchor. It
+follows from the window's words alone, so two equal windows have equal anchors at the same place within both, which are
+two places in all: a window repeats only if its anchor does. Neighbouring windows mostly share their anchor, so about 2 of
+PERIOD + 1 places are listed, and a place once however many windows chose it. Only windows whose anchor
+repeats are then hashed at their full length and counted.
 
 Both counts are one aggregation: a run that occurs once is its group's only row, so the group carries the
 run's place, and the places of single runs go back to their documents. Runs of a passage that many
@@ -31,22 +32,32 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from rollbook.llm.scratch import keep
-from rollbook.llm.textblocks import Words, blocks, words
+from rollbook.llm.textblocks import Words, blocks, released, words
 
 WINDOW = 35
+#: Anchors to choose from in a window.
 PERIOD = 21
-#: A perfect difference set modulo PERIOD.
+#: A perfect difference set modulo PERIOD. Places for anchors that need no comparison, but 5 of PERIOD; not used by the operator.
 COVER = (0, 1, 4, 14, 16)
 ANCHOR = WINDOW - PERIOD + 1
 _KEY = ("_id", "_tie")
 _HASHES = ("hash", "hash2")
 
 
-def _anchors(w: Words) -> tuple[np.ndarray, np.ndarray]:
-    """First words and hashes of the anchors."""
+def _anchors(w: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First words of the windows, the first word of each one's anchor, and the hashes of all short runs by first word."""
+    n = len(w.hash)
+    m = max(0, n - WINDOW + 1)
+    first = np.flatnonzero(w.row[n - m :] == w.row[:m])
     at, hashes = w.windows(ANCHOR)
-    chosen = np.isin((at - w.first[w.row[at]]) % PERIOD, COVER)
-    return at[chosen], hashes[chosen]
+    runs = np.zeros(n, np.uint64)  # a run over the end of a text is in no window
+    runs[at] = hashes
+    least, span = np.arange(n), 1
+    while span < PERIOD:
+        step = min(span, PERIOD - span)
+        here, there = least[: len(least) - step], least[step:]
+        least, span = np.where(runs[there] < runs[here], there, here), span + step
+    return first, least[first], runs
 
 
 def _listed(w: Words, column: pa.Array) -> np.ndarray:
@@ -56,15 +67,11 @@ def _listed(w: Words, column: pa.Array) -> np.ndarray:
 
 
 def _candidates(w: Words, single: np.ndarray) -> np.ndarray:
-    """First words of the windows that hold an anchor which isn't single."""
-    n = len(w.hash)
-    twice = np.zeros(n + 1, np.int64)
-    twice[_anchors(w)[0]] = 1
-    twice[single] = 0
-    upto = np.concatenate(([0], np.cumsum(twice)))
-    m = max(0, n - WINDOW + 1)
-    at = np.flatnonzero(w.row[n - m :] == w.row[:m])
-    return at[upto[at + PERIOD] > upto[at]]
+    """First words of the windows whose anchor isn't single."""
+    first, anchor, _ = _anchors(w)
+    alone = np.zeros(len(w.hash), bool)
+    alone[single] = True
+    return first[~alone[anchor]]
 
 
 def _located(batch: pa.RecordBatch, row: int, w: Words, at: np.ndarray, *hashes: np.ndarray) -> pa.RecordBatch:
@@ -76,14 +83,16 @@ def _located(batch: pa.RecordBatch, row: int, w: Words, at: np.ndarray, *hashes:
 
 
 def _anchor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in released(batches):
         for row, texts in blocks(batch.column(2)):
             w = words(texts)
-            yield _located(batch, row, w, *_anchors(w))
+            _, anchor, runs = _anchors(w)
+            at = np.unique(anchor)
+            yield _located(batch, row, w, at, runs[at])
 
 
 def _window_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in released(batches):
         single = batch.column(batch.schema.get_field_index("_single"))
         for row, texts in blocks(batch.column(2)):
             w = words(texts)
@@ -99,7 +108,7 @@ def _rest(text: str, gone: np.ndarray) -> str:
 
 def _remove(layout: pa.Schema):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in released(batches):
             col = batch.schema.get_field_index
             for row, texts in blocks(batch.column(2)):
                 part = batch.slice(row, len(texts))
