@@ -20,7 +20,8 @@ go on in lists of (leader, rare element that is removed). Sizes of what two memb
 before they become a pair whether they can share enough (see difference_lists), and long lists pick a leader again, whose
 family shares that element. The distance 1 - J is a metric: a member over NEAR + 1 - similarity has no link
 with one under NEAR, and leaves the list; the others stay for the next leader, as long as some are under NEAR, and
-only pairs that aren't both of one family are looked at. From round to round
+only pairs that aren't both of one family are looked at. Lists of retained values that stay crowded are replaced by lists of the
+rarest elements of their members' full sets, where those that have no more than a passage in common don't meet. From round to round
 lists count as short up to GROWTH times the length, and rounds go on until no list holds two components,
 so nothing is left out.
 
@@ -135,20 +136,59 @@ def _before(order: WindowSpec) -> Column:
     return F.collect_list("value").over(order.rowsBetween(-LISTED, -1)).alias("before")
 
 
-def inverted_lists(classes: DataFrame, percent: int) -> DataFrame:
-    """value, rep, n, score and the lists of the class that come `before` this one, for each entry: the lists of two or more that a class belongs to."""
-    listed, shared = prefix(percent)
-    values = classes.select("rep", "n", F.least(F.size("sketch"), F.lit(listed)).alias("m"), F.explode(F.slice("sketch", 1, listed)).alias("value"))
+def _rarest(values: DataFrame, need: str) -> DataFrame:
+    """value, rep, n, score and the lists of the class that come `before` this one, for each entry: the lists of two or more that a class belongs to.
+
+    Of its m values, a class shares `need` with whatever it can be linked to.
+    """
     often = values.groupBy("value").agg(F.count(F.lit(1)).alias("often")).filter("often > 1")
     met = values.join(often, "value")
     by = W.partitionBy("rep", "n")
     met = met.withColumns({"rank": F.row_number().over(by.orderBy("often", "value")), "common": F.count(F.lit(1)).over(by)})
     # values of its own come first in a class's order, and count towards the prefix
-    last = F.expr(f"m - greatest(1, CAST(floor({shared} * m) AS INT)) + 1")
+    last = F.expr(f"m - {need} + 1")
     kept = met.filter(F.col("rank") + F.col("m") - F.col("common") <= last)
     return kept.select("value", "rep", "n", F.sum("often").over(by).alias("score"), _before(by.orderBy("rank")))
 
 
+def inverted_lists(classes: DataFrame, percent: int) -> DataFrame:
+    """Lists of the smallest values of each class."""
+    listed, shared = prefix(percent)
+    values = classes.select("rep", "n", F.least(F.size("sketch"), F.lit(listed)).alias("m"), F.explode(F.slice("sketch", 1, listed)).alias("value"))
+    return _rarest(values, f"greatest(1, CAST(floor({shared} * m) AS INT))")
+
+
+def _elements(n: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in released(batches):
+            for row, texts in blocks(batch.column(1)):
+                hashes, at = shingle_sets(texts, n)
+                elements = pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(hashes.view(np.int64)))
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(row, len(texts)), elements], ["rep", "elements"])
+
+    return run
+
+
+def element_lists(crowded: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
+    """In place of the crowded lists that classes stay in, lists of the rarest elements of their full sets.
+
+    Linked sets share `percent` of the larger one at least, so they meet in these lists for certain. Sets that
+    have less than that in common, a passage of some length say, do not: what sets them apart is rarer. Families that
+    a class is of count as earlier lists, and a class is far here if it was in any of the crowded lists.
+    """
+    held = crowded.groupBy("rep").agg(F.max("far").alias("far"), F.collect_set("b").alias("of"))
+    held = keep(held.select("rep", "far", F.expr("transform(of, x -> xxhash64(x, 'family'))").alias("of")), "held")
+    sets_ = texts.select(F.col("row").alias("rep"), "text").join(held.select("rep"), "rep", "left_semi")
+    sets_ = sets_.mapInArrow(_elements(n), "rep bigint, elements array<bigint>").select("rep", F.size("elements").alias("m"), F.explode("elements").alias("e"))
+    # retained values have lists of the same hashes
+    values = keep(sets_.select("rep", F.col("m").cast("bigint").alias("n"), "m", F.xxhash64("e", F.lit("element")).alias("value")), "elements")
+    # rounded up: a share of the set is a whole number of elements
+    lists = _rarest(values, f"CAST(({percent} * n + 99) div 100 AS INT)").join(held, "rep")
+    lists = keep(lists.select("value", "rep", "n", "score", F.concat("before", "of").alias("before"), "far"), "element-lists")
+    drop(held, values)
+    return lists
+
+
 class Checker:
     """Tells how similar many pairs of classes are: passes by sketch those that can reach a share, then counts on full sets."""
 
@@ -269,7 +309,15 @@ def class_components(lists: DataFrame, checker: Checker, percent: int) -> DataFr
         marked = seen.filter(f"100 * both >= {checker.least} * either").select("a", "b", F.expr(f"100 * both >= {checker.least + rest} * either").alias("closed"))
         marked = lead.join(marked, ["a", "b"]).groupBy("value", F.col("a").alias("rep"), "b").agg(F.max("closed").alias("closed"))
         stay = member.join(marked, ["value", "rep"], "left").filter("NOT coalesce(closed, false)")
-        stay = stay.withColumns({"before": F.expr("if(b IS NULL, before, array_append(before, xxhash64(b, 'family')))"), "far": F.expr("b IS NULL")}).select(*passed)
+        stay = stay.withColumns({"before": F.expr("if(b IS NULL, before, array_append(before, xxhash64(b, 'family')))"), "far": F.expr("b IS NULL")})
+        if k == 0:
+            # lists that aren't short in the next round either; later on all retained values have short lists
+            stay = keep(stay.select(*passed, "b"), "stay")
+            crowded = stay.groupBy("value").agg(F.count(F.lit(1)).alias("m"), F.max("far").alias("any")).filter(f"any AND m > {SHORT * GROWTH}").select("value")
+            moved = element_lists(stay.join(crowded, "value"), checker.texts, checker.n, percent)
+            moved = moved.withColumns({c: F.lit(v).cast("bigint") for c, v in _APART.items()}).select(*passed)
+            stay = stay.join(crowded, "value", "left_anti").select(*passed).unionByName(moved)
+        stay = stay.select(*passed)
         links = seen.filter(f"100 * both >= {percent} * either").select("a", "b").union(told.filter("core").select("a", "first"))
         # earlier components are links to their smallest class
         links = links.union(labels.select(F.col("node").alias("a"), F.col("component").alias("b")))

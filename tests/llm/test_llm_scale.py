@@ -96,6 +96,18 @@ def test_pairs_of_a_family_grow_with_its_rows(spark, pairs):
     assert per_row[1] < 1.5 * per_row[0] + 2
 
 
+@pytest.mark.usefixtures("few_rows")
+def test_texts_around_a_long_passage_make_few_pairs(spark, pairs):
+    """Three fifths of each text are one passage; only those whose own part is nearly the same too are linked."""
+    passage = " ".join(f"common{k}" for k in range(90))
+    own = lambda i: [f"d{i}w{k}" for k in range(60)]
+    rows = [(i, f"{passage} " + " ".join(own(i))) for i in range(300)]
+    rows += [(1000 + i, f"{passage} " + " ".join([*own(i)[:30], "other", *own(i)[31:]])) for i in range(0, 300, 7)]
+    got = found(spark, rows)
+    assert got == brute.near_components(rows, 3, 85) and got[1007] == 7
+    assert sum(pairs) < 10 * len(rows)
+
+
 @pytest.mark.usefixtures("few_rows")
 def test_leaks_under_one_null_id(spark):
     """Rows that share an id are verified each against its own alignments."""
