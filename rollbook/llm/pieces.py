@@ -18,7 +18,7 @@ from itertools import chain
 import numpy as np
 
 #: Entries in the younger of the two generations of a table, and characters in its entries: one block of texts may go beyond.
-MOST_PIECES = 150_000
+MOST_PIECES = 400_000
 MOST_CHARS = 1 << 23
 #: Texts encoded at a time.
 TEXT_BYTES = 1 << 21
@@ -79,7 +79,7 @@ class Table:
             for tail in set(tails.values()).difference(self._tails):
                 self._tails[tail] = self._many([tail])[0]
             self.known.update((p, self.known[word] + self._tails[tails[p]]) for p, word in cut.items())
-            if len(self._tails) > MOST_PIECES // 10:
+            if len(self._tails) > 15_000:
                 self._tails = {}
 
     def _encode(self, new: list[str]) -> None:

@@ -21,3 +21,15 @@ def test_table_of_pieces_is_bounded_in_characters():
 def test_released_batches_are_all_there():
     batches = [pa.RecordBatch.from_arrays([pa.array([k, k + 1])], ["k"]) for k in range(5)]
     assert [b.column(0).to_pylist() for b in released(iter(batches))] == [[k, k + 1] for k in range(5)]
+
+
+def test_pieces_in_use_are_encoded_once():
+    """As many distinct words as a few dozen MB of text have, met again and again."""
+    asked = []
+    table = pieces.Table(" ", lambda new: asked.extend(new) or [p.encode() for p in new])
+    blocks = [{f"w{k}x{j}" for j in range(20_000)} for k in range(19)]
+    for _ in range(3):
+        for block in blocks:
+            table.learn(block)
+            assert all(table.known[p] == f" {p}".encode() for p in block)
+    assert len(asked) == len(set(asked)) == 380_000
