@@ -1,10 +1,12 @@
 """Token ids of whole texts, each distinct piece of text encoded once.
 
 A byte-level tokenizer never joins across a single blank that stands between two other characters, so a
-text can be cut there and the pieces encoded on their own. Pieces are kept in a bounded table per worker;
+text can be cut there and the pieces encoded on their own. Neither does it join letters and the marks after
+them, nor what stands on either side of a single line break, which is a token of its own. A block of texts is
+cut with numpy, and Arrow tells its distinct pieces apart, so that a word keeps its ids whatever mark or line
+follows and is looked up once per block. Pieces are kept in a bounded table per worker;
 pieces that are new in a block of texts are encoded in one call. Texts with other white space around a
-blank (two blanks, a line break and a blank, a blank at an edge) are encoded whole. Neither does it join
-letters and the marks after them, so a word keeps its ids whatever mark follows. A word of letters alone
+blank (two blanks, a line break and a blank, a blank at an edge) are encoded whole. A word of letters alone
 goes straight to the tokenizer's model, in the byte alphabet that the model is written in. A text with the
 string of a special token is encoded whole, and the string becomes that token, as the library does it.
 """
@@ -12,10 +14,14 @@ string of a special token is encoded whole, and the string becomes that token, a
 from __future__ import annotations
 
 from array import array
-from collections.abc import Callable, Sequence
-from itertools import chain
+from collections.abc import Callable, Iterable, Sequence
+from typing import Any
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+
+from rollbook.llm.textblocks import raw
 
 #: Entries in the younger of the two generations of a table, and characters in its entries: one block of texts may go beyond.
 MOST_PIECES = 400_000
@@ -42,33 +48,50 @@ def coder(path: str) -> Coder:
 
 
 class Table:
-    """Ids of pieces seen lately; one whose ids depend on what stands around it has None.
+    """Ids of pieces seen lately, or their numbers; one whose ids depend on what stands around it has None.
 
     Two generations: when the younger is full it becomes the older one, from which pieces in use move back.
     """
 
-    def __init__(self, blank: str, many: Callable[[list[str]], list[bytes]]):
+    def __init__(self, blank: str, many: Callable[[list[str]], list]):
         self._blank, self._many = blank, many
-        self.known: dict[str, bytes | None] = {}
+        self.known: dict[str, Any] = {}
         self._chars = 0
-        self._older: dict[str, bytes | None] = {}
-        self._tails: dict[str, bytes] = {}
+        self._older: dict[str, Any] = {}
+        self._tails: dict[str, Any] = {}
+
+    def learn(self, pieces: Iterable[str]) -> None:
+        self._turn()
+        self._learn(pieces)
 
-    def learn(self, pieces: set[str]) -> None:
+    def values(self, pieces: list[str]) -> list:
+        """What is known of each piece, after those that are new were learnt."""
+        self._turn()
+        out = list(map(self.known.get, pieces))
+        other = [k for k, value in enumerate(out) if value is None]
+        self._learn([pieces[k] for k in other])
+        for k in other:
+            out[k] = self.known[pieces[k]]
+        return out
+
+    def _turn(self) -> None:
         if len(self.known) > MOST_PIECES or self._chars > MOST_CHARS:
             self._older, self.known, self._chars = self.known, {}, 0
-        self._learn(pieces)
 
-    def _learn(self, pieces: set[str]) -> None:
-        unknown = pieces.difference(self.known)
+    def _learn(self, pieces: Iterable[str]) -> None:
+        known = self.known
+        unknown = {p for p in pieces if p not in known}
         self._chars += sum(map(len, unknown))
         again = self._older.keys() & unknown
-        self.known.update([(p, self._older.pop(p)) for p in again])
+        known.update([(p, self._older.pop(p)) for p in again])
         cut, new = {}, []
-        for p in unknown.difference(again):
-            if not p or p[0].isspace() or p[-1].isspace():
-                self.known[p] = None
-            elif len(word := p.rstrip(MARKS)) < len(p) and word.isalpha():
+        for p in unknown.difference(again) if again else unknown:
+            bare = p[1:] if p[:1] == " " else p
+            if bare.isalpha() or p == "\n":
+                new.append(p)
+            elif not bare or bare[0].isspace() or bare[-1].isspace():
+                known[p] = None
+            elif len(word := p.rstrip(MARKS)) < len(p) and word.removeprefix(" ").isalpha():
                 cut[p] = word
             else:
                 new.append(p)
@@ -78,7 +101,7 @@ class Table:
             tails = {p: p[len(word) :] for p, word in cut.items()}
             for tail in set(tails.values()).difference(self._tails):
                 self._tails[tail] = self._many([tail])[0]
-            self.known.update((p, self.known[word] + self._tails[tails[p]]) for p, word in cut.items())
+            known.update((p, known[word] + self._tails[tails[p]]) for p, word in cut.items())
             if len(self._tails) > 15_000:
                 self._tails = {}
 
@@ -87,6 +110,66 @@ class Table:
             self.known.update(zip(new, self._many([self._blank + p for p in new]), strict=True))
 
 
+def _bytes(*ranges: tuple[int, int]) -> np.ndarray:
+    out = np.zeros(256, bool)
+    for first, last in ranges:
+        out[first : last + 1] = True
+    return out
+
+
+_MARK = np.isin(np.arange(256), list(MARKS.encode()))
+_ASCII_LETTER, _SOLID = _bytes((0x41, 0x5A), (0x61, 0x7A)), _bytes((0x21, 0x7E))
+#: First bytes of characters of two bytes: U+00C0 to U+027F are letters but for two, up to U+07FF none is white space.
+_LETTER_LEAD, _SOLID_LEAD = _bytes((0xC3, 0xC9)), _bytes((0xC3, 0xDF))
+
+
+def _starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Where pieces begin: texts, blanks, marks after letters, line breaks between other characters and what follows these."""
+    start = data == 0x20
+    edge = np.zeros(len(data) + 1, bool)
+    edge[offsets] = True
+
+    def ends(at: np.ndarray, one: np.ndarray, lead: np.ndarray) -> np.ndarray:
+        """Of places, those before which a character of one byte in `one`, or of two with the first in `lead`, ends."""
+        before, two = data[at - 1], data[at - 2]
+        return one[before] | ((before >= 0x80) & lead[two] & ~((two == 0xC3) & ((before == 0x97) | (before == 0xB7))))
+
+    mark = np.flatnonzero(_MARK[data])
+    mark = mark[~edge[mark]]
+    start[mark[ends(mark, _ASCII_LETTER, _LETTER_LEAD)]] = True
+    line = np.flatnonzero(data == 0x0A)
+    line = line[~edge[line] & ~edge[line + 1]]
+    line = line[ends(line, _SOLID, _SOLID_LEAD) & (_SOLID | _SOLID_LEAD)[data[line + 1]]]
+    start[line] = start[line + 1] = True
+    return np.flatnonzero(start | edge[:-1])
+
+
+class Cut:
+    """A block of texts cut into pieces: the distinct ones, which stands where, and where each text begins. Null is empty."""
+
+    def __init__(self, texts: pa.Array | Sequence[str]):
+        self.texts = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.large_string())
+        data, offsets = raw(self.texts)
+        starts = _starts(data, offsets)
+        ends = pa.py_buffer(np.append(starts, len(data)))
+        coded = pa.LargeStringArray.from_buffers(len(starts), ends, pa.py_buffer(data)).dictionary_encode()
+        self.pieces, self.at = coded.dictionary.to_numpy(zero_copy_only=False).tolist(), coded.indices.to_numpy()
+        self.first = np.searchsorted(starts, offsets)
+
+    def text(self, k: int) -> str:
+        return self.texts[k].as_py() or ""
+
+    def whole(self, values: pa.Array) -> list[int]:
+        """Texts with a piece that has no value."""
+        if not values.null_count:
+            return []
+        return np.flatnonzero(self.sums(values.is_null().to_numpy(zero_copy_only=False))).tolist()
+
+    def sums(self, values: np.ndarray) -> np.ndarray:
+        """The sum over each text's pieces of a number per distinct piece."""
+        return np.diff(np.append(0, np.cumsum(values[self.at], dtype=np.int64))[self.first])
+
+
 class Coder:
     def __init__(self, path: str):
         if path.endswith(".tiktoken"):
@@ -123,38 +206,44 @@ class Coder:
                 ids = dict(zip(other, _split(model.encode(other, is_pretokenized=True, add_special_tokens=False), len(other)), strict=True)) if other else {}
                 return [ids[p] if p in ids else array("I", [t.id for t in inner.tokenize(_in_bytes(p))]).tobytes() for p in pieces]
 
-        self._heads, self._rest = Table("", many), Table(" ", many)
+        self._ids = Table("", many)
+        self._numbers = Table("", lambda pieces: [len(ids) // 4 for ids in many(pieces)])
 
     def encode_after_blank(self, texts: Sequence[str]) -> list[bytes]:
         """Ids of a blank and each text, in the same form; strings of special tokens are ordinary text."""
-        cut = [text.split(" ") for text in texts]
-        self._rest.learn(set(chain.from_iterable(cut)))
-        of, out = self._rest.known.__getitem__, []
-        for text, pieces in zip(texts, cut, strict=True):
-            try:
-                out.append(b"".join(map(of, pieces)))
-            except TypeError:
-                out.append(self.whole(" " + text))
+        return self._joined(Cut([" " + text for text in texts]))
+
+    def encode(self, texts: pa.Array | Sequence[str]) -> list[bytes]:
+        """Ids of each text as little-endian unsigned 32-bit integers; null is empty."""
+        out = self._joined(cut := Cut(texts))
+        for k in self._with_special(cut):
+            out[k] = self._marked(cut.text(k))
         return out
 
-    def encode(self, texts: Sequence[str]) -> list[bytes]:
-        """Ids of each text as little-endian unsigned 32-bit integers."""
-        cut = [text.split(" ") for text in texts]
-        heads = [one.pop(0) for one in cut]
-        self._heads.learn(set(heads))
-        self._rest.learn(set(chain.from_iterable(cut)))
-        first, of, out = self._heads.known, self._rest.known.__getitem__, []
-        for text, head, rest in zip(texts, heads, cut, strict=True):
-            try:
-                out.append(first[head] + b"".join(map(of, rest)))
-            except TypeError:  # a piece without ids of its own
-                out.append(self.whole(text))
-        for special in self._special:
-            for k, text in enumerate(texts):
-                if special in text:
-                    out[k] = self._marked(text)
+    def count(self, cut: Cut) -> np.ndarray:
+        """How many ids `encode` gives for each text."""
+        values = pa.array(self._numbers.values(cut.pieces), pa.int64())
+        out = cut.sums(values.fill_null(0).to_numpy())
+        for k in cut.whole(values):
+            out[k] = len(self.whole(cut.text(k))) // 4
+        for k in self._with_special(cut):
+            out[k] = len(self._marked(cut.text(k))) // 4
         return out
 
+    def _joined(self, cut: Cut) -> list[bytes]:
+        values = pa.array(self._ids.values(cut.pieces), pa.large_binary())
+        _, ends, data = values.take(pa.array(cut.at)).buffers()
+        at = np.frombuffer(ends, np.int64)[cut.first].tolist() if len(cut.at) else [0] * len(cut.first)
+        ids = memoryview(data or b"")
+        out = [bytes(ids[a:b]) for a, b in zip(at[:-1], at[1:], strict=True)]
+        for k in cut.whole(values):
+            out[k] = self.whole(cut.text(k))
+        return out
+
+    def _with_special(self, cut: Cut) -> list[int]:
+        found = [pc.match_substring(cut.texts, special).fill_null(False) for special in self._special]
+        return sorted({k for flags in found for k in np.flatnonzero(flags.to_numpy(zero_copy_only=False)).tolist()})
+
 
 #: The byte alphabet: printable bytes stand for themselves, the others follow from 256 on.
 _PRINTABLE = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from rollbook.llm.pieces import TEXT_BYTES, coder
+from rollbook.llm.pieces import TEXT_BYTES, Cut, coder
 from rollbook.llm.textblocks import blocks
 
 CHANGES = ("kind", "doc_id", "source", "lang", "tokenizer", "n_tokens", "old_tokens")
@@ -46,10 +46,9 @@ def count_tokens(docs: DataFrame, tokenizers: dict[str, str]) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row, texts in blocks(batch.column(3), TEXT_BYTES):
-                whole, keys = [t or "" for t in texts.to_pylist()], [batch.column(k).slice(row, len(texts)) for k in range(3)]
+                cut, keys = Cut(texts), [batch.column(k).slice(row, len(texts)) for k in range(3)]
                 for name, path in tokenizers.items():
-                    sizes = [len(ids) // 4 for ids in coder(path).encode(whole)]
-                    yield pa.RecordBatch.from_arrays([*keys, pa.array([name] * len(sizes)), pa.array(sizes, pa.int64())], schema=layout)
+                    yield pa.RecordBatch.from_arrays([*keys, pa.array([name] * len(texts)), pa.array(coder(path).count(cut), pa.int64())], schema=layout)
 
     return docs.mapInArrow(run, schema)
 
