@@ -85,7 +85,7 @@ def _pack(path: str, end: int, length: int, most: int, schema: pa.Schema):
         for batch in released(batches):
             for row, texts in blocks(batch.column(1), TEXT_BYTES):
                 keys = batch.column(0).slice(row, len(texts)).to_pylist()
-                for key, ids in zip(keys, encode([t or "" for t in texts.to_pylist()]), strict=True):
+                for key, ids in zip(keys, encode(texts), strict=True):
                     ids += mark
                     total = len(ids) // 4
                     full = len(ids) - len(ids) % step

@@ -50,7 +50,7 @@ def train_dictionary(docs: DataFrame, path: str, end: int, sample: int = SAMPLE_
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for _, texts in text_blocks(batch.column(0)):
-                ids = [(x + mark)[:SAMPLE_BYTES] for x in coder(path).encode([t or "" for t in texts.to_pylist()])]
+                ids = [(x + mark)[:SAMPLE_BYTES] for x in coder(path).encode(texts)]
                 yield pa.RecordBatch.from_arrays([pa.array(ids, pa.binary())], ["ids"])
 
     chosen = docs.filter(F.pmod(F.xxhash64("doc_id"), F.lit(every)) == 0).select("text").limit(2 * sample)
@@ -85,7 +85,7 @@ def _write(path: str, end: int, dictionary: bytes, digest: str):
         for batch in batches:
             for row, texts in text_blocks(batch.column(1), TEXT_BYTES):
                 keys = batch.column(0).slice(row, len(texts)).to_pylist()
-                for key, ids in zip(keys, coder(path).encode([t or "" for t in texts.to_pylist()]), strict=True):
+                for key, ids in zip(keys, coder(path).encode(texts), strict=True):
                     ids += mark
                     frames.append(press.compress(ids))
                     index.append((key or 0, key is not None, len(frames[-1]), len(ids) // 4))
