@@ -14,6 +14,7 @@ string of a special token is encoded whole, and the string becomes that token, a
 from __future__ import annotations
 
 from array import array
+from codecs import charmap_decode
 from collections.abc import Callable, Iterable, Sequence
 from typing import Any
 
@@ -24,7 +25,7 @@ import pyarrow.compute as pc
 from rollbook.llm.textblocks import raw
 
 #: Entries in the younger of the two generations of a table, and characters in its entries: one block of texts may go beyond.
-MOST_PIECES = 400_000
+MOST_PIECES = 600_000
 MOST_CHARS = 1 << 23
 #: Texts encoded at a time.
 TEXT_BYTES = 1 << 21
@@ -248,13 +249,11 @@ class Coder:
 #: The byte alphabet: printable bytes stand for themselves, the others follow from 256 on.
 _PRINTABLE = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
 _ALPHABET = {b: 256 + k for k, b in enumerate(b for b in range(256) if b not in _PRINTABLE)}
-_BLANK = chr(_ALPHABET[0x20])
+_TABLE = "".join(chr(_ALPHABET.get(b, b)) for b in range(256))
 
 
 def _in_bytes(piece: str) -> str:
-    if piece.isascii():
-        return piece.replace(" ", _BLANK)
-    return piece.encode().decode("latin-1").translate(_ALPHABET)
+    return charmap_decode(piece.encode(), "strict", _TABLE)[0]
 
 
 def _split(encoding, n: int) -> list[bytes]:
